@@ -11,45 +11,49 @@ from pyspark.sql import functions as F
 _ENTRY = "ARRAY<STRUCT<key: STRING, kind: STRING, text: STRING>>"
 
 
-class _Number(str):
-    """A JSON number kept as its own text."""
-
-
-class _Fields(list):
-    """The fields of an object in document order, repeated keys included."""
-
-
-def _leaves(text: str) -> dict[str, str]:
-    found: dict[str, str] = {}
-    root = json.loads(text, object_pairs_hook=_Fields, parse_int=_Number, parse_float=_Number)
-    stack = [root]
-    while stack:
-        node = stack.pop()
-        if isinstance(node, tuple):
-            key, value = node
-            if isinstance(value, _Number):
-                found[key] = "n" + value
-            elif isinstance(value, str) and value:
-                found[key] = "s" + value
-            elif isinstance(value, list):
-                stack.append(value)
-        elif isinstance(node, list):
-            # Fields are tuples; a bare scalar in a list has no key.
-            stack.extend(child for child in reversed(node) if isinstance(child, tuple | list))
-    return found
-
-
-@F.pandas_udf("string")
-def _nested_leaves(bodies: pd.Series) -> pd.Series:
+def _leaf_walker():
+    """The document walker as an Arrow-batched function.
+
+    Everything it needs is defined inside, so it travels to the executors by
+    value and the package need not be installed there.
+    """
+
+    class Number(str):
+        """A JSON number kept as its own text."""
+
+    class Fields(list):
+        """The fields of an object in document order, repeated keys included."""
+
+    def leaves(text: str) -> dict[str, str]:
+        found: dict[str, str] = {}
+        stack: list = [json.loads(text, object_pairs_hook=Fields, parse_int=Number, parse_float=Number)]
+        while stack:
+            node = stack.pop()
+            if isinstance(node, tuple):
+                key, value = node
+                if isinstance(value, Number):
+                    found[key] = "n" + value
+                elif isinstance(value, str) and value:
+                    found[key] = "s" + value
+                elif isinstance(value, list):
+                    stack.append(value)
+            elif isinstance(node, list):
+                # Fields are tuples; a bare scalar in a list has no key.
+                stack.extend(child for child in reversed(node) if isinstance(child, tuple | list))
+        return found
+
     def one(text: str | None) -> str | None:
         if text is None:
             return None
         try:
-            return json.dumps(_leaves(text))
+            return json.dumps(leaves(text))
         except (ValueError, RecursionError):
             return None
 
-    return bodies.map(one)
+    def batch(bodies: pd.Series) -> pd.Series:
+        return bodies.map(one)
+
+    return F.pandas_udf(batch, "string")
 
 
 def digest_entries(body: Column, nested: bool = True) -> Column:
@@ -87,7 +91,7 @@ def digest_entries(body: Column, nested: bool = True) -> Column:
     if not nested:
         return F.when(flat, in_jvm)
     walked = F.transform(
-        F.map_entries(F.from_json(_nested_leaves(F.when(~F.coalesce(flat, F.lit(False)), body)), "MAP<STRING, STRING>")),
+        F.map_entries(F.from_json(_leaf_walker()(F.when(~F.coalesce(flat, F.lit(False)), body)), "MAP<STRING, STRING>")),
         lambda e: F.struct(
             e["key"].alias("key"),
             F.substring(e["value"], 1, 1).alias("kind"),
