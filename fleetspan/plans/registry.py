@@ -58,3 +58,10 @@ class Tables:
         df = self.spark.readStream.schema(raw).parquet(path)
         zoneless = [f.name for f in raw if isinstance(f.dataType, TimestampNTZType)]
         return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
+
+
+class Streams(Tables):
+    """The given tables as file streams."""
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return self.stream(name)

@@ -46,7 +46,7 @@ with d(metric, interval_ms) as (values ('click', 86400000), ('view', 86400000),
 s as (
   select event_id, user_id, ts, event_type as metric, value from events
   union all select event_id, user_id, ts, 'k', try_cast(props->>'$.k' as double) from events)
-select user_id, s.metric, cast(epoch_ms(ts) // interval_ms * interval_ms as bigint) as bucket_ms, last(value order by ts, event_id) as value
+select user_id, s.metric, cast((epoch_us(ts) // 1000) // interval_ms * interval_ms as bigint) as bucket_ms, last(value order by ts, event_id) as value
 from s join d on s.metric = d.metric where value is not null group by all
 """)
 def metric_report(t: Tables) -> DataFrame:

@@ -52,7 +52,7 @@ def event_counts(t: Tables) -> DataFrame:
 
 @query("W8 T7", """
 with i(metric, interval_ms) as (values ('click', 60000), ('view', 300000), ('error', 1200000), ('purchase', 3600000))
-select user_id, metric, cast(epoch_ms(ts) // interval_ms * interval_ms as bigint) as bucket_ms, last(value order by ts, event_id) as value
+select user_id, metric, cast((epoch_us(ts) // 1000) // interval_ms * interval_ms as bigint) as bucket_ms, last(value order by ts, event_id) as value
 from events join i on metric = event_type group by all
 """)
 def schedule_samples(t: Tables) -> DataFrame:

@@ -102,9 +102,9 @@ def run_with_state(
     return start(stream, place, batch, every)
 
 
-def results(spark: SparkSession, place: Place, ddl_or_schema) -> DataFrame:
+def results(spark: SparkSession, place: Place) -> DataFrame:
     """All results written so far."""
-    return spark.read.schema(ddl_or_schema).parquet(place.out())
+    return spark.read.parquet(place.out()).drop("epoch")
 
 
 # --- stateful steps ----------------------------------------------------------
