@@ -41,7 +41,9 @@ def extract_regex(body: Column, pattern: str) -> Column:
     """First match anywhere: group 1 if the pattern has groups, else the whole match."""
     if count_groups(pattern) == 0:
         return F.regexp_substr(body, F.lit(pattern))
-    return F.when(body.rlike(pattern), F.regexp_extract(body, pattern, 1))
+    # A found group is one pass; the second test only tells an empty group from no match.
+    found = F.nullif(F.regexp_extract(body, pattern, 1), F.lit(""))
+    return F.coalesce(found, F.when(body.rlike(pattern), F.lit("")))
 
 
 def _json_steps(steps: list[str], lists: bool) -> list[str]:
@@ -70,11 +72,20 @@ def map_path(body: Column, dotted: str) -> Column:
     return F.get_json_object(body, _json_steps(dotted.split("."), lists=False)[0])
 
 
+def well_formed(body: Column) -> Column:
+    """The body where it is well-formed XML, else null: XPath would fail the job on other text."""
+    broken = F.from_xml(body, "_corrupt_record STRING", {"mode": "PERMISSIVE"})["_corrupt_record"]
+    return F.when(body.isNotNull() & broken.isNull(), body)
+
+
+def xpath_value(xml: Column, expression: str) -> Column:
+    """String value of an XPath expression over well-formed XML; null for no match."""
+    return F.nullif(F.xpath_string(xml, F.lit(expression)), F.lit(""))
+
+
 def extract_xpath(body: Column, expression: str) -> Column:
     """String value of an XPath expression; null for no match or malformed XML."""
-    # from_xml flags malformed text instead of failing the job.
-    broken = F.from_xml(body, "_corrupt_record STRING", {"mode": "PERMISSIVE"})["_corrupt_record"]
-    return F.when(body.isNotNull() & broken.isNull(), F.nullif(F.xpath_string(body, F.lit(expression)), F.lit("")))
+    return xpath_value(well_formed(body), expression)
 
 
 def extract_header(headers: Column, name: str) -> Column:
@@ -202,6 +213,9 @@ def response_metric(df: DataFrame, metric: str, fmt: str | Extractor) -> Column:
 
 def extract_metrics(df: DataFrame, metrics: list[str], fmt: str | Extractor, keep: list[str]) -> DataFrame:
     """Long rows (keep..., metric, value): each body is read once for all its metrics."""
+    if fmt == "xml":
+        # Checked once for all expressions, not once for each.
+        df, fmt = df.withColumn("body", well_formed(F.col("body"))), xpath_value
     pairs = F.array(
         *[F.struct(F.lit(m).alias("metric"), response_metric(df, m, fmt).alias("value")) for m in metrics]
     )

@@ -68,23 +68,28 @@ def page_pairs(df: DataFrame, html: str, keep: list[str], pattern: str = PAIR_RO
     )
 
 
+def row_texts(html: Column) -> Column:
+    """ARRAY of the HTML between one row tag and the next."""
+    return F.filter(F.split(html, r"(?i)<tr\b[^>]*>"), lambda r, i: i > 0)
+
+
 def table_rows(df: DataFrame, html: str, keep: list[str]) -> DataFrame:
     """Rows (keep..., row_no, cells) of every table row; cells are trimmed texts without tags."""
-    rows = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<tr\b[^>]*>(.*?)(?=<tr\b|</tr>|</table>|\z)"), F.lit(1))
-    cells = F.transform(
-        F.regexp_extract_all(F.col("_row"), F.lit(r"(?is)<td\b[^>]*>(.*?)(?=<td\b|</td>|\z)"), F.lit(1)),
-        lambda c: F.trim(F.regexp_replace(c, r"(?s)<[^>]*>", "")),
-    )
-    return df.select(*keep, F.posexplode(rows).alias("row_no", "_row")).select(*keep, "row_no", cells.alias("cells"))
+    pieces = F.filter(F.split(F.col("_row"), r"(?i)<td\b[^>]*>"), lambda c, i: i > 0)
+    cells = F.transform(pieces, lambda c: F.trim(F.regexp_replace(c, r"(?is)</t[dr]\b.*|</table\b.*|<[^>]*>", "")))
+    return df.select(*keep, F.posexplode(row_texts(F.col(html))).alias("row_no", "_row")).select(*keep, "row_no", cells.alias("cells"))
+
+
+# Fixed value: a cell that holds an integer and nothing else but tags.
+INTEGER_CELL = r"(?i)<td\b[^>]*>\s*(?:<(?!/?t[dr]\b)[^>]*>\s*)*([0-9]+)\s*(?:<(?!/?t[dr]\b)[^>]*>\s*)*(?=</?t[dr]\b|</table\b|\z)"
 
 
 def queue_stats(df: DataFrame, html: str, keep: list[str], columns: list[str] | None = None) -> DataFrame:
     """Per page: sums over the rows with exactly one integer cell per column, and their number."""
     columns = columns or QUEUE_COLUMNS
-    numbers = F.filter(F.col("cells"), lambda c: c.rlike("^[0-9]+$"))
     return (
-        table_rows(df, html, keep)
-        .select(*keep, numbers.alias("_n"))
+        df.select(*keep, F.explode(row_texts(F.col(html))).alias("_row"))
+        .select(*keep, F.regexp_extract_all("_row", F.lit(INTEGER_CELL), F.lit(1)).alias("_n"))
         .filter(F.size("_n") == len(columns))
         .groupBy(*keep)
         .agg(

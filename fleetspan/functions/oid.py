@@ -43,32 +43,31 @@ def decode_index(index: Column, columns: list[tuple[str, str]]) -> Column:
     """MAP(name -> text) of a row index made of the given (name, type) columns.
 
     ``string`` is a length followed by that many bytes, ``int`` one
-    sub-identifier, ``ip`` four, any other type takes what remains.
+    sub-identifier, ``ip`` four, any other type takes what remains. The index
+    is folded column by column; the state is the place reached and the texts so far.
     """
-    at: Column = F.lit(1)
-    entries = []
-    for name, kind in columns:
-        if kind == "string":
-            length = F.coalesce(F.try_element_at(index, at.cast("int")).cast("int"), F.lit(0))
-            value = _text_of_bytes(F.slice(index, at + 1, length))
-            at = at + 1 + length
-        elif kind == "int":
-            value = F.try_element_at(index, at.cast("int")).cast("string")
-            at = at + 1
-        elif kind == "ip":
-            value = oid_text(F.slice(index, at, 4))
-            at = at + 4
-        else:
-            value = oid_text(F.slice(index, at, F.size(index)))
-            at = at + F.size(index)
-        entries.append(F.struct(F.lit(name).alias("key"), value.alias("value")))
-    return F.map_from_entries(F.array(*entries))
+    index = index.cast("array<bigint>")
+
+    def step(state: Column, kind: Column) -> Column:
+        at = state["at"]
+        counted = F.when(kind == "string", F.coalesce(F.try_element_at(index, at).cast("int"), F.lit(0)))
+        first = F.when(kind == "string", at + 1).otherwise(at)
+        size = F.coalesce(
+            counted, F.when(kind == "int", 1).when(kind == "ip", 4).otherwise(F.greatest(F.size(index) - at + 1, F.lit(0)))
+        )
+        piece = F.slice(index, first, F.greatest(size, F.lit(0)))
+        text = F.when(kind == "string", _text_of_bytes(piece)).otherwise(F.nullif(oid_text(piece), F.lit("")))
+        return F.struct((first + size).cast("int").alias("at"), F.array_append(state["texts"], text).alias("texts"))
+
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("texts"))
+    texts = F.aggregate(F.array(*[F.lit(kind) for _, kind in columns]), start, step, lambda state: state["texts"])
+    return F.map_from_arrays(F.array(*[F.lit(name) for name, _ in columns]), texts)
 
 
 def index_name(index: Column, columns: list[tuple[str, str]]) -> Column:
     """Row name ``k=v, k=v`` of a decoded index, in column order."""
-    decoded = decode_index(index, columns)
-    return F.concat_ws(", ", *[F.concat(F.lit(f"{name}="), decoded[name]) for name, _ in columns])
+    pairs = F.map_entries(decode_index(index, columns))
+    return F.array_join(F.transform(pairs, lambda p: F.concat(p["key"], F.lit("="), p["value"])), ", ")
 
 
 def ticks_text(ticks: Column) -> Column:

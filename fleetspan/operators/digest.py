@@ -65,16 +65,8 @@ def digest_entries(body: Column, nested: bool = True) -> Column:
     handed to an Arrow-batched walker, which takes any depth. ``nested=False``
     promises flat documents and drops the walker from the plan.
     """
-    def braces(c: Column) -> Column:
-        return F.length(c) - F.length(F.replace(c, F.lit("{"), F.lit("")))
-
-    fields = F.from_json(body, "MAP<STRING, VARIANT>")
-    flat = (
-        (braces(body) == 1)
-        & (F.instr(body, "[") == 0)
-        & fields.isNotNull()
-        & (F.size(F.array_distinct(F.map_keys(fields))) == F.size(fields))
-    )
+    # A map is parsed only for text that opens one object and no list.
+    candidate = F.when(body.rlike(r"^\s*\{[^{\[]*$"), body)
 
     def entry(e: Column) -> Column:
         kind = F.schema_of_variant(e["value"])
@@ -85,20 +77,25 @@ def digest_entries(body: Column, nested: bool = True) -> Column:
             text.alias("text"),
         )
 
-    in_jvm = F.filter(
-        F.transform(F.map_entries(fields), entry), lambda e: e["kind"].isNotNull() & (e["text"] != "")
-    ).cast(_ENTRY)
+    def of_flat(fields: Column) -> Column:
+        """Entries of a parsed flat object; null where a key repeats."""
+        leaves = F.filter(F.transform(F.map_entries(fields), entry), lambda e: e["kind"].isNotNull() & (e["text"] != ""))
+        return F.when(F.size(F.array_distinct(F.map_keys(fields))) == F.size(fields), leaves)
+
+    # The one-element list binds the parsed map, so that it is parsed once.
+    bound = F.array(F.from_json(candidate, "MAP<STRING, VARIANT>"))
+    in_jvm = F.transform(bound, of_flat)[0].cast(_ENTRY)
     if not nested:
-        return F.when(flat, in_jvm)
+        return in_jvm
     walked = F.transform(
-        F.map_entries(F.from_json(_leaf_walker()(F.when(~F.coalesce(flat, F.lit(False)), body)), "MAP<STRING, STRING>")),
+        F.map_entries(F.from_json(_leaf_walker()(F.when(in_jvm.isNull(), body)), "MAP<STRING, STRING>")),
         lambda e: F.struct(
             e["key"].alias("key"),
             F.substring(e["value"], 1, 1).alias("kind"),
             F.substring(e["value"], 2, 1 << 30).alias("text"),
         ),
     ).cast(_ENTRY)
-    return F.when(flat, in_jvm).otherwise(walked)
+    return F.coalesce(in_jvm, walked)
 
 
 def json_digest(df: DataFrame, body: str, keep: list[str], nested: bool = True) -> DataFrame:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetspan.functions.coerce import INTEGER_TYPES
 from fleetspan.functions.oid import drop_instance, starts_with_oid, ticks_text
 from fleetspan.functions.text import scrub
 from fleetspan.operators.skew import DEFAULT_POLICY, HotKeyPolicy, with_previous
@@ -140,47 +141,46 @@ def decode_traps(
             F.lit("\nEnterprise: "),
         ),
     )
-    # Names of enterprises, variables and identifier values come from one dictionary pass.
-    parts = head.select(
-        "trap_id",
-        F.posexplode(
-            F.concat(
-                F.array(F.struct(F.col("enterprise").alias("oid"), F.lit("Enterprise").alias("type"), F.lit(None).cast("string").alias("value"))),
-                F.coalesce("varbinds", F.array().cast("array<struct<oid: string, type: string, value: string>>")),
-            )
-        ).alias("pos", "_v"),
-    ).select(
-        "trap_id", "pos", F.col("_v.type").alias("type"), F.col("_v.value").alias("value"),
-        F.when(F.col("_v.type") == "Enterprise", F.col("_v.oid")).otherwise(drop_instance(F.col("_v.oid"))).alias("oid"),
+    # The first part of every trap carries what belongs to the trap as a whole, with the enterprise to be named.
+    no_text = F.lit(None).cast("string")
+    whole = F.struct("source", "ts", "severity", v1_header.alias("header"))
+    first = F.struct(F.col("enterprise").alias("oid"), no_text.alias("type"), no_text.alias("value"), whole.alias("whole"))
+    rest = F.transform(
+        F.coalesce("varbinds", F.array().cast("array<struct<oid: string, type: string, value: string>>")),
+        lambda v: F.struct(
+            drop_instance(v["oid"]).alias("oid"), v["type"].alias("type"), v["value"].alias("value"),
+            F.when(F.lit(False), whole).alias("whole"),
+        ),
     )
+    parts = head.select("trap_id", F.posexplode(F.concat(F.array(first), rest)).alias("pos", "_v")).select("trap_id", "pos", "_v.*")
     if omitted:
-        parts = parts.filter(
-            (F.col("type") == "Enterprise") | ~F.col("oid").isin(*[o.removesuffix(".0") for o in omitted])
-        )
+        parts = parts.filter((F.col("pos") == 0) | ~F.col("oid").isin(*[o.removesuffix(".0") for o in omitted]))
     named = oid_names(parts, mib)
     identifiers = oid_names(
         named.withColumn("_as_oid", F.when(F.col("type") == "OID", F.col("value"))), mib, "_as_oid", "_value_name"
     )
-    coded = identifiers.withColumn(
-        "_code", F.when(F.col("type").isin("Integer32", "UnsignedInteger32", "Counter32", "Gauge32"), F.col("value").try_cast("int"))
-    ).withColumn("_base", F.regexp_extract("oid_name", r"^([^.]*)", 1))
-    labels = codes_table(mib).withColumnRenamed("name", "_base").withColumnsRenamed({"code": "_code", "label": "_label"})
+    coded = identifiers.withColumns(
+        {
+            "_code": F.when(F.col("type").isin(*INTEGER_TYPES), F.col("value").try_cast("int")),
+            "_base": F.regexp_extract("oid_name", r"^([^.]*)", 1),
+        }
+    )
+    labels = codes_table(mib).withColumnsRenamed({"name": "_base", "code": "_code", "label": "_label"})
     texts = coded.join(labels, ["_base", "_code"], "left").withColumn(
         "_text", F.coalesce("_label", "_value_name", F.col("value"))
     )
+    # One grouping puts the traps together again: the only shuffle of the job.
+    line = F.struct("pos", F.col("oid_name").alias("name"), F.col("_text").alias("value"))
     grouped = texts.groupBy("trap_id").agg(
-        F.max(F.when(F.col("type") == "Enterprise", F.col("oid_name"))).alias("_enterprise"),
-        F.collect_list(
-            F.when(F.col("type") != "Enterprise", F.struct("pos", F.col("oid_name").alias("name"), F.col("_text").alias("value")))
-        ).alias("_lines"),
+        F.max(F.when(F.col("pos") == 0, F.struct("whole.*", F.col("oid_name").alias("enterprise")))).alias("_w"),
+        F.collect_list(F.when(F.col("pos") > 0, line)).alias("_lines"),
     )
-    body = head.select("trap_id", "source", "ts", "severity", v1_header.alias("_header")).join(grouped, "trap_id", "left")
-    detail = F.concat(
-        F.coalesce(F.concat("_header", F.coalesce("_enterprise", F.lit("")), F.lit("\n")), F.lit("")),
-        F.coalesce(ordered_text(F.col("_lines")), F.lit("")),
+    header = F.coalesce(
+        F.concat("_w.header", F.coalesce("_w.enterprise", F.lit("")), F.lit("\n")), F.lit("")
     )
-    return body.select(
-        "trap_id", F.lit("Trap").alias("type"), "source", "ts", "severity", scrub(detail, pattern).alias("detail")
+    return grouped.select(
+        "trap_id", F.lit("Trap").alias("type"), F.col("_w.source").alias("source"), F.col("_w.ts").alias("ts"),
+        F.col("_w.severity").alias("severity"), scrub(F.concat(header, ordered_text(F.col("_lines"))), pattern).alias("detail"),
     )
 
 

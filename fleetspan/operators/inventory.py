@@ -369,21 +369,19 @@ def resource_paths(nodes: DataFrame, key: str = "key", parent: str = "parent_key
 def dependency_order(edges: DataFrame, items: DataFrame, item: str = "item", needs: str = "needs") -> DataFrame:
     """Rows (item, level): level 0 needs nothing, every other one is above all it needs.
 
-    One round per level; items of a circle get none.
+    One round and one written table per level; items of a circle get none.
     """
-    todo = items.select(item).distinct()
-    left = edges.select(item, needs).distinct()
-    done = None
+    links = edges.select(item, needs).distinct()
+    state = items.select(item).distinct().withColumn("level", F.lit(None).cast("int"))
     level = 0
     while True:
-        ready = materialize(
-            todo.join(left.select(item).distinct(), item, "left_anti").withColumn("level", F.lit(level)), "levels"
+        waiting = state.filter(F.col("level").isNull()).select(F.col(item).alias(needs))
+        blocked = links.join(waiting, needs).select(item).distinct().withColumn("_blocked", F.lit(True))
+        placed = F.when(F.col("level").isNull() & F.col("_blocked").isNull(), F.lit(level)).otherwise(F.col("level"))
+        state = materialize(
+            state.join(blocked, item, "left").withColumn("level", placed).drop("_blocked"), "levels"
         )
-        if ready.isEmpty():
-            break
-        done = ready if done is None else done.unionByName(ready)
-        todo = todo.join(ready, item, "left_anti")
-        left = left.join(ready.select(F.col(item).alias(needs)), needs, "left_anti")
-        todo, left = materialize(todo, "levels"), materialize(left, "levels")
+        counts = state.agg(F.count_if(F.col("level") == level), F.count_if(F.col("level").isNull())).first()
+        if counts[0] == 0 or counts[1] == 0:
+            return state.filter(F.col("level").isNotNull())
         level += 1
-    return done if done is not None else todo.withColumn("level", F.lit(0)).limit(0)

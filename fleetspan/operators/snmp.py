@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetspan.functions.coerce import compose64
-from fleetspan.functions.oid import drop_instance, index_name, oid_array, oid_prefixes
+from fleetspan.functions.oid import drop_instance, index_name, oid_array
+from fleetspan.operators.skew import estimated_bytes
 
 # Identifiers that report an error instead of data.
 ERROR_OIDS = {
@@ -24,35 +26,86 @@ ERROR_OIDS = {
 }
 
 
+#: Up to how many prefix lengths a small dictionary is looked up length by length.
+MAX_LOOKUPS = 32
+
+
 def longest_prefix(
-    probe: DataFrame, column: str, dictionary: DataFrame, prefixes: Column, key: str, payload: Sequence[str]
+    probe: DataFrame, column: str, dictionary: DataFrame, key: str, payload: Sequence[str], separator: str = "."
 ) -> DataFrame:
     """Add the payload of the dictionary entry with the longest matching prefix, and the prefix itself.
 
-    Only the distinct probe values are spread into their prefixes; the equi-join
-    on the prefix replaces a range join, and one aggregation picks the longest.
-    Probes without an entry keep nulls. ``prefixes`` is an expression over ``column``.
+    A prefix ends at a separator or at the end. Only prefixes as long as some
+    dictionary key can match, so the keys' lengths are read first: a short list.
+    A dictionary small enough to be broadcast is then looked up once per length,
+    without any shuffle of the probe. For a larger one the distinct probe values
+    are spread into their prefixes, joined by equality, and the longest hit is
+    joined back. Probes without an entry keep nulls.
     """
+    known = dictionary.select(F.col(key).alias("_key"), *payload).filter(F.col("_key").isNotNull())
+    steps = F.size(F.split("_key", re.escape(separator)))
+    lengths = [r[0] for r in known.select(steps.alias("n")).distinct().orderBy(F.desc("n")).limit(MAX_LOOKUPS + 1).collect()]
+    limit = probe.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    small = estimated_bytes(known) <= _bytes(limit)
+    if small and len(lengths) <= MAX_LOOKUPS:
+        return _lookup_by_length(probe, column, known, steps, lengths, payload, separator)
+
+    def cut(n: Column) -> Column:
+        return F.substring_index(F.col(column), separator, n)
+
+    # Beyond the short list every length of the probe itself is tried.
+    tried = F.array(*[F.lit(n) for n in lengths]) if len(lengths) <= MAX_LOOKUPS else F.sequence(
+        F.lit(1), F.size(F.split(F.col(column), re.escape(separator)))
+    )
+    parts = F.split(F.col(column), re.escape(separator))
+    prefixes = F.transform(
+        F.filter(tried, lambda n: n <= F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), separator)
+    )
     values = probe.select(column).filter(F.col(column).isNotNull()).distinct()
-    spread = values.select(column, F.explode(prefixes).alias("_prefix"))
-    known = dictionary.select(F.col(key).alias("_prefix"), F.struct(*payload).alias("_payload"))
+    spread = values.select(column, F.explode(prefixes).alias("_key"))
     best = (
-        spread.join(known, "_prefix")
+        spread.join(known, "_key")
         .groupBy(column)
-        .agg(F.max_by(F.struct("_prefix", "_payload"), F.length("_prefix")).alias("_best"))
+        .agg(F.max_by(F.struct("_key", *payload), F.length("_key")).alias("_best"))
     )
     resolved = best.select(
-        column, F.col("_best._prefix").alias("prefix"), *[F.col("_best._payload")[p].alias(p) for p in payload]
+        column, F.col("_best._key").alias("prefix"), *[F.col("_best")[p].alias(p) for p in payload]
     )
     return probe.join(resolved, column, "left")
 
 
+def _bytes(size: str) -> int:
+    """Bytes of a size setting such as ``10MB``; a negative one is 0."""
+    digits = re.match(r"-?\d+", size)
+    unit = size[digits.end():].strip().lower()[:1]
+    return max(0, int(digits.group()) << {"": 0, "b": 0, "k": 10, "m": 20, "g": 30}[unit])
+
+
+def _lookup_by_length(
+    probe: DataFrame, column: str, known: DataFrame, steps: Column, lengths: list[int], payload: Sequence[str], separator: str
+) -> DataFrame:
+    rows, hits = probe, []
+    for n in lengths:
+        hit = f"_hit{n}"
+        # One entry per key, as a key may be listed twice.
+        entries = known.filter(steps == n).groupBy("_key").agg(F.max(F.struct("_key", *payload)).alias(hit))
+        rows = rows.join(
+            entries.withColumnRenamed("_key", f"_key{n}"),
+            F.substring_index(F.col(column), separator, n) == F.col(f"_key{n}"),
+            "left",
+        ).drop(f"_key{n}")
+        hits.append(F.col(hit))
+    if not hits:
+        none = F.lit(None).cast("string")
+        return probe.withColumns({"prefix": none, **{p: F.lit(None).cast(known.schema[p].dataType) for p in payload}})
+    best = F.coalesce(*hits)
+    return rows.withColumns({"prefix": best["_key"], **{p: best[p] for p in payload}}).drop(*[f"_hit{n}" for n in lengths])
+
+
 def oid_names(readings: DataFrame, mib: DataFrame, oid: str = "oid", out: str = "oid_name") -> DataFrame:
     """Add the name of each identifier: dictionary name plus suffix, the text itself when unknown."""
-    named = longest_prefix(
-        readings, oid, mib.select("oid", "name").withColumnsRenamed({"oid": "_key", "name": "_name"}),
-        oid_prefixes(F.col(oid)), "_key", ["_name"],
-    )
+    dictionary = mib.select(F.col("oid").alias("_oid"), F.col("name").alias("_name"))
+    named = longest_prefix(readings, oid, dictionary, "_oid", ["_name"])
     suffix = F.substring(F.col(oid), F.length("prefix") + 1, F.length(oid))
     return named.withColumn(out, F.coalesce(F.concat("_name", suffix), F.col(oid))).drop("prefix", "_name")
 
@@ -120,11 +173,8 @@ def table_cells(readings: DataFrame, columns: DataFrame) -> DataFrame:
 
     ``columns`` has (oid, name) of the table's columns; others are left out.
     """
-    found = longest_prefix(
-        drop_exceptions(readings), "oid",
-        columns.select(F.col("oid").alias("_key"), F.col("name").alias("column")),
-        oid_prefixes(F.col("oid")), "_key", ["column"],
-    )
+    dictionary = columns.select(F.col("oid").alias("_oid"), F.col("name").alias("column"))
+    found = longest_prefix(drop_exceptions(readings), "oid", dictionary, "_oid", ["column"])
     return (
         found.filter(F.col("prefix").isNotNull())
         .withColumn("row_index", F.substring(F.col("oid"), F.length("prefix") + 2, F.length("oid")))

@@ -52,11 +52,11 @@ def regex_extract_title(t: Tables) -> DataFrame:
 select event_id, 'k' as key, props->>'$.k' as value, try_cast(props->>'$.k' as double) as number from events
 """)
 def json_digest_long(t: Tables) -> DataFrame:
-    return json_digest(t.events, "props", ["event_id"])
+    return json_digest(t.spread("events"), "props", ["event_id"])
 
 
 def _nested(t: Tables) -> DataFrame:
-    e = t.events
+    e = t.spread("events")
     document = F.struct(
         F.col("event_id").alias("id"),
         F.struct(
@@ -91,7 +91,7 @@ def numeric_digest_long(t: Tables) -> DataFrame:
         F.expr("substring(props, 1, length(props) - 1)"), F.lit(', "text": "'), F.col("value").cast("string"),
         F.lit('", "word": "'), F.col("event_type"), F.lit('", "on": true}'),
     )
-    return numeric_digest(t.events.select("event_id", body.alias("body")), "body", ["event_id"])
+    return numeric_digest(t.spread("events").select("event_id", body.alias("body")), "body", ["event_id"])
 
 
 @query("E4", """
@@ -123,7 +123,7 @@ def server_status_paths(t: Tables) -> DataFrame:
         F.struct((F.col("o_orderkey") % 97).alias("resident"), F.array(F.lit(1)).alias("list")).alias("mem"),
         F.struct((F.col("o_orderkey") % 97).cast("double").alias("totalTime"), (F.col("o_orderkey") % 13).cast("double").alias("lockTime")).alias("globalLock"),
     )
-    docs = t.orders.select("o_orderkey", F.to_json(status).alias("body"))
+    docs = t.spread("orders").select("o_orderkey", F.to_json(status).alias("body"))
     body = F.col("body")
     held = C.ratio(
         X.map_path(body, "globalLock.lockTime").try_cast("double"), X.map_path(body, "globalLock.totalTime").try_cast("double")
@@ -170,12 +170,12 @@ def xpath_from_parts(t: Tables) -> DataFrame:
         F.lit("</size><b>"), F.col("p_brand"), F.lit("</b></part>"),
     )
     body = F.col("body")
-    return t.part.select("p_partkey", xml.alias("body")).select(
+    return t.part.select("p_partkey", X.well_formed(xml).alias("body")).select(
         "p_partkey",
-        X.extract_xpath(body, "//name/text()").alias("name"),
-        X.extract_xpath(body, "/part/size[@unit='cm']").alias("size"),
-        X.extract_xpath(body, "//b").alias("brand"),
-        X.extract_xpath(body, "//none").alias("missing"),
+        X.xpath_value(body, "//name/text()").alias("name"),
+        X.xpath_value(body, "/part/size[@unit='cm']").alias("size"),
+        X.xpath_value(body, "//b").alias("brand"),
+        X.xpath_value(body, "//none").alias("missing"),
     )
 
 
@@ -194,7 +194,7 @@ def header_extract(t: Tables) -> DataFrame:
 @query("E8", "select o_orderkey, round(o_totalprice, 2) as price, cast(null as double) as bad from orders")
 def numeric_coercion(t: Tables) -> DataFrame:
     shown = F.concat(F.lit(" "), F.format_number("o_totalprice", 2), F.lit("\t"))
-    return t.orders.select(
+    return t.spread("orders").select(
         "o_orderkey", C.to_numeric(shown).alias("price"), C.to_numeric(F.concat(F.lit("x"), shown)).alias("bad")
     )
 
@@ -227,7 +227,7 @@ from documents
 """)
 def text_truncate(t: Tables) -> DataFrame:
     text = F.col("text")
-    return t.documents.select(
+    return t.spread("documents").select(
         "doc_id", X.output_text(text).alias("output"), X.description_text(text).alias("description"), X.log_text(text).alias("logged")
     )
 
@@ -236,7 +236,7 @@ def text_truncate(t: Tables) -> DataFrame:
 def window_ids(t: Tables) -> DataFrame:
     doc = F.to_json(F.struct((F.col("event_id") * 7919).alias("currentWindowId"), (F.col("event_id") * 7919).alias("total")))
     read = X.wrapped("map", X.low_bits_of_window_ids)
-    docs = t.events.select("event_id", doc.alias("body"))
+    docs = t.spread("events").select("event_id", doc.alias("body"))
     return docs.select("event_id", *[read(F.col("body"), m).alias(m) for m in ("currentWindowId", "total")])
 
 
@@ -290,7 +290,7 @@ def snmp_values(t: Tables) -> DataFrame:
     codes = F.when(kind == "click", F.create_map(F.lit(0), F.lit("idle"), F.lit(1), F.lit("busy")))
     wanted = F.when(kind == "signup", "trait").otherwise("measurement")
     value = C.snmp_value(var_type, raw, wanted, codes)
-    return t.events.select("event_id", "event_type", value.alias("_v")).select("event_id", "event_type", "_v.dvalue", "_v.svalue")
+    return t.spread("events").select("event_id", "event_type", value.alias("_v")).select("event_id", "event_type", "_v.dvalue", "_v.svalue")
 
 
 @query("E17 X3", """
@@ -327,7 +327,7 @@ select event_id, case when event_id % 3 = 0 then 0 when event_id % 3 = 1 then 1
 """)
 def json_map_size(t: Tables) -> DataFrame:
     attr = F.when(F.col("event_id") % 3 == 0, "{}").when(F.col("event_id") % 3 == 1, F.col("props")).otherwise("{oops")
-    return t.events.select(
+    return t.spread("events").select(
         "event_id", X.count_or_value("liveNodeCount", attr).cast("int").alias("liveNodeCount"),
         X.count_or_value("plain", F.col("props")).alias("plain"),
     )
@@ -392,7 +392,7 @@ def canonical_names(t: Tables) -> DataFrame:
 def date_iso(t: Tables) -> DataFrame:
     text = F.date_format("ts", "EEE, d MMM yyyy HH:mm:ss 'GMT'")
     parsed = C.parse_http_date(text)
-    return t.events.select(
+    return t.spread("events").select(
         "event_id", C.iso_minute(parsed).alias("iso"), C.epoch_ms(parsed).alias("ms"),
         C.iso_minute(C.parse_http_date(F.lit(None).cast("string"))).alias("missing"),
     )
@@ -420,7 +420,7 @@ def elapsed_recency(t: Tables) -> DataFrame:
 def octet_decode(t: Tables) -> DataFrame:
     octets = F.encode("text", "UTF-16BE")
     literal = F.concat(F.lit("0x"), F.hex(F.encode("source", "UTF-8")))
-    return t.documents.select(
+    return t.spread("documents").select(
         "doc_id", C.octets_text(octets, "UTF-16BE").alias("text"),
         C.octets_text(C.hex_bytes(literal)).alias("from_hex"), C.octets_text(C.hex_bytes(F.col("lang"))).alias("plain"),
     )
@@ -433,7 +433,7 @@ from pages
 """)
 def html_pairs(t: Tables) -> DataFrame:
     pairs = H.cell_pairs(F.col("html"), r'<li><a href="([^"]*)">([^<]*)</a>')
-    return t.pages.select("page_id", F.inline(pairs))
+    return t.spread("pages").select("page_id", F.inline(pairs))
 
 
 @query("E33 A8 S11", """
@@ -479,14 +479,14 @@ def html_queue_stats(t: Tables) -> DataFrame:
         F.lit("<table><tr><th>Job</th></tr><tr><td id='job_1'><a>job</a></td><td>NORMAL</td>"), cell(F.col("l_partkey")), cell(F.col("l_suppkey")),
         F.lit("<td>12.50%</td>"), cell(F.col("l_linenumber")), cell(F.lit(1)), F.lit("</tr><tr><td>7</td></tr></table>"),
     )
-    return H.queue_stats(t.lineitem.select("l_orderkey", row.alias("html")), "html", ["l_orderkey"])
+    return H.queue_stats(t.spread("lineitem").select("l_orderkey", row.alias("html")), "html", ["l_orderkey"])
 
 
 @query("E35 A9", r"""
 select distinct unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as link from pages
 """)
 def link_harvest(t: Tables) -> DataFrame:
-    return H.harvest_links(t.pages, "html", r'<a href="([^"]*)"')
+    return H.harvest_links(t.spread("pages"), "html", r'<a href="([^"]*)"')
 
 
 @query("E36 A11 F12 A5", """
@@ -497,7 +497,7 @@ union all select user_id, 'queue.' || event_type || '.id', cast(max(event_id) as
 def log_metrics(t: Tables) -> DataFrame:
     prefix = F.when(F.col("event_type") == "error", F.lit("eventType=")).otherwise(F.lit("01-01-2024 INFO Metrics - group=queue, name="))
     line = F.concat(prefix, "event_type", F.lit(", size="), F.col("value").cast("decimal(12,2)").cast("string"), F.lit(", id="), F.col("event_id").cast("string"))
-    logged = t.events.select("user_id", "event_id", line.alias("line"))
+    logged = t.spread("events").select("user_id", "event_id", line.alias("line"))
     found = T.log_metrics(logged, "line", ["user_id", "event_id"])
     wanted = local_table(
         t.spark, [(f"queue.{k}.{m}",) for k in ("click", "view") for m in ("size", "id")], "metric STRING"
@@ -515,7 +515,7 @@ def stats_dump(t: Tables) -> DataFrame:
         F.lit("STAT price "), F.format_string("%.2f", F.col("o_totalprice")), F.lit("\r\nSTAT cust "), F.col("o_custkey").cast("string"),
         F.lit("\r\nEND\r\nSTAT after 1\r\n"),
     )
-    return T.parse_stats(t.orders.select("o_orderkey", dump.alias("body")), "body", "stat", ["o_orderkey"])
+    return T.parse_stats(t.spread("orders").select("o_orderkey", dump.alias("body")), "body", "stat", ["o_orderkey"])
 
 
 @query("S8", """
@@ -533,7 +533,7 @@ with d as (select doc_id, unnest(string_split(regexp_replace(text, '\n$', ''), c
 select doc_id, cast(line_no as integer) as line_no, line from d
 """)
 def document_lines(t: Tables) -> DataFrame:
-    return T.lines(t.documents.select("doc_id", "text"), "text")
+    return T.lines(t.spread("documents").select("doc_id", "text"), "text")
 
 
 @query("S13 E44 A4", """
@@ -552,7 +552,7 @@ def command_metrics(t: Tables) -> DataFrame:
     def pattern(name: str) -> str:
         return m[name].split("|", 1)[1]
 
-    return t.lineitem.select(
+    return t.spread("lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         C.to_numeric(X.extract_regex(tcp, pattern("TCP segments received"))).alias("received"),
         C.to_numeric(X.extract_regex(tcp, pattern("TCP bad segments"))).alias("bad"),
@@ -565,7 +565,7 @@ def command_metrics(t: Tables) -> DataFrame:
 select doc_id, regexp_replace(text, '[0-9A-Za-z._-]+@[0-9A-Za-z.-]+', '', 'g') as text from documents
 """)
 def text_scrub(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", T.scrub(F.col("text"), r"[0-9A-Za-z._-]+@[0-9A-Za-z.-]+").alias("text"))
+    return t.spread("documents").select("doc_id", T.scrub(F.col("text"), r"[0-9A-Za-z._-]+@[0-9A-Za-z.-]+").alias("text"))
 
 
 @query("E38", """
@@ -580,7 +580,7 @@ def event_text(t: Tables) -> DataFrame:
     pairs = F.array(
         line(2, "none", F.lit(None).cast("string")), line(0, "type", F.col("event_type")), line(1, "k", F.get_json_object("props", "$.k"))
     )
-    return t.events.select("event_id", ordered_text(pairs).alias("detail"))
+    return t.spread("events").select("event_id", ordered_text(pairs).alias("detail"))
 
 
 @query("E40 F4", """
@@ -622,7 +622,7 @@ select doc_id, substr(c, 1, 1000) as description, units,
 from f
 """)
 def metadata_inference(t: Tables) -> DataFrame:
-    docs = t.documents.select("doc_id", F.col("text").alias("descr"), F.lit("OctetString").alias("syntax"))
+    docs = t.spread("documents").select("doc_id", F.col("text").alias("descr"), F.lit("OctetString").alias("syntax"))
     return M.infer_definition(docs).select("doc_id", "description", "units", "data_type", "measurement_type")
 
 

@@ -15,7 +15,7 @@ from fleetspan.plans.registry import Tables
 def responses(t: Tables) -> DataFrame:
     """Pages as captured responses."""
     n = F.col("page_id")
-    return t.pages.select(
+    return t.spread("pages").select(
         F.col("url").alias("resource_key"),
         F.col("page_id"),
         F.when(n % 11 == 3, 500).when(n % 13 == 5, 404).otherwise(200).alias("code"),
@@ -132,7 +132,7 @@ def traps(t: Tables) -> DataFrame:
     def bind(oid, var_type: str, value):
         return F.struct(F.lit(oid).alias("oid"), F.lit(var_type).alias("type"), value.cast("string").alias("value"))
 
-    return t.events.select(
+    return t.spread("events").select(
         F.col("event_id").alias("trap_id"),
         "ts",
         F.when(is_v1, 1).otherwise(2).alias("version"),
@@ -190,7 +190,7 @@ def readings(t: Tables) -> DataFrame:
         ]
     )
     return (
-        t.lineitem.select(F.col("l_suppkey").cast("string").alias("agent"), "l_tax", F.explode(cells).alias("_c"))
+        t.spread("lineitem").select(F.col("l_suppkey").cast("string").alias("agent"), "l_tax", F.explode(cells).alias("_c"))
         .select("agent", F.col("_c.oid").alias("oid"), F.col("_c.value").alias("value"), (F.col("l_tax") == 0.08).alias("is_exception"))
     )
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetspan.functions import oid as O
-from fleetspan.functions.urls import path_prefixes
 from fleetspan.operators import events as EV
 from fleetspan.operators import snmp as S
 from fleetspan.plans import inputs as I
@@ -26,7 +25,7 @@ def prefix_join(t: Tables) -> DataFrame:
     hosts = paths.select(F.regexp_extract("path", r"^(/[^/]+)", 1).alias("entry"))
     deeper = paths.filter("page_id % 3 = 0").select(F.regexp_extract("path", r"^(/[^/]+/[^/]+)", 1).alias("entry"))
     dictionary = hosts.union(deeper).filter("entry <> ''").distinct().withColumn("name", F.concat(F.lit("n:"), "entry"))
-    found = S.longest_prefix(paths, "path", dictionary, path_prefixes(F.col("path")), "entry", ["name"])
+    found = S.longest_prefix(paths, "path", dictionary, "entry", ["name"], "/")
     return found.select("page_id", "path", "prefix", "name")
 
 

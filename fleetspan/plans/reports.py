@@ -35,7 +35,7 @@ def samples(t: Tables) -> DataFrame:
         lambda e: F.struct(e["key"].alias("key"), e["text"].alias("text")),
     )
     return (
-        t.events.select("event_id", "user_id", "ts", F.explode(F.concat(own, leaves)).alias("_s"))
+        t.spread("events").select("event_id", "user_id", "ts", F.explode(F.concat(own, leaves)).alias("_s"))
         .select("event_id", "user_id", "ts", F.col("_s.key").alias("metric"), C.to_numeric(F.col("_s.text")).alias("value"))
         .filter(F.col("value").isNotNull())
     )

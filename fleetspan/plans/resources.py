@@ -309,7 +309,7 @@ def open_files(t: Tables) -> DataFrame:
     path = F.concat(F.lit("/a/"), F.col("o_orderkey").cast("string"), F.lit("/f.tmp"))
     state = F.when(F.col("o_orderkey") % 3 == 0, "CLOSED").otherwise("OPENFORWRITE")
     report = F.concat(F.lit("Status\n...."), path, F.lit(" 0 bytes, 0 block(s), "), state, F.lit(": ..\nend"))
-    opened = P.open_paths(t.orders.select("o_orderkey", report.alias("body")), "body", ["o_orderkey"])
+    opened = P.open_paths(t.spread("orders").select("o_orderkey", report.alias("body")), "body", ["o_orderkey"])
     listing = t.orders.select(path.alias("path"), F.col("o_totalprice").alias("length"), F.col("o_orderdate").alias("mtime"))
     return P.open_files(opened, listing, F.lit("1998-01-01").cast("timestamp"), min_size=100000).select("o_orderkey", "path")
 
@@ -331,6 +331,6 @@ def tail_lines(t: Tables) -> DataFrame:
     from fleetspan.functions.text import body_lines
     from fleetspan.sources.readers import tail_lines as tail
 
-    docs = t.documents.select(F.col("doc_id").alias("file"), F.size(body_lines(F.col("text"))).alias("length"), "text")
+    docs = t.spread("documents").select(F.col("doc_id").alias("file"), F.size(body_lines(F.col("text"))).alias("length"), "text")
     offsets = t.documents.filter("doc_id % 3 <> 0").select(F.col("doc_id").alias("file"), (F.col("doc_id") % 40).alias("offset"))
     return tail(lines(docs, "text", "pos"), offsets).select(F.col("file").alias("doc_id"), F.col("pos").alias("line_no"))
