@@ -46,8 +46,13 @@ def decode_index(index: Column, columns: list[tuple[str, str]]) -> Column:
     sub-identifier, ``ip`` four, any other type takes what remains. The index
     is folded column by column; the state is the place reached and the texts so far.
     """
-    index = index.cast("array<bigint>")
+    # The one-element list binds the index, so that an expression for it is computed once.
+    bound = F.array(index.cast("array<bigint>"))
+    texts = F.transform(bound, lambda parts: _index_texts(parts, [kind for _, kind in columns]))[0]
+    return F.map_from_arrays(F.array(*[F.lit(name) for name, _ in columns]), texts)
+
 
+def _index_texts(index: Column, kinds: list[str]) -> Column:
     def step(state: Column, kind: Column) -> Column:
         at = state["at"]
         counted = F.when(kind == "string", F.coalesce(F.try_element_at(index, at).cast("int"), F.lit(0)))
@@ -60,8 +65,7 @@ def decode_index(index: Column, columns: list[tuple[str, str]]) -> Column:
         return F.struct((first + size).cast("int").alias("at"), F.array_append(state["texts"], text).alias("texts"))
 
     start = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("texts"))
-    texts = F.aggregate(F.array(*[F.lit(kind) for _, kind in columns]), start, step, lambda state: state["texts"])
-    return F.map_from_arrays(F.array(*[F.lit(name) for name, _ in columns]), texts)
+    return F.aggregate(F.array(*[F.lit(kind) for kind in kinds]), start, step, lambda state: state["texts"])
 
 
 def index_name(index: Column, columns: list[tuple[str, str]]) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fleetspan.functions.coerce import compose64
 from fleetspan.functions.oid import drop_instance, index_name, oid_array
 from fleetspan.operators.skew import estimated_bytes
+from fleetspan.session import local_table
 
 # Identifiers that report an error instead of data.
 ERROR_OIDS = {
@@ -26,8 +27,9 @@ ERROR_OIDS = {
 }
 
 
-#: Up to how many prefix lengths a small dictionary is looked up length by length.
+#: A dictionary is looked up length by length up to this many lengths and entries.
 MAX_LOOKUPS = 32
+MAX_ENTRIES = 100_000
 
 
 def longest_prefix(
@@ -35,71 +37,74 @@ def longest_prefix(
 ) -> DataFrame:
     """Add the payload of the dictionary entry with the longest matching prefix, and the prefix itself.
 
-    A prefix ends at a separator or at the end. Only prefixes as long as some
-    dictionary key can match, so the keys' lengths are read first: a short list.
-    A dictionary small enough to be broadcast is then looked up once per length,
-    without any shuffle of the probe. For a larger one the distinct probe values
-    are spread into their prefixes, joined by equality, and the longest hit is
-    joined back. Probes without an entry keep nulls.
+    A prefix ends at a separator or at the end, so only prefixes with as many
+    steps as some key can match. A small dictionary, as that of a MIB, is read
+    once, its size checked, and looked up once per number of steps: the probe is
+    not shuffled. For a larger one the distinct probe values are spread into
+    their prefixes, joined by equality, and the longest hit is joined back.
+    Probes without an entry keep nulls; of equal keys the largest payload counts.
     """
     known = dictionary.select(F.col(key).alias("_key"), *payload).filter(F.col("_key").isNotNull())
-    steps = F.size(F.split("_key", re.escape(separator)))
-    lengths = [r[0] for r in known.select(steps.alias("n")).distinct().orderBy(F.desc("n")).limit(MAX_LOOKUPS + 1).collect()]
-    limit = probe.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    small = estimated_bytes(known) <= _bytes(limit)
-    if small and len(lengths) <= MAX_LOOKUPS:
-        return _lookup_by_length(probe, column, known, steps, lengths, payload, separator)
-
-    def cut(n: Column) -> Column:
-        return F.substring_index(F.col(column), separator, n)
-
-    # Beyond the short list every length of the probe itself is tried.
-    tried = F.array(*[F.lit(n) for n in lengths]) if len(lengths) <= MAX_LOOKUPS else F.sequence(
-        F.lit(1), F.size(F.split(F.col(column), re.escape(separator)))
-    )
-    parts = F.split(F.col(column), re.escape(separator))
-    prefixes = F.transform(
-        F.filter(tried, lambda n: n <= F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), separator)
-    )
-    values = probe.select(column).filter(F.col(column).isNotNull()).distinct()
-    spread = values.select(column, F.explode(prefixes).alias("_key"))
-    best = (
-        spread.join(known, "_key")
-        .groupBy(column)
-        .agg(F.max_by(F.struct("_key", *payload), F.length("_key")).alias("_best"))
-    )
-    resolved = best.select(
-        column, F.col("_best._key").alias("prefix"), *[F.col("_best")[p].alias(p) for p in payload]
-    )
-    return probe.join(resolved, column, "left")
+    limit = _bytes(probe.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    if estimated_bytes(known) <= limit:
+        entries = known.limit(MAX_ENTRIES + 1).collect()
+        if len(entries) <= MAX_ENTRIES and len({_steps(e[0], separator) for e in entries}) <= MAX_LOOKUPS:
+            return _lookup_by_length(probe, column, known, entries, payload, separator)
+    return _lookup_by_prefix(probe, column, known, payload, separator)
+
+
+def _steps(key: str, separator: str) -> int:
+    return key.count(separator) + 1
 
 
 def _bytes(size: str) -> int:
     """Bytes of a size setting such as ``10MB``; a negative one is 0."""
     digits = re.match(r"-?\d+", size)
-    unit = size[digits.end():].strip().lower()[:1]
+    unit = size[digits.end() :].strip().lower()[:1]
     return max(0, int(digits.group()) << {"": 0, "b": 0, "k": 10, "m": 20, "g": 30}[unit])
 
 
 def _lookup_by_length(
-    probe: DataFrame, column: str, known: DataFrame, steps: Column, lengths: list[int], payload: Sequence[str], separator: str
+    probe: DataFrame, column: str, known: DataFrame, entries: list, payload: Sequence[str], separator: str
 ) -> DataFrame:
+    # Nulls order first, as in Spark.
+    ordered = sorted((tuple(e) for e in entries), key=lambda e: tuple((v is not None, v) for v in e))
+    by_length: dict[int, dict[str, tuple]] = {}
+    for entry in ordered:
+        by_length.setdefault(_steps(entry[0], separator), {})[entry[0]] = entry
     rows, hits = probe, []
-    for n in lengths:
-        hit = f"_hit{n}"
-        # One entry per key, as a key may be listed twice.
-        entries = known.filter(steps == n).groupBy("_key").agg(F.max(F.struct("_key", *payload)).alias(hit))
-        rows = rows.join(
-            entries.withColumnRenamed("_key", f"_key{n}"),
-            F.substring_index(F.col(column), separator, n) == F.col(f"_key{n}"),
-            "left",
-        ).drop(f"_key{n}")
-        hits.append(F.col(hit))
+    for n in sorted(by_length, reverse=True):
+        found = local_table(probe.sparkSession, list(by_length[n].values()), known.schema)
+        hit = found.select(F.col("_key").alias(f"_key{n}"), F.struct("_key", *payload).alias(f"_hit{n}"))
+        rows = rows.join(hit, F.substring_index(F.col(column), separator, n) == F.col(f"_key{n}"), "left").drop(f"_key{n}")
+        hits.append(F.col(f"_hit{n}"))
     if not hits:
-        none = F.lit(None).cast("string")
-        return probe.withColumns({"prefix": none, **{p: F.lit(None).cast(known.schema[p].dataType) for p in payload}})
+        empty = {p: F.lit(None).cast(known.schema[p].dataType) for p in payload}
+        return probe.withColumns({"prefix": F.lit(None).cast("string"), **empty})
     best = F.coalesce(*hits)
-    return rows.withColumns({"prefix": best["_key"], **{p: best[p] for p in payload}}).drop(*[f"_hit{n}" for n in lengths])
+    return rows.withColumns({"prefix": best["_key"], **{p: best[p] for p in payload}}).drop(*[f"_hit{n}" for n in by_length])
+
+
+def _lookup_by_prefix(
+    probe: DataFrame, column: str, known: DataFrame, payload: Sequence[str], separator: str
+) -> DataFrame:
+    literal = re.escape(separator)
+    steps = [r[0] for r in known.select(F.size(F.split("_key", literal))).distinct().limit(MAX_LOOKUPS + 1).collect()]
+    parts = F.split(F.col(column), literal)
+    # With too many different lengths every prefix of the probe is tried.
+    tried = F.sequence(F.lit(1), F.size(parts)) if len(steps) > MAX_LOOKUPS else F.array(*[F.lit(n) for n in steps]).cast("array<int>")
+    prefixes = F.transform(
+        F.filter(tried, lambda n: n <= F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), separator)
+    )
+    values = probe.select(column).filter(F.col(column).isNotNull()).distinct()
+    best = (
+        values.select(column, F.explode(prefixes).alias("_key"))
+        .join(known, "_key")
+        .groupBy(column)
+        .agg(F.max(F.struct(F.length("_key").alias("_n"), "_key", *payload)).alias("_best"))
+    )
+    resolved = best.select(column, F.col("_best._key").alias("prefix"), *[F.col("_best")[p].alias(p) for p in payload])
+    return probe.join(resolved, column, "left")
 
 
 def oid_names(readings: DataFrame, mib: DataFrame, oid: str = "oid", out: str = "oid_name") -> DataFrame:

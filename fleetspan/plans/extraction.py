@@ -149,7 +149,7 @@ def grouped_values(t: Tables) -> DataFrame:
         group("jdbc", entry(F.lit("other"), F.lit(1)), entry(F.concat("p_type", F.lit(".active")), F.col("p_size"))).alias("samplers"),
         group("jobs", entry(F.lit("start"), F.col("p_partkey"))).alias("counters"),
     )
-    docs = t.part.select("p_partkey", "p_type", F.to_json(document).alias("body"))
+    docs = t.spread("part").select("p_partkey", "p_type", F.to_json(document).alias("body"))
     low_bits = X.wrapped("grouped", lambda metric, value: X.window_id(value).cast("string"))
     # The names are those of the six part types; another type would simply not be asked for.
     types = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -170,7 +170,7 @@ def xpath_from_parts(t: Tables) -> DataFrame:
         F.lit("</size><b>"), F.col("p_brand"), F.lit("</b></part>"),
     )
     body = F.col("body")
-    return t.part.select("p_partkey", X.well_formed(xml).alias("body")).select(
+    return t.spread("part").select("p_partkey", X.well_formed(xml).alias("body")).select(
         "p_partkey",
         X.xpath_value(body, "//name/text()").alias("name"),
         X.xpath_value(body, "/part/size[@unit='cm']").alias("size"),

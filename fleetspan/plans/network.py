@@ -102,7 +102,7 @@ def index_decode(t: Tables) -> DataFrame:
         F.array(F.lit(10), F.lit(0), (F.col("p_size") % 256).cast("bigint"), F.lit(1)), F.array(F.lit(7), F.col("p_partkey")),
     )
     decoded = O.decode_index(index, [("name", "string"), ("size", "int"), ("address", "ip"), ("rest", "other")])
-    return t.part.select("p_partkey", decoded.alias("m")).select("p_partkey", *[F.col("m")[c].alias(c) for c in ("name", "size", "address", "rest")])
+    return t.spread("part").select("p_partkey", decoded.alias("m")).select("p_partkey", *[F.col("m")[c].alias(c) for c in ("name", "size", "address", "rest")])
 
 
 @query("J11 E14", """

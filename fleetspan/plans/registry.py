@@ -13,7 +13,7 @@ from fleetspan.operators.skew import estimated_bytes
 from fleetspan.session import prepare
 
 #: Sizes in bytes between which a table in few files is spread over the cores.
-SPREAD_FROM = 1 << 20
+SPREAD_FROM = 128 << 10
 SPREAD_TO = 256 << 20
 
 Run = Callable[[SparkSession, str], DataFrame]

@@ -77,9 +77,9 @@ def materialize(df: DataFrame, label: str, path: str | None = None, spark: Spark
     return spark.read.schema(df.schema).parquet(path)
 
 
-def local_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+def local_table(spark: SparkSession, rows: list[tuple], ddl: str | StructType) -> DataFrame:
     """A small table made on the driver; Spark knows its size and broadcasts it by itself."""
-    schema = StructType.fromDDL(ddl)
+    schema = StructType.fromDDL(ddl) if isinstance(ddl, str) else ddl
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(schema)
     arrow = to_arrow_schema(schema)
     table = pa.table([pa.array(list(c), f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
