@@ -68,33 +68,79 @@ def page_pairs(df: DataFrame, html: str, keep: list[str], pattern: str = PAIR_RO
     )
 
 
-def row_texts(html: Column) -> Column:
-    """ARRAY of the HTML between one row tag and the next."""
-    return F.filter(F.split(html, r"(?i)<tr\b[^>]*>"), lambda r, i: i > 0)
+# A cell counts when its text is an integer; the parts of a page that row statistics look at.
+INTEGER_CELL = r"(?i)<td\b[^>]*>\s*([0-9]+)\s*(?=<|\z)"
+ROW_END = r"(?i)</?tr\b|</table\b"
+ROW_PARTS = r"(?i)</?table\b|</?tr\b|<td\b[^>]*>\s*[0-9]+\s*(?=<|\z)"
+TABLE_IN_TABLE = r"(?i)<table\b[^<]*+(?:<(?!/?table\b)[^<]*+)*+<table\b"
 
 
-def table_rows(df: DataFrame, html: str, keep: list[str]) -> DataFrame:
-    """Rows (keep..., row_no, cells) of every table row; cells are trimmed texts without tags."""
-    pieces = F.filter(F.split(F.col("_row"), r"(?i)<td\b[^>]*>"), lambda c, i: i > 0)
-    cells = F.transform(pieces, lambda c: F.trim(F.regexp_replace(c, r"(?is)</t[dr]\b.*|</table\b.*|<[^>]*>", "")))
-    return df.select(*keep, F.posexplode(row_texts(F.col(html))).alias("row_no", "_row")).select(*keep, "row_no", cells.alias("cells"))
+def row_sums(html: Column, width: int) -> Column:
+    """STRUCT(sums, rows) over the table rows with exactly ``width`` integer cells.
 
+    A row of a table inside a cell belongs to the row around it. Such pages are
+    folded part by part; all others are cut at their row tags.
+    """
+    return F.when(html.rlike(TABLE_IN_TABLE), _nested_row_sums(html, width)).otherwise(_flat_row_sums(html, width))
 
-# Fixed value: a cell that holds an integer and nothing else but tags.
-INTEGER_CELL = r"(?i)<td\b[^>]*>\s*(?:<(?!/?t[dr]\b)[^>]*>\s*)*([0-9]+)\s*(?:<(?!/?t[dr]\b)[^>]*>\s*)*(?=</?t[dr]\b|</table\b|\z)"
+
+def _flat_row_sums(html: Column, width: int) -> Column:
+    # The text before a row tag keeps the bracket of its last cell's end.
+    texts = F.transform(F.split(html, ROW_END), lambda r: F.regexp_extract_all(F.concat(r, F.lit("<")), F.lit(INTEGER_CELL), F.lit(1)))
+    full = F.filter(texts, lambda cells: F.size(cells) == width)
+
+    def sums(rows: Column) -> Column:
+        def column(i: int) -> Column:
+            return F.aggregate(rows, F.lit(0).cast("bigint"), lambda total, cells: total + cells[i].cast("bigint"))
+
+        return F.struct(F.array(*[column(i) for i in range(width)]).alias("sums"), F.size(rows).cast("bigint").alias("rows"))
+
+    # The one-element list binds the rows, so that they are found once.
+    return F.transform(F.array(full), sums)[0]
+
+
+def _nested_row_sums(html: Column, width: int) -> Column:
+    parts = F.regexp_extract_all(html, F.lit(ROW_PARTS), F.lit(0))
+
+    def state(depth, cells, sums, rows) -> Column:
+        return F.struct(depth.alias("depth"), cells.alias("cells"), sums.alias("sums"), rows.alias("rows"))
+
+    def closed(s: Column) -> Column:
+        full = F.size(s["cells"]) == width
+        return state(
+            s["depth"],
+            F.array().cast("array<bigint>"),
+            F.when(full, F.zip_with(s["sums"], s["cells"], lambda a, b: a + b)).otherwise(s["sums"]),
+            F.when(full, s["rows"] + 1).otherwise(s["rows"]),
+        )
+
+    def step(s: Column, part: Column) -> Column:
+        tag = F.lower(F.substring(part, 1, 4))
+        number = F.regexp_extract(part, r"([0-9]+)\s*$", 1).try_cast("bigint")
+        # One cell too many is enough to know that the row does not count.
+        with_cell = state(
+            s["depth"], F.when(F.size(s["cells"]) > width, s["cells"]).otherwise(F.array_append(s["cells"], number)), s["sums"], s["rows"]
+        )
+        opens = tag == "<tab"
+        closes = tag == "</ta"
+        move = F.when(opens, 1).when(closes, -1).otherwise(0)
+        at = state((s["depth"] + move).cast("int"), s["cells"], s["sums"], s["rows"])
+        ends_row = F.when(closes, s["depth"] <= 1).otherwise(~opens & (s["depth"] <= 1))
+        return F.when(F.startswith(tag, F.lit("<td")), with_cell).when(ends_row, closed(at)).otherwise(at)
+
+    nothing = state(F.lit(0), F.array().cast("array<bigint>"), F.array_repeat(F.lit(0).cast("bigint"), width), F.lit(0).cast("bigint"))
+    return F.aggregate(parts, nothing, step, lambda s: F.struct(closed(s)["sums"].alias("sums"), closed(s)["rows"].alias("rows")))
 
 
 def queue_stats(df: DataFrame, html: str, keep: list[str], columns: list[str] | None = None) -> DataFrame:
-    """Per page: sums over the rows with exactly one integer cell per column, and their number."""
+    """Per key: sums over the table rows with exactly one integer cell per column, and their number."""
     columns = columns or QUEUE_COLUMNS
     return (
-        df.select(*keep, F.explode(row_texts(F.col(html))).alias("_row"))
-        .select(*keep, F.regexp_extract_all("_row", F.lit(INTEGER_CELL), F.lit(1)).alias("_n"))
-        .filter(F.size("_n") == len(columns))
+        df.select(*keep, row_sums(F.col(html), len(columns)).alias("_s"))
         .groupBy(*keep)
         .agg(
-            *[F.sum(F.col("_n")[i].cast("bigint")).alias(name) for i, name in enumerate(columns)],
-            F.count(F.lit(1)).alias("rows"),
+            *[F.sum(F.col("_s.sums")[i]).alias(name) for i, name in enumerate(columns)],
+            F.sum("_s.rows").alias("rows"),
         )
     )
 
