@@ -330,40 +330,39 @@ def configured_resources(configs: DataFrame, resource_type: str, setting: str) -
 # --- trees ------------------------------------------------------------------
 
 
-def resource_paths(nodes: DataFrame, key: str = "key", parent: str = "parent_key", name: str = "name", fold_every: int = 4) -> DataFrame:
+def resource_paths(nodes: DataFrame, key: str = "key", parent: str = "parent_key", name: str = "name") -> DataFrame:
     """Rows (key, path, depth): names from the root down, joined by ``/``.
 
     Pointer doubling: each round joins every node with the node its path so far
     starts from, so a tree of depth d takes log2(d) rounds. Nodes that reach no
-    root (a broken or circular parent) are left out.
+    root (a broken or circular parent) are left out. A round that brings no
+    node to a root is the last: what is open then hangs on a circle.
     """
     state = nodes.select(
         F.col(key).alias("key"), F.col(parent).alias("_up"), F.col(name).alias("path"), F.lit(1).cast("bigint").alias("depth")
     )
-    rounds = 0
+    is_open = F.col("_up").isNotNull()
+    # Finished nodes take part as targets only, so their missing pointers never meet in one task.
+    finished, pending = state.filter(~is_open), state.filter(is_open)
+    open_before = None
     while True:
-        upper = state.select(
+        upper = finished.unionByName(pending).select(
             F.col("key").alias("_up"), F.col("_up").alias("_next"), F.col("path").alias("_path"), F.col("depth").alias("_depth")
         )
-        state = (
-            state.join(upper, "_up", "left")
-            .select(
+        moved = materialize(
+            pending.join(upper, "_up").select(
                 "key",
-                F.when(F.col("_depth").isNull() & F.col("_up").isNotNull(), F.col("_up")).otherwise(F.col("_next")).alias("_up"),
+                F.col("_next").alias("_up"),
                 F.concat_ws("/", "_path", "path").alias("path"),
-                (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
-                (F.col("_up").isNotNull() & F.col("_depth").isNull()).alias("_broken"),
-            )
-            .filter(~F.col("_broken"))
-            .drop("_broken")
+                (F.col("depth") + F.col("_depth")).alias("depth"),
+            ),
+            "paths",
         )
-        rounds += 1
-        if rounds % fold_every == 0 or rounds == 1:
-            state = materialize(state, "paths")
-        open_rows = state.filter(F.col("_up").isNotNull())
-        # A path longer than 2**40 nodes is a circle.
-        if rounds >= 40 or open_rows.isEmpty():
-            return state.filter(F.col("_up").isNull()).drop("_up")
+        finished, pending = finished.unionByName(moved.filter(~is_open)), moved.filter(is_open)
+        open_now = pending.count()
+        if open_now in (0, open_before):
+            return finished.drop("_up")
+        open_before = open_now
 
 
 def dependency_order(edges: DataFrame, items: DataFrame, item: str = "item", needs: str = "needs") -> DataFrame:

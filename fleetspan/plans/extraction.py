@@ -653,3 +653,27 @@ def explain_extraction(t: Tables) -> DataFrame:
     return X.explain_extract(
         r, "regex", "<title>([^<]*)", F.concat(F.lit("GET "), F.col("resource_key")), F.col("code") == 200
     )
+
+
+@query("E42 F13 S15", """
+select c_nationkey, cast(c_custkey as bigint) as c_custkey, 'm1' as own,
+  case when c_custkey % 3 = 0 then 'm0' when c_custkey % 3 = 1 then 'm1' end as primary_name,
+  case c_custkey % 14 when 0 then 'STARTUP' when 1 then 'PRIMARY' when 2 then 'SECONDARY' when 3 then 'RECOVERING' when 4 then 'FATAL'
+    when 5 then 'STARTUP2' when 7 then 'ARBITER' when 8 then 'DOWN' when 9 then 'ROLLBACK' when 10 then 'SHUNNED' else 'UNKNOWN' end as state,
+  c_custkey % 14 = 1 as master
+from customer
+""")
+def replica_states(t: Tables) -> DataFrame:
+    from fleetspan.functions import replica as RP
+
+    n = F.col("c_custkey")
+    members = F.array(
+        F.struct(F.lit("m0").alias("name"), F.when(n % 3 == 0, 1).otherwise(2).alias("state"), F.lit(False).alias("self")),
+        F.struct(F.lit("m1").alias("name"), F.when(n % 3 == 1, 1).otherwise(2).alias("state"), F.lit(True).alias("self")),
+    )
+    doc = F.to_json(F.struct(F.when(n % 14 != 13, n % 14).alias("myState"), members.alias("members")))
+    body = F.col("body")
+    return t.customer.select("c_nationkey", "c_custkey", doc.alias("body")).select(
+        "c_nationkey", "c_custkey", RP.self_member(body)["name"].alias("own"), RP.primary_member(body)["name"].alias("primary_name"),
+        RP.replica_state(body).alias("state"), RP.is_master(body).alias("master"),
+    )
