@@ -69,35 +69,41 @@ def overlay(base: DataFrame, override: DataFrame, keys: Sequence[str], value: st
     return merged.groupBy(*keys).agg(F.max_by("_v", "_rank").alias(value))
 
 
-def service_settings(settings: DataFrame) -> DataFrame:
-    """Per (host, service): MAP of its settings over the host's, env merged, ``enabled`` defaulted, args kept as a list.
+def service_settings(df: DataFrame, body: str, root: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Per (keep..., host, service): MAP of its settings over the host's, env merged, ``enabled`` defaulted, and its args.
 
-    Host settings are folded to one row per host first, so the join carries maps, not pairs.
+    Host and services are in one document, so the overlay is made inside the
+    row: no join and no shuffle. Environment entries are keyed ``env.NAME``.
     """
-    def folded(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-        # A node's settings come from one document, so each list is bounded by it.
-        plain = ~F.col("scope").endswith(".env")
-        pair = F.struct("key", F.concat(F.when(plain, F.lit("")).otherwise(F.lit("env.")), F.col("key")).alias("k"), "values")
-        return rows.groupBy(*keys).agg(
-            F.map_from_entries(
-                F.collect_list(F.when(~(plain & (F.col("key") == ARGS)), F.struct(pair["k"].alias("key"), flat_value(F.col("values")).alias("value"))))
-            ).alias("_map"),
-            F.first(F.when(plain & (F.col("key") == ARGS), F.col("values")), ignorenulls=True).alias("_args"),
-        )
-
-    base = folded(settings.filter(F.col("scope").startswith("host")), ["host"]).withColumnsRenamed({"_map": "_base", "_args": "_base_args"})
-    own = folded(settings.filter(F.col("scope").startswith("service")), ["host", "service"])
-    empty = F.create_map().cast("map<string, string>")
-    joined = own.join(base, "host", "left")
-    base_only = F.map_filter(F.coalesce("_base", empty), lambda k, _: ~F.array_contains(F.map_keys("_map"), k))
-    merged = F.map_concat(base_only, F.col("_map"))
-    defaulted = F.when(F.map_contains_key(merged, ENABLED), merged).otherwise(
-        F.map_concat(merged, F.create_map(F.lit(ENABLED), F.lit("true")))
+    def node(text: Column) -> Column:
+        return F.from_json(text, "MAP<STRING, STRING>")
+
+    def lists(settings: Column) -> Column:
+        parsed = F.transform_values(settings, lambda _, v: F.from_json(v, "ARRAY<STRING>"))
+        return F.transform_values(F.map_filter(parsed, lambda _, v: v.isNotNull()), lambda _, v: flat_value(v))
+
+    def own_settings(settings: Column) -> Column:
+        plain = lists(F.map_filter(settings, lambda k, _: ~k.isin(ARGS, ENV, SERVICE)))
+        env = F.transform_keys(lists(node(settings[ENV])), lambda k, _: F.concat(F.lit("env."), k))
+        return F.map_concat(plain, F.coalesce(env, F.create_map().cast("map<string, string>")))
+
+    hosts = df.select(*keep, F.explode(node(F.col(body))).alias("host", "_tree"))
+    monitors = hosts.select(*keep, "host", node(F.get_json_object("_tree", f"$['{root}'].{MONITOR}")).alias("_m"))
+    services = monitors.select(
+        *keep, "host", own_settings(F.col("_m")).alias("_base"), F.explode(node(F.col("_m")[SERVICE])).alias("service", "_text")
+    ).withColumn("_own", node(F.col("_text")))
+    layered = services.select(
+        *keep, "host", "service", "_base", own_settings(F.col("_own")).alias("_set"),
+        F.coalesce(F.from_json(F.col("_own")[ARGS], "ARRAY<STRING>"), F.array().cast("array<string>")).alias("args"),
     )
-    return joined.select(
-        "host", "service", defaulted.alias("settings"),
-        F.coalesce("_args", F.array().cast("array<string>")).alias("args"),
+    merged = F.map_concat(
+        F.map_filter("_base", lambda k, _: ~F.map_contains_key("_set", k)),
+        F.col("_set"),
+        F.when(
+            F.map_contains_key("_set", ENABLED) | F.map_contains_key("_base", ENABLED), F.create_map().cast("map<string, string>")
+        ).otherwise(F.create_map(F.lit(ENABLED), F.lit("true"))),
     )
+    return layered.select(*keep, "host", "service", merged.alias("settings"), "args")
 
 
 def enabled_services(services: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from fleetspan.functions import extract as X
 from fleetspan.functions import html as H
 from fleetspan.functions import text as T
 from fleetspan.functions import urls as U
+from fleetspan.operators import commands as CM
 from fleetspan.operators import metadata as M
 from fleetspan.operators import report as R
 from fleetspan.operators.digest import json_digest, numeric_digest
@@ -536,31 +537,44 @@ def document_lines(t: Tables) -> DataFrame:
     return T.lines(t.spread("documents").select("doc_id", "text"), "text")
 
 
-@query("S13 E44 A4", """
-select l_orderkey, l_linenumber, l_partkey, l_suppkey,
-  cast(l_partkey as double) as received, cast(l_suppkey as double) as bad, cast(l_quantity as double) as load,
-  cast(l_partkey + l_suppkey as bigint) as bytes
-from lineitem
-""")
-def command_metrics(t: Tables) -> DataFrame:
+def _command_runs(t: Tables) -> DataFrame:
+    """Line items as command runs: protocol counters, load and disk sizes."""
     part, supp = F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")
     tcp = F.concat(F.lit("Ip:\n    9 total\nTcp:\n    "), part, F.lit(" segments received\n    7 segments send out\n    "), supp, F.lit(" bad segments received.\n"))
     load = F.concat(F.lit(" 10:00:00 up 3 days, 2 users, load average: "), F.col("l_quantity").cast("string"), F.lit(", 0.1, 0.2"))
     sizes = F.concat(part, F.lit("\t/a\nnote 99\n"), supp, F.lit("\t/b/12\n"))
-    m = T.NETSTAT_METRICS | T.UPTIME_METRICS
-
-    def pattern(name: str) -> str:
-        return m[name].split("|", 1)[1]
-
+    kind = F.col("l_linenumber") % 3
     return t.spread("lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        C.to_numeric(X.extract_regex(tcp, pattern("TCP segments received"))).alias("received"),
-        C.to_numeric(X.extract_regex(tcp, pattern("TCP bad segments"))).alias("bad"),
-        C.to_numeric(X.extract_regex(load, pattern("Load average last minute"))).alias("load"),
-        T.leading_integer_sum(sizes).alias("bytes"),
+        F.when(kind == 0, "-s").when(kind == 1, F.lit(None)).otherwise("-sb /data").alias("args"),
+        F.when(kind == 0, tcp).when(kind == 1, load).otherwise(sizes).alias("stdout"),
+        F.when(F.col("l_linenumber") != 5, 0).alias("exit_code"),
+        (F.col("l_partkey") * 1_000_000).alias("elapsed_ns"),
     )
 
 
+_RUN_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@query("S13 E44", """
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, m.metric,
+  case m.metric when 'TCP segments received' then cast(l_partkey as double) when 'TCP segments send out' then 7 when 'TCP bad segments' then cast(l_suppkey as double)
+    when 'Number of days' then 3 when 'Number of users' then 2 else l_quantity end as value
+from lineitem join (values (0, 'TCP segments received'), (0, 'TCP segments send out'), (0, 'TCP bad segments'),
+  (1, 'Number of days'), (1, 'Number of users'), (1, 'Load average last minute')) m(kind, metric) on l_linenumber % 3 = kind
+""")
+def command_metrics(t: Tables) -> DataFrame:
+    return CM.command_metrics(_command_runs(t), T.NETSTAT_METRICS | T.UPTIME_METRICS, _RUN_KEYS)
+
+
+@query("S13 A4", """
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_partkey + l_suppkey as bigint) as bytes, cast(l_partkey as double) as elapsed_ms
+from lineitem where l_linenumber % 3 = 2 and l_linenumber <> 5
+""")
+def disk_usage(t: Tables) -> DataFrame:
+    return CM.disk_usage(_command_runs(t).filter("args like '-sb%'"), _RUN_KEYS)
+
+
 @query("E37", r"""
 select doc_id, regexp_replace(text, '[0-9A-Za-z._-]+@[0-9A-Za-z.-]+', '', 'g') as text from documents
 """)

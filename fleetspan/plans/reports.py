@@ -316,3 +316,39 @@ def first_three(t: Tables) -> DataFrame:
 
     w = Window.partitionBy("s_nationkey").orderBy("s_suppkey")
     return t.supplier.select("s_nationkey", "s_suppkey", F.row_number().over(w).alias("n")).filter("n <= 3").drop("n")
+
+
+@query("K1 E9", """
+select user_id as resource_key, event_type as metric, event_id, 'measurement' as data_type, strftime(ts, '%Y-%m-%d') as date, value as dvalue, null as svalue from events where event_type = 'click'
+union all select user_id, event_type, event_id, 'trait', strftime(ts, '%Y-%m-%d'), null, 'v' || user_id from events where event_type = 'view'
+""")
+def report_sink(t: Tables) -> DataFrame:
+    from fleetspan.session import scratch_path
+    from fleetspan.sources.sinks import write_report
+
+    definitions = local_table(t.spark, [("click", "measurement"), ("view", "trait")], "metric STRING, data_type STRING")
+    raw = F.when(F.col("event_type") == "view", F.concat(F.lit(" v"), F.col("user_id").cast("string"))).otherwise(F.col("value").cast("string"))
+    values = t.events.select(F.col("user_id").alias("resource_key"), "event_id", "ts", F.col("event_type").alias("metric"), raw.alias("value"))
+    path = scratch_path(t.spark, "report")
+    write_report(R.coerce(values, definitions).drop("error"), path)
+    back = t.spark.read.parquet(path)
+    return back.select("resource_key", "metric", "event_id", "data_type", F.col("date").cast("string").alias("date"), "dvalue", "svalue")
+
+
+@query("K2 W5", """
+with r as (select conv_id, turn, role, lag(role, 1, 'none') over (partition by conv_id order by turn) as previous from conversations)
+select 'Role' as type, 'conv-' || conv_id as source, 'INFO' as severity, previous || ' to ' || role as detail, turn from r where role <> previous
+""")
+def event_sink(t: Tables) -> DataFrame:
+    from fleetspan.operators.events import state_changes
+    from fleetspan.session import scratch_path
+    from fleetspan.sources.sinks import write_events
+
+    changes = state_changes(t.conversations.select("conv_id", "turn", "role"), ["conv_id"], ["turn"], "role", F.lit("none"))
+    events = changes.select(
+        F.lit("Role").alias("type"), F.concat(F.lit("conv-"), F.col("conv_id").cast("string")).alias("source"),
+        F.timestamp_seconds("turn").alias("ts"), F.lit("INFO").alias("severity"), F.concat("previous", F.lit(" to "), "role").alias("detail"), "turn",
+    )
+    path = scratch_path(t.spark, "events")
+    write_events(events, path)
+    return t.spark.read.parquet(path).select("type", "source", "severity", "detail", "turn")

@@ -102,7 +102,7 @@ union all select 'Service', 'beta', null, null, 'host-' || s_suppkey from suppli
 def service_resources(t: Tables) -> DataFrame:
     from fleetspan.operators import config as CF
 
-    services = CF.service_settings(CF.config_settings(I.config_documents(t), "body", "fleet"))
+    services = CF.service_settings(I.config_documents(t), "body", "fleet")
     return V.service_resources(services).select("type", "key", "version", "description", "parent_key")
 
 

@@ -207,8 +207,7 @@ select 'host-' || s_suppkey as host, 'alpha' as service, 'p' as grp, '60' as tim
 union all select 'host-' || s_suppkey, 'beta', 'q', '60', null, 'true', 'slow', '/bin', '', null from supplier where s_suppkey % 3 <> 0
 """)
 def service_settings(t: Tables) -> DataFrame:
-    flat = CF.config_settings(I.config_documents(t), "body", "fleet")
-    services = CF.enabled_services(CF.service_settings(flat))
+    services = CF.enabled_services(CF.service_settings(I.config_documents(t), "body", "fleet"))
 
     def setting(name: str):
         return F.try_element_at("settings", F.lit(name))
@@ -236,7 +235,7 @@ select 'host-' || s_suppkey as host, svc.service as service,
 from supplier, (values ('alpha'), ('beta'), ('gone')) svc(service)
 """)
 def watched_services(t: Tables) -> DataFrame:
-    services = CF.service_settings(CF.config_settings(I.config_documents(t), "body", "fleet"))
+    services = CF.service_settings(I.config_documents(t), "body", "fleet")
     known = t.supplier.select(
         F.concat(F.lit("host-"), F.col("s_suppkey").cast("string")).alias("host"),
         F.explode(F.array(F.lit("alpha"), F.lit("beta"), F.lit("gone"))).alias("service"),

@@ -234,7 +234,7 @@ VD = """{"host1": {"fleet": {"monitor": {"group": ["p"], "timeout": ["6", "0"],
 
 def services(spark, body=VD):
     df = spark.createDataFrame([(body,)], "body STRING")
-    return CF.service_settings(CF.config_settings(df, "body", "fleet"))
+    return CF.service_settings(df, "body", "fleet")
 
 
 def test_service_settings(spark):
@@ -245,6 +245,16 @@ def test_service_settings(spark):
     assert found["slow"][1] == []
 
 
+def test_settings_table(spark):
+    df = spark.createDataFrame([(VD,)], "body STRING")
+    found = rows(CF.config_settings(df, "body", "fleet"), "host", "scope", "service", "key", CF.flat_value(F.col("values")))
+    assert ("host1", "host", None, "timeout", "60") in found
+    assert ("host1", "host.env", None, "A", "host") in found
+    assert ("host1", "service", "truth", "version", "1.0") in found
+    assert ("host1", "service.env", "truth", "A", "svc") in found
+    assert len(found) == 10
+
+
 def test_enabled_services_become_resources(spark):
     out = V.service_resources(services(spark))
     assert rows(out, "key", "version", "description", "parent_key") == [("slow", None, "takes time", "host1"), ("truth", "1.0", None, "host1")]
