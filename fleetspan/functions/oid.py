@@ -15,14 +15,6 @@ def oid_text(parts: Column) -> Column:
     return F.array_join(F.transform(parts, lambda p: p.cast("string")), ".")
 
 
-def oid_prefixes(oid: Column) -> Column:
-    """Every prefix of a dotted identifier, itself included, shortest first."""
-    parts = F.split(oid, r"\.")
-    return F.transform(
-        F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), ".")
-    )
-
-
 def starts_with_oid(oid: Column, prefix: Column | str) -> Column:
     """Whether ``prefix`` is ``oid`` or one of its ancestors; an empty prefix is one of all."""
     prefix = F.lit(prefix) if isinstance(prefix, str) else prefix

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +41,5 @@ def instance_keys(
 
 def matching_beans(attributes: DataFrame, pattern: str) -> DataFrame:
     """Attributes of beans whose name fits a pattern with ``*`` and ``%variable%`` wildcards."""
-    import re
-
     parts = re.split(r"\*|%\w+%", pattern)
     return attributes.filter(F.col("bean").rlike("^" + ".*".join(re.escape(p) for p in parts) + "$"))

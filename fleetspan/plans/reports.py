@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetspan.functions import coerce as C
-from fleetspan.operators import metadata as M
-from fleetspan.operators import report as R
 from fleetspan.operators.counters import schedule_sample
 from fleetspan.operators.digest import digest_entries
-from fleetspan.plans import inputs as I
+from fleetspan.operators.events import state_changes
+from fleetspan.operators.inventory import upsert_inventory
+from fleetspan.operators.jobs import status_totals as totals
+from fleetspan.operators.snmp import publishable
+from fleetspan.operators import metadata as M
+from fleetspan.operators import report as R
 from fleetspan.plans.registry import Tables, query
-from fleetspan.session import local_table
+from fleetspan.plans import inputs as I
+from fleetspan.session import local_table, scratch_path
+from fleetspan.sources.readers import metastore_tables as tables_with_partitions
+from fleetspan.sources.readers import table_locations as locations
+from fleetspan.sources.sinks import write_events, write_report
 
 DAY_MS = 86_400_000
 
@@ -196,8 +203,6 @@ select 'sym-' || p_partkey as name from part
 where p_size % 5 <> 0 and p_size % 3 <> 0 and p_brand not in ('Brand#1', 'Brand#2')
 """)
 def publishable_symbols(t: Tables) -> DataFrame:
-    from fleetspan.operators.snmp import publishable
-
     table = F.when(F.col("p_brand").isin("Brand#1", "Brand#2"), F.col("p_brand"))
     mib = t.part.select(
         F.concat(F.lit("sym-"), F.col("p_partkey").cast("string")).alias("name"),
@@ -218,8 +223,6 @@ select 'Server' as type, coalesce(new.key, old.key) as key, coalesce(new.name, o
 from old full join new on old.key = new.key
 """)
 def inventory_upsert(t: Tables) -> DataFrame:
-    from fleetspan.operators.inventory import upsert_inventory
-
     n = F.col("s_suppkey")
     old = t.supplier.filter(n % 4 != 1).select(
         F.lit("Server").alias("type"), n.alias("key"), F.col("s_name").alias("name"), F.concat(F.lit("v"), (n % 5).cast("string")).alias("version")
@@ -233,8 +236,6 @@ def inventory_upsert(t: Tables) -> DataFrame:
 
 @query("A14", "select o_orderpriority, o_orderstatus, cast(count(*) as bigint) as runs from orders group by all")
 def status_totals(t: Tables) -> DataFrame:
-    from fleetspan.operators.jobs import status_totals as totals
-
     return totals(t.orders, "o_orderstatus", ["o_orderpriority"])
 
 
@@ -281,8 +282,6 @@ select n_name as tbl_name, cast(count(*) as bigint) as partitions from nation jo
 group by n_name order by n_name limit 1000
 """)
 def metastore_tables(t: Tables) -> DataFrame:
-    from fleetspan.sources.readers import metastore_tables as tables_with_partitions
-
     tables = t.nation.select(F.col("n_nationkey").alias("tbl_id"), F.col("n_name").alias("tbl_name"))
     partitions = t.customer.select(F.col("c_nationkey").alias("tbl_id"), F.col("c_custkey").alias("sd_id"))
     return tables_with_partitions(tables, partitions)
@@ -293,8 +292,6 @@ select n_name as tbl_name, '/data/' || o_orderkey as location from nation join c
 join orders on o_custkey = c_custkey where n_name in ('NATION_3', 'NATION_17')
 """)
 def table_locations(t: Tables) -> DataFrame:
-    from fleetspan.sources.readers import table_locations as locations
-
     tables = t.nation.select(F.col("n_nationkey").alias("tbl_id"), F.col("n_name").alias("tbl_name"))
     partitions = t.customer.select(F.col("c_nationkey").alias("tbl_id"), F.col("c_custkey").alias("sd_id"))
     storage = t.orders.select(F.col("o_custkey").alias("sd_id"), F.concat(F.lit("/data/"), F.col("o_orderkey").cast("string")).alias("location"))
@@ -312,8 +309,6 @@ def duplicate_configurations(t: Tables) -> DataFrame:
 select s_nationkey, s_suppkey from supplier qualify row_number() over (partition by s_nationkey order by s_suppkey) <= 3
 """)
 def first_three(t: Tables) -> DataFrame:
-    from pyspark.sql import Window
-
     w = Window.partitionBy("s_nationkey").orderBy("s_suppkey")
     return t.supplier.select("s_nationkey", "s_suppkey", F.row_number().over(w).alias("n")).filter("n <= 3").drop("n")
 
@@ -323,9 +318,6 @@ select user_id as resource_key, event_type as metric, event_id, 'measurement' as
 union all select user_id, event_type, event_id, 'trait', strftime(ts, '%Y-%m-%d'), null, 'v' || user_id from events where event_type = 'view'
 """)
 def report_sink(t: Tables) -> DataFrame:
-    from fleetspan.session import scratch_path
-    from fleetspan.sources.sinks import write_report
-
     definitions = local_table(t.spark, [("click", "measurement"), ("view", "trait")], "metric STRING, data_type STRING")
     raw = F.when(F.col("event_type") == "view", F.concat(F.lit(" v"), F.col("user_id").cast("string"))).otherwise(F.col("value").cast("string"))
     values = t.events.select(F.col("user_id").alias("resource_key"), "event_id", "ts", F.col("event_type").alias("metric"), raw.alias("value"))
@@ -340,10 +332,6 @@ with r as (select conv_id, turn, role, lag(role, 1, 'none') over (partition by c
 select 'Role' as type, 'conv-' || conv_id as source, 'INFO' as severity, previous || ' to ' || role as detail, turn from r where role <> previous
 """)
 def event_sink(t: Tables) -> DataFrame:
-    from fleetspan.operators.events import state_changes
-    from fleetspan.session import scratch_path
-    from fleetspan.sources.sinks import write_events
-
     changes = state_changes(t.conversations.select("conv_id", "turn", "role"), ["conv_id"], ["turn"], "role", F.lit("none"))
     events = changes.select(
         F.lit("Role").alias("type"), F.concat(F.lit("conv-"), F.col("conv_id").cast("string")).alias("source"),

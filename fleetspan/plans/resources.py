@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetspan.functions.text import body_lines, lines
+from fleetspan.functions.urls import container_id
 from fleetspan.functions import address as A
 from fleetspan.functions import html as H
+from fleetspan.operators import config as CF
 from fleetspan.operators import inventory as V
 from fleetspan.operators import paths as P
-from fleetspan.plans import inputs as I
 from fleetspan.plans.registry import Tables, query
+from fleetspan.plans import inputs as I
 from fleetspan.session import local_table
+from fleetspan.sources.readers import tail_lines as tail
 
 _SHOWN = ["type", "key", "name", "version", "description", "parent_key"]
 
@@ -100,8 +104,6 @@ select 'Service' as type, 'alpha' as key, '1.0' as version, 'check ' || s_name a
 union all select 'Service', 'beta', null, null, 'host-' || s_suppkey from supplier where s_suppkey % 3 <> 0
 """)
 def service_resources(t: Tables) -> DataFrame:
-    from fleetspan.operators import config as CF
-
     services = CF.service_settings(I.config_documents(t), "body", "fleet")
     return V.service_resources(services).select("type", "key", "version", "description", "parent_key")
 
@@ -254,8 +256,6 @@ def rebound_ids(t: Tables) -> DataFrame:
 select c_name, o_orderkey, 'container_' || c_custkey || '_' || o_orderkey as full_id from customer join orders on 'job-' || c_custkey = 'job-' || o_custkey
 """)
 def parent_child(t: Tables) -> DataFrame:
-    from fleetspan.functions.urls import container_id
-
     apps = t.customer.select("c_name", F.concat(F.lit("application_"), F.col("c_custkey").cast("string")).alias("app_id"))
     children = t.orders.select("o_orderkey", F.concat(F.lit("application_"), F.col("o_custkey").cast("string")).alias("app_id"))
     return apps.join(children, "app_id").select(
@@ -327,10 +327,6 @@ select doc_id, cast(line_no as integer) as line_no from (
 where line_no >= case when doc_id % 3 = 0 then 0 when doc_id % 40 > n then 0 else doc_id % 40 end
 """)
 def tail_lines(t: Tables) -> DataFrame:
-    from fleetspan.functions.text import lines
-    from fleetspan.functions.text import body_lines
-    from fleetspan.sources.readers import tail_lines as tail
-
     docs = t.spread("documents").select(F.col("doc_id").alias("file"), F.size(body_lines(F.col("text"))).alias("length"), "text")
     offsets = t.documents.filter("doc_id % 3 <> 0").select(F.col("doc_id").alias("file"), (F.col("doc_id") % 40).alias("offset"))
     return tail(lines(docs, "text", "pos"), offsets).select(F.col("file").alias("doc_id"), F.col("pos").alias("line_no"))

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetspan.operators.snmp import drop_exceptions, omit
+from fleetspan.operators.snmp import error_reports as reports
 from fleetspan.operators import availability as AV
 from fleetspan.operators import config as CF
 from fleetspan.operators import events as EV
-from fleetspan.plans import inputs as I
 from fleetspan.plans.registry import Tables, query
+from fleetspan.plans import inputs as I
+from fleetspan.session import local_table
 
 
 @query("F1", f"""
@@ -124,17 +127,12 @@ select event_id, oid from (
   union all select event_id, '1.3.6.1.4.1.5.5' from events)
 """)
 def omitted_variables(t: Tables) -> DataFrame:
-    from fleetspan.operators.snmp import omit
-    from fleetspan.session import local_table
-
     bound = I.traps(t).select(F.col("trap_id").alias("event_id"), F.explode("varbinds").alias("v")).select("event_id", F.col("v.oid").alias("oid"))
     return omit(bound, local_table(t.spark, [("1.3.6.1.2.1.1.3",), ("1.3.6.1.4.1.900.2.3.7.2",)], "oid STRING"))
 
 
 @query("F8", "select l_suppkey, l_orderkey, l_linenumber, l_partkey from lineitem where l_tax <> 0.08")
 def readable_rows(t: Tables) -> DataFrame:
-    from fleetspan.operators.snmp import drop_exceptions
-
     rows = t.lineitem.select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", (F.col("l_tax") == 0.08).alias("is_exception"))
     return drop_exceptions(rows).drop("is_exception")
 
@@ -145,8 +143,6 @@ select user_id, cast(event_id as bigint) as event_id, case user_id % 2 when 0 th
 from events where event_type = 'error'
 """)
 def error_reports(t: Tables) -> DataFrame:
-    from fleetspan.operators.snmp import error_reports as reports
-
     bad = F.when(F.col("user_id") % 2 == 0, "1.3.6.1.6.3.15.1.1.2.0").otherwise("1.3.6.1.6.3.15.1.1.3.0")
     oids = (
         F.when(F.col("event_type") == "error", F.array(bad))

@@ -429,3 +429,16 @@ def test_index_decode(spark):
 @pytest.mark.parametrize("ticks, text", [(0, "0:00:00.00"), (123, "0:00:01.23"), (8640000 + 360000, "1 day, 1:00:00.00"), (3 * 8640000, "3 days, 0:00:00.00")])
 def test_ticks(spark, ticks, text):
     assert one(spark, O.ticks_text(F.lit(ticks).cast("bigint"))) == text
+
+
+def test_renames(spark):
+    df = spark.createDataFrame([("CorruptBlocks", 2.0), ("FilesCreated", 3.0), ("other", 1.0)], "metric STRING, value DOUBLE")
+    named = df.select(C.renamed_metric(F.col("metric"), C.ACTIVITY_RENAMES).alias("m"), "value").filter("m is not null")
+    assert {tuple(r) for r in named.collect()} == {("BlocksCorrupted", 2.0), ("FilesCreated", 3.0)}
+    bytes_of = C.rescaled_value(F.lit("CapacityUsedGB"), F.lit(2.0), C.STORAGE_RENAMES)
+    assert one(spark, bytes_of) == 2.0 * 1024**3
+
+
+def test_source_port_line(spark):
+    df = spark.createDataFrame([("agent.sources.s1.port = 4141\nagent.sinks.k.port = 5\n",)], "b STRING")
+    assert [r["address"] for r in A.harvest(df, "b", [], A.SOURCE_PORT_LINE).collect()] == ["4141"]
