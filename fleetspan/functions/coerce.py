@@ -131,6 +131,16 @@ def recency_ms(ts: Column, as_of: Column) -> Column:
 
 
 def octets_text(octets: Column, charset: str = "UTF-8") -> Column:
+    """Text of bytes; a byte the charset does not know becomes the replacement character.
+
+    Spark's own decoding fails the job on such a byte, unless the session says
+    otherwise, as ``session.prepare`` makes it do for the remaining charsets.
+    """
+    name = charset.upper().replace("_", "-")
+    if name in ("UTF-8", "UTF8"):
+        return F.make_valid_utf8(octets.cast("string"))
+    if name in ("ASCII", "US-ASCII"):
+        return F.regexp_replace(F.decode(octets, "ISO-8859-1"), r"[^\x00-\x7F]", "\ufffd")
     return F.decode(octets, charset)
 
 

@@ -106,7 +106,7 @@ def count_or_value(metric: str, value: Column) -> Column:
 
 def window_id(value: Column) -> Column:
     """Low 16 bits of a 64-bit window number."""
-    return value.cast("bigint").bitwiseAND(F.lit(0xFFFF).cast("bigint"))
+    return value.try_cast("bigint").bitwiseAND(F.lit(0xFFFF).cast("bigint"))
 
 
 def truncate(text: Column, limit: int, ellipsis: str = "") -> Column:
@@ -164,7 +164,7 @@ def wrapped(base: str | Extractor, *wrappers: Wrapper) -> Extractor:
 
 def low_bits_of_window_ids(metric: str, value: Column) -> Column:
     """Wrapper: metrics named ``...WindowId`` keep their low 16 bits."""
-    return window_id(value.try_cast("bigint")).cast("string") if metric.endswith("WindowId") else value
+    return window_id(value).cast("string") if metric.endswith("WindowId") else value
 
 
 def grouped_value(body: Column, metric: str) -> Column:

@@ -91,7 +91,7 @@ def _flat_row_sums(html: Column, width: int) -> Column:
 
     def sums(rows: Column) -> Column:
         def column(i: int) -> Column:
-            return F.aggregate(rows, F.lit(0).cast("bigint"), lambda total, cells: total + cells[i].cast("bigint"))
+            return F.aggregate(rows, F.lit(0).cast("bigint"), lambda total, cells: total + cells[i].try_cast("bigint"))
 
         return F.struct(F.array(*[column(i) for i in range(width)]).alias("sums"), F.size(rows).cast("bigint").alias("rows"))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fleetspan.functions.coerce import octets_text
+
 
 def oid_array(oid: Column) -> Column:
     """Sub-identifiers as integers."""
@@ -28,7 +30,7 @@ def drop_instance(oid: Column) -> Column:
 
 def _text_of_bytes(parts: Column) -> Column:
     digits = F.transform(parts, lambda b: F.lpad(F.hex(b.cast("bigint")), 2, "0"))
-    return F.decode(F.unhex(F.array_join(digits, "")), "UTF-8")
+    return octets_text(F.unhex(F.array_join(digits, "")))
 
 
 def decode_index(index: Column, columns: list[tuple[str, str]]) -> Column:

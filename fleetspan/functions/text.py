@@ -96,7 +96,7 @@ def leading_integer_sum(output: Column) -> Column:
     sizes = F.regexp_extract_all(output, F.lit(r"(?m)^(\d+)"), F.lit(1))
     return F.when(
         F.size(sizes) > 0,
-        F.aggregate(sizes, F.lit(0).cast("bigint"), lambda acc, s: acc + s.cast("bigint")),
+        F.aggregate(sizes, F.lit(0).cast("bigint"), lambda acc, s: acc + s.try_cast("bigint")),
     )
 
 

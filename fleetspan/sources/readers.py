@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetspan import schema
+from fleetspan.functions.coerce import octets_text
 from fleetspan.functions.text import lines
 
 
@@ -44,7 +45,7 @@ def read_bodies(spark: SparkSession, path: str, charset: str = "UTF-8") -> DataF
     """Whole files as (resource_key, body, content_length, last_modified)."""
     return spark.read.format("binaryFile").load(path).select(
         F.col("path").alias("resource_key"),
-        F.decode("content", charset).alias("body"),
+        octets_text(F.col("content"), charset).alias("body"),
         F.col("length").alias("content_length"),
         F.unix_millis("modificationTime").alias("last_modified"),
     )

@@ -442,3 +442,20 @@ def test_renames(spark):
 def test_source_port_line(spark):
     df = spark.createDataFrame([("agent.sources.s1.port = 4141\nagent.sinks.k.port = 5\n",)], "b STRING")
     assert [r["address"] for r in A.harvest(df, "b", [], A.SOURCE_PORT_LINE).collect()] == ["4141"]
+
+
+def test_bad_bytes_do_not_fail(spark):
+    bad = F.unhex(F.lit("C3A941FF"))
+    assert one(spark, C.octets_text(bad)) == "éA\ufffd"
+    assert one(spark, C.octets_text(bad, "ascii")) == "\ufffd\ufffdA\ufffd"
+    assert one(spark, C.octets_text(bad, "ISO-8859-1")) == "Ã©Aÿ"
+    assert one(spark, C.octets_text(F.unhex(F.lit("D800")), "UTF-16BE")) == "\ufffd"
+
+
+def test_numbers_too_long_give_nothing(spark):
+    digits = "9" * 30
+    assert one(spark, T.leading_integer_sum(F.col("b")), b=f"{digits} /a") is None
+    assert one(spark, H.row_sums(F.col("b"), 1), b=f"<table><tr><td>{digits}</td></tr></table>")["sums"] == [None]
+    assert one(spark, X.window_id(F.col("b")), b=digits) is None
+    assert one(spark, C.typed_int(F.col("b"), 4), b=digits) == 4
+    assert one(spark, O.decode_index(O.oid_array(F.col("b")), [("n", "int")]), b=digits) == {"n": None}
