@@ -2,17 +2,19 @@
 
 Each job runs the batch operator on a micro-batch and writes the result under
 its epoch number, so a batch that is run again overwrites itself. Jobs with
-state keep it as a table of one row per key beside the output: the next batch
-reads the state of the epoch before. State and scratch tables alternate
-between two folders, so they do not pile up: a batch only ever overwrites what
-the batch before the last one left. A key with a third of the rows is handled
-by the batch operator's own segmentation, never by one task.
+state keep one row per key beside the output: every batch writes the rows it
+touched, and every so often they are merged into a whole table. A batch reads
+the state of its own keys only. State and scratch folders are used in turn, so
+they do not pile up, and a batch that is run again finds what it found before.
+A key with a third of the rows is handled by the batch operator's own
+segmentation, never by one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,8 +44,11 @@ class Place:
     def out(self, epoch: int | None = None) -> str:
         return f"{self.root}/out" if epoch is None else f"{self.root}/out/epoch={epoch}"
 
-    def state(self, epoch: int) -> str:
-        return f"{self.root}/state/slot{epoch % 2}"
+    def delta(self, epoch: int, every: int) -> str:
+        return f"{self.root}/state/delta{epoch % (2 * every)}"
+
+    def whole(self, number: int) -> str:
+        return f"{self.root}/state/whole{number % 2}"
 
     def scratch(self, epoch: int, label: str) -> str:
         return f"{self.root}/scratch/slot{epoch % 2}/{label}"
@@ -71,6 +76,31 @@ def run_stateless(stream: DataFrame, place: Place, transform: Callable[[DataFram
     return start(stream, place, batch, every)
 
 
+def read_state(
+    spark: SparkSession, place: Place, epoch: int, keys: Sequence[str], state_ddl: str, merge_every: int, only: DataFrame | None = None
+) -> DataFrame:
+    """State as it is before ``epoch``, of the keys in ``only`` or of all.
+
+    The last whole table and the rows touched since: cut down to the wanted
+    keys first, then the newest row of each key.
+    """
+    whole = epoch // merge_every
+    folders = [(-1, place.whole(whole))] if whole else []
+    folders += [(e, place.delta(e, merge_every)) for e in range(whole * merge_every, epoch)]
+    parts = []
+    for age, folder in folders:
+        part = spark.read.schema(state_ddl).parquet(folder)
+        if only is not None:
+            part = part.join(only, list(keys), "left_semi")
+        parts.append(part.withColumn("_age", F.lit(age)))
+    if not parts:
+        return spark.createDataFrame([], state_ddl)
+    columns = [c for c in parts[0].columns if c != "_age"]
+    rest = [c for c in columns if c not in keys]
+    newest = last_wins(reduce(DataFrame.unionByName, parts), keys, ["_age"], rest) if len(parts) > 1 else parts[0]
+    return newest.select(*columns)
+
+
 def run_with_state(
     stream: DataFrame,
     place: Place,
@@ -78,30 +108,38 @@ def run_with_state(
     state_ddl: str,
     step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]],
     every: str | None = None,
+    merge_every: int = 16,
 ) -> StreamingQuery:
     """Apply ``step(rows, state) -> (results, touched state)`` to each micro-batch.
 
-    Only touched keys are recomputed; the others are carried to the next state table.
+    ``state`` holds the keys of the batch. After every ``merge_every`` batches
+    the touched rows are merged into a new whole table.
     """
     spark = stream.sparkSession
 
     def batch(rows: DataFrame, epoch: int) -> None:
-        old = (
-            spark.read.schema(state_ddl).parquet(place.state(epoch - 1))
-            if epoch > 0
-            else spark.createDataFrame([], state_ddl)
-        )
-        # Two results are written from these rows, so they are fixed first.
+        # Results and state are both computed from these rows, so they are fixed first.
         fixed = materialize(rows, "rows", place.scratch(epoch, "rows"), spark)
-        results, touched = step(fixed, old)
-        results.write.mode("overwrite").parquet(place.out(epoch))
-        touched = materialize(touched, "touched", place.scratch(epoch, "touched"), spark)
-        kept = old.join(touched.select(*keys), list(keys), "left_anti")
-        kept.unionByName(touched).write.mode("overwrite").parquet(place.state(epoch))
+        wanted = fixed.select(*keys).distinct()
+        old = read_state(spark, place, epoch, keys, state_ddl, merge_every, wanted)
+        found, touched = step(fixed, materialize(old, "old", place.scratch(epoch, "old"), spark))
+        found.write.mode("overwrite").parquet(place.out(epoch))
+        touched.write.mode("overwrite").parquet(place.delta(epoch, merge_every))
+        if (epoch + 1) % merge_every == 0:
+            # The last whole table is read and the other one of the two is written.
+            merged = _merged(spark, place, epoch, keys, state_ddl, merge_every)
+            merged.write.mode("overwrite").parquet(place.whole((epoch + 1) // merge_every))
 
     return start(stream, place, batch, every)
 
 
+def _merged(spark: SparkSession, place: Place, epoch: int, keys: Sequence[str], state_ddl: str, merge_every: int) -> DataFrame:
+    """Whole state after ``epoch``, made of the last whole table and the rows touched since."""
+    before = read_state(spark, place, epoch, keys, state_ddl, merge_every)
+    touched = spark.read.schema(state_ddl).parquet(place.delta(epoch, merge_every))
+    return before.join(touched.select(*keys), list(keys), "left_anti").unionByName(touched)
+
+
 def results(spark: SparkSession, place: Place) -> DataFrame:
     """All results written so far."""
     return spark.read.parquet(place.out()).drop("epoch")

@@ -46,7 +46,7 @@ def stream(spark, df, label):
 @pytest.mark.parametrize("policy", [CUT, HotKeyPolicy()])
 def test_state_changes_over_batches(spark, runs, policy):
     source, place = stream(spark, runs, "changes")
-    S.run_with_state(source, place, ["k"], "k STRING, last_code INT", S.change_step(["k"], ["ts", "id"], "code", policy)).awaitTermination()
+    S.run_with_state(source, place, ["k"], "k STRING, last_code INT", S.change_step(["k"], ["ts", "id"], "code", policy), merge_every=2).awaitTermination()
     batch = EV.exit_events(runs, ["k"], ["ts", "id"], "code")
     assert rows(S.results(spark, place), "k", "id", "code", "previous", "severity") == rows(batch, "k", "id", "code", "previous", "severity")
 
@@ -67,7 +67,19 @@ def test_last_value_over_batches_and_restart(spark, runs):
         # The second run finds nothing new and changes nothing.
         source = S.read_stream(spark, path, df.schema, files_per_batch=2)
         S.run_with_state(source, place, ["k"], "k STRING, id BIGINT, code INT", S.last_value_step(["k"], ["id"], "code")).awaitTermination()
-    newest = spark.read.parquet(place.state(1))
+    newest = S.read_state(spark, place, 2, ["k"], "k STRING, id BIGINT, code INT", 16)
+    assert rows(newest, "k", "id", "code") == rows(df.groupBy("k").agg(F.max("id").alias("id"), F.max_by("code", "id").alias("code")), "k", "id", "code")
+
+
+@pytest.mark.parametrize("merge_every", [1, 2, 3, 16])
+def test_state_is_the_same_however_often_it_is_merged(spark, runs, merge_every):
+    df = runs.select("k", "id", "code")
+    place = S.Place(scratch_path(spark, "merge"))
+    ddl = "k STRING, id BIGINT, code INT"
+    source = S.read_stream(spark, as_files(spark, df, "merge", "id", 7), df.schema, files_per_batch=1)
+    step = S.last_value_step(["k"], ["id"], "code")
+    S.run_with_state(source, place, ["k"], ddl, step, merge_every=merge_every).awaitTermination()
+    newest = S.read_state(spark, place, 7, ["k"], ddl, merge_every)
     assert rows(newest, "k", "id", "code") == rows(df.groupBy("k").agg(F.max("id").alias("id"), F.max_by("code", "id").alias("code")), "k", "id", "code")
 
 
