@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["language"]
+MODULES = ["toxicity", "language"]
 
 
 def load_all() -> dict:
