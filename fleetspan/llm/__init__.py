@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["toxicity", "language", "templates"]
+MODULES = ["mixing", "toxicity", "language", "templates"]
 
 
 def load_all() -> dict:
