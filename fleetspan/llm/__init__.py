@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["mixing", "toxicity", "extraction", "posting", "language", "templates", "jaccard"]
+MODULES = ["mixing", "hmm", "toxicity", "extraction", "posting", "language", "templates", "jaccard"]
 
 
 def load_all() -> dict:
