@@ -8,7 +8,19 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["mixing", "hmm", "toxicity", "extraction", "posting", "language", "templates", "jaccard"]
+#: In the order of the operators' numbers.
+MODULES = [
+    "mixing",
+    "chat",
+    "hmm",
+    "toxicity",
+    "fixity",
+    "extraction",
+    "posting",
+    "language",
+    "templates",
+    "jaccard",
+]
 
 
 def load_all() -> dict:
