@@ -12,7 +12,7 @@ found by running sums: inside runs of bounded length of a conversation first,
 then over the runs. No task needs a whole conversation, and a long one is
 rendered in parts.
 
-Defined results: turns are ordered by turn (nulls first), role and text;
+Defined results: turns are ordered by turn (a null before 0), role and text;
 repeated rows count once. A null role is rendered as ``unknown``, a null text as
 empty, but they differ from these in the comparison. Rows without conv_id form
 one conversation without id. Marks of the format inside texts and roles are
@@ -42,7 +42,7 @@ def turns_of(conversations: DataFrame) -> DataFrame:
     rows = conversations.select(
         F.col("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text")
     )
-    run = F.coalesce(F.floor(F.col("turn") / RUN).cast("long"), F.lit(-(2**62)))
+    run = F.floor(F.coalesce("turn", F.lit(0)) / RUN).cast("long")
     return rows.distinct().withColumn("run", run)
 
 
@@ -51,7 +51,7 @@ def prefixes(turns: DataFrame) -> DataFrame:
     # Nulls differ from any text: the hash of a null is its seed, so a flag goes with it.
     parts = [F.col("role"), F.col("role").isNull(), F.col("text"), F.col("text").isNull()]
     rows = turns.select("conv_id", "run", "turn", F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(1), *parts).alias("b"), "role", "text")
-    inside = Window.partitionBy("conv_id", "run").orderBy(F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())
+    inside = Window.partitionBy("conv_id", "run").orderBy(F.coalesce("turn", F.lit(0)), F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())
     rows = rows.select("conv_id", "run", "a", "b", F.row_number().over(inside).alias("at"))
     rows = materialize(rows, "chat-turns")
 
@@ -103,8 +103,8 @@ def render(turns: DataFrame, kept: DataFrame) -> DataFrame:
         F.lit(CLOSE + "\n"),
     )
     found = turns.join(kept.select(F.col("conv_id").alias("_conv")), F.col("conv_id").eqNullSafe(F.col("_conv")), "left_semi")
-    row = F.struct(F.col("turn"), F.col("role"), F.col("text"), line.alias("line"))
-    parts = found.groupBy("conv_id", "run").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    row = F.struct(F.coalesce("turn", F.lit(0)).alias("at"), F.col("turn"), F.col("role"), F.col("text"), line.alias("line"))
+    parts = found.groupBy("conv_id", "run").agg(F.sort_array(F.collect_list(row)).alias("rows"))
     parts = parts.select("conv_id", "run", F.size("rows").alias("n_turns"), F.array_join(F.col("rows")["line"], "").alias("rendered"))
     part = F.row_number().over(Window.partitionBy("conv_id").orderBy("run")) - 1
     return parts.select("conv_id", part.alias("part"), "n_turns", "rendered")
@@ -126,14 +126,14 @@ with turns as (
 ), so_far as (
   select conv_id, md5(string_agg(md5(coalesce('r' || role, 'n') || chr(1) || coalesce('t' || text, 'n')), '') over w) as h,
     row_number() over w as place, count(*) over (partition by conv_id) as size
-  from turns window w as (partition by conv_id order by turn nulls first, role nulls first, text nulls first
+  from turns window w as (partition by conv_id order by coalesce(turn, 0), turn nulls first, role nulls first, text nulls first
     rows between unbounded preceding and current row)
 ), kept as (
   select min(conv_id) as conv_id from so_far where place = size
     and (place, h) not in (select place, h from so_far where place < size) group by place, h
 )
 select t.conv_id, 0 as part, count(*)::int as n_turns,
-  string_agg(line, '' order by turn nulls first, role nulls first, text nulls first) as rendered
+  string_agg(line, '' order by coalesce(turn, 0), turn nulls first, role nulls first, text nulls first) as rendered
 from turns t join kept k on t.conv_id is not distinct from k.conv_id group by t.conv_id
 """
 

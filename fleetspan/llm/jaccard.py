@@ -359,7 +359,10 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_R
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group the document with the smallest id; documents without an id stay."""
+    """Pipeline stage: of each group the document with the smallest id.
+
+    Rows with the same id are one document. Rows without an id can't be named by the result and stay.
+    """
     session(spark)
     kept = materialize(join(docs).where(F.col("doc_id") == F.col("class_id")).select("doc_id"), "jaccard-kept")
     found = docs.join(kept.distinct(), "doc_id", "left_semi").select(*docs.columns)

@@ -117,9 +117,12 @@ def fit_centroids(sample: np.ndarray, n: int, rounds: int = 20) -> np.ndarray:
         own, near = np.zeros(len(sample), int), np.zeros(len(sample))
         for i in range(0, len(sample), 4096):
             d = squared(sample[i : i + 4096], points) + handicap
-            own[i : i + 4096], near[i : i + 4096] = d.argmin(1), d.min(1)
+            own[i : i + 4096] = d.argmin(1)
+            near[i : i + 4096] = np.take_along_axis(d, own[i : i + 4096, None], 1)[:, 0] - handicap[own[i : i + 4096]]
         size = np.bincount(own, minlength=n)
-        handicap += 0.1 * near.mean() * np.log((size + 1) / (len(sample) / n + 1)) / (1 + step / 5)
+        # In the units of the cluster's own spread, as dense and wide clusters may lie side by side.
+        spread = (np.bincount(own, np.maximum(near, 0), n) + near.mean()) / (size + 1)
+        handicap += 0.1 * spread * np.log((size + 1) / (len(sample) / n + 1)) / (1 + step / 5)
         if step < rounds // 2:
             total = np.zeros_like(points)
             np.add.at(total, own, sample)

@@ -193,7 +193,8 @@ def label_model(votes: np.ndarray, of: np.ndarray, rounds: int = EM_ROUNDS) -> t
     which says nothing; only the last one, the given label, votes both ways. The
     balance of the classes is that of the given labels. ``of`` weighs the texts.
     A voter's weight is 1 over the sum of its squared correlations inside the
-    classes, itself included, so copies of a voter count once together.
+    classes, itself included, so copies of a voter count once together. The given
+    label anchors the classes and keeps its full weight.
     """
     posterior = 0.02 + 0.96 * votes[:, -1]
     weights = np.ones(votes.shape[1])
@@ -207,7 +208,7 @@ def label_model(votes: np.ndarray, of: np.ndarray, rounds: int = EM_ROUNDS) -> t
             left = votes - rates[0] - posterior[:, None] * (rates[1] - rates[0])
             spread = np.sqrt(of @ left**2 / of.sum()) + 1e-9
             correlation = (left.T * of) @ left / of.sum() / np.outer(spread, spread)
-            weights = 1 / np.maximum(1, (np.maximum(correlation, 0) ** 2).sum(0))
+            weights[:-1] = 1 / np.maximum(1, (np.maximum(correlation[:-1, :-1], 0) ** 2).sum(0))
         fired = np.log(rates[1] / rates[0]) * weights
         silent = np.zeros_like(fired)
         silent[-1] = np.log((1 - rates[1, -1]) / (1 - rates[0, -1])) * weights[-1]
