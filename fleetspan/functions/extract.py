@@ -52,10 +52,26 @@ def _json_steps(steps: list[str], lists: bool) -> list[str]:
     return ["$" + "".join(path) for path in product(*choices)]
 
 
+def _plain(steps: list[str]) -> bool:
+    """Whether JSONPath can name the keys; quotes, brackets and a star mean something else to it."""
+    return not any(set(s) & set("'\"*[]\\") for s in steps)
+
+
+def _by_steps(body: Column, steps: list[str], lists: bool) -> Column:
+    """Value below any keys, one object or list at a time."""
+    for step in steps:
+        value = F.try_element_at(F.from_json(body, "MAP<STRING, STRING>"), F.lit(step))
+        if lists and step.isdigit():
+            value = F.coalesce(value, F.get(F.from_json(body, "ARRAY<STRING>"), F.lit(int(step))))
+        body = value
+    return body
+
+
 def json_path(body: Column, path: str) -> Column:
     """Value at ``path`` whose first character is the separator, as in ``/body/0``.
 
-    The separator is literal. A missing step, or one below a scalar, gives null.
+    The separator is literal, and so are the keys. A missing step, or one below
+    a scalar, gives null.
     """
     if not path:
         return F.lit(None).cast("string")
@@ -64,11 +80,15 @@ def json_path(body: Column, path: str) -> Column:
         steps.pop()
     if not steps:
         return F.when(body.rlike(r"^\s*\{"), body)
+    if not _plain(steps):
+        return _by_steps(body, steps, lists=True)
     return F.coalesce(*[F.get_json_object(body, p) for p in _json_steps(steps, lists=True)])
 
 
 def map_path(body: Column, dotted: str) -> Column:
     """Value at ``a.b.c`` through nested maps; null as soon as a step is not a map."""
+    if not _plain(dotted.split(".")):
+        return _by_steps(body, dotted.split("."), lists=False)
     return F.get_json_object(body, _json_steps(dotted.split("."), lists=False)[0])
 
 

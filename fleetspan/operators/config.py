@@ -60,13 +60,13 @@ def flat_value(values: Column) -> Column:
 
 
 def overlay(base: DataFrame, override: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
-    """Settings of both sides; where both have a key the override's value counts."""
+    """Settings of both sides; where both have a key the override's value counts, unless it is null."""
     sides = [
         side.select(*keys, F.col(value).alias("_v"), F.lit(rank).alias("_rank"))
         for rank, side in enumerate((base, override))
     ]
     merged = sides[0].unionByName(sides[1])
-    return merged.groupBy(*keys).agg(F.max_by("_v", "_rank").alias(value))
+    return merged.groupBy(*keys).agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_rank"))).alias(value))
 
 
 def service_settings(df: DataFrame, body: str, root: str, keep: Sequence[str] = ()) -> DataFrame:

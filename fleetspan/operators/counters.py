@@ -27,9 +27,10 @@ def delta_ratio(
 ) -> DataFrame:
     """Hits over hits plus misses since the last sample; the first sample counts from 0.
 
-    No value where nothing was counted, or where a counter went back.
+    Of samples with the same key and time only the largest counts, as in a stream. No value where nothing was counted, or where a counter went back.
     """
     zero = F.lit(0).cast("bigint")
+    df = one_per_time(df, keys, ts, [hits, misses], [hits, misses])
     rows = with_previous(df, keys, [ts], {"_hits": (hits, zero), "_misses": (misses, zero)}, policy)
     return _ratio(rows, hits, misses, out)
 
@@ -50,10 +51,11 @@ def counter_rate(
 ) -> DataFrame:
     """Add ``delta`` and ``rate`` per second since the previous sample of the key.
 
-    After a reset the counter itself is the delta, or null with ``on_reset="null"``.
+    Of samples with the same key and time only the largest counts. After a reset the counter itself is the delta, or null with ``on_reset="null"``.
     """
     if on_reset not in ("value", "null"):
         raise ValueError(f"unknown reset rule {on_reset}")
+    df = one_per_time(df, keys, ts, [value], [value])
     rows = with_previous(df, keys, [ts], {"_value": (value, None), "_ts": (ts, None)}, policy)
     step = F.col(value) - F.col("_value")
     reset = F.col(value) if on_reset == "value" else F.lit(None)

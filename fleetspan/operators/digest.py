@@ -2,110 +2,94 @@
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _ENTRY = "ARRAY<STRUCT<key: STRING, kind: STRING, text: STRING>>"
 
+#: Stand for an escaped backslash and an escaped quote while a document is cut into tokens (private-use characters).
+_BACKSLASH, _QUOTE = "\uE000", "\uE001"
+_TOKEN = r'"[^"]*+"|[{}\[\]:,]|[^\s{}\[\]:,"]++'
+_NUMBER = r"^-?(0|[1-9]\d*+)(\.\d++)?([eE][+-]?\d++)?$"
 
-def _leaf_walker():
-    """The document walker as an Arrow-batched function.
 
-    Everything it needs is defined inside, so it travels to the executors by
-    value and the package need not be installed there.
-    """
+def _tokens(body: Column) -> Column:
+    """Strings (in quotes), marks and bare words of a document, in order."""
+    held = F.replace(F.replace(body, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+    return F.regexp_extract_all(held, F.lit(_TOKEN), F.lit(0))
+
+
+def _unquoted(token: Column) -> Column:
+    """Text of a string token."""
+    text = F.replace(F.replace(token, F.lit(_BACKSLASH), F.lit("\\\\")), F.lit(_QUOTE), F.lit('\\"'))
+    # Only a token with an escape is parsed.
+    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "ARRAY<STRING>")[0]
+    return F.when(F.instr(text, "\\") > 0, parsed).otherwise(F.substring(text, F.lit(2), F.length(text) - 2))
 
-    class Number(str):
-        """A JSON number kept as its own text."""
-
-    class Fields(list):
-        """The fields of an object in document order, repeated keys included."""
-
-    def leaves(text: str) -> dict[str, str]:
-        found: dict[str, str] = {}
-        stack: list = [json.loads(text, object_pairs_hook=Fields, parse_int=Number, parse_float=Number)]
-        while stack:
-            node = stack.pop()
-            if isinstance(node, tuple):
-                key, value = node
-                if isinstance(value, Number):
-                    found[key] = "n" + value
-                elif isinstance(value, str) and value:
-                    found[key] = "s" + value
-                elif isinstance(value, list):
-                    stack.append(value)
-            elif isinstance(node, list):
-                # Fields are tuples; a bare scalar in a list has no key.
-                stack.extend(child for child in reversed(node) if isinstance(child, tuple | list))
-        return found
-
-    def one(text: str | None) -> str | None:
-        if text is None:
-            return None
-        try:
-            return json.dumps(leaves(text))
-        except (ValueError, RecursionError):
-            return None
-
-    def batch(bodies: pd.Series) -> pd.Series:
-        return bodies.map(one)
-
-    return F.pandas_udf(batch, "string")
-
-
-def digest_entries(body: Column, nested: bool = True) -> Column:
-    """ARRAY<STRUCT(key, kind, text)> of a document; kind is ``n`` for a number, ``s`` for a string.
-
-    Booleans, nulls and bare list elements are left out; of a repeated key the
-    last one in document order counts. A flat object stays in the JVM. Only
-    documents that nest, repeat a key or fail to parse as a flat object are
-    handed to an Arrow-batched walker, which takes any depth. ``nested=False``
-    promises flat documents and drops the walker from the plan.
+
+def well_formed(body: Column) -> Column:
+    """Whether a body is one JSON object or list.
+
+    Spark's parser decides, but it stops at the end of the first value and
+    refuses documents of about a thousand levels. So brackets must balance, and
+    a closing one must be followed by a mark; that is all a deep document needs.
+    """
+    shape = body.rlike(r"(?s)^\s*(\{.*\}|\[.*\])\s*$")
+    count = lambda mark: F.length(bare) - F.length(F.replace(bare, F.lit(mark), F.lit("")))
+    held = F.replace(F.replace(body, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+    bare = F.regexp_replace(held, r'"[^"]*+"', "")
+    whole = (count("{") == count("}")) & (count("[") == count("]")) & ~bare.rlike(r"[}\]]\s*[^\s,}\]]")
+    deep = (count("{") + count("[") > 900) & ~F.contains(bare, F.lit('"'))
+    return F.coalesce(shape & whole & (F.from_json(body, "VARIANT", {"allowSingleQuotes": "false"}).isNotNull() | deep), F.lit(False))
+
+
+def digest_entries(body: Column) -> Column:
+    """ARRAY<STRUCT(key, kind, text)> of a document, by key; kind is ``n`` for a number, ``s`` for a string.
+
+    Booleans, nulls, empty strings and bare list elements are left out; of a
+    repeated key the last leaf in document order counts. A leaf is a string, a
+    colon and a scalar, at whatever depth, so flat, nested and very deep
+    documents are read alike, in one pass inside the JVM. Null for a broken
+    document: see ``digest_errors``.
     """
-    # A map is parsed only for text that opens one object and no list.
-    candidate = F.when(body.rlike(r"^\s*\{[^{\[]*$"), body)
-
-    def entry(e: Column) -> Column:
-        kind = F.schema_of_variant(e["value"])
-        text = F.try_variant_get(e["value"], "$", "string")
-        return F.struct(
-            e["key"].alias("key"),
-            F.when(kind == "STRING", "s").when(kind.rlike("^(BIGINT|DOUBLE|DECIMAL|FLOAT)"), "n").alias("kind"),
-            text.alias("text"),
-        )
-
-    def of_flat(fields: Column) -> Column:
-        """Entries of a parsed flat object; null where a key repeats."""
-        leaves = F.filter(F.transform(F.map_entries(fields), entry), lambda e: e["kind"].isNotNull() & (e["text"] != ""))
-        return F.when(F.size(F.array_distinct(F.map_keys(fields))) == F.size(fields), leaves)
-
-    # The one-element list binds the parsed map, so that it is parsed once.
-    bound = F.array(F.from_json(candidate, "MAP<STRING, VARIANT>"))
-    in_jvm = F.transform(bound, of_flat)[0].cast(_ENTRY)
-    if not nested:
-        return in_jvm
-    walked = F.transform(
-        F.map_entries(F.from_json(_leaf_walker()(F.when(in_jvm.isNull(), body)), "MAP<STRING, STRING>")),
-        lambda e: F.struct(
-            e["key"].alias("key"),
-            F.substring(e["value"], 1, 1).alias("kind"),
-            F.substring(e["value"], 2, 1 << 30).alias("text"),
-        ),
-    ).cast(_ENTRY)
-    return F.coalesce(in_jvm, walked)
-
-
-def json_digest(df: DataFrame, body: str, keep: list[str], nested: bool = True) -> DataFrame:
+    def entry(t: Column, i: Column) -> Column:
+        key, mark, value = F.get(t, i), F.get(t, i + 1), F.get(t, i + 2)
+        string = F.startswith(value, F.lit('"'))
+        kind = F.when(~F.startswith(key, F.lit('"')) | (mark != ":"), None).when(string, "s").when(value.rlike(_NUMBER), "n")
+        return F.struct(key.alias("key"), i.alias("at"), kind.alias("kind"), value.alias("text"))
+
+    def last_of_key(all_: Column) -> Column:
+        following = lambda i: F.get(all_, i + 1)["key"]
+        return F.filter(all_, lambda e, i: ~e["key"].eqNullSafe(following(i)))
+
+    def leaves(t: Column) -> Column:
+        found = F.transform(F.sequence(F.lit(0), F.greatest(F.size(t) - 3, F.lit(0))), lambda i: entry(t, i))
+        found = F.filter(found, lambda e: e["kind"].isNotNull() & (e["text"] != '""'))
+        plain = lambda e: F.when(e["kind"] == "n", e["text"]).otherwise(_unquoted(e["text"]))
+        named = F.transform(found, lambda e: F.struct(_unquoted(e["key"]).alias("key"), e["at"].alias("at"), e["kind"].alias("kind"), plain(e).alias("text")))
+        # Sorted by key and place, so that the last leaf of a key is the one before another key.
+        return F.transform(F.array(F.sort_array(named)), last_of_key)[0]
+
+    # One-element lists bind what is computed once.
+    tokens = F.when(well_formed(body), _tokens(body))
+    bound = F.transform(F.array(tokens), lambda t: F.when(t.isNotNull(), leaves(t)))[0]
+    return F.transform(bound, lambda e: F.struct(e["key"].alias("key"), e["kind"].alias("kind"), e["text"].alias("text"))).cast(_ENTRY)
+
+
+def digest_errors(df: DataFrame, body: str, keep: list[str]) -> DataFrame:
+    """Rows (keep..., error) of the documents that a digest finds broken."""
+    broken = F.col(body).isNotNull() & ~well_formed(F.col(body))
+    return df.filter(broken).select(*keep, F.lit("no JSON document").alias("error"))
+
+
+def json_digest(df: DataFrame, body: str, keep: list[str]) -> DataFrame:
     """Rows (keep..., key, value, number) of every leaf of every document.
 
     ``number`` is null for a string. A fraction or exponent is shown as a double.
     """
     text = F.col("_e.text")
     value = F.when((F.col("_e.kind") == "n") & text.rlike("[.eE]"), text.try_cast("double").cast("string")).otherwise(text)
-    return df.select(*keep, F.explode(digest_entries(F.col(body), nested)).alias("_e")).select(
+    return df.select(*keep, F.explode(digest_entries(F.col(body))).alias("_e")).select(
         *keep,
         F.col("_e.key").alias("key"),
         value.alias("value"),
@@ -113,10 +97,10 @@ def json_digest(df: DataFrame, body: str, keep: list[str], nested: bool = True)
     )
 
 
-def numeric_digest(df: DataFrame, body: str, keep: list[str], nested: bool = True) -> DataFrame:
+def numeric_digest(df: DataFrame, body: str, keep: list[str]) -> DataFrame:
     """Rows (keep..., key, value DOUBLE) of the numbers and of the strings that parse as one."""
     return (
-        df.select(*keep, F.explode(digest_entries(F.col(body), nested)).alias("_e"))
+        df.select(*keep, F.explode(digest_entries(F.col(body))).alias("_e"))
         .select(*keep, F.col("_e.key").alias("key"), F.col("_e.text").try_cast("double").alias("value"))
         .filter(F.col("value").isNotNull())
     )

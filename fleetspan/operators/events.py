@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetspan.functions.coerce import INTEGER_TYPES
+from fleetspan.functions.extract import output_text
 from fleetspan.functions.oid import drop_instance, starts_with_oid, ticks_text
 from fleetspan.functions.text import scrub
 from fleetspan.operators.skew import DEFAULT_POLICY, HotKeyPolicy, with_previous
@@ -130,9 +131,12 @@ def decode_traps(
 
     Variables are taken apart, named and decoded by joins with the dictionary,
     and put together again per trap: a trap's variables are bounded by its
-    packet, so that last grouping has no large group.
+    packet, so that last grouping has no large group. A trap is known by its id
+    and its content: one delivered several times gives one event, and traps
+    without an id stay apart.
     """
-    head = classify(traps, rules, default, compat).withColumn("source", trap_source(source_oid))
+    content = F.xxhash64(*[F.col(c) for c in traps.columns])
+    head = classify(traps.withColumn("_trap", content), rules, default, compat).withColumn("source", trap_source(source_oid))
     v1_header = F.when(
         F.col("version") == 1,
         F.concat(
@@ -152,7 +156,9 @@ def decode_traps(
             F.when(F.lit(False), whole).alias("whole"),
         ),
     )
-    parts = head.select("trap_id", F.posexplode(F.concat(F.array(first), rest)).alias("pos", "_v")).select("trap_id", "pos", "_v.*")
+    parts = head.select("trap_id", "_trap", F.posexplode(F.concat(F.array(first), rest)).alias("pos", "_v")).select(
+        "trap_id", "_trap", "pos", "_v.*"
+    )
     if omitted:
         parts = parts.filter((F.col("pos") == 0) | ~F.col("oid").isin(*[o.removesuffix(".0") for o in omitted]))
     named = oid_names(parts, mib)
@@ -171,9 +177,9 @@ def decode_traps(
     )
     # One grouping puts the traps together again: the only shuffle of the job.
     line = F.struct("pos", F.col("oid_name").alias("name"), F.col("_text").alias("value"))
-    grouped = texts.groupBy("trap_id").agg(
+    grouped = texts.groupBy("trap_id", "_trap").agg(
         F.max(F.when(F.col("pos") == 0, F.struct("whole.*", F.col("oid_name").alias("enterprise")))).alias("_w"),
-        F.collect_list(F.when(F.col("pos") > 0, line)).alias("_lines"),
+        F.collect_set(F.when(F.col("pos") > 0, line)).alias("_lines"),
     )
     header = F.coalesce(
         F.concat("_w.header", F.coalesce("_w.enterprise", F.lit("")), F.lit("\n")), F.lit("")
@@ -211,5 +217,5 @@ def exit_events(
     valid = runs.filter(F.col(code).isin(*EXIT_SEVERITY))
     changes = state_changes(valid, keys, order, code, F.lit(0).cast(runs.schema[code].dataType), policy)
     text = F.concat(F.lit("exit code "), F.col(code).cast("string"))
-    detail = text if output is None else F.when(F.coalesce(F.length(output), F.lit(0)) == 0, text).otherwise(output)
+    detail = text if output is None else F.when(F.coalesce(F.length(output), F.lit(0)) == 0, text).otherwise(output_text(output))
     return changes.withColumns({"severity": exit_severity(F.col(code)), "detail": detail})

@@ -60,8 +60,11 @@ def one_per_key(rows: DataFrame) -> DataFrame:
     )
 
 
-def upsert_inventory(old: DataFrame, new: DataFrame, keys: Sequence[str] = ("type", "key")) -> DataFrame:
-    """Old and new resources by key: a new row replaces the old one's values it states."""
+def upsert_inventory(old: DataFrame, new: DataFrame, keys: Sequence[str] = ("type", "parent_key", "key")) -> DataFrame:
+    """Old and new resources by key: a new row replaces the old one's values it states.
+
+    A resource is known by its type, parent and key, as in ``one_per_key``.
+    """
     rest = [c for c in old.columns if c not in keys]
     ranked = old.withColumn("_rank", F.lit(0)).unionByName(new.withColumn("_rank", F.lit(1)))
     return ranked.groupBy(*keys).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_rank"))).alias(c) for c in rest]).select(

@@ -32,7 +32,7 @@ def report(
     """
     names = [c for c in definitions.columns if c in (*resource, "metric")]
     if not fallbacks:
-        return values.join(definitions, names)
+        return values.filter(F.col("value").isNotNull()).join(definitions, names)
     ranked = [
         s.select(*resource, "metric", "value", F.lit(rank).alias("_rank"))
         for rank, s in enumerate((values, *fallbacks))
@@ -80,10 +80,16 @@ def report_map(df: DataFrame, resource: Sequence[str], metrics: Sequence[str], v
 
 
 def contract(
-    definitions: DataFrame, reported: DataFrame, resource_type: str = "resource_type", resource: str = "resource_key"
+    definitions: DataFrame,
+    reported: DataFrame,
+    resource_type: str = "resource_type",
+    resource: str = "resource_key",
+    inventory: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(declared but not reported, reported but not declared), both per resource.
 
+    ``inventory`` has the resources that should report; one that is silent
+    misses all its type declares. Without it the reporting resources are taken.
     The metrics a resource reports are collected only as far as they are
     declared, so the state per resource is bounded by its type's definitions.
     """
@@ -91,9 +97,10 @@ def contract(
     flagged = reported.select(resource_type, resource, "metric").join(
         declared.withColumn("_declared", F.lit(True)), [resource_type, "metric"], "left"
     )
-    have = flagged.groupBy(resource_type, resource).agg(
-        F.collect_set(F.when(F.col("_declared"), F.col("metric"))).alias("_have")
-    )
+    seen = flagged.select(resource_type, resource, F.when(F.col("_declared"), F.col("metric")).alias("metric"))
+    if inventory is not None:
+        seen = seen.unionByName(inventory.select(resource_type, resource, F.lit(None).cast("string").alias("metric")))
+    have = seen.groupBy(resource_type, resource).agg(F.collect_set("metric").alias("_have"))
     wanted = declared.groupBy(resource_type).agg(F.collect_set("metric").alias("_wanted"))
     missing = have.join(wanted, resource_type).select(
         resource_type, resource, F.explode(F.array_except("_wanted", "_have")).alias("metric")

@@ -11,7 +11,7 @@ from fleetspan.functions import html as H
 from fleetspan.functions import replica as RP
 from fleetspan.functions import text as T
 from fleetspan.functions import urls as U
-from fleetspan.operators.digest import json_digest, numeric_digest
+from fleetspan.operators.digest import digest_errors, json_digest, numeric_digest
 from fleetspan.operators.events import ordered_text
 from fleetspan.operators.jobs import coordinator_times
 from fleetspan.operators.snmp import decode_codes
@@ -57,11 +57,11 @@ def regex_extract_title(t: Tables) -> DataFrame:
 select event_id, 'k' as key, props->>'$.k' as value, try_cast(props->>'$.k' as double) as number from events
 """)
 def json_digest_long(t: Tables) -> DataFrame:
-    return json_digest(t.spread("events"), "props", ["event_id"])
+    return json_digest(t.events, "props", ["event_id"])
 
 
 def _nested(t: Tables) -> DataFrame:
-    e = t.spread("events")
+    e = t.events
     document = F.struct(
         F.col("event_id").alias("id"),
         F.struct(
@@ -77,14 +77,36 @@ def _nested(t: Tables) -> DataFrame:
     return e.select("event_id", F.to_json(document).alias("body"))
 
 
+def _mixed(t: Tables) -> DataFrame:
+    body = F.col("body")
+    # Some are broken, some repeat a key, some hold an integer beyond 64 bits, some are a list of a document.
+    kind = F.col("event_id") % 5
+    odd = (
+        F.when(kind == 1, F.concat(body, F.lit(" }")))
+        .when(kind == 2, F.concat(F.lit('{"id":"first","kind":"first",'), F.substring(body, F.lit(2), F.length(body))))
+        .when(kind == 3, F.concat(F.lit('{"big":123456789012345678901234567890,'), F.substring(body, F.lit(2), F.length(body))))
+        .when(kind == 4, F.concat(F.lit("[0,["), body, F.lit("]]")))
+    )
+    return _nested(t).select("event_id", F.coalesce(odd, body).alias("body"))
+
+
 @query("E2 X5", """
-select event_id, 'id' as key, cast(event_id + 1 as varchar) as value, cast(event_id + 1 as double) as number from events
-union all select event_id, 'kind', event_type, null from events
-union all select event_id, 'amount', cast(value as varchar), value from events
-union all select event_id, 'owner', cast(user_id as varchar), cast(user_id as double) from events
+with e as (select * from events where event_id % 5 <> 1)
+select event_id, 'id' as key, cast(event_id + 1 as varchar) as value, cast(event_id + 1 as double) as number from e
+union all select event_id, 'kind', event_type, null from e
+union all select event_id, 'amount', cast(value as varchar), value from e
+union all select event_id, 'owner', cast(user_id as varchar), cast(user_id as double) from e
+union all select event_id, 'big', '123456789012345678901234567890', 123456789012345678901234567890::double from e where event_id % 5 = 3
 """)
 def json_digest_nested(t: Tables) -> DataFrame:
-    return json_digest(_nested(t), "body", ["event_id"])
+    return json_digest(_mixed(t), "body", ["event_id"])
+
+
+@query("E2", """
+select event_id, 'no JSON document' as error from events where event_id % 5 = 1
+""")
+def json_digest_errors(t: Tables) -> DataFrame:
+    return digest_errors(_mixed(t), "body", ["event_id"])
 
 
 @query("E3", """
@@ -96,7 +118,7 @@ def numeric_digest_long(t: Tables) -> DataFrame:
         F.expr("substring(props, 1, length(props) - 1)"), F.lit(', "text": "'), F.col("value").cast("string"),
         F.lit('", "word": "'), F.col("event_type"), F.lit('", "on": true}'),
     )
-    return numeric_digest(t.spread("events").select("event_id", body.alias("body")), "body", ["event_id"])
+    return numeric_digest(t.events.select("event_id", body.alias("body")), "body", ["event_id"])
 
 
 @query("E4", """
@@ -128,7 +150,7 @@ def server_status_paths(t: Tables) -> DataFrame:
         F.struct((F.col("o_orderkey") % 97).alias("resident"), F.array(F.lit(1)).alias("list")).alias("mem"),
         F.struct((F.col("o_orderkey") % 97).cast("double").alias("totalTime"), (F.col("o_orderkey") % 13).cast("double").alias("lockTime")).alias("globalLock"),
     )
-    docs = t.spread("orders").select("o_orderkey", F.to_json(status).alias("body"))
+    docs = t.orders.select("o_orderkey", F.to_json(status).alias("body"))
     body = F.col("body")
     held = C.ratio(
         X.map_path(body, "globalLock.lockTime").try_cast("double"), X.map_path(body, "globalLock.totalTime").try_cast("double")
@@ -154,7 +176,7 @@ def grouped_values(t: Tables) -> DataFrame:
         group("jdbc", entry(F.lit("other"), F.lit(1)), entry(F.concat("p_type", F.lit(".active")), F.col("p_size"))).alias("samplers"),
         group("jobs", entry(F.lit("start"), F.col("p_partkey"))).alias("counters"),
     )
-    docs = t.spread("part").select("p_partkey", "p_type", F.to_json(document).alias("body"))
+    docs = t.part.select("p_partkey", "p_type", F.to_json(document).alias("body"))
     low_bits = X.wrapped("grouped", lambda metric, value: X.window_id(value).cast("string"))
     # The names are those of the six part types; another type would simply not be asked for.
     types = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -175,7 +197,7 @@ def xpath_from_parts(t: Tables) -> DataFrame:
         F.lit("</size><b>"), F.col("p_brand"), F.lit("</b></part>"),
     )
     body = F.col("body")
-    return t.spread("part").select("p_partkey", X.well_formed(xml).alias("body")).select(
+    return t.part.select("p_partkey", X.well_formed(xml).alias("body")).select(
         "p_partkey",
         X.xpath_value(body, "//name/text()").alias("name"),
         X.xpath_value(body, "/part/size[@unit='cm']").alias("size"),
@@ -199,7 +221,7 @@ def header_extract(t: Tables) -> DataFrame:
 @query("E8", "select o_orderkey, round(o_totalprice, 2) as price, cast(null as double) as bad from orders")
 def numeric_coercion(t: Tables) -> DataFrame:
     shown = F.concat(F.lit(" "), F.format_number("o_totalprice", 2), F.lit("\t"))
-    return t.spread("orders").select(
+    return t.orders.select(
         "o_orderkey", C.to_numeric(shown).alias("price"), C.to_numeric(F.concat(F.lit("x"), shown)).alias("bad")
     )
 
@@ -232,7 +254,7 @@ from documents
 """)
 def text_truncate(t: Tables) -> DataFrame:
     text = F.col("text")
-    return t.spread("documents").select(
+    return t.documents.select(
         "doc_id", X.output_text(text).alias("output"), X.description_text(text).alias("description"), X.log_text(text).alias("logged")
     )
 
@@ -241,7 +263,7 @@ def text_truncate(t: Tables) -> DataFrame:
 def window_ids(t: Tables) -> DataFrame:
     doc = F.to_json(F.struct((F.col("event_id") * 7919).alias("currentWindowId"), (F.col("event_id") * 7919).alias("total")))
     read = X.wrapped("map", X.low_bits_of_window_ids)
-    docs = t.spread("events").select("event_id", doc.alias("body"))
+    docs = t.events.select("event_id", doc.alias("body"))
     return docs.select("event_id", *[read(F.col("body"), m).alias(m) for m in ("currentWindowId", "total")])
 
 
@@ -293,7 +315,7 @@ def snmp_values(t: Tables) -> DataFrame:
     codes = F.when(kind == "click", F.create_map(F.lit(0), F.lit("idle"), F.lit(1), F.lit("busy")))
     wanted = F.when(kind == "signup", "trait").otherwise("measurement")
     value = C.snmp_value(var_type, raw, wanted, codes)
-    return t.spread("events").select("event_id", "event_type", value.alias("_v")).select("event_id", "event_type", "_v.dvalue", "_v.svalue")
+    return t.events.select("event_id", "event_type", value.alias("_v")).select("event_id", "event_type", "_v.dvalue", "_v.svalue")
 
 
 @query("E17 X3", """
@@ -330,7 +352,7 @@ select event_id, case when event_id % 3 = 0 then 0 when event_id % 3 = 1 then 1
 """)
 def json_map_size(t: Tables) -> DataFrame:
     attr = F.when(F.col("event_id") % 3 == 0, "{}").when(F.col("event_id") % 3 == 1, F.col("props")).otherwise("{oops")
-    return t.spread("events").select(
+    return t.events.select(
         "event_id", X.count_or_value("liveNodeCount", attr).cast("int").alias("liveNodeCount"),
         X.count_or_value("plain", F.col("props")).alias("plain"),
     )
@@ -395,7 +417,7 @@ def canonical_names(t: Tables) -> DataFrame:
 def date_iso(t: Tables) -> DataFrame:
     text = F.date_format("ts", "EEE, d MMM yyyy HH:mm:ss 'GMT'")
     parsed = C.parse_http_date(text)
-    return t.spread("events").select(
+    return t.events.select(
         "event_id", C.iso_minute(parsed).alias("iso"), C.epoch_ms(parsed).alias("ms"),
         C.iso_minute(C.parse_http_date(F.lit(None).cast("string"))).alias("missing"),
     )
@@ -421,7 +443,7 @@ def elapsed_recency(t: Tables) -> DataFrame:
 def octet_decode(t: Tables) -> DataFrame:
     octets = F.encode("text", "UTF-16BE")
     literal = F.concat(F.lit("0x"), F.hex(F.encode("source", "UTF-8")))
-    return t.spread("documents").select(
+    return t.documents.select(
         "doc_id", C.octets_text(octets, "UTF-16BE").alias("text"),
         C.octets_text(C.hex_bytes(literal)).alias("from_hex"), C.octets_text(C.hex_bytes(F.col("lang"))).alias("plain"),
     )
@@ -434,7 +456,7 @@ from pages
 """)
 def html_pairs(t: Tables) -> DataFrame:
     pairs = H.cell_pairs(F.col("html"), r'<li><a href="([^"]*)">([^<]*)</a>')
-    return t.spread("pages").select("page_id", F.inline(pairs))
+    return t.pages.select("page_id", F.inline(pairs))
 
 
 @query("E33 A8 S11", """
@@ -480,14 +502,14 @@ def html_queue_stats(t: Tables) -> DataFrame:
         F.lit("<table><tr><th>Job</th></tr><tr><td id='job_1'><a>job</a></td><td>NORMAL</td>"), cell(F.col("l_partkey")), cell(F.col("l_suppkey")),
         F.lit("<td>12.50%</td>"), cell(F.col("l_linenumber")), cell(F.lit(1)), F.lit("</tr><tr><td>7</td></tr></table>"),
     )
-    return H.queue_stats(t.spread("lineitem").select("l_orderkey", row.alias("html")), "html", ["l_orderkey"])
+    return H.queue_stats(t.lineitem.select("l_orderkey", row.alias("html")), "html", ["l_orderkey"])
 
 
 @query("E35 A9", r"""
 select distinct unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as link from pages
 """)
 def link_harvest(t: Tables) -> DataFrame:
-    return H.harvest_links(t.spread("pages"), "html", r'<a href="([^"]*)"')
+    return H.harvest_links(t.pages, "html", r'<a href="([^"]*)"')
 
 
 @query("E36 A11 F12 A5", """
@@ -498,7 +520,7 @@ union all select user_id, 'queue.' || event_type || '.id', cast(max(event_id) as
 def log_metrics(t: Tables) -> DataFrame:
     prefix = F.when(F.col("event_type") == "error", F.lit("eventType=")).otherwise(F.lit("01-01-2024 INFO Metrics - group=queue, name="))
     line = F.concat(prefix, "event_type", F.lit(", size="), F.col("value").cast("decimal(12,2)").cast("string"), F.lit(", id="), F.col("event_id").cast("string"))
-    logged = t.spread("events").select("user_id", "event_id", line.alias("line"))
+    logged = t.events.select("user_id", "event_id", line.alias("line"))
     found = T.log_metrics(logged, "line", ["user_id", "event_id"])
     wanted = local_table(
         t.spark, [(f"queue.{k}.{m}",) for k in ("click", "view") for m in ("size", "id")], "metric STRING"
@@ -516,7 +538,7 @@ def stats_dump(t: Tables) -> DataFrame:
         F.lit("STAT price "), F.format_string("%.2f", F.col("o_totalprice")), F.lit("\r\nSTAT cust "), F.col("o_custkey").cast("string"),
         F.lit("\r\nEND\r\nSTAT after 1\r\n"),
     )
-    return T.parse_stats(t.spread("orders").select("o_orderkey", dump.alias("body")), "body", "stat", ["o_orderkey"])
+    return T.parse_stats(t.orders.select("o_orderkey", dump.alias("body")), "body", "stat", ["o_orderkey"])
 
 
 @query("S8", """
@@ -534,7 +556,7 @@ with d as (select doc_id, unnest(string_split(regexp_replace(text, '\n$', ''), c
 select doc_id, cast(line_no as integer) as line_no, line from d
 """)
 def document_lines(t: Tables) -> DataFrame:
-    return T.lines(t.spread("documents").select("doc_id", "text"), "text")
+    return T.lines(t.documents.select("doc_id", "text"), "text")
 
 
 def _command_runs(t: Tables) -> DataFrame:
@@ -544,7 +566,7 @@ def _command_runs(t: Tables) -> DataFrame:
     load = F.concat(F.lit(" 10:00:00 up 3 days, 2 users, load average: "), F.col("l_quantity").cast("string"), F.lit(", 0.1, 0.2"))
     sizes = F.concat(part, F.lit("\t/a\nnote 99\n"), supp, F.lit("\t/b/12\n"))
     kind = F.col("l_linenumber") % 3
-    return t.spread("lineitem").select(
+    return t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.when(kind == 0, "-s").when(kind == 1, F.lit(None)).otherwise("-sb /data").alias("args"),
         F.when(kind == 0, tcp).when(kind == 1, load).otherwise(sizes).alias("stdout"),
@@ -579,7 +601,7 @@ def disk_usage(t: Tables) -> DataFrame:
 select doc_id, regexp_replace(text, '[0-9A-Za-z._-]+@[0-9A-Za-z.-]+', '', 'g') as text from documents
 """)
 def text_scrub(t: Tables) -> DataFrame:
-    return t.spread("documents").select("doc_id", T.scrub(F.col("text"), r"[0-9A-Za-z._-]+@[0-9A-Za-z.-]+").alias("text"))
+    return t.documents.select("doc_id", T.scrub(F.col("text"), r"[0-9A-Za-z._-]+@[0-9A-Za-z.-]+").alias("text"))
 
 
 @query("E38", """
@@ -592,7 +614,7 @@ def event_text(t: Tables) -> DataFrame:
     pairs = F.array(
         line(2, "none", F.lit(None).cast("string")), line(0, "type", F.col("event_type")), line(1, "k", F.get_json_object("props", "$.k"))
     )
-    return t.spread("events").select("event_id", ordered_text(pairs).alias("detail"))
+    return t.events.select("event_id", ordered_text(pairs).alias("detail"))
 
 
 @query("E40 F4", """
@@ -634,7 +656,7 @@ select doc_id, substr(c, 1, 1000) as description, units,
 from f
 """)
 def metadata_inference(t: Tables) -> DataFrame:
-    docs = t.spread("documents").select("doc_id", F.col("text").alias("descr"), F.lit("OctetString").alias("syntax"))
+    docs = t.documents.select("doc_id", F.col("text").alias("descr"), F.lit("OctetString").alias("syntax"))
     return M.infer_definition(docs).select("doc_id", "description", "units", "data_type", "measurement_type")
 
 

@@ -9,13 +9,8 @@ from pyspark.sql.types import TimestampNTZType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetspan.operators.skew import estimated_bytes
 from fleetspan.session import prepare
 
-#: Sizes in bytes between which a table in few files is spread over the cores.
-SPREAD_FROM = 128 << 10
-SPREAD_TO = 256 << 20
-
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -56,17 +51,6 @@ class Tables:
         zoneless = [f.name for f in df.schema if isinstance(f.dataType, TimestampNTZType)]
         return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
 
-    def spread(self, name: str) -> DataFrame:
-        """The table over all cores, for work that costs far more than reading it.
-
-        A small table in fewer files than cores would be worked on by few
-        tasks. Larger tables come in enough splits and are left as they are.
-        """
-        df = getattr(self, name)
-        cores = self.spark.sparkContext.defaultParallelism
-        few_files = len(df.inputFiles()) < cores
-        return df.repartition(cores) if few_files and SPREAD_FROM < estimated_bytes(df) < SPREAD_TO else df
-
     def stream(self, name: str) -> DataFrame:
         """The same table as a file stream. The last letter as a pattern lets the path be a file or a folder."""
         path = f"{self.sf_dir}/{name}.parque[t]"
@@ -81,6 +65,3 @@ class Streams(Tables):
 
     def __getattr__(self, name: str) -> DataFrame:
         return self.stream(name)
-
-    def spread(self, name: str) -> DataFrame:
-        return self.stream(name)

@@ -42,7 +42,7 @@ def samples(t: Tables) -> DataFrame:
         lambda e: F.struct(e["key"].alias("key"), e["text"].alias("text")),
     )
     return (
-        t.spread("events").select("event_id", "user_id", "ts", F.explode(F.concat(own, leaves)).alias("_s"))
+        t.events.select("event_id", "user_id", "ts", F.explode(F.concat(own, leaves)).alias("_s"))
         .select("event_id", "user_id", "ts", F.col("_s.key").alias("metric"), C.to_numeric(F.col("_s.text")).alias("value"))
         .filter(F.col("value").isNotNull())
     )
@@ -88,7 +88,7 @@ def unserved_requests(t: Tables) -> DataFrame:
 
 def _contract(t: Tables) -> tuple[DataFrame, DataFrame]:
     kind = F.when(F.col("user_id") % 2 == 0, "even").otherwise("odd")
-    reported = t.events.filter("value > 20").select(
+    reported = t.events.select(
         kind.alias("resource_type"), F.col("user_id").alias("resource_key"), F.col("event_type").alias("metric")
     )
     definitions = local_table(
@@ -96,18 +96,22 @@ def _contract(t: Tables) -> tuple[DataFrame, DataFrame]:
         [("even", "click"), ("even", "error"), ("even", "uptime"), ("odd", "view"), ("odd", "signup"), ("odd", "purchase")],
         "resource_type STRING, metric STRING",
     )
-    return R.contract(definitions, reported)
+    # Customers are resources too; most of them report nothing.
+    key = F.col("c_custkey")
+    inventory = t.customer.select(F.when(key % 2 == 0, "even").otherwise("odd").alias("resource_type"), key.cast("bigint").alias("resource_key"))
+    return R.contract(definitions, reported, inventory=inventory)
 
 
 _CONTRACT_SQL = """
 with d(resource_type, metric) as (values ('even', 'click'), ('even', 'error'), ('even', 'uptime'), ('odd', 'view'), ('odd', 'signup'), ('odd', 'purchase')),
-r as (select distinct case when user_id % 2 = 0 then 'even' else 'odd' end as resource_type, user_id as resource_key, event_type as metric from events where value > 20)
+r as (select distinct case when user_id % 2 = 0 then 'even' else 'odd' end as resource_type, user_id as resource_key, event_type as metric from events),
+a as (select distinct resource_type, resource_key from r union select case when c_custkey % 2 = 0 then 'even' else 'odd' end, c_custkey from customer)
 """
 
 
 @query("J6 F9", _CONTRACT_SQL + """
-select distinct r.resource_type, resource_key, d.metric from r join d on r.resource_type = d.resource_type
-where not exists (select 1 from r x where x.resource_key = r.resource_key and x.metric = d.metric)
+select a.resource_type, resource_key, d.metric from a join d on a.resource_type = d.resource_type
+where not exists (select 1 from r x where x.resource_key = a.resource_key and x.metric = d.metric)
 """)
 def contract_missing(t: Tables) -> DataFrame:
     return _contract(t)[0]
@@ -217,19 +221,23 @@ def publishable_symbols(t: Tables) -> DataFrame:
 
 
 @query("K3", """
-with old as (select s_suppkey as key, s_name as name, 'v' || (s_suppkey % 5) as version from supplier where s_suppkey % 4 <> 1),
-new as (select s_suppkey as key, case when s_suppkey % 3 = 0 then null else upper(s_name) end as name, 'w' || (s_suppkey % 7) as version from supplier where s_suppkey % 4 <> 2)
-select 'Server' as type, coalesce(new.key, old.key) as key, coalesce(new.name, old.name) as name, coalesce(new.version, old.version) as version
-from old full join new on old.key = new.key
+with s as (select 'host-' || (s_suppkey % 2) as parent_key, s_suppkey // 2 as key, * from supplier),
+old as (select parent_key, key, s_name as name, 'v' || (s_suppkey % 5) as version from s where s_suppkey % 4 <> 1),
+new as (select parent_key, key, case when s_suppkey % 3 = 0 then null else upper(s_name) end as name, 'w' || (s_suppkey % 7) as version from s where s_suppkey % 4 <> 2)
+select 'Server' as type, coalesce(new.parent_key, old.parent_key) as parent_key, coalesce(new.key, old.key) as key,
+  coalesce(new.name, old.name) as name, coalesce(new.version, old.version) as version
+from old full join new on old.key = new.key and old.parent_key = new.parent_key
 """)
 def inventory_upsert(t: Tables) -> DataFrame:
     n = F.col("s_suppkey")
-    old = t.supplier.filter(n % 4 != 1).select(
-        F.lit("Server").alias("type"), n.alias("key"), F.col("s_name").alias("name"), F.concat(F.lit("v"), (n % 5).cast("string")).alias("version")
-    )
+    keys = [
+        F.lit("Server").alias("type"),
+        F.concat(F.lit("host-"), (n % 2).cast("string")).alias("parent_key"),  # the same keys under two parents
+        F.floor(n / 2).cast("bigint").alias("key"),
+    ]
+    old = t.supplier.filter(n % 4 != 1).select(*keys, F.col("s_name").alias("name"), F.concat(F.lit("v"), (n % 5).cast("string")).alias("version"))
     new = t.supplier.filter(n % 4 != 2).select(
-        F.lit("Server").alias("type"), n.alias("key"), F.when(n % 3 != 0, F.upper("s_name")).alias("name"),
-        F.concat(F.lit("w"), (n % 7).cast("string")).alias("version"),
+        *keys, F.when(n % 3 != 0, F.upper("s_name")).alias("name"), F.concat(F.lit("w"), (n % 7).cast("string")).alias("version")
     )
     return upsert_inventory(old, new)
 
@@ -284,7 +292,7 @@ group by n_name order by n_name limit 1000
 def metastore_tables(t: Tables) -> DataFrame:
     tables = t.nation.select(F.col("n_nationkey").alias("tbl_id"), F.col("n_name").alias("tbl_name"))
     partitions = t.customer.select(F.col("c_nationkey").alias("tbl_id"), F.col("c_custkey").alias("sd_id"))
-    return tables_with_partitions(tables, partitions)
+    return tables_with_partitions(tables, partitions, limit=1000)
 
 
 @query("J2 S5 F5", """

@@ -19,6 +19,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Let a skewed join be split even when that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A document with a repeated key is a document: the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Bytes a charset does not know are replaced instead of failing the job.
     "spark.sql.legacy.codingErrorAction": "true",
 }

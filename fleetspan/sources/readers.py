@@ -120,8 +120,8 @@ def read_jdbc(spark: SparkSession, url: str, query: str, **options: str) -> Data
     return spark.read.format("jdbc").options(url=url, query=query, **options).load()
 
 
-def metastore_tables(tables: DataFrame, partitions: DataFrame, limit: int | None = 1000) -> DataFrame:
-    """Names of the tables that have partitions, with their number, in name order."""
+def metastore_tables(tables: DataFrame, partitions: DataFrame, limit: int | None = None) -> DataFrame:
+    """Names of the tables that have partitions, with their number, in name order, all of them unless ``limit`` is given."""
     named = (
         tables.join(partitions, "tbl_id").groupBy("tbl_name").agg(F.count(F.lit(1)).alias("partitions")).orderBy("tbl_name")
     )

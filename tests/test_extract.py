@@ -13,7 +13,7 @@ from fleetspan.functions import oid as O
 from fleetspan.functions import text as T
 from fleetspan.functions import urls as U
 from fleetspan.operators import metadata as M
-from fleetspan.operators.digest import json_digest, numeric_digest
+from fleetspan.operators.digest import digest_errors, json_digest, numeric_digest
 
 
 def one(spark, column, **values):
@@ -78,6 +78,12 @@ def test_json_path(spark, path, value):
     assert one(spark, X.json_path(F.col("b"), path), b='{"body":[42,"aaa",[1,55]],"7":"seven"}') == value
 
 
+@pytest.mark.parametrize("path, value", [("/it's", "1"), ("/*", "2"), ("/a.b/0", "3"), ("/a.b/1/x*", "4"), ("/a]b", "5"), ("/no'pe", None)])
+def test_json_path_with_odd_keys(spark, path, value):
+    body = '{"it\'s":1,"*":2,"a.b":[3,{"x*":4}],"a]b":5}'
+    assert one(spark, X.json_path(F.col("b"), path), b=body) == value
+
+
 def test_json_path_needs_an_object_for_the_whole_document(spark):
     assert one(spark, X.json_path(F.col("b"), "/"), b="[1]") is None
 
@@ -87,9 +93,30 @@ def test_json_size(spark, body, size):
     assert one(spark, X.json_size(F.col("b")), b=body) == size
 
 
-def digest(spark, body, nested=True):
+def digest(spark, body):
     df = spark.createDataFrame([(body,)], "b STRING")
-    return {r["key"]: (r["value"], r["number"]) for r in json_digest(df, "b", [], nested).collect()}
+    return {r["key"]: (r["value"], r["number"]) for r in json_digest(df, "b", []).collect()}
+
+
+def test_digest_at_any_depth(spark):
+    deep = '{"a":' * 20_000 + '{"x":5,"y":"z"}' + "}" * 20_000
+    assert digest(spark, deep) == {"x": ("5", 5.0), "y": ("z", None)}
+    assert digest(spark, '{"l":' + "[" * 20_000 + '{"x":1}' + "]" * 20_000 + "}") == {"x": ("1", 1.0)}
+
+
+@pytest.mark.parametrize("wrap", ["%s", '{"outer":%s}', "[%s]"])
+def test_digest_is_the_same_flat_and_nested(spark, wrap):
+    big = "123456789012345678901234567890123456789012345"
+    body = '{"n":%s,"k":1,"k":"two","q\\"uote":"a\\\\","u":"\\u00e9\\n{x:1}"}' % big
+    found = digest(spark, wrap % body)
+    assert found == {"n": (big, float(big)), "k": ("two", None), 'q"uote': ("a\\", None), "u": ("\u00e9\n{x:1}", None)}
+
+
+@pytest.mark.parametrize("body", ["{'a':1}", '{"a":1} xx', '{"a":1', '{"a":01}', "", "oops", '{"a" 1}', '{"a":1,"b":{}} xx', '{"b":{},"a":tru}', '{"a":"x}'])
+def test_broken_documents_are_errors(spark, body):
+    df = spark.createDataFrame([(1, body), (2, None)], "id INT, b STRING")
+    assert json_digest(df, "b", ["id"]).collect() == []
+    assert [tuple(r) for r in digest_errors(df, "b", ["id"]).collect()] == [(1, "no JSON document")]
 
 
 def test_digest_walks_maps_and_lists(spark):
@@ -108,7 +135,7 @@ def test_digest_last_key_in_document_order_wins(spark):
 def test_digest_flat_and_walked_agree(spark):
     flat = '{"i":5,"big":12345678901,"f":1.50,"e":1e5,"s":"42","b":false,"n":null,"empty":"","u":"\\u00e9\\n"}'
     wrapped = '{"o":' + flat + "}"
-    assert digest(spark, flat) == digest(spark, wrapped) == digest(spark, flat, nested=False)
+    assert digest(spark, flat) == digest(spark, wrapped)
     assert digest(spark, flat)["f"] == ("1.5", 1.5)
 
 
