@@ -18,6 +18,26 @@ def _place(t: Tables, name: str) -> S.Place:
     return S.Place(scratch_path(t.spark, name))
 
 
+#: Micro-batches of a replay, and seconds by which its rows come out of order.
+BATCHES, DISORDER = 20, 5400
+
+
+def _replay(t: Tables, df: DataFrame, name: str, ts: str, key: str, job: S.Stateful) -> DataFrame:
+    """Results of a job over ``df`` that comes in BATCHES files, rows up to DISORDER seconds out of order."""
+    source, place = scratch_path(t.spark, f"{name}-source"), _place(t, name)
+    seconds = F.unix_seconds(F.col(ts).cast("timestamp"))
+    arrival = seconds + F.pmod(F.xxhash64(key), F.lit(DISORDER))
+    low, high = df.agg(F.min(arrival), F.max(arrival)).first()
+    number = F.least(F.floor((arrival - low) / ((high - low + 1) / BATCHES)), F.lit(BATCHES - 1))
+    df.withColumn("_file", number.cast("int")).write.partitionBy("_file").parquet(f"{source}/all")
+    for i in range(BATCHES):  # one after the other: a file stream takes them by age
+        t.spark.read.schema(df.schema).parquet(f"{source}/all/_file={i}").coalesce(1).write.parquet(f"{source}/in/part{i:03}")
+    stream = S.read_stream(t.spark, f"{source}/in/*", df.schema, files_per_batch=1)
+    S.run_with_state(stream, place, job.keys, job.state_ddl, job.step, ts=job.ts, delay_seconds=job.delay_seconds).awaitTermination()
+    S.drain(t.spark, place, df.schema, job)
+    return S.results(t.spark, place)
+
+
 def _twin(name: str) -> str:
     """SQL of the batch query with the same result."""
     return REGISTRY[name].sql
@@ -66,41 +86,29 @@ r as (select *, lag(code, 1, 0) over (partition by user_id order by ts, event_id
 select user_id, event_id, code, previous, case code when 0 then 'INFO' when 1 then 'WARN' else 'ERROR' end as severity from r where code <> previous
 """)
 def state_change_stream(t: Tables) -> DataFrame:
-    place = _place(t, "state-stream")
     kind = F.col("event_type")
     code = F.when(kind == "error", 2).when(kind == "purchase", 1).when(kind == "signup", 7).otherwise(0)
-    runs = t.stream("events").select("user_id", "ts", "event_id", code.alias("code"))
-    S.run_with_state(
-        runs, place, ["user_id"], "user_id BIGINT, last_code INT", S.change_step(["user_id"], ["ts", "event_id"], "code")
-    ).awaitTermination()
-    return S.results(t.spark, place).select("user_id", "event_id", "code", "previous", "severity")
+    runs = t.events.select("user_id", "ts", "event_id", code.alias("code"))
+    step = S.change_step(["user_id"], ["ts", "event_id"], "code")
+    job = S.Stateful(["user_id"], "user_id BIGINT, last_code INT", step, "ts", DISORDER)
+    return _replay(t, runs, "state-stream", "ts", "event_id", job).select("user_id", "event_id", "code", "previous", "severity")
 
 
 @query("T5 W2", _twin("counter_ratio"))
 def counter_stream(t: Tables) -> DataFrame:
-    place = _place(t, "counter-stream")
-    samples = scratch_path(t.spark, "counter-samples")
     counters = I.counters(t).select("user_id", "ts", "hits", "misses")
-    counters.write.parquet(samples)
-    S.run_with_state(
-        S.read_stream(t.spark, samples, counters.schema), place, ["user_id"],
-        "user_id BIGINT, last_ts TIMESTAMP, last_hits BIGINT, last_misses BIGINT",
-        S.ratio_step(["user_id"], "ts", "hits", "misses"),
-    ).awaitTermination()
-    return S.results(t.spark, place).select("user_id", F.unix_micros("ts").alias("us"), F.round("ratio", 9).alias("ratio"))
+    step = S.ratio_step(["user_id"], "ts", "hits", "misses")
+    job = S.Stateful(["user_id"], "user_id BIGINT, last_ts TIMESTAMP, last_hits BIGINT, last_misses BIGINT", step, "ts", DISORDER)
+    found = _replay(t, counters, "counter-stream", "ts", "user_id", job)
+    return found.select("user_id", F.unix_micros("ts").alias("us"), F.round("ratio", 9).alias("ratio"))
 
 
 @query("T6 W7", _twin("config_changes"))
 def config_refresh_stream(t: Tables) -> DataFrame:
-    place = _place(t, "config-stream")
-    rows = t.stream("orders").select(
-        "o_custkey", "o_orderkey", "o_orderdate", F.concat("o_orderstatus", "o_orderpriority").alias("content")
-    )
-    S.run_with_state(
-        rows, place, ["o_custkey"], "o_custkey BIGINT, last_hash STRING",
-        S.config_step("o_custkey", ["o_orderdate", "o_orderkey"], F.col("content")),
-    ).awaitTermination()
-    return S.results(t.spark, place).select("o_custkey", "o_orderkey", "changed")
+    rows = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", F.concat("o_orderstatus", "o_orderpriority").alias("content"))
+    step = S.config_step("o_custkey", ["o_orderdate", "o_orderkey"], F.col("content"))
+    job = S.Stateful(["o_custkey"], "o_custkey BIGINT, last_hash STRING", step, "o_orderdate", DISORDER)
+    return _replay(t, rows, "config-stream", "o_orderdate", "o_orderkey", job).select("o_custkey", "o_orderkey", "changed")
 
 
 @query("T7 W8", """

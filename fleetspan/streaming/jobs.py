@@ -16,9 +16,11 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from fleetspan.operators.counters import one_per_time
 from fleetspan.operators.events import EXIT_SEVERITY, exit_severity
@@ -50,6 +52,19 @@ class Place:
     def whole(self, number: int) -> str:
         return f"{self.root}/state/whole{number % 2}"
 
+    def pending(self, epoch: int) -> str:
+        return f"{self.root}/pending/slot{epoch % 2}"
+
+    def mark(self, epoch: int) -> str:
+        return f"{self.root}/mark/slot{epoch % 2}"
+
+    def late(self, epoch: int | None = None) -> str:
+        return f"{self.root}/late" if epoch is None else f"{self.root}/late/epoch={epoch}"
+
+    @property
+    def rhythm(self) -> str:
+        return f"{self.root}/state/rhythm"
+
     def scratch(self, epoch: int, label: str) -> str:
         return f"{self.root}/scratch/slot{epoch % 2}/{label}"
 
@@ -101,6 +116,72 @@ def read_state(
     return newest.select(*columns)
 
 
+@dataclass(frozen=True)
+class Stateful:
+    """A step with state: ``step(rows, state) -> (results, touched state)``.
+
+    With ``ts`` rows are handed to the step in event time: they wait until a row
+    that is ``delay_seconds`` newer has come, so files may come out of order by
+    that much. A row that comes later still goes to the side output ``late``,
+    where it can be counted; it never changes the state. Rows without a time
+    don't wait.
+    """
+
+    keys: Sequence[str]
+    state_ddl: str
+    step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
+    ts: str | None = None
+    delay_seconds: int = 600
+    merge_every: int = 16
+
+    def ready(self, spark: SparkSession, place: Place, rows: DataFrame, epoch: int) -> DataFrame:
+        """The rows, old and new, that the watermark has passed; the others are kept for the next batch."""
+        fixed = materialize(rows, "rows", place.scratch(epoch, "rows"), spark)
+        if self.ts is None:
+            return fixed
+        time = F.unix_micros(F.col(self.ts).cast("timestamp"))
+        before = spark.read.parquet(place.mark(epoch - 1)).first()["newest"] if epoch else None
+        delay = self.delay_seconds * 1_000_000
+        passed = F.lit(False) if before is None else F.coalesce(time <= before - delay, F.lit(False))
+        seen = fixed.agg(F.max(time).alias("newest"), F.count_if(passed).alias("late")).first()
+        newest = max((n for n in (before, seen["newest"]) if n is not None), default=None)
+        if seen["late"]:
+            fixed.filter(passed).write.mode("overwrite").parquet(place.late(epoch))
+        live = fixed.filter(~passed)
+        if epoch:
+            live = live.unionByName(self.waiting(spark, place, fixed.schema, epoch - 1))
+        waits = F.lit(False) if newest is None else F.coalesce(time > newest - delay, F.lit(False))
+        live.withColumn("_waits", waits).write.mode("overwrite").partitionBy("_waits").parquet(place.pending(epoch))
+        spark.createDataFrame([(epoch, newest)], "epoch BIGINT, newest BIGINT").write.mode("overwrite").parquet(place.mark(epoch))
+        return self.waiting(spark, place, fixed.schema, epoch, False)
+
+    def waiting(self, spark: SparkSession, place: Place, schema, epoch: int, waits: bool = True) -> DataFrame:
+        """Rows that wait after a batch, or those that did not have to."""
+        split = StructType([*schema.fields, StructField("_waits", BooleanType())])
+        return spark.read.schema(split).parquet(place.pending(epoch)).filter(F.col("_waits") == waits).drop("_waits")
+
+    def work(self, spark: SparkSession, place: Place, fixed: DataFrame, epoch: int, merge_every: int) -> None:
+        """Run the step on rows that are fixed, and write results and state."""
+        wanted = fixed.select(*self.keys).distinct()
+        old = read_state(spark, place, epoch, self.keys, self.state_ddl, merge_every, wanted)
+        found, touched = self.step(fixed, materialize(old, "old", place.scratch(epoch, "old"), spark))
+        found.write.mode("overwrite").parquet(place.out(epoch))
+        touched.write.mode("overwrite").parquet(place.delta(epoch, merge_every))
+        if (epoch + 1) % merge_every == 0:
+            # The last whole table is read and the other one of the two is written.
+            merged = _merged(spark, place, epoch, self.keys, self.state_ddl, merge_every)
+            merged.write.mode("overwrite").parquet(place.whole((epoch + 1) // merge_every))
+
+
+def _rhythm(spark: SparkSession, place: Place, wanted: int) -> int:
+    """Batches between merges: what the job was first started with, as its folders are laid out by it."""
+    try:
+        return spark.read.schema("every INT").parquet(place.rhythm).first()["every"]
+    except AnalysisException:
+        spark.createDataFrame([(wanted,)], "every INT").write.parquet(place.rhythm)
+        return wanted
+
+
 def run_with_state(
     stream: DataFrame,
     place: Place,
@@ -109,30 +190,38 @@ def run_with_state(
     step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]],
     every: str | None = None,
     merge_every: int = 16,
+    ts: str | None = None,
+    delay_seconds: int = 600,
 ) -> StreamingQuery:
-    """Apply ``step(rows, state) -> (results, touched state)`` to each micro-batch.
+    """Apply a step with state to each micro-batch; see ``Stateful``.
 
     ``state`` holds the keys of the batch. After every ``merge_every`` batches
-    the touched rows are merged into a new whole table.
+    the touched rows are merged into a new whole table. With ``ts``, ``drain``
+    handles the rows that still wait when the stream has ended.
     """
     spark = stream.sparkSession
+    job = Stateful(keys, state_ddl, step, ts, delay_seconds, merge_every)
+    rhythm = _rhythm(spark, place, merge_every)
 
     def batch(rows: DataFrame, epoch: int) -> None:
         # Results and state are both computed from these rows, so they are fixed first.
-        fixed = materialize(rows, "rows", place.scratch(epoch, "rows"), spark)
-        wanted = fixed.select(*keys).distinct()
-        old = read_state(spark, place, epoch, keys, state_ddl, merge_every, wanted)
-        found, touched = step(fixed, materialize(old, "old", place.scratch(epoch, "old"), spark))
-        found.write.mode("overwrite").parquet(place.out(epoch))
-        touched.write.mode("overwrite").parquet(place.delta(epoch, merge_every))
-        if (epoch + 1) % merge_every == 0:
-            # The last whole table is read and the other one of the two is written.
-            merged = _merged(spark, place, epoch, keys, state_ddl, merge_every)
-            merged.write.mode("overwrite").parquet(place.whole((epoch + 1) // merge_every))
+        job.work(spark, place, job.ready(spark, place, rows, epoch), epoch, rhythm)
 
     return start(stream, place, batch, every)
 
 
+def drain(spark: SparkSession, place: Place, schema: StructType, job: Stateful) -> None:
+    """Hand the rows that still wait to the step: the end of a replay, after which the job is not run again."""
+    last = spark.read.schema("epoch BIGINT, newest BIGINT").parquet(f"{place.root}/mark/*").agg(F.max("epoch")).first()[0]
+    if last is not None:
+        job.work(spark, place, job.waiting(spark, place, schema, last), last + 1, _rhythm(spark, place, job.merge_every))
+
+
+def late_rows(spark: SparkSession, place: Place, schema: StructType) -> DataFrame:
+    """Rows that came after the watermark had passed them; an error if there were none."""
+    return spark.read.schema(schema).option("basePath", place.late()).parquet(f"{place.late()}/*")
+
+
 def _merged(spark: SparkSession, place: Place, epoch: int, keys: Sequence[str], state_ddl: str, merge_every: int) -> DataFrame:
     """Whole state after ``epoch``, made of the last whole table and the rows touched since."""
     before = read_state(spark, place, epoch, keys, state_ddl, merge_every)
@@ -167,7 +256,8 @@ def change_step(keys: Sequence[str], order: Sequence[str], code: str, policy: Ho
 def ratio_step(keys: Sequence[str], ts: str, hits: str, misses: str, policy: HotKeyPolicy = DEFAULT_POLICY):
     """Step that emits the hit ratio since the sample before; state (keys..., last_ts, last_hits, last_misses).
 
-    Samples not newer than the state are late and left out.
+    Samples not newer than the state are left out; run the step with ``ts`` so that
+    only samples after the watermark are, and these are kept in the side output.
     """
     def step(rows: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
         merged = one_per_time(rows, keys, ts, [hits, misses], [hits, misses])

@@ -51,6 +51,26 @@ def test_state_changes_over_batches(spark, runs, policy):
     assert rows(S.results(spark, place), "k", "id", "code", "previous", "severity") == rows(batch, "k", "id", "code", "previous", "severity")
 
 
+def test_rows_out_of_order_and_late(spark):
+    """Times 1, 5 | 3, 6 | 20 | 2 with codes 0, 2 | 1, 2 | 0 | 1: 3 waits for its turn, 2 comes too late."""
+    at = lambda n: START + datetime.timedelta(seconds=n)
+    batches = [[(1, 0), (5, 2)], [(3, 1), (6, 2)], [(20, 0)], [(2, 1)]]
+    schema_ = "k STRING, ts TIMESTAMP, id BIGINT, code INT"
+    path = scratch_path(spark, "disorder")
+    for n, batch in enumerate(batches):
+        spark.createDataFrame([("a", at(t), t, c) for t, c in batch], schema_).coalesce(1).write.parquet(f"{path}/part{n}")
+    place = S.Place(scratch_path(spark, "disorder"))
+    job = S.Stateful(["k"], "k STRING, last_code INT", S.change_step(["k"], ["ts", "id"], "code"), "ts", 5)
+    for every in (2, 3):  # another rhythm in a second run does no harm
+        source = S.read_stream(spark, path + "/part*", schema_, files_per_batch=1)
+        S.run_with_state(source, place, ["k"], job.state_ddl, job.step, merge_every=every, ts="ts", delay_seconds=5).awaitTermination()
+    S.drain(spark, place, spark.createDataFrame([], schema_).schema, job)
+    on_time = spark.createDataFrame([("a", at(t), t, c) for batch in batches[:3] for t, c in batch], schema_)
+    want = EV.exit_events(on_time, ["k"], ["ts", "id"], "code")
+    assert rows(S.results(spark, place), "id", "code", "previous") == rows(want, "id", "code", "previous") == [(20, 0, 2), (3, 1, 0), (5, 2, 1)]
+    assert [r.id for r in S.late_rows(spark, place, on_time.schema).collect()] == [2]
+
+
 def test_counter_ratio_over_batches(spark, runs):
     source, place = stream(spark, runs, "ratio")
     state = "k STRING, last_ts TIMESTAMP, last_hits BIGINT, last_misses BIGINT"
