@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["extraction", "reports", "states", "series", "network", "resources", "streams"]
+MODULES = ["extraction", "reports", "states", "series", "network", "resources", "streams", "captured"]
 
 
 def load_all():
