@@ -10,8 +10,8 @@
    back only each class's number of links and a spanning forest of them.
 4. Links are added up and joined to groups.
 
-Bands and rows are chosen for a target recall at the threshold: with 48 bands
-of 8 rows a pair at 0.8 is missed with probability 1.4e-4, and less above.
+Bands and rows are chosen for a target recall at the threshold: with 47 bands
+of 8 rows a pair at 0.8 is missed with probability 1.8e-4, and less above.
 
 Defined results: words are runs of letters and digits, lower-cased. A text of
 one to four words is its own single shingle. Null and empty texts have no
