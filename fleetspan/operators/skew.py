@@ -23,18 +23,15 @@ from fleetspan.session import materialize
 class HotKeyPolicy:
     """When a key counts as hot and how finely it is cut.
 
-    ``min_rows``: rows one task may sort; a key above it is hot.
-    ``max_keys``: how many of the largest keys may be cut. A key outside them
-    has less than ``total / max_keys`` rows, so it fits one spilling sort.
-    ``max_segments``: upper bound of the number of cuts.
-    ``skip_below_bytes``: inputs Spark estimates below this size fit one task
-    whole, so they are not counted.
+    ``min_rows``: rows one task may sort; every key above it is cut.
+    ``skip_below_bytes``: an input that Spark estimates below this size is not
+    counted. The estimate knows nothing of compression and of rows that a query
+    makes of one row, so it is low: a hundred times as much still fits the sort
+    of one task, which spills.
     """
 
     min_rows: int = 2_000_000
-    max_keys: int = 10_000
-    max_segments: int = 10_000
-    skip_below_bytes: int = 64 << 20
+    skip_below_bytes: int = 4 << 20
 
 
 DEFAULT_POLICY = HotKeyPolicy()
@@ -46,23 +43,15 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], policy: HotKeyPolicy = DEFAULT_POLICY) -> DataFrame | None:
-    """Largest keys above the limit with their row counts, or None.
+    """All keys above the limit with their row counts, written once, or None.
 
-    One aggregation with map-side combine; at most ``max_keys`` rows reach the driver.
+    One aggregation of the bare keys with map-side combine.
     """
     if estimated_bytes(df) < policy.skip_below_bytes:
         return None
-    counts = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > policy.min_rows)
-        .orderBy(F.desc("_rows"))
-        .limit(policy.max_keys)
-    )
-    found = counts.collect()
-    if not found:
-        return None
-    return df.sparkSession.createDataFrame(found, counts.schema)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > policy.min_rows)
+    found = materialize(counts, "hot-keys")
+    return found if found.limit(1).count() else None
 
 
 def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
@@ -77,9 +66,9 @@ def _split(
     if hot is None:
         return df, None, 0
     rows = hot.agg(F.sum("_rows")).first()[0]
-    segments = int(min(policy.max_segments, ceil(rows / policy.min_rows) + 1))
-    # At most max_keys rows, made on the driver: a bounded broadcast.
-    marks = F.broadcast(hot.drop("_rows"))
+    segments = ceil(rows / policy.min_rows) + 1
+    # Spark broadcasts the keys where they are few.
+    marks = hot.drop("_rows")
     cold = df.join(marks, _same(df, marks, keys), "left_anti")
     ranged = (
         df.join(marks, _same(df, marks, keys), "left_semi")
@@ -94,8 +83,8 @@ def _carry_join(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataF
     names = [*keys, "_seg"]
     right = carry.select(*[F.col(n).alias(f"_c_{n}") for n in names], "_carry")
     cond = reduce(lambda a, b: a & b, [rows[n].eqNullSafe(right[f"_c_{n}"]) for n in names])
-    # One row per (hot key, segment it touches): at most max_keys + max_segments rows.
-    return rows.join(F.broadcast(right), cond, "left").drop(*[f"_c_{n}" for n in names])
+    # One row per hot key and segment it touches: a row for min_rows rows, so it is small beside them.
+    return rows.join(right, cond, "left").drop(*[f"_c_{n}" for n in names])
 
 
 def with_previous(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fleetspan.operators import counters, events, groups
 from fleetspan.operators.skew import HotKeyPolicy, hot_keys, with_previous, with_row_number, with_running_sum
 
-CUT = HotKeyPolicy(min_rows=20, max_keys=5, max_segments=7, skip_below_bytes=0)
+CUT = HotKeyPolicy(min_rows=20, skip_below_bytes=0)
 
 
 @pytest.fixture(scope="module")

@@ -13,7 +13,7 @@ from fleetspan.operators.skew import HotKeyPolicy
 from fleetspan.session import scratch_path
 from fleetspan.streaming import jobs as S
 
-CUT = HotKeyPolicy(min_rows=15, max_keys=3, max_segments=4, skip_below_bytes=0)
+CUT = HotKeyPolicy(min_rows=15, skip_below_bytes=0)
 START = datetime.datetime(2024, 1, 1)
 
 
