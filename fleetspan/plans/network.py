@@ -145,7 +145,7 @@ TRAP_RULES = [
 ]
 
 TRAP_EVENTS_SQL = r"""
-select event_id as trap_id, event_type || ' of ' || user_id as source, (epoch_us(ts) // 1000) as ms,
+select case when event_id % 37 <> 0 then event_id end as trap_id, event_type || ' of ' || user_id as source, (epoch_us(ts) // 1000) as ms,
   case when event_type = 'error' then 'ERROR' when event_type in ('view', 'click') and event_id % 5 + 1 = 3 then 'WARN' else 'INFO' end as severity,
   regexp_replace(
     case when event_type in ('error', 'signup') then
@@ -163,9 +163,15 @@ from events
 
 
 def decode(traps: DataFrame, mib: DataFrame) -> DataFrame:
-    """Decoded events of traps, as both the batch query and the stream make them."""
+    """Decoded events of traps, as both the batch query and the stream make them.
+
+    Some traps are delivered twice and some come without an id.
+    """
+    number = F.col("trap_id")
+    times = F.when(number % 50 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    delivered = traps.withColumn("_time", F.explode(times)).drop("_time").withColumn("trap_id", F.when(number % 37 != 0, number))
     events = EV.decode_traps(
-        traps, mib, TRAP_RULES, omitted=["1.3.6.1.2.1.1.3.0"], pattern=" of [0-9]+", source_oid="1.3.6.1.4.1.900.2.1"
+        delivered, mib, TRAP_RULES, omitted=["1.3.6.1.2.1.1.3.0"], pattern=" of [0-9]+", source_oid="1.3.6.1.4.1.900.2.1"
     )
     return events.select("trap_id", "source", F.unix_millis("ts").alias("ms"), "severity", "detail")
 

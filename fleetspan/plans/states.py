@@ -165,14 +165,15 @@ def state_changes(t: Tables) -> DataFrame:
 with c as (select user_id, ts, event_id, case event_type when 'error' then 2 when 'purchase' then 1 when 'signup' then 7 else 0 end as code from events),
 r as (select *, lag(code, 1, 0) over (partition by user_id order by ts, event_id) as previous from c where code in (0, 1, 2))
 select user_id, event_id, code, previous, case code when 0 then 'INFO' when 1 then 'WARN' else 'ERROR' end as severity,
-  case when event_id % 2 = 0 then 'exit code ' || code else 'out ' || event_id end as detail
+  case when event_id % 2 = 0 then 'exit code ' || code else left('out ' || event_id || repeat('.', case when event_id % 10 = 5 then 1100 else 0 end), 1024) end as detail
 from r where code <> previous
 """)
 def exit_events(t: Tables) -> DataFrame:
     kind = F.col("event_type")
     code = F.when(kind == "error", 2).when(kind == "purchase", 1).when(kind == "signup", 7).otherwise(0)
     runs = t.events.select("user_id", "ts", "event_id", code.alias("code"))
-    output = F.when(F.col("event_id") % 2 == 0, F.lit("")).otherwise(F.concat(F.lit("out "), F.col("event_id").cast("string")))
+    dots = F.repeat(F.lit("."), F.when(F.col("event_id") % 10 == 5, 1100).otherwise(0))
+    output = F.when(F.col("event_id") % 2 == 0, F.lit("")).otherwise(F.concat(F.lit("out "), F.col("event_id").cast("string"), dots))
     return EV.exit_events(runs, ["user_id"], ["ts", "event_id"], "code", output).select(
         "user_id", "event_id", "code", "previous", "severity", "detail"
     )
@@ -194,7 +195,9 @@ def config_overlay(t: Tables) -> DataFrame:
     base = joined.select(resource, pairs(label=F.col("r_name"), zone=F.concat(F.lit("r"), F.col("r_regionkey").cast("string"))))
     own = joined.select(resource, pairs(own=F.col("n_name")))
     labels = joined.filter(F.col("n_nationkey") % 3 == 0).select(resource, pairs(label=F.col("n_name")))
-    return CF.overlay(base, own.unionByName(labels), ["resource", "key"])
+    # A null says nothing, so the base's value stays.
+    silent = joined.filter(F.col("n_nationkey") % 5 == 1).select(resource, pairs(zone=F.lit(None).cast("string")))
+    return CF.overlay(base, own.unionByName(labels).unionByName(silent), ["resource", "key"])
 
 
 @query("E39 J8 F4 D7 S9", """
