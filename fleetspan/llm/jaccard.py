@@ -51,6 +51,8 @@ TILE = 8192
 #: Bits of the bitmap that keeps texts without candidates out of the second pass.
 BITMAP_BITS = 1 << 23
 REMEMBERED = 200_000
+#: Rounds of joining components; they grow with the logarithm of the longest chain.
+MAX_ROUNDS = 200
 
 
 def bands_for(threshold: float, rows: int, recall: float) -> int:
@@ -187,17 +189,20 @@ def _agree(least: int):
 def components(edges: DataFrame, label: str) -> DataFrame:
     """node, root: connected components of edges (a, b), root being the smallest node of its component.
 
-    Rounds of smallest neighbouring root and pointer jumping, each written to the
-    shared folder; edges are linear in the nodes, so a round is a small shuffle.
+    A node and its root both take the smallest root of the node's neighbours, then
+    roots are followed one step: chains of any length settle in rounds that grow
+    with their logarithm. Each round is written to the shared folder; edges are
+    linear in the nodes, so it is a small shuffle.
     """
     both = materialize(
         edges.where(F.col("a") != F.col("b")).select("a", "b").union(edges.select("b", "a")).where(F.col("a") != F.col("b")).distinct(),
         f"{label}-edges",
     )
     state = materialize(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("root")).withColumnRenamed("a", "node"), f"{label}-0")
-    for i in range(1, 64):
-        near = both.join(state.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "root")
-        hooked = near.union(state).groupBy("node").agg(F.min("root").alias("root"))
+    for i in range(1, MAX_ROUNDS):
+        near = both.join(state.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
+        hooks = state.join(near, "node").select(F.explode(F.array("node", "root")).alias("node"), F.col("near").alias("root"))
+        hooked = hooks.union(state).groupBy("node").agg(F.min("root").alias("root"))
         jump = hooked.select(F.col("node").alias("root"), F.col("root").alias("above"))
         after = hooked.join(jump, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
         old = state.withColumnRenamed("root", "old")

@@ -92,3 +92,11 @@ def test_stage_keeps_one_of_each_group(spark):
     for i, (key, _) in enumerate(rows):
         first[group[i]] = min(first.get(group[i], key), key)
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted({*first.values()})
+
+
+def test_components_of_long_chains_settle_fast(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "MAX_ROUNDS", 16)
+    order = np.random.default_rng(13).permutation(1500).tolist()
+    edges = [(a, b) for chain in (order[:1000], order[1000:]) for a, b in zip(chain, chain[1:])] + [(order[0], order[1])]
+    found = {r.node: r.root for r in jaccard.components(spark.createDataFrame(edges, "a long, b long"), "chain").collect()}
+    assert found == {n: min(chain) for chain in (order[:1000], order[1000:]) for n in chain}
