@@ -42,7 +42,7 @@ SHARD = 4096
 #: A vector also goes to lists whose centroids are at most so much farther than its nearest one, and to so many lists in all.
 BOUNDARY_RATIO, COPIES = 1.05, 3
 #: A query reads the lists whose centroids are at most so much farther than its nearest one.
-SEARCH_RATIO = 1.15
+SEARCH_RATIO = 1.1
 #: Centroids that the graph search keeps, neighbours of each, entries, and steps at most.
 BEAM, DEGREE, ENTRIES, STEPS = 128, 24, 32, 12
 
