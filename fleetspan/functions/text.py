@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,9 +58,12 @@ LOG_METRICS = [
 ]
 
 
-def log_metrics(df: DataFrame, line: str, keep: list[str], compat: bool = False) -> DataFrame:
+def log_metrics(
+    df: DataFrame, line: str, keep: list[str], compat: bool = False, published: Sequence[str] | None = None
+) -> DataFrame:
     """Rows (keep..., metric, value) from ``group=G, name=N, k=v, ...`` lines; metric is ``G.N.k``.
 
+    ``published`` names the metrics wanted, as in ``LOG_METRICS``; all by default.
     ``compat`` keeps the integer part of a number only.
     """
     col = F.col(line)
@@ -69,7 +74,7 @@ def log_metrics(df: DataFrame, line: str, keep: list[str], compat: bool = False)
         F.regexp_extract_all(rest, F.lit(number), F.lit(2)).alias("v"),
     )
     prefix = F.concat_ws(".", F.regexp_extract(col, METRIC_LINE, 1), F.regexp_extract(col, METRIC_LINE, 2))
-    return (
+    found = (
         df.filter(col.rlike(METRIC_LINE))
         .select(*keep, prefix.alias("_prefix"), F.posexplode(pairs).alias("pair_no", "_p"))
         .select(
@@ -79,6 +84,7 @@ def log_metrics(df: DataFrame, line: str, keep: list[str], compat: bool = False)
             F.col("_p.v").try_cast("double").alias("value"),
         )
     )
+    return found if published is None else found.filter(F.col("metric").isin(*published))
 
 
 def is_log_event(line: Column) -> Column:

@@ -230,8 +230,8 @@ PROCESS_QUERIES = {
 }
 
 
-def process_scan(processes: DataFrame, query: ProcessQuery) -> DataFrame:
-    """Processes a query selects; an argument is matched with its value, joined by ``=`` or following."""
+def selected(query: ProcessQuery) -> Column:
+    """Whether a query selects a process; an argument is matched with its value, joined by ``=`` or following."""
     keep = F.lit(True)
     if query.pidfile is not None:
         keep &= F.coalesce(F.col("pidfile") == query.pidfile, F.lit(False))
@@ -246,7 +246,12 @@ def process_scan(processes: DataFrame, query: ProcessQuery) -> DataFrame:
         )
         alone = F.array_contains("argv", name) & F.coalesce(following, F.lit("")).rlike(whole)
         keep &= F.coalesce(inline | alone, F.lit(False))
-    return processes.filter(keep)
+    return keep
+
+
+def process_scan(processes: DataFrame, query: ProcessQuery) -> DataFrame:
+    """Processes a query selects."""
+    return processes.filter(selected(query))
 
 
 def server_resources(processes: DataFrame, kind: str, conf_files: DataFrame | None = None) -> DataFrame:

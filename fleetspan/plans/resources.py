@@ -137,12 +137,13 @@ def server_resources(t: Tables) -> DataFrame:
 
 
 @query("F10 S14", """
-select c_custkey as pid, c_mktsegment = 'MACHINERY' as with_class_path from customer where c_mktsegment in ('BUILDING', 'MACHINERY')
+select 'node-' || c_nationkey as host, c_custkey as pid, c_mktsegment = 'MACHINERY' as with_class_path
+from customer where c_mktsegment in ('BUILDING', 'MACHINERY')
 """)
 def process_scan(t: Tables) -> DataFrame:
     java = V.process_scan(I.processes(t), V.ProcessQuery("^java.*"))
-    with_cp = V.process_scan(I.processes(t), V.ProcessQuery("^java.*", "-cp", r".*hadoop-core.*")).select("pid").withColumn("_hit", F.lit(True))
-    return java.select("pid").join(with_cp, "pid", "left").select("pid", F.col("_hit").isNotNull().alias("with_class_path"))
+    with_cp = V.selected(V.ProcessQuery("^java.*", "-cp", r".*hadoop-core.*"))
+    return java.select("host", "pid", with_cp.alias("with_class_path"))
 
 
 @query("E19", r"""
@@ -229,18 +230,21 @@ def configured_resources(t: Tables) -> DataFrame:
 
 
 @query("W9 K3", """
-with a as (select o_custkey, max(o_orderstatus) as s, count(*) as n from orders where year(o_orderdate) = 1996 group by 1),
-b as (select o_custkey, max(o_orderstatus) as s, count(*) as n from orders where year(o_orderdate) = 1997 group by 1)
-select coalesce(a.o_custkey, b.o_custkey) as o_custkey,
+with s as (select o_custkey, year(o_orderdate) as year, max(o_orderstatus) as s, count(*) as n from orders group by 1, 2),
+a as (select o_custkey, year + 1 as year, s, n from s where year < (select max(year) from s)),
+b as (select * from s where year > (select min(year) from s))
+select coalesce(a.o_custkey, b.o_custkey) as o_custkey, cast(coalesce(a.year, b.year) as int) as year,
   case when a.o_custkey is null then 'added' when b.o_custkey is null then 'removed' else 'changed' end as status
-from a full join b on a.o_custkey = b.o_custkey where a.o_custkey is null or b.o_custkey is null or a.s <> b.s or a.n <> b.n
+from a full join b on a.o_custkey = b.o_custkey and a.year = b.year
+where a.o_custkey is null or b.o_custkey is null or a.s <> b.s or a.n <> b.n
 """)
 def inventory_diff(t: Tables) -> DataFrame:
-    def snapshot(year: int):
-        runs = t.orders.filter(F.year("o_orderdate") == year)
-        return runs.groupBy("o_custkey").agg(F.max("o_orderstatus").alias("s"), F.count(F.lit(1)).alias("n"))
-
-    return V.inventory_diff(snapshot(1996), snapshot(1997), ["o_custkey"], ["s", "n"])
+    """Every year's customers against those of the year before."""
+    year = F.year("o_orderdate").alias("year")
+    snapshots = t.orders.groupBy("o_custkey", year).agg(F.max("o_orderstatus").alias("s"), F.count(F.lit(1)).alias("n"))
+    first, last = t.orders.agg(F.min(year), F.max(year)).first()
+    before = snapshots.filter(F.col("year") < last).withColumn("year", F.col("year") + 1)
+    return V.inventory_diff(before, snapshots.filter(F.col("year") > first), ["o_custkey", "year"], ["s", "n"])
 
 
 @query("W9 J3", """

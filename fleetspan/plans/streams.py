@@ -70,10 +70,10 @@ def log_tail_stream(t: Tables) -> DataFrame:
         F.lit("group=queue, name="), "event_type", F.lit(", size="), F.col("value").cast("decimal(12,2)").cast("string"),
         F.lit(", id="), F.col("event_id").cast("string"),
     )
-    found = T.log_metrics(e.select("user_id", "event_id", line.alias("line")), "line", ["user_id", "event_id"])
     wanted = [f"queue.{k}.{m}" for k in ("click", "view") for m in ("size", "id")]
+    found = T.log_metrics(e.select("user_id", "event_id", line.alias("line")), "line", ["user_id", "event_id"], published=wanted)
     S.run_with_state(
-        found.filter(F.col("metric").isin(*wanted)), place, ["user_id", "metric"],
+        found, place, ["user_id", "metric"],
         "user_id BIGINT, metric STRING, event_id BIGINT, pair_no INT, value DOUBLE",
         S.last_value_step(["user_id", "metric"], ["event_id", "pair_no"], "value"),
     ).awaitTermination()
