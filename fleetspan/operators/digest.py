@@ -35,12 +35,17 @@ def well_formed(body: Column) -> Column:
     a closing one must be followed by a mark; that is all a deep document needs.
     """
     shape = body.rlike(r"(?s)^\s*(\{.*\}|\[.*\])\s*$")
-    count = lambda mark: F.length(bare) - F.length(F.replace(bare, F.lit(mark), F.lit("")))
     held = F.replace(F.replace(body, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
-    bare = F.regexp_replace(held, r'"[^"]*+"', "")
-    whole = (count("{") == count("}")) & (count("[") == count("]")) & ~bare.rlike(r"[}\]]\s*[^\s,}\]]")
-    deep = (count("{") + count("[") > 900) & ~F.contains(bare, F.lit('"'))
-    return F.coalesce(shape & whole & (F.from_json(body, "VARIANT", {"allowSingleQuotes": "false"}).isNotNull() | deep), F.lit(False))
+
+    def balanced(bare: Column) -> Column:
+        count = lambda mark: F.length(bare) - F.length(F.replace(bare, F.lit(mark), F.lit("")))
+        whole = (count("{") == count("}")) & (count("[") == count("]")) & ~bare.rlike(r"[}\]]\s*[^\s,}\]]")
+        deep = (count("{") + count("[") > 900) & ~F.contains(bare, F.lit('"'))
+        return whole & (F.from_json(body, "VARIANT", {"allowSingleQuotes": "false"}).isNotNull() | deep)
+
+    # The one-element list binds the text without its strings, so that it is made once.
+    bare = F.array(F.regexp_replace(held, r'"[^"]*+"', ""))
+    return F.coalesce(shape & F.transform(bare, balanced)[0], F.lit(False))
 
 
 def digest_entries(body: Column) -> Column:

@@ -19,7 +19,7 @@ def _place(t: Tables, name: str) -> S.Place:
 
 
 #: Micro-batches of a replay, and seconds by which its rows come out of order.
-BATCHES, DISORDER = 20, 5400
+BATCHES, DISORDER = 6, 5400
 
 
 def _replay(t: Tables, df: DataFrame, name: str, ts: str, key: str, job: S.Stateful) -> DataFrame:
@@ -33,7 +33,7 @@ def _replay(t: Tables, df: DataFrame, name: str, ts: str, key: str, job: S.State
     for i in range(BATCHES):  # one after the other: a file stream takes them by age
         t.spark.read.schema(df.schema).parquet(f"{source}/all/_file={i}").coalesce(1).write.parquet(f"{source}/in/part{i:03}")
     stream = S.read_stream(t.spark, f"{source}/in/*", df.schema, files_per_batch=1)
-    S.run_with_state(stream, place, job.keys, job.state_ddl, job.step, ts=job.ts, delay_seconds=job.delay_seconds).awaitTermination()
+    S.run_with_state(stream, place, job.keys, job.state_ddl, job.step, ts=job.ts, delay_seconds=job.delay_seconds, merge_every=3).awaitTermination()
     S.drain(t.spark, place, df.schema, job)
     return S.results(t.spark, place)
 
