@@ -3,10 +3,14 @@
 Centroids are fitted on a bounded sample with a handicap for large clusters and
 held with a neighbour graph in memory; the graph finds the centroids near a
 vector. Each vector goes to the posting list of its nearest centroid, a vector
-near a boundary to several. A query reads the lists whose centroids are within
+near a boundary to several. A query reads all lists whose centroids are within
 a ratio of its nearest centroid's distance. Lists are cut into shards of
 bounded size, so a dense region is searched by many tasks.
 
+The ratio is measured in the job: for a sample of the queries all vectors are
+compared, and the ratio is raised until the lists within it hold RECALL of the
+sample's true neighbours. So the recall does not fall as the table grows.
+
 Equal vectors are searched once: of each distinct vector only the K + 1
 smallest ids can be among the K nearest, so the others need not be indexed one
 by one, and queries with equal vectors share one search. This loses nothing.
@@ -41,10 +45,12 @@ LIST_SIZE, MAX_LISTS = 250, 2048
 SHARD = 4096
 #: A vector also goes to lists whose centroids are at most so much farther than its nearest one, and to so many lists in all.
 BOUNDARY_RATIO, COPIES = 1.05, 3
-#: A query reads the lists whose centroids are at most so much farther than its nearest one.
+#: A query reads the lists whose centroids are so much farther than its nearest one, or more if RECALL needs it.
 SEARCH_RATIO = 1.1
-#: Centroids that the graph search keeps, neighbours of each, entries, and steps at most.
-BEAM, DEGREE, ENTRIES, STEPS = 128, 24, 32, 12
+#: Share of the true neighbours of the sampled queries that the read lists must hold, and number of sampled queries.
+RECALL, PROBES = 0.95, 128
+#: Centroids that the graph search keeps when a vector is indexed, neighbours of each, entries, and steps at most.
+BEAM, DEGREE, ENTRIES, STEPS = 8, 24, 32, 12
 
 
 class Centroids:
@@ -95,10 +101,18 @@ class Centroids:
 
     def lists(self, vectors: np.ndarray) -> list[list[int]]:
         """Lists of each vector: the nearest, and those hardly farther."""
-        places, distances = self.nearest(vectors, 8)
+        places, distances = self.nearest(vectors)
         return [p[d <= d[0] * BOUNDARY_RATIO**2][:COPIES].tolist() for p, d in zip(places, distances, strict=True)]
 
 
+def ratios(points: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """How much farther each centroid is from each vector than the nearest one; all centroids are compared."""
+    distance = squared(np.hstack([vectors, np.zeros((len(vectors), 1))]), points)
+    least = distance.min(1, keepdims=True)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(distance == least, 1.0, np.sqrt(distance / least))
+
+
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(0, (a**2).sum(1)[:, None] + (b**2).sum(1)[None, :] - 2 * a @ b.T)
 
@@ -145,14 +159,14 @@ def _matrix(column: pa.ListArray | pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
-def _assign(points: np.ndarray, search: bool):
+def _assign(points: np.ndarray, ratio: float | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centroids = Centroids(points)
+        centroids = Centroids(points) if ratio is None else None
         for batch in batches:
             vectors = _matrix(batch["vector"])
-            if search:
-                places, distances = centroids.nearest(vectors)
-                lists = [p[d <= d[0] * SEARCH_RATIO**2].tolist() for p, d in zip(places, distances, strict=True)]
+            if centroids is None:
+                parts = (vectors[i : i + 512] for i in range(0, len(vectors), 512))
+                lists = [np.flatnonzero(r <= ratio) for part in parts for r in ratios(points, part)]
             else:
                 lists = centroids.lists(vectors)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, pa.list_(pa.int32()))], [*batch.schema.names, "lists"])
@@ -160,12 +174,55 @@ def _assign(points: np.ndarray, search: bool):
     return run
 
 
-def _assigned(rows: DataFrame, points: np.ndarray, search: bool) -> DataFrame:
+def _assigned(rows: DataFrame, points: np.ndarray, ratio: float | None = None) -> DataFrame:
+    """Rows with each list that indexes them, or with each that a query reads at the ratio."""
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    found = rows.mapInArrow(_assign(points, search), f"{kept}, lists array<int>")
+    found = rows.mapInArrow(_assign(points, ratio), f"{kept}, lists array<int>")
     return found.withColumn("list", F.explode("lists")).drop("lists")
 
 
+def _needs(points: np.ndarray, probes: np.ndarray, k: int):
+    """Nearest postings of each probe among a task's, with the ratio at which their list is read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        needed = ratios(points, probes)
+        # A vector has COPIES postings at most, so these hold the k nearest vectors.
+        scores = np.zeros((len(probes), 0))
+        needs, ids = scores, scores.astype(np.int64)
+        for batch in batches:
+            vectors, lists = _matrix(batch["vector"]), batch["list"].to_numpy()
+            for i in range(0, len(vectors), 4096):
+                own = lists[i : i + 4096]
+                scores = np.hstack([scores, squared(probes, vectors[i : i + 4096])])
+                needs = np.hstack([needs, needed[:, own]])
+                ids = np.hstack([ids, np.broadcast_to(batch["first"].to_numpy()[i : i + 4096], (len(probes), len(own)))])
+                if scores.shape[1] > k * COPIES:
+                    best = np.argpartition(scores, k * COPIES - 1, axis=1)[:, : k * COPIES]
+                    scores, needs, ids = (np.take_along_axis(x, best, 1) for x in (scores, needs, ids))
+        probe = np.repeat(np.arange(len(probes)), scores.shape[1])
+        columns = [pa.array(probe, pa.int32()), pa.array(ids.ravel()), pa.array(scores.ravel()), pa.array(needs.ravel())]
+        yield pa.RecordBatch.from_arrays(columns, ["probe", "first", "score", "need"])
+
+    return run
+
+
+def search_ratio(postings: DataFrame, asked: DataFrame, points: np.ndarray, k: int) -> float:
+    """The ratio at which the lists read hold RECALL of the true neighbours of PROBES queries, at least SEARCH_RATIO."""
+    probes = asked.select("vector").orderBy(F.xxhash64("vector")).limit(PROBES).toArrow()
+    if not probes.num_rows or len(points) == 1:
+        return SEARCH_RATIO
+    rows = postings.select("vector", "list", F.col("ids")[0].alias("first"))
+    found = rows.mapInArrow(_needs(points, _matrix(probes["vector"].combine_chunks()), k + 1), "probe int, first long, score double, need double")
+    found = found.groupBy("probe", "first").agg(F.min("score").alias("score"), F.min("need").alias("need"))
+    place = F.row_number().over(Window.partitionBy("probe").orderBy("score", "first"))
+    # The first is the query itself.
+    needs = found.withColumn("place", place).where(F.col("place").between(2, k + 1)).select("need").toArrow()["need"].to_numpy()
+    if not len(needs):
+        return SEARCH_RATIO
+    # The rounding of distances must not put the last list outside.
+    return max(SEARCH_RATIO, float(np.quantile(needs, RECALL, method="higher")) * (1 + 1e-9))
+
+
 def _nearest(k: int):
     def run(candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         qid: list[int] = []
@@ -206,15 +263,16 @@ def search(df: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", ve
     sample = distinct.select("vector").orderBy(F.xxhash64("vector")).limit(MAX_SAMPLE).toArrow()
     points = fit_centroids(_matrix(sample["vector"].combine_chunks()), min(MAX_LISTS, -(-n // LIST_SIZE)))
 
-    postings = materialize(_assigned(distinct, points, search=False), "posting-lists")
+    postings = materialize(_assigned(distinct, points), "posting-lists")
+    asking = rows.where(is_query)
+    asked = asking.groupBy("vector").agg(F.min("id").alias("qid"))
+    asked = materialize(asked, "posting-queries")
+    ratio = search_ratio(postings, asked, points, k)
     # One row per list: MAX_LISTS at most.
     shards = F.broadcast(postings.groupBy("list").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("n")))
     postings = postings.join(shards, "list").withColumn("shard", F.pmod(F.xxhash64("vector"), F.col("n")).cast("int"))
 
-    asking = rows.where(is_query)
-    asked = asking.groupBy("vector").agg(F.min("id").alias("qid"))
-    asked = materialize(asked, "posting-queries")
-    reads = _assigned(asked, points, search=True).join(shards, "list")
+    reads = _assigned(asked, points, ratio).join(shards, "list")
     reads = reads.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     found = (
         postings.select("list", "shard", "vector", "ids")

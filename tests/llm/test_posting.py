@@ -1,4 +1,7 @@
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from fleetspan.llm import posting
@@ -61,3 +64,22 @@ def test_lists_are_balanced():
     own = [x[0] for x in posting.Centroids(points).lists(sample)]
     size = np.bincount(own, minlength=24)
     assert size.max() < 3 * size.mean()
+
+
+@pytest.mark.parametrize(("n", "step"), [(50_000, 250), (500_000, 2500)])
+def test_recall_does_not_fall_with_size(spark, tmp_path, n, step):
+    vectors = np.random.default_rng(n).normal(size=(n, 64)).astype(np.float32)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    ids = np.arange(n)
+    column = pa.FixedSizeListArray.from_arrays(pa.array(vectors.ravel()), 64).cast(pa.list_(pa.float32()))
+    pq.write_table(pa.table({"vec_id": ids, "embedding": column}), tmp_path / "vectors.parquet", row_group_size=n // 8)
+    frame = spark.read.parquet(str(tmp_path / "vectors.parquet")).repartition(8)
+    got = {}
+    for r in posting.search(frame, F.col("id") % step == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    queries = ids[::step]
+    distance = posting.squared(vectors[queries].astype(float), vectors.astype(float))
+    distance[np.arange(len(queries)), queries] = np.inf
+    want = np.argpartition(distance, 9, axis=1)[:, :10]
+    recall = np.mean([len(got[q] & set(w.tolist())) / 10 for q, w in zip(queries.tolist(), want, strict=True)])
+    assert recall >= 0.9, recall
