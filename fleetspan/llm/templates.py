@@ -1,12 +1,17 @@
 """Benchmark decontamination with canonical templates.
 
-Words are lower-cased; numbers, units after numbers and names (capitalised,
+Words are lower-cased; numbers (in digits or spelled out), units after numbers and names (capitalised,
 not all capitals, inside a sentence) become typed placeholders whose values are kept as slots.
+A capitalised word that begins a sentence may be a name or not, so its windows
+are hashed in both readings, as a word and as a name, on both sides.
 Hashes of template windows of documents and benchmark items are joined. A
 document contains an item if windows on one diagonal (the same shift between
 item and document) cover enough of it and the slots are consistent: a value
 of the item always stands for the same value in the document. So a verbatim
 copy is found, and also a question with exchanged numbers and names.
+Words that begin sentences and spelled-out numbers need not be slots at all
+("one of them"): where their exchange contradicts other slots, only their windows
+are not counted.
 
 A fixed-size bitmap of the benchmark's window hashes keeps windows that cannot
 join out of the shuffle; it lets all others pass, so nothing is lost.
@@ -47,7 +52,15 @@ kb mb gb tb dollar dollars euro euros cent cents pence mph kph meter meters metr
 kilometre kilometres kilogram kilograms gram grams
 """
 
-_WORD, _NUMBER, _UNIT, _NAME, _END = range(5)
+# Numbers spelled out.
+NUMBERS = """
+zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen
+nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen
+"""
+#: Characters of texts that are turned into tokens at once.
+AT_ONCE = 1 << 20
+
+_WORD, _NUMBER, _UNIT, _NAME, _END, _SPELLED = range(6)
 
 
 class Canonical:
@@ -55,41 +68,63 @@ class Canonical:
 
     def __init__(self):
         self.find = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*|[.!?:\n]").findall
-        self.units, self.seen = frozenset(UNITS.split()), {}
-        self.hashes, self.kinds = [], []
+        self.units, self.numbers = frozenset(UNITS.split()), frozenset(NUMBERS.split())
         self.marks = np.array([0, *(xxhash.xxh64_intdigest(f"<{k}>") for k in ("num", "unit", "name"))], np.uint64)
+        self._forget()
+
+    def _forget(self):
+        self.seen, self.n = {}, 0
+        self.hashes, self.kinds = np.zeros(1024, np.uint64), np.zeros(1024, np.int8)
 
     def _learn(self, token: str) -> int:
         lower = token.lower()
         kind = _END if token in ".!?:\n" else _NUMBER if token[0].isdigit() else _UNIT if lower in self.units else _WORD
+        kind = _SPELLED if lower in self.numbers else kind
         if kind == _WORD and len(token) > 1 and token[0] != lower[0] and token[1:] == lower[1:]:
             kind = _NAME
-        place = self.seen[token] = len(self.hashes)
-        self.hashes.append(xxhash.xxh64_intdigest(lower))
-        self.kinds.append(kind)
+        if self.n == len(self.hashes):
+            self.hashes, self.kinds = (np.concatenate([x, np.zeros_like(x)]) for x in (self.hashes, self.kinds))
+        place = self.seen[token] = self.n
+        self.hashes[place], self.kinds[place] = xxhash.xxh64_intdigest(lower), kind
+        self.n += 1
         return place
 
-    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """Hash and kind of each template token, and its text."""
-        if len(self.seen) > REMEMBERED:
-            self.seen, self.hashes, self.kinds = {}, [], []
-        tokens = self.find(text) if text else []
+    def __call__(self, texts: list[str]) -> list[Reading]:
+        """The texts read twice: words that begin sentences as words, and as names where they are capitalised."""
+        if self.n > REMEMBERED:
+            self._forget()
+        tokens, sizes = [], []
+        for text in texts:
+            found = self.find(text)
+            tokens.append(".")  # a text begins a sentence
+            tokens += found
+            sizes.append(len(found) + 1)
         get, learn = self.seen.get, self._learn
-        places = [p if (p := get(t)) is not None else learn(t) for t in tokens]
-        if not places:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64), []
-        # Texts look up few of the remembered tokens, so only theirs become arrays.
-        used, places = np.unique(np.array(places), return_inverse=True)
-        hashes = np.array([self.hashes[p] for p in used], np.uint64)[places]
-        kinds = np.array([self.kinds[p] for p in used])[places]
-        before = np.concatenate([[_END], kinds[:-1]])
-        kinds = np.where((kinds == _NAME) & (before == _END), _WORD, kinds)
-        kinds = np.where((kinds == _UNIT) & (before != _NUMBER), _WORD, kinds)
+        places = np.array([p if (p := get(t)) is not None else learn(t) for t in tokens], np.int64)
+        kinds = self.kinds[places]
+        before = np.concatenate([np.array([_END], np.int8), kinds[:-1]])
+        first = (kinds == _NAME) & (before == _END)
+        kinds[(kinds == _UNIT) & (before != _NUMBER) & (before != _SPELLED)] = _WORD
+        soft = first | (kinds == _SPELLED) | ((kinds == _UNIT) & (before == _SPELLED))
         kept = np.flatnonzero(kinds != _END)
-        kinds = kinds[kept]
-        slots = (kinds != _WORD) & (kinds != _END)
-        hashes = np.where(slots, self.marks[np.where(slots, kinds, 0)], hashes[kept])
-        return hashes, kinds, [tokens[i] for i in kept[slots]]
+        text = np.repeat(np.arange(len(texts)), sizes)[kept]
+        kinds, soft, first, hashes = kinds[kept], soft[kept], first[kept], self.hashes[places[kept]]
+        kinds[kinds == _SPELLED] = _NUMBER
+        place = np.arange(len(kept)) - np.searchsorted(text, text)
+        words = [tokens[i] for i in kept]
+        return [Reading(self.marks, words, text, place, np.where(first & literal, _WORD, kinds), hashes, soft, first) for literal in (True, False)]
+
+
+class Reading:
+    """Template tokens of texts: text, place in it, hash, slot or not, whether a slot may be none, and whether readings differ."""
+
+    def __init__(self, marks, words, text, place, kinds, hashes, soft, first):
+        self.words, self.text, self.place, self.soft, self.first = words, text, place, soft, first
+        self.slots = kinds != _WORD
+        self.hashes = np.where(self.slots, marks[kinds], hashes)
+
+    def value(self, i: int) -> str:
+        return self.words[i].lower()
 
 
 def rolling(hashes: np.ndarray, window: int) -> np.ndarray:
@@ -104,39 +139,55 @@ def rolling(hashes: np.ndarray, window: int) -> np.ndarray:
     return total
 
 
+def _parts(keys: list[int], texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
+    """Texts with their keys, about AT_ONCE characters together."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= AT_ONCE or i == len(texts) - 1:
+            yield keys[start : i + 1], texts[start : i + 1]
+            start, size = i + 1, 0
+
+
 def _windows(window: int, bitmap: bytes | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         canonical = Canonical()
         bits = None if bitmap is None else np.unpackbits(np.frombuffer(bitmap, np.uint8)).astype(bool)
         for batch in batches:
-            ids, places, found, slots = [], [], [], []
-            for key, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                hashes, kinds, values = canonical(text)
-                codes = rolling(hashes, window)
-                hits = np.arange(len(codes)) if bits is None else np.flatnonzero(bits[codes % np.uint64(BITMAP_BITS)])
-                if not len(hits):
-                    continue
-                is_slot = kinds != _WORD
-                first = np.concatenate([[0], np.cumsum(is_slot)])
-                ids += [key] * len(hits)
-                places.append(hits)
-                found.append(codes[hits].view(np.int64))
-                slots += [values[first[h] : first[h + window]] for h in hits]
-            arrays = [
-                pa.array(ids, pa.int64()),
-                pa.array(np.concatenate([*places, np.zeros(0, np.int64)]), pa.int32()),
-                pa.array(np.concatenate([*found, np.zeros(0, np.int64)]), pa.int64()),
-                pa.array(slots, pa.list_(pa.string())),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, ["id", "place", "code", "slots"])
+            for keys, texts in _parts(batch["id"].to_pylist(), batch["text"].to_pylist()):
+                for other, read in enumerate(canonical(texts)):
+                    codes = rolling(read.hashes, window)
+                    used = read.text[: len(codes)] == read.text[window - 1 :]
+                    if other:  # only windows that differ between the readings
+                        differ = np.concatenate([[0], np.cumsum(read.first)])
+                        used &= differ[window:] > differ[: len(codes)]
+                    if bits is not None:
+                        used &= bits[codes % np.uint64(BITMAP_BITS)]
+                    hits = np.flatnonzero(used)
+                    if not len(hits):
+                        continue
+                    at = np.flatnonzero(read.slots)
+                    low, high = np.searchsorted(at, hits), np.searchsorted(at, hits + window)
+                    slots = [[(read.value(i), bool(read.soft[i])) for i in at[a:b].tolist()] for a, b in zip(low, high, strict=True)]
+                    arrays = [
+                        pa.array(np.array(keys, np.int64)[read.text[hits]]),
+                        pa.array(read.place[hits], pa.int32()),
+                        pa.array(codes[hits].view(np.int64)),
+                        pa.array([[v for v, _ in w] for w in slots], pa.list_(pa.string())),
+                        pa.array([[f for _, f in w] for w in slots], pa.list_(pa.bool_())),
+                    ]
+                    yield pa.RecordBatch.from_arrays(arrays, ["id", "place", "code", "slots", "soft"])
 
     return run
 
 
+WINDOWS = "id long, place int, code long, slots array<string>, soft array<boolean>"
+
+
 def windows(df: DataFrame, key: str, text: str, window: int = WINDOW, bitmap: bytes | None = None) -> DataFrame:
-    """Template windows: id, place, code, slots; those that the bitmap rules out are left away."""
+    """Template windows: id, place, code, slots, soft (whether a slot may be none); those that the bitmap rules out are left away."""
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).dropna()
-    return rows.mapInArrow(_windows(window, bitmap), "id long, place int, code long, slots array<string>")
+    return rows.mapInArrow(_windows(window, bitmap), WINDOWS)
 
 
 def bitmap_of(codes: DataFrame) -> bytes:
@@ -149,6 +200,66 @@ def bitmap_of(codes: DataFrame) -> bytes:
     return np.packbits(bits).tobytes()
 
 
+def _covered(at: dict[int, list[tuple]], anchor: int) -> tuple[set[int], dict[str, set[str]]] | None:
+    """Item places that agree with the slots on a diagonal, and the values of their slots; None if the diagonal contradicts itself."""
+    places: set[int] = set()
+    values: dict[str, set[str]] = {}
+    firm: dict[str, set[str]] = {}
+
+    def agree(found: list[tuple]) -> bool:
+        """Whether the slots that are surely slots agree with those before."""
+        said = {a: set(v) for a, v in firm.items()}
+        for _, slots in found:
+            for a, b, soft in slots:
+                if not soft:
+                    said.setdefault(a, set()).add(b)
+        return all(len(v) == 1 for v in said.values())
+
+    def take(found: list[tuple]) -> None:
+        for place, slots in found:
+            places.add(place)
+            for a, b, soft in slots:
+                values.setdefault(a, set()).add(b)
+                if not soft:
+                    firm.setdefault(a, set()).add(b)
+
+    as_words = [w for w in at[anchor] if not any(soft and a != b for a, b, soft in w[1])]
+    if not agree(as_words):
+        return None
+    take(as_words)
+    for shift in sorted(at, key=lambda s: (abs(s - anchor), s)):
+        further = [w for w in at[shift] if w[0] not in places]
+        if not agree(further):
+            continue
+        said = {a: set(v) for a, v in values.items()}
+        for _, slots in further:
+            for a, b, _ in slots:
+                said.setdefault(a, set()).add(b)
+        take([w for w in further if all(soft and a == b or said[a] == {b} for a, b, soft in w[1])])
+    return places, values
+
+
+def _score(min_coverage: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc, item, n_item, found in zip(*(batch[c].to_pylist() for c in ("doc_id", "item_id", "n_item", "found")), strict=True):
+                at: dict[int, list[tuple]] = {}
+                for w in found:
+                    slots = [(s["a"], s["b"], s["soft"]) for s in w["slots"]]
+                    at.setdefault(w["shift"], []).append((w["item_place"], slots))
+                for anchor in at:
+                    covered = _covered(at, anchor)
+                    if covered and len(covered[0]) >= min_coverage * n_item:
+                        n, values = len(covered[0]), covered[1]
+                        rows.append((doc, item, anchor, n, n / n_item, len(values), all(v == {a} for a, v in values.items())))
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.bool_())
+            columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "shift", "n_windows", "coverage", "n_slots", "verbatim"])
+
+    return run
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -168,26 +279,20 @@ def leaks(
     sizes = items.groupBy("id").agg(F.countDistinct("place").alias("n_item")).withColumnRenamed("id", "item_id")
     found = windows(docs, doc_key, text, window, bitmap_of(items.select("code")))
     right = items.select(
-        F.col("id").alias("item_id"), F.col("place").alias("item_place"), "code", F.col("slots").alias("item_slots")
+        F.col("id").alias("item_id"), F.col("place").alias("item_place"), "code", F.col("slots").alias("item_slots"), F.col("soft").alias("item_soft")
     ).distinct()
     pairs = found.join(right, "code").withColumn("shift", F.col("place") - F.col("item_place"))
     # A window has at most ``window`` slots, and an item so many windows: the sets stay small.
-    slots = F.zip_with("item_slots", "slots", lambda a, b: F.struct(F.lower(a).alias("a"), F.lower(b).alias("b")))
+    slots = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    slots = F.zip_with(slots, F.zip_with("item_soft", "soft", lambda a, b: a | b), lambda s, soft: F.struct(s["a"].alias("a"), s["b"].alias("b"), soft.alias("soft")))
     grouped = pairs.groupBy(F.col("id").alias("doc_id"), "item_id", "shift").agg(
-        F.countDistinct("item_place").cast("int").alias("n_windows"),
-        F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots"),
-    )
-    values = F.size(F.array_distinct(F.transform("slots", lambda s: s["a"])))
-    scored = (
-        grouped.join(sizes, "item_id")
-        .withColumn("coverage", F.col("n_windows") / F.col("n_item"))
-        .withColumn("n_slots", values)
-        .withColumn("consistent", F.size("slots") == values)
-        .withColumn("verbatim", F.forall("slots", lambda s: s["a"] == s["b"]))
+        F.countDistinct("item_place").alias("n_places"),
+        F.collect_set(F.struct("shift", "item_place", slots.alias("slots"))).alias("found"),
     )
+    enough = grouped.join(sizes, "item_id").where(F.col("n_places") >= min_coverage * F.col("n_item")).select("doc_id", "item_id", "n_item", "found")
+    scored = enough.mapInArrow(_score(min_coverage), "doc_id long, item_id long, shift int, n_windows int, coverage double, n_slots int, verbatim boolean")
     best = F.max_by(F.struct("n_windows", "coverage", "n_slots", "verbatim"), F.struct("n_windows", "verbatim", -F.col("shift")))
-    kept = scored.where(F.col("consistent") & (F.col("coverage") >= min_coverage))
-    return kept.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
+    return scored.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

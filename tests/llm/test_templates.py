@@ -28,6 +28,21 @@ def test_exchanged_slots(spark):
     assert out[2, 1].coverage == 1.0 and out[2, 1].n_slots >= 5
 
 
+APPLES = "Anna has 5 apples and 3 pears. Bob gives Anna 4 more apples. Carl eats 2 of the pears. How many pieces of fruit does Anna have left?"
+
+
+def test_names_that_begin_sentences_and_spelled_numbers(spark):
+    names = APPLES.replace("Anna", "Mia").replace("Bob", "Tom").replace("Carl", "Paul")
+    spelled = names.replace("5", "seven").replace("4", "6").replace("2", "three")
+    loose = names.replace("gives Mia", "gives Ida")
+    docs = [(1, names), (2, spelled), (3, APPLES), (4, APPLES.upper().replace("ANNA", "Anna")), (5, loose), (6, "Words here. " + names.replace("How many", "And how many"))]
+    bench = spark.createDataFrame([(1, APPLES)], "item_id long, text string")
+    out = {r.doc_id: r for r in templates.leaks(spark.createDataFrame([(*d, 5, "x") for d in docs], SCHEMA), bench).collect()}
+    assert {1, 2, 3, 4} <= set(out) and 5 not in out
+    assert out[1].coverage == out[2].coverage == out[3].coverage == 1.0
+    assert out[3].verbatim and not out[1].verbatim and not out[2].verbatim
+
+
 def test_against_plain_search(spark):
     import re
 
