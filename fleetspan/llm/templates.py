@@ -4,11 +4,12 @@ Words are lower-cased; numbers (in digits or spelled out), units after numbers a
 not all capitals, inside a sentence) become typed placeholders whose values are kept as slots.
 A capitalised word that begins a sentence may be a name or not, so its windows
 are hashed in both readings, as a word and as a name, on both sides.
+Adjacent names are one placeholder, and so are adjacent spelled-out numbers.
 Hashes of template windows of documents and benchmark items are joined. A
 document contains an item if windows on one diagonal (the same shift between
-item and document) cover enough of it and the slots are consistent: a value
-of the item always stands for the same value in the document. So a verbatim
-copy is found, and also a question with exchanged numbers and names.
+item and document) and on those at most SHIFTS beside it cover enough of it and
+the slots are consistent: a value of the item always stands for the same value
+in the document. So a verbatim copy is found, one with words put in or left out, and also a question with exchanged numbers and names.
 Words that begin sentences and spelled-out numbers need not be slots at all
 ("one of them"): where their exchange contradicts other slots, only their windows
 are not counted.
@@ -37,6 +38,8 @@ from fleetspan.llm.common import query, session, table
 
 #: Tokens of a window.
 WINDOW = 8
+#: Diagonals to each side that count together: words that edits of a copy may put in or leave out.
+SHIFTS = 16
 #: Share of an item's windows that a document must hold.
 MIN_COVERAGE = 0.5
 #: Bits of the bitmap: 4 million, half a megabyte, whatever the benchmark's size.
@@ -109,22 +112,35 @@ class Canonical:
         kept = np.flatnonzero(kinds != _END)
         text = np.repeat(np.arange(len(texts)), sizes)[kept]
         kinds, soft, first, hashes = kinds[kept], soft[kept], first[kept], self.hashes[places[kept]]
-        kinds[kinds == _SPELLED] = _NUMBER
-        place = np.arange(len(kept)) - np.searchsorted(text, text)
+        spelled = kinds == _SPELLED
+        kinds[spelled] = _NUMBER
+        follows = np.concatenate([[False], np.diff(kept) == 1])[: len(kept)]
         words = [tokens[i] for i in kept]
-        return [Reading(self.marks, words, text, place, np.where(first & literal, _WORD, kinds), hashes, soft, first) for literal in (True, False)]
+        readings, place = [], None
+        for literal in (True, False):
+            read = np.where(first & literal, _WORD, kinds)
+            run = (read == _NAME) + 2 * spelled
+            joins = follows & (run > 0) & (run == np.concatenate([[0], run[:-1]])[: len(run)])
+            if place is None:  # places are those of the first reading; the second has no further tokens
+                place = np.cumsum(~joins)
+                place -= place[np.searchsorted(text, text)]
+            readings.append(Reading(self.marks, words, text, place, read, hashes, soft, first, np.flatnonzero(~joins)))
+        return readings
 
 
 class Reading:
     """Template tokens of texts: text, place in it, hash, slot or not, whether a slot may be none, and whether readings differ."""
 
-    def __init__(self, marks, words, text, place, kinds, hashes, soft, first):
-        self.words, self.text, self.place, self.soft, self.first = words, text, place, soft, first
-        self.slots = kinds != _WORD
-        self.hashes = np.where(self.slots, marks[kinds], hashes)
+    def __init__(self, marks, words, text, place, kinds, hashes, soft, first, starts):
+        self.words, self.starts, self.ends = words, starts, np.append(starts[1:], len(words))
+        self.text, self.place, self.first = text[starts], place[starts], first[starts]
+        self.slots = kinds[starts] != _WORD
+        # A name of several words may stand in part elsewhere.
+        self.soft = soft[starts] | (self.slots & (self.ends - starts > 1))
+        self.hashes = np.where(self.slots, marks[np.where(self.slots, kinds[starts], 0)], hashes[starts])
 
     def value(self, i: int) -> str:
-        return self.words[i].lower()
+        return " ".join(self.words[self.starts[i] : self.ends[i]]).lower()
 
 
 def rolling(hashes: np.ndarray, window: int) -> np.ndarray:
@@ -227,7 +243,7 @@ def _covered(at: dict[int, list[tuple]], anchor: int) -> tuple[set[int], dict[st
     if not agree(as_words):
         return None
     take(as_words)
-    for shift in sorted(at, key=lambda s: (abs(s - anchor), s)):
+    for shift in sorted((s for s in at if abs(s - anchor) <= SHIFTS), key=lambda s: (abs(s - anchor), s)):
         further = [w for w in at[shift] if w[0] not in places]
         if not agree(further):
             continue
@@ -272,7 +288,7 @@ def leaks(
     """One row per document and benchmark item that it contains.
 
     Columns: doc_id, item_id, n_windows (matching windows of the item on the best
-    diagonal), coverage (their share), n_slots (distinct slot values compared),
+    diagonal and those beside it), coverage (their share), n_slots (distinct slot values compared),
     verbatim (no slot value was exchanged).
     """
     items = windows(benchmark, item_key, text, window)
@@ -282,10 +298,13 @@ def leaks(
         F.col("id").alias("item_id"), F.col("place").alias("item_place"), "code", F.col("slots").alias("item_slots"), F.col("soft").alias("item_soft")
     ).distinct()
     pairs = found.join(right, "code").withColumn("shift", F.col("place") - F.col("item_place"))
+    # Each diagonal lies with all those at most SHIFTS beside it in one of two overlapping bands; a row holds a band, never a whole document.
+    band = F.floor(F.col("shift") / (2 * SHIFTS)).cast("int")
+    pairs = pairs.withColumn("band", F.explode(F.array(band, band - 1)))
     # A window has at most ``window`` slots, and an item so many windows: the sets stay small.
     slots = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     slots = F.zip_with(slots, F.zip_with("item_soft", "soft", lambda a, b: a | b), lambda s, soft: F.struct(s["a"].alias("a"), s["b"].alias("b"), soft.alias("soft")))
-    grouped = pairs.groupBy(F.col("id").alias("doc_id"), "item_id", "shift").agg(
+    grouped = pairs.groupBy(F.col("id").alias("doc_id"), "item_id", "band").agg(
         F.countDistinct("item_place").alias("n_places"),
         F.collect_set(F.struct("shift", "item_place", slots.alias("slots"))).alias("found"),
     )

@@ -43,6 +43,22 @@ def test_names_that_begin_sentences_and_spelled_numbers(spark):
     assert out[3].verbatim and not out[1].verbatim and not out[2].verbatim
 
 
+def test_edited_copies(spark):
+    words = "the old mill by the river grinds corn for all farmers of the valley whenever the water is high enough to turn its wheel"
+    put_in = words.replace("of the valley", "of the whole valley")
+    left_out = words.replace("all farmers", "farmers")
+    twice = put_in.replace("the old mill", "the mill").replace("water is high", "water there is high")
+    full = APPLES.replace("Anna", "Mia van Dorn").replace("Bob", "Tom").replace("Carl", "Paul Miller")
+    inside = QUESTION.replace("Anna", "Bob Smith")
+    bench = spark.createDataFrame([(1, words), (2, APPLES), (3, QUESTION)], "item_id long, text string")
+    docs = [(i, f"some words before it {d} and some after") for i, d in enumerate((words, put_in, left_out, "x. " + inside))]
+    docs += [(10, f"Intro. {full}"), (11, words[: len(words) // 3]), (12, f"{words[:40]} {'other things ' * 30} {words[60:100]}"), (13, twice)]
+    out = {(r.doc_id, r.item_id): r for r in templates.leaks(spark.createDataFrame([(*d, 5, "x") for d in docs], SCHEMA), bench).collect()}
+    assert {(0, 1), (1, 1), (2, 1), (3, 3)} <= set(out) and not {11, 12} & {d for d, _ in out}
+    assert out[0, 1].coverage == out[3, 3].coverage == 1.0 and 0.5 <= out[1, 1].coverage < 1
+    assert not out[3, 3].verbatim
+
+
 def test_against_plain_search(spark):
     import re
 
