@@ -9,8 +9,10 @@ DataFrame functions are used.
 
 The rolling hash is a sum of 128-bit hashes of (place, role, text), so it is
 found by running sums: inside runs of bounded length of a conversation first,
-then over the runs. No task needs a whole conversation, and a long one is
-rendered in parts.
+then over the runs. Runs are cut by turn numbers; one that has more rows than
+that (turns without a number, or with the same one) is sorted into segments and
+cut by rows. No task needs a whole conversation, and a long one is rendered in
+parts.
 
 Defined results: turns are ordered by turn (a null before 0), role and text;
 repeated rows count once. A null role is rendered as ``unknown``, a null text as
@@ -22,28 +24,52 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from math import ceil
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fleetspan.llm.common import query, table
 from fleetspan.session import materialize
 
-#: Turn numbers of a run: what one task orders, and what is rendered in one row.
+#: Turn numbers and most rows of a run: what is rendered in one row.
 RUN = 1024
+#: Rows that one task sorts, of a run with more than RUN rows.
+SEGMENT = 100_000
 # The marks of the format.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 #: Parts that the two 64-bit hashes are summed in: 32 bits each, so 2^31 turns can't overflow.
 PARTS = ("_s0", "_s1", "_s2", "_s3")
 
 
+def ordered() -> list[Column]:
+    """The order of turns; it is a full one, as equal rows count once."""
+    return [F.coalesce("turn", F.lit(0)), F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first()]
+
+
 def turns_of(conversations: DataFrame) -> DataFrame:
-    """conv_id, run, turn, role, text of each different row."""
+    """conv_id, run, turn, role, text of each different row; a run has RUN rows at most."""
     rows = conversations.select(
         F.col("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text")
     )
-    run = F.floor(F.coalesce("turn", F.lit(0)) / RUN).cast("long")
-    return rows.distinct().withColumn("run", run)
+    by_turn = F.floor(F.coalesce("turn", F.lit(0)) / RUN).cast("long")
+    rows = rows.distinct().withColumn("by_turn", by_turn)
+    # Runs with more rows than turn numbers, each with its number of rows.
+    large = rows.groupBy("conv_id", "by_turn").agg(F.count("*").alias("n")).where(F.col("n") > RUN)
+    large = materialize(large.select(F.col("conv_id").alias("_conv"), F.col("by_turn").alias("_run"), "n"), "chat-large")
+    whole = lambda df, segment, at: df.withColumn("run", F.struct("by_turn", segment.alias("segment"), at.alias("at"))).select("conv_id", "run", "turn", "role", "text")
+    n = large.agg(F.sum("n")).first()[0]
+    if not n:
+        return whole(rows, F.lit(0), F.lit(0).cast("long"))
+    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("by_turn") == F.col("_run"))
+    small = whole(rows.join(large, same, "left_anti"), F.lit(0), F.lit(0).cast("long"))
+    cut = rows.join(large, same, "left_semi").repartitionByRange(ceil(n / SEGMENT) + 1, F.col("conv_id"), F.col("by_turn"), *ordered())
+    # Written once, so that the cuts are the same for every later reader and retry.
+    cut = materialize(cut.withColumn("_segment", F.spark_partition_id()), "chat-segments")
+    place = F.row_number().over(Window.partitionBy("conv_id", "by_turn", "_segment").orderBy(*ordered()))
+    cut = cut.withColumn("_at", F.floor((place - 1) / RUN).cast("long"))
+    return small.unionByName(whole(cut, F.col("_segment"), F.col("_at")))
 
 
 def prefixes(turns: DataFrame) -> DataFrame:
@@ -51,7 +77,7 @@ def prefixes(turns: DataFrame) -> DataFrame:
     # Nulls differ from any text: the hash of a null is its seed, so a flag goes with it.
     parts = [F.col("role"), F.col("role").isNull(), F.col("text"), F.col("text").isNull()]
     rows = turns.select("conv_id", "run", "turn", F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(1), *parts).alias("b"), "role", "text")
-    inside = Window.partitionBy("conv_id", "run").orderBy(F.coalesce("turn", F.lit(0)), F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())
+    inside = Window.partitionBy("conv_id", "run").orderBy(*ordered())
     rows = rows.select("conv_id", "run", "a", "b", F.row_number().over(inside).alias("at"))
     rows = materialize(rows, "chat-turns")
 
@@ -106,8 +132,11 @@ def render(turns: DataFrame, kept: DataFrame) -> DataFrame:
     row = F.struct(F.coalesce("turn", F.lit(0)).alias("at"), F.col("turn"), F.col("role"), F.col("text"), line.alias("line"))
     parts = found.groupBy("conv_id", "run").agg(F.sort_array(F.collect_list(row)).alias("rows"))
     parts = parts.select("conv_id", "run", F.size("rows").alias("n_turns"), F.array_join(F.col("rows")["line"], "").alias("rendered"))
+    # Parts are numbered without their texts, which stay where they are.
     part = F.row_number().over(Window.partitionBy("conv_id").orderBy("run")) - 1
-    return parts.select("conv_id", part.alias("part"), "n_turns", "rendered")
+    numbers = found.select("conv_id", "run").distinct().select(F.col("conv_id").alias("_conv"), F.col("run").alias("_run"), part.alias("part"))
+    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("run") == F.col("_run"))
+    return parts.join(numbers, same).select("conv_id", "part", "n_turns", "rendered")
 
 
 def collapse(conversations: DataFrame) -> DataFrame:

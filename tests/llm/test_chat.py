@@ -54,6 +54,24 @@ def test_long_conversations_in_runs(spark, monkeypatch):
     assert [f"turn {t}<" in whole for t in range(20)] == [True] * 20 and whole.index("turn 2<") < whole.index("turn 10<")
 
 
+def test_runs_with_more_rows_than_turn_numbers(spark, monkeypatch):
+    monkeypatch.setattr(chat, "RUN", 5)
+    monkeypatch.setattr(chat, "SEGMENT", 20)
+    rows = [(None, t % 7, "user", f"orphan {t:03}") for t in range(120)]  # no conv_id: one conversation
+    rows += [(1, None, "user", f"unnumbered {t:03}") for t in range(90)]
+    rows += [(2, 3, "user", f"unnumbered {t:03}") for t in range(90)]  # the same turns, all with one number
+    rows += [(3, t, "user", f"unnumbered {t:03}") for t in range(40)]  # a snapshot of them with numbers
+    rows += [(4, t, "user", f"turn {t}") for t in range(12)]
+    out = chat.collapse(made(spark, rows)).orderBy("conv_id", "part").collect()
+    assert {r.conv_id for r in out} == {None, 1, 4} == brute(rows)
+    assert max(r.n_turns for r in out) <= 5
+    line = lambda x: f"{chat.OPEN}user\n{x}{chat.CLOSE}\n"
+    for conv, said in ((None, [x for _, x in sorted((r[1], r[3]) for r in rows[:120])]), (1, [f"unnumbered {t:03}" for t in range(90)])):
+        parts = [r for r in out if r.conv_id == conv]
+        assert [r.part for r in parts] == [*range(len(parts))] and sum(r.n_turns for r in parts) == len(said)
+        assert "".join(r.rendered for r in parts) == "".join(line(x) for x in said)
+
+
 def test_empty(spark):
     assert chat.collapse(made(spark, []).limit(0)).count() == 0
 
