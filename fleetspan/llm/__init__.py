@@ -20,6 +20,7 @@ MODULES = [
     "language",
     "templates",
     "jaccard",
+    "covertree",
 ]
 
 
