@@ -21,6 +21,7 @@ MODULES = [
     "templates",
     "jaccard",
     "covertree",
+    "spelling",
 ]
 
 
