@@ -22,6 +22,7 @@ MODULES = [
     "jaccard",
     "covertree",
     "spelling",
+    "quality",
 ]
 
 
