@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetspan.operators.availability import enabled
+from fleetspan.operators.joins import null_safe_join
+from fleetspan.operators.report import last_wins
 from fleetspan.operators.skew import DEFAULT_POLICY, HotKeyPolicy, with_previous
 
 # Setting names with a meaning of their own.
@@ -129,3 +131,103 @@ def config_changes(
     return rows.withColumn(
         "changed", F.col("_before").isNotNull() & ~F.col("content_hash").eqNullSafe(F.col("_before"))
     ).drop("_before")
+
+
+# --- refreshed documents and the inventory that follows them ------------------
+
+
+def service_hashes(body: Column, root: str) -> Column:
+    """MAP of the services of a document to a hash of their settings, the host's own included.
+
+    A change of the host's settings is a change of all its services. A document
+    without the host, the root or services, or a broken one, has none.
+    """
+    def node(text: Column) -> Column:
+        return F.from_json(text, "MAP<STRING, STRING>")
+
+    tree = F.get(F.map_values(node(body)), F.lit(0))
+    monitor = node(F.get_json_object(tree, f"$['{root}'].{MONITOR}"))
+    services = F.coalesce(node(monitor[SERVICE]), F.create_map().cast("map<string, string>"))
+    base = F.to_json(F.array_sort(F.map_entries(F.map_filter(monitor, lambda k, _: k != SERVICE))))
+    # One-element lists bind what is computed once for all services.
+    bound = F.transform(F.array(base), lambda b: F.transform_values(services, lambda _, v: F.sha2(F.concat_ws("\n", b, v).cast("binary"), 256)))
+    return bound[0]
+
+
+#: State of refreshed configurations: a row per child, and one without a child for the document as a whole.
+CHILD_STATE = "child STRING, hash STRING, removed BOOLEAN"
+
+
+def refreshed_children(
+    refreshes: DataFrame,
+    host: str,
+    order: Sequence[str],
+    content: Column,
+    children: Column,
+    state: DataFrame | None = None,
+    policy: HotKeyPolicy = DEFAULT_POLICY,
+) -> DataFrame:
+    """What every refresh of a host's configuration changed.
+
+    ``content`` is the document (null: the refresh failed, so all stays as it
+    is), ``children`` the MAP of its children to a hash of their settings. Added
+    are ``changed`` (the document differs from the one before; the first is no
+    change), ``changes``, an ARRAY of (child, status, hash) with status ``added``,
+    ``removed`` or ``changed``, and ``content_hash``. ``state`` is what was known
+    before, see ``children_state``. Null is a host like any other.
+    """
+    columns = [c for c in refreshes.columns if c != host]
+    rows = refreshes.withColumns({
+        "_hash": F.sha2(content.cast("string").cast("binary"), 256),
+        "_now": F.coalesce(children, F.create_map().cast("map<string, string>")),
+        "_there": F.lit(True),
+    })
+    good = rows.filter(F.col("_hash").isNotNull())
+    seen = with_previous(good, [host], order, {"_had": ("_there", None), "_before": ("_hash", None), "_old": ("_now", None)}, policy)
+    if state is not None:
+        live = F.when(F.col("child").isNotNull() & ~F.col("removed"), F.struct("child", "hash"))
+        # All children of a host, as many as its documents named.
+        known = state.groupBy(host).agg(
+            F.max(F.when(F.col("child").isNull(), F.col("hash"))).alias("_last"), F.map_from_entries(F.collect_list(live)).alias("_live")
+        )
+        seen = null_safe_join(seen, known, [host], "left")
+        seen = seen.withColumn("_before", F.when(F.col("_had"), F.col("_before")).otherwise(F.col("_last")))
+        seen = seen.withColumn("_old", F.when(F.col("_had"), F.col("_old")).otherwise(F.col("_live"))).drop("_last", "_live")
+    none = F.create_map().cast("map<string, string>")
+    seen = seen.withColumn("_old", F.coalesce("_old", none))
+
+    def change(entries: Column, status: str, gone: bool = False) -> Column:
+        return F.transform(entries, lambda e: F.struct(
+            e["key"].alias("child"), F.lit(status).alias("status"), (F.lit(None).cast("string") if gone else e["value"]).alias("hash")
+        ))
+
+    now, old = F.map_entries("_now"), F.map_entries("_old")
+    added = F.filter(now, lambda e: ~F.map_contains_key("_old", e["key"]))
+    altered = F.filter(now, lambda e: F.map_contains_key("_old", e["key"]) & (F.try_element_at("_old", e["key"]) != e["value"]))
+    removed = F.filter(old, lambda e: ~F.map_contains_key("_now", e["key"]))
+    changes = F.concat(change(added, "added"), change(altered, "changed"), change(removed, "removed", True))
+    told = seen.select(
+        host, *columns, (F.col("_before").isNotNull() & (F.col("_hash") != F.col("_before"))).alias("changed"), changes.alias("changes"),
+        F.col("_hash").alias("content_hash"),
+    )
+    failed = rows.filter(F.col("_hash").isNull()).select(
+        host, *columns, F.lit(False).alias("changed"),
+        F.array().cast("array<struct<child: string, status: string, hash: string>>").alias("changes"), F.col("_hash").alias("content_hash"),
+    )
+    return told.unionByName(failed)
+
+
+def children_state(told: DataFrame, host: str, order: Sequence[str]) -> DataFrame:
+    """Rows of the state (host, child, hash, removed) that refreshes touched, from what ``refreshed_children`` told.
+
+    A removed child stays as a tombstone; the row without a child has the hash of the whole document.
+    """
+    events = told.select(host, *order, F.explode("changes").alias("_c")).select(
+        host, *order, F.col("_c.child").alias("child"), F.struct("_c.hash", (F.col("_c.status") == "removed").alias("removed")).alias("_v")
+    )
+    # Structs, as a null value must win over an older one.
+    newest = last_wins(events, [host, "child"], order, ["_v"])
+    documents = told.filter(F.col("content_hash").isNotNull()).groupBy(host).agg(F.max_by("content_hash", F.struct(*order)).alias("hash"))
+    return newest.select(host, "child", "_v.hash", "_v.removed").unionByName(
+        documents.select(host, F.lit(None).cast("string").alias("child"), "hash", F.lit(False).alias("removed"))
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,11 +74,16 @@ def upsert_inventory(old: DataFrame, new: DataFrame, keys: Sequence[str] = ("typ
 
 
 def inventory_diff(before: DataFrame, after: DataFrame, keys: Sequence[str], compared: Sequence[str]) -> DataFrame:
-    """Per key: ``added``, ``removed`` or ``changed``; equal ones are left out."""
-    def side(df: DataFrame, flag: str) -> DataFrame:
-        return df.select(*keys, F.struct(*[F.col(c) for c in compared]).alias(flag))
-
-    both = side(before, "_before").join(side(after, "_after"), list(keys), "full_outer")
+    """Per key: ``added``, ``removed`` or ``changed``; equal ones are left out. Null is a key: a top resource has no parent."""
+    def side(df: DataFrame, number: int, flag: str) -> DataFrame:
+        return df.select(*[F.col(k).alias(f"_key_{number}_{i}") for i, k in enumerate(keys)], F.struct(*[F.col(c) for c in compared]).alias(flag))
+
+    old, new = side(before, 0, "_before"), side(after, 1, "_after")
+    same = reduce(lambda a, b: a & b, [old[f"_key_0_{i}"].eqNullSafe(new[f"_key_1_{i}"]) for i in range(len(keys))])
+    gone = F.col("_after").isNull()
+    both = old.join(new, same, "full_outer").select(
+        *[F.when(gone, F.col(f"_key_0_{i}")).otherwise(F.col(f"_key_1_{i}")).alias(k) for i, k in enumerate(keys)], "_before", "_after"
+    )
     status = (
         F.when(F.col("_before").isNull(), "added")
         .when(F.col("_after").isNull(), "removed")

@@ -168,6 +168,44 @@ def with_running_sum(
     return result.unionByName(spread.drop("_carry", "_seg", *addends))
 
 
+def with_last_known(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    columns: dict[str, tuple[str, Column]],
+    policy: HotKeyPolicy = DEFAULT_POLICY,
+) -> DataFrame:
+    """Add the value of the last row, the current one included, for which a condition holds.
+
+    ``columns`` maps an output name to (source column, condition). The value may
+    be null. ``order`` must name a unique order among the rows that matter.
+    """
+    marked = {f"_mark_{out}": F.when(cond, F.struct(F.col(src).alias("v"))) for out, (src, cond) in columns.items()}
+    df = df.withColumns(marked)
+    cold, hot, _ = _split(df, keys, order, policy)
+
+    def last(rows: DataFrame, parts: Sequence[str]) -> DataFrame:
+        window = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return rows.withColumns({out: F.last(f"_mark_{out}", ignorenulls=True).over(window) for out in columns})
+
+    def plain(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({out: F.col(out)["v"] for out in columns}).drop(*marked)
+
+    result = plain(last(cold, keys))
+    if hot is None:
+        return result
+    tails = hot.groupBy(*keys, "_seg").agg(
+        *[F.max_by(m, F.when(F.col(m).isNotNull(), F.struct(*order))).alias(m) for m in marked]
+    )
+    before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    carry = tails.select(
+        *keys, "_seg", F.struct(*[F.last(m, ignorenulls=True).over(before).alias(m) for m in marked]).alias("_carry")
+    )
+    joined = _carry_join(last(hot, [*keys, "_seg"]), carry, keys)
+    spread = joined.withColumns({out: F.coalesce(F.col(out), F.col("_carry")[f"_mark_{out}"]) for out in columns})
+    return result.unionByName(plain(spread.drop("_carry", "_seg")))
+
+
 def with_row_number(
     df: DataFrame,
     keys: Sequence[str],
