@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 # How the pages are laid out.
 HEADER_TABLE = r"<table[^>]+>\s*<tr>(.*)</tr>\s*<tr>(.*)</tr>\s*</table>"
-TAG_RUN = r"(\s*</?\w+[^>]*>\s*)+"
+#: Possessive: a run of any length is taken in a loop, not by a call for every tag.
+TAG_RUN = r"(?:\s*+</?\w++[^>]*+>\s*+)++"
 PAIR_ROW = r"<tr><td>([\w\s]+)</td><td>([\d.]+)</td>"
 TOTAL_LINE = r"Total.*?servers\D*(\d+).*?requests\D*(\d+).*?regions\D*(\d+)"
 QUEUE_LINK = r'"jobqueue_details\.jsp\?queueName=([^"]*)"'

@@ -7,45 +7,95 @@ from pyspark.sql import functions as F
 
 _ENTRY = "ARRAY<STRUCT<key: STRING, kind: STRING, text: STRING>>"
 
-#: Stand for an escaped backslash and an escaped quote while a document is cut into tokens (private-use characters).
-_BACKSLASH, _QUOTE = "\uE000", "\uE001"
-_TOKEN = r'"[^"]*+"|[{}\[\]:,]|[^\s{}\[\]:,"]++'
+#: Strings, marks and bare words; a quote that nothing closes is a token of its own. Possessive, so nothing is tried twice and no stack grows with the text.
+_TOKEN = r'"(?:[^"\\]|\\.)*+"|[{}\[\]:,"]|[^\s{}\[\]:,"]++'
 _NUMBER = r"^-?(0|[1-9]\d*+)(\.\d++)?([eE][+-]?\d++)?$"
+_STRING = r'^"(?:[^"\\\x00-\x1f]|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4})*+"$'
+_WORDS = ("true", "false", "null", "NaN", "Infinity", "-Infinity")
+
+#: A key with a scalar behind it, in groups, or else a string: these are taken whole, so nothing is looked for inside them.
+_LEAF = r'("(?:[^"\\]|\\.)*+")\s*+:\s*+("(?:[^"\\]|\\.)*+"|[^\s{}\[\]:,"]++)|"(?:[^"\\]|\\.)*+"'
+#: Length below which no limit of Spark's parser is reached.
+_SHORT = 1000
+#: Levels that one number of the grammar's stack holds, and the width at which full numbers are put aside.
+_LEVELS, _WIDTH = 60, 16
 
 
 def _tokens(body: Column) -> Column:
     """Strings (in quotes), marks and bare words of a document, in order."""
-    held = F.replace(F.replace(body, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
-    return F.regexp_extract_all(held, F.lit(_TOKEN), F.lit(0))
+    return F.regexp_extract_all(body, F.lit(f"(?s){_TOKEN}"), F.lit(0))
 
 
 def _unquoted(token: Column) -> Column:
     """Text of a string token."""
-    text = F.replace(F.replace(token, F.lit(_BACKSLASH), F.lit("\\\\")), F.lit(_QUOTE), F.lit('\\"'))
     # Only a token with an escape is parsed.
-    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "ARRAY<STRING>")[0]
-    return F.when(F.instr(text, "\\") > 0, parsed).otherwise(F.substring(text, F.lit(2), F.length(text) - 2))
+    parsed = F.from_json(F.concat(F.lit("["), token, F.lit("]")), "ARRAY<STRING>")[0]
+    return F.when(F.instr(token, "\\") > 0, parsed).otherwise(F.substring(token, F.lit(2), F.length(token) - 2))
 
 
-def well_formed(body: Column) -> Column:
-    """Whether a body is one JSON object or list.
+def grammatical(tokens: Column) -> Column:
+    """Whether tokens make one JSON object or list, at any size and depth.
 
-    Spark's parser decides, but it stops at the end of the first value and
-    refuses documents of about a thousand levels. So brackets must balance, and
-    a closing one must be followed by a mark; that is all a deep document needs.
+    An automaton over the list. Its state says what may follow: ``S`` the root,
+    ``A`` a value or the end of an empty list, ``V`` a value, ``O`` a key or the
+    end of an empty object, ``K`` a key, ``C`` a colon, ``E`` a comma or an end.
+    The stack has one bit per level, 1 for an object: the innermost levels in a
+    number, full numbers in a text.
     """
-    shape = body.rlike(r"(?s)^\s*(\{.*\}|\[.*\])\s*$")
-    held = F.replace(F.replace(body, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+    def struct(state: Column, top: Column, n: Column, rest: Column) -> Column:
+        return F.struct(state.alias("s"), top.cast("bigint").alias("top"), n.cast("int").alias("n"), rest.alias("rest"))
+
+    def step(a: Column, t: Column) -> Column:
+        state, top, n, rest = a["s"], a["top"], a["n"], a["rest"]
+        kept = lambda s: struct(s, top, n, rest)
+        value = state.isin("A", "V")
+        inside, in_object = n > 0, F.pmod(top, F.lit(2)) == 1
+
+        def opened(bit: int, s: str) -> Column:
+            full = n == _LEVELS
+            return struct(
+                F.lit(s), F.when(full, F.lit(bit)).otherwise(top * 2 + bit), F.when(full, 1).otherwise(n + 1),
+                F.when(full, F.concat(rest, F.lpad(F.hex(top), _WIDTH, "0"))).otherwise(rest),
+            )
+
+        again = (n == 1) & (rest != "")
+        closed = struct(
+            F.lit("E"),
+            F.when(again, F.conv(F.right(rest, F.lit(_WIDTH)), 16, 10).cast("bigint")).otherwise(F.shiftright(top, 1)),
+            F.when(again, F.lit(_LEVELS)).otherwise(n - 1),
+            F.when(again, F.left(rest, F.length(rest) - _WIDTH)).otherwise(rest),
+        )
+        return (
+            F.when(state == "X", a)
+            .when((t == "{") & (value | (state == "S")), opened(1, "O"))
+            .when((t == "[") & (value | (state == "S")), opened(0, "A"))
+            .when((t == "}") & state.isin("E", "O") & inside & in_object, closed)
+            .when((t == "]") & state.isin("E", "A") & inside & ~in_object, closed)
+            .when((t == ",") & (state == "E") & inside, kept(F.when(in_object, "K").otherwise("V")))
+            .when((t == ":") & (state == "C"), kept(F.lit("V")))
+            .when(state.isin("O", "K") & t.rlike(_STRING), kept(F.lit("C")))
+            .when(value & (t.rlike(_STRING) | t.isin(*_WORDS) | t.rlike(_NUMBER)), kept(F.lit("E")))
+            .otherwise(kept(F.lit("X")))
+        )
+
+    start = struct(F.lit("S"), F.lit(0), F.lit(0), F.lit(""))
+    return F.aggregate(tokens, start, step, lambda a: (a["s"] == "E") & (a["n"] == 0))
 
-    def balanced(bare: Column) -> Column:
-        count = lambda mark: F.length(bare) - F.length(F.replace(bare, F.lit(mark), F.lit("")))
-        whole = (count("{") == count("}")) & (count("[") == count("]")) & ~bare.rlike(r"[}\]]\s*[^\s,}\]]")
-        deep = (count("{") + count("[") > 900) & ~F.contains(bare, F.lit('"'))
-        return whole & (F.from_json(body, "VARIANT", {"allowSingleQuotes": "false"}).isNotNull() | deep)
 
-    # The one-element list binds the text without its strings, so that it is made once.
-    bare = F.array(F.regexp_replace(held, r'"[^"]*+"', ""))
-    return F.coalesce(shape & F.transform(bare, balanced)[0], F.lit(False))
+def well_formed(body: Column) -> Column:
+    """Whether a body is one JSON object or list, and nothing else.
+
+    Spark's parser stops behind the first value, so it is asked for the body as
+    the one item of a list and as the one value of an object: what might follow
+    the value fits one of them at most. It refuses a thousand levels, and very long
+    names and numbers; so what it refuses goes through the grammar, unless it is
+    too short for any of these.
+    """
+    def parsed(before: str, after: str) -> Column:
+        return F.from_json(F.concat(F.lit(before), body, F.lit(after)), "VARIANT", {"allowSingleQuotes": "false"}).isNotNull()
+
+    whole = parsed("[", "]") & parsed('{"a":', "}")
+    return F.coalesce(body.rlike(r"^\s*[\{\[]") & (whole | ((F.length(body) >= _SHORT) & grammatical(_tokens(body)))), F.lit(False))
 
 
 def digest_entries(body: Column) -> Column:
@@ -54,30 +104,28 @@ def digest_entries(body: Column) -> Column:
     Booleans, nulls, empty strings and bare list elements are left out; of a
     repeated key the last leaf in document order counts. A leaf is a string, a
     colon and a scalar, at whatever depth, so flat, nested and very deep
-    documents are read alike, in one pass inside the JVM. Null for a broken
+    documents are read alike, by patterns inside the JVM. Null for a broken
     document: see ``digest_errors``.
     """
-    def entry(t: Column, i: Column) -> Column:
-        key, mark, value = F.get(t, i), F.get(t, i + 1), F.get(t, i + 2)
-        string = F.startswith(value, F.lit('"'))
-        kind = F.when(~F.startswith(key, F.lit('"')) | (mark != ":"), None).when(string, "s").when(value.rlike(_NUMBER), "n")
-        return F.struct(key.alias("key"), i.alias("at"), kind.alias("kind"), value.alias("text"))
-
     def last_of_key(all_: Column) -> Column:
         following = lambda i: F.get(all_, i + 1)["key"]
         return F.filter(all_, lambda e, i: ~e["key"].eqNullSafe(following(i)))
 
-    def leaves(t: Column) -> Column:
-        found = F.transform(F.sequence(F.lit(0), F.greatest(F.size(t) - 3, F.lit(0))), lambda i: entry(t, i))
-        found = F.filter(found, lambda e: e["kind"].isNotNull() & (e["text"] != '""'))
-        plain = lambda e: F.when(e["kind"] == "n", e["text"]).otherwise(_unquoted(e["text"]))
-        named = F.transform(found, lambda e: F.struct(_unquoted(e["key"]).alias("key"), e["at"].alias("at"), e["kind"].alias("kind"), plain(e).alias("text")))
+    def leaves(whole: Column) -> Column:
+        group = lambda n: F.regexp_extract_all(whole, F.lit(f"(?s){_LEAF}"), F.lit(n))
+        pairs = F.filter(F.arrays_zip(group(1).alias("key"), group(2).alias("text")), lambda e: (e["key"] != "") & (e["text"] != '""'))
+
+        def named(e: Column, i: Column) -> Column:
+            string = F.startswith(e["text"], F.lit('"'))
+            kind = F.when(string, "s").when(e["text"].rlike(_NUMBER), "n")
+            return F.struct(_unquoted(e["key"]).alias("key"), i.alias("at"), kind.alias("kind"), F.when(string, _unquoted(e["text"])).otherwise(e["text"]).alias("text"))
+
         # Sorted by key and place, so that the last leaf of a key is the one before another key.
-        return F.transform(F.array(F.sort_array(named)), last_of_key)[0]
+        found = F.filter(F.transform(pairs, named), lambda e: e["kind"].isNotNull())
+        return F.transform(F.array(F.sort_array(found)), last_of_key)[0]
 
     # One-element lists bind what is computed once.
-    tokens = F.when(well_formed(body), _tokens(body))
-    bound = F.transform(F.array(tokens), lambda t: F.when(t.isNotNull(), leaves(t)))[0]
+    bound = F.transform(F.array(F.when(well_formed(body), body)), lambda t: F.when(t.isNotNull(), leaves(t)))[0]
     return F.transform(bound, lambda e: F.struct(e["key"].alias("key"), e["kind"].alias("kind"), e["text"].alias("text"))).cast(_ENTRY)
 
 

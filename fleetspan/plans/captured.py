@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetspan.plans.registry import Tables, query
-from fleetspan.session import scratch_path
+from fleetspan.session import materialize, scratch_path
 from fleetspan.sources import readers as RD
 
 
@@ -94,7 +94,9 @@ def _files(t: Tables) -> str:
     """A text file or more for each kind of event, a line for each event."""
     path = scratch_path(t.spark, "text")
     line = F.concat(F.col("event_id").cast("string"), F.lit(" user="), F.col("user_id").cast("string"), F.lit(" "), "props")
-    t.events.select("event_type", line.alias("value")).repartition("event_type").write.partitionBy("event_type").text(path)
+    # A frequent kind is written by several tasks, as several files.
+    dealt = t.events.select("event_type", line.alias("value"), F.pmod("event_id", F.lit(8)).alias("cut")).repartition("event_type", "cut")
+    dealt.drop("cut").write.partitionBy("event_type").text(path)
     return path
 
 
@@ -147,3 +149,66 @@ def captured_definitions(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "definitions")
     bodies.select("file", F.concat(F.lit("<plugin>\n"), "tags", F.lit("\n</plugin>")).alias("value")).write.partitionBy("file").text(path)
     return RD.read_definitions(t.spark, f"{path}/*", "plugin").select("resource_type", "metric", "data_type", "interval_ms")
+
+
+# --- logs that grow, shrink and are rotated between two runs --------------------
+
+#: Files of a kind of event, so that a frequent kind is written by several tasks.
+CUTS = 8
+
+
+def _logs(t: Tables, rows: DataFrame, label: str) -> DataFrame:
+    """``rows`` (name, line, position) as one text file per name and cut, and the lines with their offsets."""
+    path = scratch_path(t.spark, label)
+    cut = F.pmod(F.col("event_id"), F.lit(CUTS)).alias("cut")
+    dealt = rows.select("name", cut, "position", "line").repartition("name", "cut").sortWithinPartitions("name", "cut", "position")
+    dealt.select("name", "cut", F.col("line").alias("value")).write.partitionBy("name", "cut").option("lineSep", "\n").text(path)
+    file = F.concat_ws("/", F.regexp_extract("path", "name=([^/]+)/", 1), F.regexp_extract("path", "cut=([0-9]+)/", 1))
+    # Read for the ledger and for the lines: so placed once.
+    return materialize(RD.read_lines_at(t.spark, f"{path}/*/*", file), f"{label}-lines")
+
+
+def _log_rows(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """What is in the files at the first and at the second run."""
+    e, part = t.events, F.col("event_id") % 4
+    line = F.concat(F.col("event_id").cast("string"), F.lit(" user="), F.col("user_id").cast("string"), F.lit(" "), "props")
+    name, rows = F.col("event_type"), e.select("event_id", "event_type", line.alias("line"), part.alias("part"))
+
+    def at(condition, number, new_name=name) -> DataFrame:
+        return rows.filter(condition).select(new_name.alias("name"), "event_id", (number * 1_000_000_000 + F.col("event_id")).alias("position"), "line")
+
+    late = (part >= 2).cast("bigint")
+    first = at((part < 2) & (name != "signup"), F.lit(0))
+    second = at(name == "click", late)  # grown
+    second = second.unionByName(at((name == "view") & (F.col("event_id") % 20 < 10) & (part < 2), F.lit(0)))  # cut short
+    second = second.unionByName(at((name == "purchase") & (part >= 2), F.lit(0)))  # begun anew
+    second = second.unionByName(at((name == "purchase") & (part < 3), (part == 2).cast("bigint"), F.lit("purchase.1")))  # the old one, renamed
+    second = second.unionByName(at((name == "error") & (part < 2), F.lit(0)))  # as it was
+    return first, second.unionByName(at(name == "signup", F.lit(0)))  # new
+
+
+@query("S4", """
+with e as (select event_id, event_type, event_id % 4 as part, event_id % 8 as cut, event_id || ' user=' || user_id || ' ' || props as line from events),
+files as (
+  select 1 as run, event_type as name, cut, event_id as position, line from e where part < 2 and event_type <> 'signup'
+  union all select 2, event_type, cut, case when part >= 2 then 1000000000 else 0 end + event_id, line from e where event_type = 'click'
+  union all select 2, event_type, cut, event_id, line from e where event_type = 'view' and event_id % 20 < 10 and part < 2
+  union all select 2, event_type, cut, event_id, line from e where event_type = 'purchase' and part >= 2
+  union all select 2, 'purchase.1', cut, case when part = 2 then 1000000000 else 0 end + event_id, line from e where event_type = 'purchase' and part < 3
+  union all select 2, event_type, cut, event_id, line from e where event_type = 'error' and part < 2
+  union all select 2, event_type, cut, event_id, line from e where event_type = 'signup'),
+l as (select *, cast(sum(octet_length(encode(line)) + 1) over (partition by run, name, cut order by position) as bigint) as stop from files),
+f as (select run, name, cut, max(stop) as size, left(arg_min(line, position), 256) as head from l group by run, name, cut),
+k as (select f.*, o.size as known, coalesce(starts_with(f.head, o.head), false) as same from f left join f o on f.run = 2 and o.run = 1 and f.name = o.name and f.cut = o.cut),
+m as (select head, max(size) as moved from f where run = 1 and not exists (select 1 from k where k.run = 2 and k.name = f.name and k.cut = f.cut and k.same) group by head having count(*) = 1),
+b as (select k.*, case when run = 1 then 0 when same then known when known is null then moved end as guess from k left join m on k.head = m.head),
+g as (select *, case when guess <= size then guess else 0 end as begin from b)
+select l.run, l.name || '/' || l.cut as file, l.line, cast(l.stop - octet_length(encode(l.line)) - 1 as bigint) as start
+from l join g on l.run = g.run and l.name = g.name and l.cut = g.cut where l.stop > g.begin
+""")
+def tailed_files(t: Tables) -> DataFrame:
+    first, second = _log_rows(t)
+    empty = t.spark.createDataFrame([], RD.LEDGER)
+    new, ledger = RD.tail_files(_logs(t, first, "log-first"), empty)
+    newer, _ = RD.tail_files(_logs(t, second, "log-second"), materialize(ledger, "ledger"))
+    return new.withColumn("run", F.lit(1)).unionByName(newer.withColumn("run", F.lit(2)))

@@ -19,7 +19,7 @@ from fleetspan.plans import inputs as I
 from fleetspan.session import local_table, scratch_path
 from fleetspan.sources.readers import metastore_tables as tables_with_partitions
 from fleetspan.sources.readers import table_locations as locations
-from fleetspan.sources.sinks import write_events, write_report
+from fleetspan.sources.sinks import read_runs, write_events, write_report
 
 DAY_MS = 86_400_000
 
@@ -330,8 +330,9 @@ def report_sink(t: Tables) -> DataFrame:
     raw = F.when(F.col("event_type") == "view", F.concat(F.lit(" v"), F.col("user_id").cast("string"))).otherwise(F.col("value").cast("string"))
     values = t.events.select(F.col("user_id").alias("resource_key"), "event_id", "ts", F.col("event_type").alias("metric"), raw.alias("value"))
     path = scratch_path(t.spark, "report")
-    write_report(R.coerce(values, definitions).drop("error"), path)
-    back = t.spark.read.parquet(path)
+    for _ in range(2):  # a run that is repeated replaces itself
+        write_report(R.coerce(values, definitions).drop("error"), path, run="1")
+    back = read_runs(t.spark, path)
     return back.select("resource_key", "metric", "event_id", "data_type", F.col("date").cast("string").alias("date"), "dvalue", "svalue")
 
 
@@ -346,5 +347,6 @@ def event_sink(t: Tables) -> DataFrame:
         F.timestamp_seconds("turn").alias("ts"), F.lit("INFO").alias("severity"), F.concat("previous", F.lit(" to "), "role").alias("detail"), "turn",
     )
     path = scratch_path(t.spark, "events")
-    write_events(events, path)
-    return t.spark.read.parquet(path).select("type", "source", "severity", "detail", "turn")
+    for _ in range(2):
+        write_events(events, path, run="1")
+    return read_runs(t.spark, path).select("type", "source", "severity", "detail", "turn")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetspan import schema
@@ -148,3 +148,68 @@ def tail_lines(lines_with_pos: DataFrame, offsets: DataFrame) -> DataFrame:
 def next_offsets(lines_with_pos: DataFrame) -> DataFrame:
     """Offsets to store after all lines were read."""
     return lines_with_pos.groupBy("file").agg(F.max("length").alias("offset"))
+
+
+# --- tail by byte offset -------------------------------------------------------
+
+#: What a run leaves for the next one: bytes read of each file, and how the file began.
+LEDGER = "file STRING, offset BIGINT, head STRING"
+#: Code points of a first line that tell files apart.
+HEAD = 256
+
+
+def read_lines_at(spark: SparkSession, path: str | Sequence[str], file: Column | None = None) -> DataFrame:
+    """Rows (file, size, line, start, end) of text files: every line with the byte at which it begins and the one after its end.
+
+    ``file`` names a file by its ``path``, if not by the whole path. Lines end at
+    line feeds. Spark reads a file in splits, whose first lines begin somewhere
+    behind the split's start; so a line begins where the bytes of the splits
+    before it and of the lines before it in its own split end. Only the splits'
+    sums are ordered per file, and the lines within a split, which is of bounded size.
+    """
+    meta = F.col("_metadata")
+    raw = spark.read.text(path if isinstance(path, str) else list(path), lineSep="\n")
+    lines = raw.withColumn("path", meta["file_path"]).select(
+        (F.col("path") if file is None else file).alias("file"),
+        meta["file_size"].alias("size"), meta["file_block_start"].alias("_block"),
+        F.monotonically_increasing_id().alias("_n"), F.col("value").alias("line"), (F.octet_length("value") + 1).cast("bigint").alias("_bytes"),
+    )
+    splits = lines.groupBy("file", "_block").agg(F.sum("_bytes").alias("_sum"))
+    before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file", "_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
+    inside = Window.partitionBy("file", "_block").orderBy("_n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = lines.withColumn("_sum", F.sum("_bytes").over(inside)).join(splits, ["file", "_block"])
+    end = F.col("_base") + F.col("_sum")
+    # The last line of a file may lack its line feed.
+    return placed.select("file", "size", "line", (end - F.col("_bytes")).alias("start"), F.least(end, "size").alias("end"))
+
+
+def tail_files(lines: DataFrame, ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """New lines (file, line, start) of ``read_lines_at`` rows since the ledger, and the ledger of the files as they are now.
+
+    A file goes on at its offset. It is read from its start when it is shorter
+    than that, or begins otherwise than it did: it was rotated. A file that the
+    ledger does not know goes on where the one file stood that began alike and
+    is no longer in its place: it was renamed. A line that had been read in part
+    gives the rest. The ledger that is returned keeps files that are gone, as they may come back under
+    another name.
+    """
+    head = F.substring("line", 1, HEAD)
+    # One row per file.
+    now = lines.groupBy("file").agg(F.max("size").alias("size"), F.max(F.when(F.col("start") == 0, head)).alias("head"))
+    known = ledger.select("file", F.col("offset").alias("_offset"), F.col("head").alias("_head"))
+    here = now.join(known, "file", "left")
+    same = F.coalesce(F.startswith("head", F.col("_head")), F.lit(False))
+    here = here.withColumn("_same", same)
+    left = known.join(here.filter("_same").select("file"), "file", "left_anti")
+    moved = left.groupBy(F.col("_head").alias("head")).agg(F.count(F.lit(1)).alias("_files"), F.max("_offset").alias("_moved")).filter("_files = 1")
+    here = here.join(moved, "head", "left")
+    begin = F.when(F.col("_same"), F.col("_offset")).when(F.col("_offset").isNull(), F.col("_moved"))
+    begin = F.when(begin <= F.col("size"), begin).otherwise(F.lit(0))
+    begins = here.select("file", begin.alias("_begin"))
+    new = lines.join(begins, "file").filter(F.col("end") > F.col("_begin"))
+    cut = F.col("_begin") - F.col("start")
+    rest = F.decode(F.substring(F.encode("line", "utf-8"), (cut + 1).cast("int"), F.octet_length("line")), "utf-8")
+    new = new.select("file", F.when(cut > 0, rest).otherwise(F.col("line")).alias("line"), F.greatest("start", "_begin").alias("start"))
+    gone = ledger.join(now.select("file"), "file", "left_anti").select("file", "offset", "head")
+    return new, now.select("file", F.col("size").alias("offset"), "head").unionByName(gone)

@@ -13,6 +13,7 @@ from fleetspan.functions import oid as O
 from fleetspan.functions import text as T
 from fleetspan.functions import urls as U
 from fleetspan.operators import metadata as M
+from fleetspan.operators import digest as JD
 from fleetspan.operators.digest import digest_errors, json_digest, numeric_digest
 
 
@@ -486,3 +487,38 @@ def test_numbers_too_long_give_nothing(spark):
     assert one(spark, X.window_id(F.col("b")), b=digits) is None
     assert one(spark, C.typed_int(F.col("b"), 4), b=digits) == 4
     assert one(spark, O.decode_index(O.oid_array(F.col("b")), [("n", "int")]), b=digits) == {"n": None}
+
+
+def _levels(n, inside="1"):
+    return '{"a":' * n + inside + "}" * n
+
+
+WHOLE = [
+    "{}", "[]", ' [1, 2,{"b":[]}] ', '{"x":" "}', _levels(5000), "[" * 20_000 + "]" * 20_000, '{"a":"' + 'x\\"' * 50_000 + '"}',
+    "[" + ",".join('{"a":[%d]}' % i for i in range(2000)) + "]", _levels(60), _levels(61), _levels(121, "[1]"), '{"n":-1.5e+3,"t":true,"z":null}',
+]
+BROKEN = [
+    "", "x", "1", '"a"', '{"a":1} x', '{"a":1},{"b":2}', '{"a":1}],[', '{"a":1},"x":2', '{"a":1}}', "[1", '{"a" 1}', "{a:1}", "[1,]", "[,1]", '{"a":1,}',
+    '{"a":}', '{"a":oops}', "[1 2]", '{"a":"b', '{"a":1]', "{" + ",".join('"k%d":[%d]' % (i, i) for i in range(1000)) + ",b:oops}",
+    "[" + ",".join("{%d}" % i for i in range(1000)) + "]", '{"a" 1}' * 1000, _levels(1500, "oops"), _levels(1500) + "}", _levels(1500)[:-1],
+    _levels(1500, "[1,]"), "[" * 1500 + "}" * 1500, "[01]",
+]
+
+
+def test_broken_documents_of_any_size_are_errors(spark):
+    df = spark.createDataFrame([*enumerate([*WHOLE, *BROKEN])], "i INT, body STRING")
+    errors = {r.i for r in digest_errors(df, "body", ["i"]).collect()}
+    assert errors == {*range(len(WHOLE), len(WHOLE) + len(BROKEN))}
+    assert not errors & {r.i for r in json_digest(df, "body", ["i"]).collect()}
+    by_grammar = df.select("i", JD.grammatical(JD._tokens(F.col("body"))).alias("ok"))
+    assert {r.i for r in by_grammar.collect() if not r.ok} == errors
+    assert [(r.key, r.value) for r in json_digest(df.filter("i = 3"), "body", ["i"]).collect()] == [("x", " ")]
+
+
+def test_header_values_of_a_page_with_very_long_runs_of_tags(spark):
+    run = "<b><i class='x'> </i></b>" * 50_000
+    page = f"<table border=1> <tr><th>{run}alpha{run}</th><th>beta</th></tr> <tr><td>{run}1</td><td>2{run}</td></tr> </table>"
+    plain = "<table border=1> <tr><th>alpha</th><th>beta</th></tr> <tr><td>1</td><td>2</td></tr> </table>"
+    df = spark.createDataFrame([(plain,), (page,)], "html STRING")
+    found = [[(p.key, p.value) for p in r.v] for r in df.select(H.header_values(F.col("html")).alias("v")).collect()]
+    assert found == [[("alpha", 1.0), ("beta", 2.0)]] * 2

@@ -91,3 +91,61 @@ def test_report_and_event_sinks(spark, tmp_path):
     SK.write_inventory(inventory, str(tmp_path / "inv"))
     SK.write_inventory(inventory, str(tmp_path / "inv"))
     assert spark.read.parquet(str(tmp_path / "inv")).count() == 1
+
+
+def test_line_starts_in_files_of_many_splits(spark, tmp_path):
+    path = f"{tmp_path}/lines"
+    text = [("ä" * (i % 23) + f" line {i}" if i % 7 else "") for i in range(3000)]
+    spark.createDataFrame([(x,) for x in text], "value STRING").coalesce(1).write.text(path)
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        rows = RD.read_lines_at(spark, path).orderBy("start").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    at = 0
+    for row, want in zip(rows, text, strict=True):
+        size = len(want.encode()) + 1
+        assert (row.line, row.start, row.end) == (want, at, at + size)
+        at += size
+    assert rows[0].size == at
+
+
+def test_tail_goes_on_starts_again_and_follows_a_renamed_file(spark):
+    ddl = "file STRING, size BIGINT, line STRING, start BIGINT, end BIGINT"
+
+    def files(contents):
+        rows = []
+        for name, content in contents.items():
+            at = 0
+            for line in content.splitlines(keepends=True):
+                rows.append((name, len(content.encode()), line.rstrip("\n"), at, at := at + len(line.encode())))
+        return spark.createDataFrame(rows, ddl)
+
+    def run(contents, ledger):
+        new, ledger = RD.tail_files(files(contents), ledger)
+        return sorted((r.file, r.line) for r in new.collect()), spark.createDataFrame(ledger.collect(), RD.LEDGER)
+
+    first, ledger = run({"a": "1\n2\n", "b": "x\ny\n", "c": "p\nq\n", "d": "half of ä l"}, spark.createDataFrame([], RD.LEDGER))
+    assert first == [("a", "1"), ("a", "2"), ("b", "x"), ("b", "y"), ("c", "p"), ("c", "q"), ("d", "half of ä l")]
+    # a grows, b is cut, c is renamed and begun anew, d's line is finished.
+    second, ledger = run({"a": "1\n2\n3\n", "b": "x\n", "c": "new\nlog\n", "c.1": "p\nq\nr\n", "d": "half of ä line\nnext\n"}, ledger)
+    assert second == [("a", "3"), ("b", "x"), ("c", "log"), ("c", "new"), ("c.1", "r"), ("d", "ine"), ("d", "next")]
+    third, _ = run({"a": "1\n2\n3\n", "b": "x\n", "c": "new\nlog\n", "c.1": "p\nq\nr\n", "d": "half of ä line\nnext\n"}, ledger)
+    assert third == []
+
+
+def test_a_repeated_run_gives_its_rows_once(spark, tmp_path):
+    path = str(tmp_path / "report")
+    at = datetime.datetime(2024, 1, 1)
+    rows = lambda n: spark.createDataFrame([("r", i, "measurement", at) for i in range(n)], "resource_key STRING, value INT, data_type STRING, ts TIMESTAMP")
+    SK.write_report(rows(3), path, run="1")
+    SK.write_report(rows(5), path, run="2024-01-01")
+    SK.write_report(rows(4), path, run="1")  # again, with what it found then
+    # An attempt that failed before its commit.
+    rows(9).withColumn("date", F.to_date("ts")).write.partitionBy("data_type", "date").parquet(f"{path}/rows/run=r-3/attempt=a-x")
+    got = SK.read_runs(spark, path)
+    assert {r.run: r["count"] for r in got.groupBy("run").count().collect()} == {"1": 4, "2024-01-01": 5}
+    SK.write_events(rows(2), path + "-events", run="7")
+    SK.write_events(rows(2), path + "-events", run="7")
+    assert SK.read_runs(spark, path + "-events").count() == 2
