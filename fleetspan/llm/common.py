@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import fleetspan
-from fleetspan.session import prepare
+from fleetspan.session import materialize, prepare
 
 # Functions that run in tasks travel by value, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(fleetspan)
@@ -54,6 +54,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Numbers of documents without an id begin here, above all ids of tables.
+UNNAMED = 1 << 62
+
+
+def whole_rows(docs: DataFrame, *needed: str, without: tuple[str, ...] = ()) -> DataFrame:
+    """``docs`` as a struct ``_row`` of all columns (but ``without``) beside the ``needed`` ones.
+
+    Stages work on these, and give ``_row.*`` back: so columns of any name, dots
+    included, pass through untouched, and no column of a stage clashes with them.
+    """
+    quoted = lambda c: F.col(f"`{c.replace('`', '``')}`")
+    return docs.select(F.struct(*[quoted(c) for c in docs.columns if c not in without]).alias("_row"), *map(quoted, needed))
+
+
+def with_ids(rows: DataFrame, label: str) -> DataFrame:
+    """Rows of which those without a ``doc_id`` have a number of their own; written, if there are any, so that it stays."""
+    missing = F.col("doc_id").isNull()
+    if not rows.where(missing).limit(1).count():
+        return rows
+    own = F.lit(UNNAMED) + F.monotonically_increasing_id()
+    return materialize(rows.withColumn("doc_id", F.when(missing, own).otherwise(F.col("doc_id").cast("long"))), label)
+
+
 def fold(key: str, folds: int, held: int) -> Column:
     """Whether crc32 of the key as text falls into the held-out fold; a null key is not held out."""
     return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(folds)) == held, F.lit(False))

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetspan.llm.common import query, session, table
+from fleetspan.llm.common import query, session, table, whole_rows, with_ids
 from fleetspan.session import materialize
 
 NGRAM, THRESHOLD = 5, 0.8
@@ -366,14 +366,15 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_R
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group the document with the smallest id.
 
-    Rows with the same id are one document. Rows without an id can't be named by the result and stay.
+    Rows with the same id are one document. Rows without an id are documents of their own, which others go before.
     """
     session(spark)
-    kept = materialize(join(docs).where(F.col("doc_id") == F.col("class_id")).select("doc_id"), "jaccard-kept")
-    found = docs.join(kept.distinct(), "doc_id", "left_semi").select(*docs.columns)
-    if kept.groupBy("doc_id").count().where("count > 1").limit(1).count():  # rows repeated with their id
+    rows = with_ids(whole_rows(docs, "doc_id", "text"), "jaccard-named")
+    kept = materialize(join(rows).where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("_kept")), "jaccard-kept")
+    found = rows.join(kept.distinct(), F.col("doc_id") == F.col("_kept"), "left_semi")
+    if kept.groupBy("_kept").count().where("count > 1").limit(1).count():  # rows repeated with their id
         found = found.dropDuplicates(["doc_id"])
-    return found.union(docs.where(F.col("doc_id").isNull()))
+    return found.select("_row.*")
 
 
 @query()

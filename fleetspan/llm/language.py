@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetspan.llm.common import fold, query, session, table
+from fleetspan.llm.common import fold, query, session, table, whole_rows
 
 #: Components of a vector.
 DIMENSIONS = 1024
@@ -149,8 +149,8 @@ def identify(docs: DataFrame, text: str = "text", lang: str = "lang", key: str =
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents in one of the learned languages; ``und`` goes."""
     session(spark)
-    found = identify(docs)
-    return found.where(F.col("_language.lang_pred") != UNKNOWN).select(*docs.columns)
+    found = identify(whole_rows(docs, "doc_id", "text", "lang"))
+    return found.where(F.col("_language.lang_pred") != UNKNOWN).select("_row.*")
 
 
 @query()

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetspan.llm.common import query, session, table
+from fleetspan.llm.common import query, session, table, whole_rows
 from fleetspan.session import materialize
 
 #: Labelled documents that the classifier is fitted on, chosen by a hash of their key.
@@ -115,10 +115,6 @@ def with_features(docs: DataFrame, vocabulary: list[str], text: str = "text") ->
     )
 
 
-def _quoted(name: str) -> Column:
-    return F.col(f"`{name}`")
-
-
 class Classifier:
     """Naive Bayes: prior, bins and telling words, as column expressions."""
 
@@ -236,9 +232,10 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], text: s
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: all documents with ``n_tokens`` and ``rate``."""
     session(spark)
-    found = mix(docs, label_domains(table(spark, sf_dir, "labels")), TARGETS)
-    kept = [c for c in docs.columns if c not in ("n_tokens", "rate")]
-    return found.select(*map(_quoted, kept), F.col("_tokens").alias("n_tokens"), F.col("_rate").alias("rate"))
+    rows = whole_rows(docs, "doc_id", "text", without=("n_tokens", "rate"))
+    # The text is needed in the row only, where all of it stays.
+    found = mix(rows, label_domains(table(spark, sf_dir, "labels")), TARGETS, keep_text=False)
+    return found.select("_row.*", F.col("_tokens").alias("n_tokens"), F.col("_rate").alias("rate"))
 
 
 @query()

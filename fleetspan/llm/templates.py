@@ -14,11 +14,17 @@ Words that begin sentences and spelled-out numbers need not be slots at all
 ("one of them"): where their exchange contradicts other slots, only their windows
 are not counted.
 
+A window of few literal words says little: its placeholders stand for nothing
+but themselves, so it is hashed with its values and matches verbatim only. Values
+map one to one, else the window that contradicts is not counted. An item shorter
+than a window is a window of its own length, all verbatim.
+
 A fixed-size bitmap of the benchmark's window hashes keeps windows that cannot
 join out of the shuffle; it lets all others pass, so nothing is lost.
 
-Defined results: null and empty texts have no windows. Items shorter than one
-window cannot be told from chance and match nothing. Null ids never match.
+Defined results: null and empty texts have no windows. Items of fewer than
+MIN_SHORT words cannot be told from chance and match nothing. Null ids never
+match; the pipeline's stage gives documents without one a number of their own.
 Rows with the same doc_id count as one document, items with the same id as one
 item. Texts may have any length. An empty table gives an empty result.
 """
@@ -34,10 +40,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetspan.llm.common import query, session, table
+from fleetspan.llm.common import query, session, table, whole_rows, with_ids
 
 #: Tokens of a window.
 WINDOW = 8
+#: Words that a window must have besides its placeholders, else its values count; fewest words of a short item.
+MIN_LITERAL, MIN_SHORT = 3, 4
 #: Diagonals to each side that count together: words that edits of a copy may put in or leave out.
 SHIFTS = 16
 #: Share of an item's windows that a document must hold.
@@ -138,6 +146,24 @@ class Reading:
         # A name of several words may stand in part elsewhere.
         self.soft = soft[starts] | (self.slots & (self.ends - starts > 1))
         self.hashes = np.where(self.slots, marks[np.where(self.slots, kinds[starts], 0)], hashes[starts])
+        self.own, self.word_text = hashes, text
+
+    def literal(self) -> np.ndarray:
+        """Hash of what each token says, slot or not."""
+        if not len(self.starts):
+            return self.hashes
+        with np.errstate(over="ignore"):
+            return np.add.reduceat(self.own * np.uint64(0x9E3779B97F4A7C15), self.starts) + np.uint64(1)
+
+    def codes(self, window: int) -> np.ndarray:
+        """Hash of each window: of its template, or of its values where that has few words."""
+        codes = rolling(self.hashes, window)
+        words = np.concatenate([[0], np.cumsum(~self.slots)])
+        few = np.flatnonzero(words[window:] - words[:-window] < MIN_LITERAL) if len(codes) else []
+        if len(few):
+            parts = self.literal()[few[:, None] + np.arange(window)]
+            codes[few] = [rolling(p, window)[0] for p in parts] if len(few) < 16 else _rows(parts)
+        return codes
 
     def value(self, i: int) -> str:
         return " ".join(self.words[self.starts[i] : self.ends[i]]).lower()
@@ -155,6 +181,29 @@ def rolling(hashes: np.ndarray, window: int) -> np.ndarray:
     return total
 
 
+def _rows(parts: np.ndarray) -> np.ndarray:
+    """``rolling`` of many windows, each a row."""
+    total = np.zeros(len(parts), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(parts.shape[1]):
+            total = total * np.uint64(0x9E3779B97F4A7C15) + parts[:, k]
+            total ^= total >> np.uint64(29)
+    return total
+
+
+def _short(read: Reading, lengths: tuple[int, ...], whole: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """First words and hashes of verbatim windows of each of the lengths; ``whole``: of texts that are no longer than that."""
+    for n in lengths:
+        codes = rolling(read.own, n) ^ np.uint64(n)
+        used = read.word_text[: len(codes)] == read.word_text[n - 1 :][: len(codes)]
+        if whole:
+            first = np.searchsorted(read.word_text, read.word_text[: len(codes)])
+            last = np.searchsorted(read.word_text, read.word_text[: len(codes)], "right")
+            used &= last - first == n
+        at = np.flatnonzero(used)
+        yield at, codes[at]
+
+
 def _parts(keys: list[int], texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
     """Texts with their keys, about AT_ONCE characters together."""
     start = size = 0
@@ -165,14 +214,23 @@ def _parts(keys: list[int], texts: list[str]) -> Iterator[tuple[list[int], list[
             start, size = i + 1, 0
 
 
-def _windows(window: int, bitmap: bytes | None):
+def _windows(window: int, bitmap: bytes | None, lengths: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         canonical = Canonical()
         bits = None if bitmap is None else np.unpackbits(np.frombuffer(bitmap, np.uint8)).astype(bool)
         for batch in batches:
             for keys, texts in _parts(batch["id"].to_pylist(), batch["text"].to_pylist()):
                 for other, read in enumerate(canonical(texts)):
-                    codes = rolling(read.hashes, window)
+                    for at, codes in _short(read, () if other else lengths, bits is None):
+                        if bits is not None:
+                            kept = bits[codes % np.uint64(BITMAP_BITS)]
+                            at, codes = at[kept], codes[kept]
+                        if len(at):
+                            none = pa.array([[]] * len(at), pa.list_(pa.string()))
+                            place = pa.array(at - np.searchsorted(read.word_text, read.word_text[at]), pa.int32())
+                            ids = pa.array(np.array(keys, np.int64)[read.word_text[at]])
+                            yield pa.RecordBatch.from_arrays([ids, place, pa.array(codes.view(np.int64)), none, none.cast(pa.list_(pa.bool_()))], NAMES)
+                    codes = read.codes(window)
                     used = read.text[: len(codes)] == read.text[window - 1 :]
                     if other:  # only windows that differ between the readings
                         differ = np.concatenate([[0], np.cumsum(read.first)])
@@ -192,18 +250,34 @@ def _windows(window: int, bitmap: bytes | None):
                         pa.array([[v for v, _ in w] for w in slots], pa.list_(pa.string())),
                         pa.array([[f for _, f in w] for w in slots], pa.list_(pa.bool_())),
                     ]
-                    yield pa.RecordBatch.from_arrays(arrays, ["id", "place", "code", "slots", "soft"])
+                    yield pa.RecordBatch.from_arrays(arrays, NAMES)
 
     return run
 
 
+NAMES = ["id", "place", "code", "slots", "soft"]
 WINDOWS = "id long, place int, code long, slots array<string>, soft array<boolean>"
 
 
-def windows(df: DataFrame, key: str, text: str, window: int = WINDOW, bitmap: bytes | None = None) -> DataFrame:
-    """Template windows: id, place, code, slots, soft (whether a slot may be none); those that the bitmap rules out are left away."""
+def windows(df: DataFrame, key: str, text: str, window: int = WINDOW, bitmap: bytes | None = None, lengths: tuple[int, ...] | None = None) -> DataFrame:
+    """Template windows: id, place, code, slots, soft (whether a slot may be none); those that the bitmap rules out are left away.
+
+    ``lengths`` are those of short items; without a bitmap, of items themselves, texts shorter than a window are one window of their length.
+    """
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).dropna()
-    return rows.mapInArrow(_windows(window, bitmap), WINDOWS)
+    short = tuple(range(min(MIN_SHORT, window), window)) if lengths is None else lengths
+    return rows.mapInArrow(_windows(window, bitmap, short), WINDOWS)
+
+
+def short_lengths(items: DataFrame, window: int) -> tuple[int, ...]:
+    """Numbers of words of the items that are shorter than a window: at most ``window`` numbers."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        canonical = Canonical()
+        for batch in batches:
+            sizes = {len(canonical([t])[0].words) for t in batch["text"].to_pylist()}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(n for n in sizes if MIN_SHORT <= n < window), pa.int32())], ["n"])
+
+    return tuple(sorted(r["n"] for r in items.select("text").dropna().mapInArrow(run, "n int").distinct().collect()))
 
 
 def bitmap_of(codes: DataFrame) -> bytes:
@@ -231,8 +305,14 @@ def _covered(at: dict[int, list[tuple]], anchor: int) -> tuple[set[int], dict[st
                     said.setdefault(a, set()).add(b)
         return all(len(v) == 1 for v in said.values())
 
+    stands: dict[str, str] = {}
+
     def take(found: list[tuple]) -> None:
         for place, slots in found:
+            # Two values of the item do not become one; a window that says so does not count.
+            if any(stands.get(b, a) != a for a, b, _ in slots):
+                continue
+            stands.update({b: a for a, b, _ in slots})
             places.add(place)
             for a, b, soft in slots:
                 values.setdefault(a, set()).add(b)
@@ -293,7 +373,8 @@ def leaks(
     """
     items = windows(benchmark, item_key, text, window)
     sizes = items.groupBy("id").agg(F.countDistinct("place").alias("n_item")).withColumnRenamed("id", "item_id")
-    found = windows(docs, doc_key, text, window, bitmap_of(items.select("code")))
+    lengths = short_lengths(benchmark.select(F.col(text).alias("text")), window)
+    found = windows(docs, doc_key, text, window, bitmap_of(items.select("code")), lengths)
     right = items.select(
         F.col("id").alias("item_id"), F.col("place").alias("item_place"), "code", F.col("slots").alias("item_slots"), F.col("soft").alias("item_soft")
     ).distinct()
@@ -317,8 +398,9 @@ def leaks(
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that contain no benchmark item."""
     session(spark)
-    found = leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    rows = with_ids(whole_rows(docs, "doc_id", "text"), "templates-named")
+    found = leaks(rows, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
+    return rows.join(found, F.col("doc_id") == F.col("_leak"), "left_anti").select("_row.*")
 
 
 @query()

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from fleetspan.llm.common import fold, query, session, table
+from fleetspan.llm.common import fold, query, session, table, whole_rows
 from fleetspan.session import materialize
 
 #: Labelled rows the model is fitted on, chosen by a hash of their key: the bound of everything the driver sees.
@@ -284,8 +284,8 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that are not predicted toxic."""
     session(spark)
-    found = score(docs, table(spark, sf_dir, "labels"))
-    return found.where(F.col("_toxicity") < THRESHOLD).select(*docs.columns)
+    found = score(whole_rows(docs, "doc_id", "text"), table(spark, sf_dir, "labels"))
+    return found.where(F.col("_toxicity") < THRESHOLD).select("_row.*")
 
 
 @query()

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 
@@ -39,3 +40,26 @@ def test_stages_one_by_one_and_run(spark, folder, tmp_path):
     assert left[3] == left[4] == clean - {1000, 1001, 1002}
     assert all(r.rate >= 0 and r.n_tokens > 0 for r in docs.collect())
     assert {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()} == left[4]
+
+
+def test_columns_of_any_name_pass_and_rows_without_an_id_are_judged(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id <= 60 or doc_id >= 1000")
+    names = ["a.b", "_held_out", "_language", "_toxicity", "_tokens", "_rate", "_posteriors", "key", "n", "class_id", "item_id", "weight", "odd `name"]
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(i))
+    text = docs.where("doc_id = 5").first()["text"]
+    unnamed = docs.where("doc_id = 7").drop("doc_id").withColumn("doc_id", F.lit(None).cast("long")).select(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns])
+    more = [unnamed.withColumn("text", F.lit(t)) for t in (text, text[:200] + ". " + QUESTION, text + " vileword grotling vileword")]
+    docs = docs.unionByName(more[0]).unionByName(more[1]).unionByName(more[2])
+    columns, schema = docs.columns, docs.schema
+    docs = docs.select("*").persist()
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = stage(spark, docs, folder)
+        assert docs.columns[: len(columns)] == columns
+        assert [f.dataType for f in docs.schema][: len(columns)] == [f.dataType for f in schema]
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+    rows = docs.collect()
+    assert rows and all(tuple(r[len(columns) - len(names) : len(columns)]) == tuple(range(len(names))) for r in rows)
+    # A copy, a leak and a toxic text, all without an id.
+    assert None not in {r.doc_id for r in rows}
+    assert 5 in {r.doc_id for r in rows}

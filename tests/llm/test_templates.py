@@ -75,3 +75,60 @@ def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, QUESTION, 5, "x")], SCHEMA)
     assert templates.leaks(docs.limit(0), bench).count() == 0
     assert templates.leaks(docs, bench.limit(0)).count() == 0
+
+
+def test_number_lists_short_items_and_values_that_fall_together(spark):
+    listing = "Sort these: 3 9 4 7 12 5 8 1 6 2 11 10 15 14"
+    rain = "Rainfall in the valley: 31 19 42 17 22 15 28 11 16 23 41 30 25 54 61"
+    short, shorter = "What is seven times six", "Name it"
+    bench = spark.createDataFrame([(1, listing), (2, short), (3, shorter), (4, QUESTION)], "item_id long, text string")
+    merged = QUESTION.replace("60", "9").replace("2 hours", "9 hours").replace("5 hours", "9 hours")
+    docs = [
+        (1, rain), (2, f"Some text. {listing} and more"), (3, f"He asked: {short}? Nobody knew."), (4, "What is eight times six, they said"),
+        (5, "Name it as you like"), (6, f"Well, {merged}"), (7, "what is seven"),
+    ]
+    out = {(r.doc_id, r.item_id): r for r in templates.leaks(spark.createDataFrame([(*d, 5, "x") for d in docs], SCHEMA), bench).collect()}
+    assert set(out) - {(6, 4)} == {(2, 1), (3, 2)}
+    assert out[3, 2].coverage == 1.0 and out[3, 2].verbatim
+    assert (6, 4) not in out or out[6, 4].coverage < 1
+
+
+def brute(docs, items):
+    """Pairs whose item stands in the document with its numbers and names exchanged one to one, found by patterns."""
+    import re
+
+    found = set()
+    for i, item in items:
+        parts, names = [], {}
+        for token in re.findall(r"\d+|[A-Za-z]+", item):
+            if token.isdigit() or (token[0].isupper() and token not in ("How", "A")):
+                if token in names:
+                    parts.append(f"(?P={names[token]})")
+                else:
+                    names[token] = f"v{len(names)}"
+                    parts.append(f"(?P<{names[token]}>" + (r"\d+)" if token.isdigit() else r"[A-Z][a-z]+)"))
+            else:
+                parts.append(token)
+        pattern = re.compile(r"[^A-Za-z0-9]+".join(parts))
+        for d, text in docs:
+            for m in pattern.finditer(text):
+                values = [m[n] for n in names.values()]
+                if len(set(values)) == len(values):
+                    found.add((d, i))
+    return found
+
+
+def test_exchanged_slots_against_patterns(spark):
+    import random
+
+    draw = random.Random(5)
+    base = ["in the morning {a} baked {x} loaves of bread and sold {y} of them to {b} before noon so how many were left",
+            "the garden of {a} has {x} rows of roses while that of {b} has {y} rows and nobody has counted them all yet"]
+    fill = lambda t: t.format(a=draw.choice(["Mia", "Tom", "Ida"]), b=draw.choice(["Otto", "Jan", "Eva"]), x=draw.randint(10, 49), y=draw.randint(50, 99))
+    items = [(i, fill(t)) for i, t in enumerate(base)]
+    words = ["river", "stone", "cloud", "paper", "green", "quiet", "window", "letter"]
+    other = lambda: " ".join(draw.choice(words) for _ in range(12))
+    docs = [(d, f"{other()} and {fill(draw.choice(base)) if d % 2 else other()} then {other()}") for d in range(40)]
+    frame = spark.createDataFrame([(*d, 5, "x") for d in docs], SCHEMA)
+    got = templates.leaks(frame, spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == brute(docs, items) and len(brute(docs, items)) >= 15
