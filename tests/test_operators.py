@@ -420,3 +420,11 @@ def test_rebind(spark):
     known = spark.createDataFrame([("app", "1"), ("gone", "2")], "name STRING, id STRING")
     now = spark.createDataFrame([("app", "7")], "name STRING, id STRING")
     assert rows(V.rebind(known, now), "name", "id", "up") == [("app", "7", True), ("gone", "2", False)]
+
+
+def test_a_resource_without_a_parent_is_compared_with_itself(spark):
+    ddl = "type STRING, parent_key STRING, key STRING, version STRING"
+    before = spark.createDataFrame([("a", None, "1", "x"), ("a", None, "2", "x"), ("a", "p", "1", "x"), ("a", None, None, "x")], ddl)
+    after = spark.createDataFrame([("a", None, "1", "x"), ("a", None, "2", "y"), ("a", "q", "1", "x"), ("a", None, None, "x")], ddl)
+    found = V.inventory_diff(before, after, ["type", "parent_key", "key"], ["version"])
+    assert sorted((r.parent_key or "", r.key, r.status) for r in found.collect()) == [("", "2", "changed"), ("p", "1", "removed"), ("q", "1", "added")]
