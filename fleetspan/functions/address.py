@@ -126,17 +126,30 @@ def key_store_conf(argv: Column, cwd: Column) -> Column:
     return F.when(conf.startswith("/"), conf).otherwise(F.concat(cwd, F.lit("/"), conf))
 
 
-def key_store_port(argv: Column, conf_body: Column) -> Column:
+# Fixed value: the port of a key-value server that states none.
+KEY_STORE_PORT = 6379
+
+
+def key_store_conf_port(conf_body: Column) -> Column:
+    """Port that a key-value server's configuration file states, else the usual one."""
+    return first_harvested(conf_body, CONF_PORT_LINE, str(KEY_STORE_PORT)).try_cast("int")
+
+
+def key_store_port_of(argv: Column, conf_port: Column) -> Column:
     """Port of a key-value server: of ``--port N`` or the configuration file, the later one wins; 6379 by default."""
     flag = last_argument_after(argv, "--port").try_cast("int")
     flag_at = F.size(argv) + 1 - F.array_position(F.reverse(argv), "--port")
-    conf = first_harvested(conf_body, CONF_PORT_LINE, "6379").try_cast("int")
     conf_at = _conf_position(argv)
     return F.coalesce(
-        F.when(conf_at.isNotNull() & (flag.isNull() | (conf_at > flag_at)), conf), flag, F.lit(6379)
+        F.when(conf_at.isNotNull() & (flag.isNull() | (conf_at > flag_at)), conf_port), flag, F.lit(KEY_STORE_PORT)
     )
 
 
+def key_store_port(argv: Column, conf_body: Column) -> Column:
+    """Port of a key-value server whose configuration file was read."""
+    return key_store_port_of(argv, key_store_conf_port(conf_body))
+
+
 def database_identity(argv: Column) -> Column:
     """STRUCT(name, port, version) of a database server's command line."""
     text = _joined(argv)

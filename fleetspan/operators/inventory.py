@@ -29,8 +29,8 @@ class ResourceSpec:
     parent_key: Column | None = None
 
 
-def build_inventory(df: DataFrame, spec: ResourceSpec) -> DataFrame:
-    """Inventory rows of a type, one per (type, parent, key)."""
+def _resource(spec: ResourceSpec) -> Column:
+    """A row's resource as a struct of inventory columns."""
     nothing = F.lit(None).cast("string")
 
     def text(c: Column | None) -> Column:
@@ -38,7 +38,7 @@ def build_inventory(df: DataFrame, spec: ResourceSpec) -> DataFrame:
 
     pairs = [x for k, v in spec.config.items() for x in (F.lit(k), v.cast("string"))]
     config = F.create_map(*pairs) if pairs else F.create_map().cast("map<string, string>")
-    rows = df.select(
+    return F.struct(
         F.lit(spec.type).alias("type"),
         spec.key.cast("string").alias("key"),
         text(spec.key if spec.name is None else spec.name).alias("name"),
@@ -47,9 +47,20 @@ def build_inventory(df: DataFrame, spec: ResourceSpec) -> DataFrame:
         config.alias("config"),
         text(spec.parent_key).alias("parent_key"),
     )
+
+
+def build_inventory(df: DataFrame, spec: ResourceSpec) -> DataFrame:
+    """Inventory rows of a type, one per (type, parent, key)."""
+    rows = df.select(_resource(spec).alias("_r")).select("_r.*")
     return one_per_key(rows.filter(F.col("key").isNotNull()))
 
 
+def build_inventories(df: DataFrame, specs: Sequence[tuple[Column, ResourceSpec]]) -> DataFrame:
+    """Inventory rows of many types in one scan and one aggregation: each row gives a resource per condition it meets."""
+    candidates = F.array_compact(F.array(*[F.when(keep & spec.key.isNotNull(), _resource(spec)) for keep, spec in specs]))
+    return one_per_key(df.select(F.inline(candidates)))
+
+
 def one_per_key(rows: DataFrame) -> DataFrame:
     """One row per (type, parent, key); of several the smallest name, version and description count."""
     first = F.min_by(
@@ -260,62 +271,99 @@ def process_scan(processes: DataFrame, query: ProcessQuery) -> DataFrame:
     return processes.filter(selected(query))
 
 
-def server_resources(processes: DataFrame, kind: str, conf_files: DataFrame | None = None) -> DataFrame:
-    """Servers of one kind from process snapshots, keyed as that kind is known: type, port, URL or address."""
+def _basename(pattern: str) -> Column:
+    return F.coalesce(F.col("basename").rlike(pattern), F.lit(False))
+
+
+def _server_kinds(conf_port: Column) -> dict[str, tuple[Column, ResourceSpec]]:
+    """By kind: which processes are servers of it, and how such a server is keyed: by type, port, URL or address."""
     argv, host = F.col("argv"), F.col("host")
-    if kind == "workflow":
-        picked = process_scan(processes, PROCESS_QUERIES["workflow port"]).unionByName(
-            process_scan(processes, PROCESS_QUERIES["workflow boot"])
-        )
-        url = A.workflow_url(argv)
-        port = F.regexp_extract(url, r":(\d+)", 1)
-        spec = ResourceSpec(
-            "WorkflowServer", url, F.concat(F.lit("WorkflowServer:"), port),
-            description=F.concat(F.lit("Workflow service "), port), config={"url": url}, parent_key=host,
-        )
-    elif kind == "cache":
-        picked = process_scan(processes, PROCESS_QUERIES["cache"])
-        at = A.cache_address(argv)
-        key = F.concat_ws(":", at["host"], at["port"].cast("string"))
-        spec = ResourceSpec("CacheServer", key, config={"host": at["host"], "port": at["port"]}, parent_key=host)
-    elif kind == "document":
-        picked = process_scan(processes, PROCESS_QUERIES["document"])
-        at = A.document_server_address(argv)
+
+    def listening(resource_type: str, at: Column) -> ResourceSpec:
         key = F.concat_ws(":", at["host"], at["port"].cast("string"))
-        spec = ResourceSpec("DocumentServer", key, config={"host": at["host"], "port": at["port"]}, parent_key=host)
-    elif kind == "key-value":
-        picked = process_scan(processes, PROCESS_QUERIES["key-value"]).withColumn("_conf", A.key_store_conf(argv, F.col("cwd")))
-        if conf_files is None:
-            picked = picked.withColumn("_body", F.lit(None).cast("string"))
-        else:
-            files = conf_files.select("host", F.col("path").alias("_conf"), F.col("body").alias("_body"))
-            picked = picked.join(files, ["host", "_conf"], "left")
-        port = A.key_store_port(argv, F.col("_body"))
-        name = F.concat(F.lit("key-value "), port.cast("string"))
-        spec = ResourceSpec("KeyValueServer", name, name, description=F.concat(F.lit("Key-value server "), port.cast("string")), config={"port": port}, parent_key=host)
-    elif kind == "database":
-        picked = processes.filter(F.col("basename").rlike("^ttcserver"))
-        who = A.database_identity(argv)
-        key = F.concat_ws(":", who["name"], who["port"].cast("string"))
-        spec = ResourceSpec(
-            "DatabaseServer", key, who["name"], who["version"], F.concat(F.lit("Database server "), who["name"]),
-            {"port": who["port"]}, host,
-        )
-    elif kind == "log indexer":
-        picked = process_scan(processes, PROCESS_QUERIES["log indexer"])
-        port = A.argument_after(argv, "-p")
-        home = F.try_element_at("env", F.lit("SPLUNK_HOME"))
-        spec = ResourceSpec("LogIndexer", port, F.lit("LogIndexer"), config={"port": port, "home": home}, parent_key=host)
-    elif kind == "java":
-        picked = processes.filter(F.col("basename").rlike("^java") & F.exists("argv", lambda a: a.startswith("org.apache.")))
-        kind_name = F.regexp_extract(A.java_main(argv), r"^\S*?([^.\s]+)(?:\s|$)", 1)
-        spec = ResourceSpec(
-            "JavaServer", kind_name, kind_name, A.version_of_arguments(argv, A.SERVER_JARS + A.COLLECTOR_JARS),
-            F.concat(F.lit("Service "), kind_name), {"command_line": A.java_main(argv)}, host,
-        )
-    else:
-        raise ValueError(f"unknown server kind {kind}")
-    return build_inventory(picked, spec)
+        return ResourceSpec(resource_type, key, config={"host": at["host"], "port": at["port"]}, parent_key=host)
+
+    url = A.workflow_url(argv)
+    url_port = F.regexp_extract(url, r":(\d+)", 1)
+    store_port = A.key_store_port_of(argv, conf_port)
+    store = F.concat(F.lit("key-value "), store_port.cast("string"))
+    who = A.database_identity(argv)
+    index_port = A.argument_after(argv, "-p")
+    main = F.regexp_extract(A.java_main(argv), r"^\S*?([^.\s]+)(?:\s|$)", 1)
+    return {
+        "workflow": (
+            selected(PROCESS_QUERIES["workflow port"]) | selected(PROCESS_QUERIES["workflow boot"]),
+            ResourceSpec(
+                "WorkflowServer", url, F.concat(F.lit("WorkflowServer:"), url_port),
+                description=F.concat(F.lit("Workflow service "), url_port), config={"url": url}, parent_key=host,
+            ),
+        ),
+        "cache": (selected(PROCESS_QUERIES["cache"]), listening("CacheServer", A.cache_address(argv))),
+        "document": (selected(PROCESS_QUERIES["document"]), listening("DocumentServer", A.document_server_address(argv))),
+        "key-value": (
+            selected(PROCESS_QUERIES["key-value"]),
+            ResourceSpec(
+                "KeyValueServer", store, description=F.concat(F.lit("Key-value server "), store_port.cast("string")),
+                config={"port": store_port}, parent_key=host,
+            ),
+        ),
+        "database": (
+            _basename("^ttcserver"),
+            ResourceSpec(
+                "DatabaseServer", F.concat_ws(":", who["name"], who["port"].cast("string")), who["name"], who["version"],
+                F.concat(F.lit("Database server "), who["name"]), {"port": who["port"]}, host,
+            ),
+        ),
+        "log indexer": (
+            selected(PROCESS_QUERIES["log indexer"]),
+            ResourceSpec(
+                "LogIndexer", index_port, F.lit("LogIndexer"),
+                config={"port": index_port, "home": F.try_element_at("env", F.lit("SPLUNK_HOME"))}, parent_key=host,
+            ),
+        ),
+        "java": (
+            _basename("^java") & F.coalesce(F.exists("argv", lambda a: a.startswith("org.apache.")), F.lit(False)),
+            ResourceSpec(
+                "JavaServer", main, main, A.version_of_arguments(argv, A.SERVER_JARS + A.COLLECTOR_JARS),
+                F.concat(F.lit("Service "), main), {"command_line": A.java_main(argv)}, host,
+            ),
+        ),
+    }
+
+
+#: The kinds of servers found among processes.
+SERVER_KINDS = ("workflow", "cache", "document", "key-value", "database", "log indexer", "java")
+
+
+def server_resources(
+    processes: DataFrame, kind: str | Sequence[str] = SERVER_KINDS, conf_files: DataFrame | None = None
+) -> DataFrame:
+    """Servers of one kind or several from process snapshots, in one scan.
+
+    ``conf_files`` (host, path, body) gives the port of a key-value server whose
+    file is named last among its arguments. A file that was not captured counts
+    as one without a port line.
+    """
+    wanted = [kind] if isinstance(kind, str) else list(kind)
+    if unknown := set(wanted) - set(SERVER_KINDS):
+        raise ValueError(f"unknown server kind {', '.join(sorted(unknown))}")
+    conf_port = F.lit(A.KEY_STORE_PORT)
+    if conf_files is not None and "key-value" in wanted:
+        kinds = _server_kinds(conf_port)
+        stores = kinds["key-value"][0]
+        # Of all processes only the servers are shuffled, of the files only their ports.
+        servers = processes.filter(reduce(lambda a, b: a | b, [kinds[k][0] for k in wanted]))
+        ports = conf_files.select(
+            F.col("host").alias("_host"), F.col("path").alias("_path"), A.key_store_conf_port(F.col("body")).alias("_port")
+        ).groupBy("_host", "_path").agg(F.min("_port").alias("_port"))
+        named = F.when(stores, A.key_store_conf(F.col("argv"), F.col("cwd")))
+        # A server without a file matches nothing: its own pid keeps such rows apart.
+        place = F.coalesce(named, F.concat(F.lit("pid "), F.col("pid").cast("string")))
+        servers = servers.withColumn("_place", place)
+        processes = servers.join(ports, (servers["host"] == ports["_host"]) & (servers["_place"] == ports["_path"]), "left")
+        conf_port = F.coalesce(F.col("_port"), conf_port)
+    kinds = _server_kinds(conf_port)
+    return build_inventories(processes, [kinds[k] for k in wanted])
 
 
 def device_resources(devices: DataFrame) -> DataFrame:
@@ -338,6 +386,73 @@ def configured_resources(configs: DataFrame, resource_type: str, setting: str) -
     return build_inventory(rows, ResourceSpec(resource_type, value, F.concat(F.lit(f"{resource_type} "), value), config={setting: value}))
 
 
+# Fixed values inside: the prefixes of keys, names and descriptions.
+def _configured_kinds(settings: Column, parent: Column) -> dict[str, tuple[Column, ResourceSpec]]:
+    """By kind: which configurations are accepted, and how the resource is keyed by its settings."""
+
+    def value(name: str, default: str | None = None) -> Column:
+        found = F.try_element_at(settings, F.lit(name))
+        return found if default is None else F.coalesce(found, F.lit(default))
+
+    def named(resource_type: str, key: Column, prefix: str, description: Column | None = None) -> ResourceSpec:
+        name = F.concat(F.lit(prefix), key)
+        return ResourceSpec(resource_type, key, name, description=name if description is None else description, parent_key=parent)
+
+    def prefixed(resource_type: str, at: Column, prefix: str, text: str) -> ResourceSpec:
+        key = F.concat(F.lit(prefix), at)
+        return ResourceSpec(resource_type, key, description=F.concat(F.lit(text), at), parent_key=parent)
+
+    always = F.lit(True)
+    address, port = value("address"), value("port")
+    metastore = scrub_query(value("url"))
+    return {
+        "device": (
+            always,
+            ResourceSpec(
+                "Device", address, F.concat(value("sys_name"), F.lit("@"), address),
+                A.version_of(value("sys_descr"), [A.DEVICE_VERSION]), value("sys_descr"), {"address": address}, parent,
+            ),
+        ),
+        "resolver": (always, named("Resolver", value("server"), "DNS server ")),
+        "directory": (F.coalesce(value("directory").startswith("/"), F.lit(False)), named("Directory", value("directory"), "Directory ")),
+        "path": (always, named("Path", value("url"), "PathInfo ")),
+        "checked path": (always, named("CheckedPath", value("path", "/"), "NameNode FSCK ")),
+        "metadata server": (always, prefixed("MetadataServer", metastore, "Hive Server ", "Hive Server connecting to ")),
+        "trap port": (
+            always, named("TrapReceiver", port, "SNMP recv ", F.concat(F.lit("SNMP trap and notification receiver on port "), port))
+        ),
+        "log indexer": (always, ResourceSpec("LogIndexer", port, F.lit("LogIndexer"), value("version"), config={"port": port}, parent_key=parent)),
+        "status page": (
+            always, prefixed("StatusPage", value("url"), "HbaseMasterInfo ", "Hbase master Info from HTML page at URL ")
+        ),
+        "queue page": (always, prefixed("QueuePage", value("url"), "Job Tracker Info ", "Job Tracker Info from HTML page at URL ")),
+        "configuration client": (
+            value("banner").isNotNull(),
+            ResourceSpec("ConfigurationClient", F.lit("vd"), version=A.client_version(value("banner")), parent_key=parent),
+        ),
+        "broker": (always, named("Broker", port, "Broker ")),
+    }
+
+
+#: The kinds of resources that a configuration states.
+CONFIGURED_KINDS = (
+    "device", "resolver", "directory", "path", "checked path", "metadata server", "trap port", "log indexer",
+    "status page", "queue page", "configuration client", "broker",
+)
+
+
+def stated_resources(configs: DataFrame, kinds: Sequence[str] = CONFIGURED_KINDS) -> DataFrame:
+    """Resources of all kinds that rows (host, kind, settings) state, in one scan.
+
+    A configuration without the setting its resource is keyed by, a directory
+    that is not absolute and a client that answered nothing give no resource.
+    """
+    known = _configured_kinds(F.col("settings"), F.col("host"))
+    if unknown := set(kinds) - set(known):
+        raise ValueError(f"unknown configured kind {', '.join(sorted(unknown))}")
+    return build_inventories(configs, [((F.col("kind") == k) & known[k][0], known[k][1]) for k in kinds])
+
+
 # --- trees ------------------------------------------------------------------
 
 
@@ -379,19 +494,30 @@ def resource_paths(nodes: DataFrame, key: str = "key", parent: str = "parent_key
 def dependency_order(edges: DataFrame, items: DataFrame, item: str = "item", needs: str = "needs") -> DataFrame:
     """Rows (item, level): level 0 needs nothing, every other one is above all it needs.
 
-    One round and one written table per level; items of a circle get none.
+    The links are written once. A round takes the items placed last, the
+    frontier, and counts what they release: an item is placed in the round that
+    meets its last need. Open counts are kept for items met so far only, so a
+    round's rows are its frontier, the links to it and the items that wait half
+    met. Items of a circle, and what needs them, get no level; a need that is no
+    item itself counts as met.
     """
-    links = edges.select(item, needs).distinct()
-    state = items.select(item).distinct().withColumn("level", F.lit(None).cast("int"))
-    level = 0
+    known = materialize(items.select(F.col(item).alias("_item")).distinct(), "items")
+    links = edges.select(F.col(item).alias("_item"), F.col(needs).alias("_needs")).distinct()
+    links = materialize(links.join(known.select(F.col("_item").alias("_needs")), "_needs", "left_semi").select("_item", "_needs"), "links")
+    degree = links.groupBy("_item").agg(F.count(F.lit(1)).alias("_open"))
+    todo = materialize(known.join(degree, "_item"), "degrees")
+    frontier = materialize(known.join(degree, "_item", "left_anti"), "frontier")
+    placed, level, half = [], 0, None
     while True:
-        waiting = state.filter(F.col("level").isNull()).select(F.col(item).alias(needs))
-        blocked = links.join(waiting, needs).select(item).distinct().withColumn("_blocked", F.lit(True))
-        placed = F.when(F.col("level").isNull() & F.col("_blocked").isNull(), F.lit(level)).otherwise(F.col("level"))
-        state = materialize(
-            state.join(blocked, item, "left").withColumn("level", placed).drop("_blocked"), "levels"
+        placed.append(frontier.withColumn("level", F.lit(level)))
+        met = links.join(frontier.select(F.col("_item").alias("_needs")), "_needs").groupBy("_item").agg(F.count(F.lit(1)).alias("_met"))
+        if half is not None:
+            met = met.unionByName(half).groupBy("_item").agg(F.sum("_met").alias("_met"))
+        counted = materialize(
+            met.join(todo, "_item").select("_item", "_met", (F.col("_met") == F.col("_open")).alias("_done")), "levels"
         )
-        counts = state.agg(F.count_if(F.col("level") == level), F.count_if(F.col("level").isNull())).first()
-        if counts[0] == 0 or counts[1] == 0:
-            return state.filter(F.col("level").isNotNull())
+        frontier = counted.filter("_done").select("_item")
+        half = counted.filter(~F.col("_done")).select("_item", "_met")
+        if frontier.isEmpty():
+            return reduce(DataFrame.unionByName, placed).select(F.col("_item").alias(item), "level")
         level += 1

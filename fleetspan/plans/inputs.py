@@ -216,6 +216,77 @@ def processes(t: Tables) -> DataFrame:
     )
 
 
+def server_processes(t: Tables) -> DataFrame:
+    """Customers as processes of every server kind, with the ways their ports and versions are stated, and of no server."""
+    n = F.col("c_custkey").cast("string")
+    port = (F.col("c_custkey") % 5000 + 2000).cast("string")
+    commands = [
+        ["/usr/bin/memcached", "-l", F.concat(F.lit("10.2.2.2:"), port)],
+        ["/usr/bin/java", F.concat(F.lit("-Doozie.base.url=http://wf"), n, F.lit(":11001/oozie")), F.concat(F.lit("-Doozie.http.port="), port)],
+        ["mongod", "--config", "/etc/m.conf"],
+        ["redis-server", "--port", port, "conf/redis.conf"],
+        ["redis-server", F.concat(F.lit("/etc/redis-"), n, F.lit(".conf"))],
+        [F.concat(F.lit("/app/product/11.2."), n, F.lit("/TimesTen/db"), port, F.lit("/bin/ttcserver")), "-verbose", "-p", port],
+        ["/opt/ix/bin/splunkd", "-p", port, "start"],
+        ["java", "-cp", F.concat(F.lit("/opt/lib/flume-ng-core-1."), n, F.lit(".jar")), "org.apache.flume.node.Application", "-n", "a1"],
+        ["/bin/bash", "-p", port],
+    ]
+    kind = F.col("c_custkey") % len(commands)
+    argv = F.lit(None).cast("array<string>")
+    for i, words in enumerate(commands):
+        argv = F.when(kind == i, F.array(*[F.lit(w) if isinstance(w, str) else w for w in words])).otherwise(argv)
+    return t.customer.select(
+        F.concat(F.lit("node-"), F.col("c_nationkey").cast("string")).alias("host"),
+        F.col("c_custkey").alias("pid"),
+        F.regexp_extract(F.element_at(argv, 1), r"([^/]+)$", 1).alias("basename"),
+        argv.alias("argv"),
+        F.concat(F.lit("/srv/"), n).alias("cwd"),
+        F.create_map(F.lit("SPLUNK_HOME"), F.concat(F.lit("/opt/ix"), n)).alias("env"),
+        F.lit(None).cast("string").alias("pidfile"),
+    )
+
+
+def server_files(t: Tables) -> DataFrame:
+    """Configuration files of the key-value servers among ``server_processes``; some state no port, the absolute ones of odd customers were not captured."""
+    n = F.col("c_custkey").cast("string")
+    relative = F.col("c_custkey") % 9 == 3
+    path = F.when(relative, F.concat(F.lit("/srv/"), n, F.lit("/conf/redis.conf"))).otherwise(F.concat(F.lit("/etc/redis-"), n, F.lit(".conf")))
+    line = F.when(F.col("c_custkey") % 5 == 0, F.lit("bind 0.0.0.0")).otherwise(F.concat(F.lit("port "), (F.col("c_custkey") % 7000 + 10000).cast("string")))
+    return t.customer.filter("c_custkey % 9 = 3 or (c_custkey % 9 = 4 and c_custkey % 2 = 0)").select(
+        F.concat(F.lit("node-"), F.col("c_nationkey").cast("string")).alias("host"),
+        path.alias("path"),
+        F.concat(F.lit("# file\n"), line, F.lit("\nport 1\n")).alias("body"),
+    )
+
+
+def stated_configs(t: Tables) -> DataFrame:
+    """Customers as configurations (host, kind, settings) of all kinds that are stated, some without the setting that counts."""
+    n = F.col("c_custkey").cast("string")
+    even = F.col("c_custkey") % 2 == 0
+    kinds: list[tuple[str, dict[str, Column]]] = [
+        ("device", {"address": F.concat(F.lit("udp:10.0.0."), n), "sys_name": F.col("c_name"), "sys_descr": F.concat(F.lit("Box NS9."), n, F.lit(": x"))}),
+        ("resolver", {"server": F.concat(F.lit("10.9."), n)}),
+        ("directory", {"directory": F.concat(F.when(even, F.lit("/data/")).otherwise(F.lit("data/")), n)}),
+        ("path", {"url": F.concat(F.lit("hdfs://nn/"), n)}),
+        ("checked path", {"path": F.when(even, F.concat(F.lit("/user/"), n))}),
+        ("metadata server", {"url": F.concat(F.lit("jdbc:mysql://h"), n, F.lit("/m?user=u&password=p"))}),
+        ("trap port", {"port": n}),
+        ("log indexer", {"port": F.when(even, n), "version": F.lit("4.3")}),
+        ("status page", {"url": F.concat(F.lit("http://h/"), n)}),
+        ("queue page", {"url": F.concat(F.lit("http://j/"), n)}),
+        ("configuration client", {"banner": F.when(even, F.concat(F.lit("vd 1."), n, F.lit(" built")))}),
+        ("broker", {"port": n}),
+    ]
+    turn = F.col("c_custkey") % len(kinds)
+    kind = F.element_at(F.array(*[F.lit(k) for k, _ in kinds]), (turn + 1).cast("int"))
+    settings = F.lit(None).cast("map<string, string>")
+    for i, (_, values) in enumerate(kinds):
+        settings = F.when(turn == i, F.create_map(*[x for k, v in values.items() for x in (F.lit(k), v)])).otherwise(settings)
+    return t.customer.select(
+        F.concat(F.lit("node-"), F.col("c_nationkey").cast("string")).alias("host"), kind.alias("kind"), settings.alias("settings")
+    )
+
+
 def config_documents(t: Tables) -> DataFrame:
     """Suppliers as configuration documents: host settings, two services, one of them switched off for some."""
     n = F.col("s_suppkey")

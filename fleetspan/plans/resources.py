@@ -127,13 +127,34 @@ union all select 'JavaServer', 'TaskTracker', 'TaskTracker', '0.20.' || c_custke
 select type, key, name, min(version) as version, parent_key from s group by type, key, name, parent_key
 """)
 def server_resources(t: Tables) -> DataFrame:
-    processes = I.processes(t)
-    kinds = ["cache", "workflow", "document", "key-value", "java"]
-    out = None
-    for kind in kinds:
-        found = V.server_resources(processes, kind)
-        out = found if out is None else out.unionByName(found)
-    return out.select("type", "key", "name", "version", "parent_key")
+    found = V.server_resources(I.processes(t), ["cache", "workflow", "document", "key-value", "java"])
+    return found.select("type", "key", "name", "version", "parent_key")
+
+
+@query("D10 F10 E19 E20 S14", """
+with p as (select 'node-' || c_nationkey as host, c_custkey as c, c_custkey % 5000 + 2000 as port,
+  case when c_custkey % 5 = 0 then 1 else c_custkey % 7000 + 10000 end as stated, c_custkey % 9 as kind from customer),
+s as (
+select 'CacheServer' as type, '10.2.2.2:' || port as key, '10.2.2.2:' || port as name, null as version, cast(null as varchar) as description,
+  '10.2.2.2' as cfg_host, port as cfg_port, cast(null as varchar) as cfg_home, host as parent_key from p where kind = 0
+union all select 'WorkflowServer', 'http://wf' || c || ':11001/oozie', 'WorkflowServer:11001', null, 'Workflow service 11001', null, null, null, host from p where kind = 1
+union all select 'DocumentServer', 'localhost:27017', 'localhost:27017', null, null, 'localhost', 27017, null, host from p where kind = 2
+union all select 'KeyValueServer', 'key-value ' || stated, 'key-value ' || stated, null, 'Key-value server ' || stated, null, stated, null, host from p where kind = 3 or (kind = 4 and c % 2 = 0)
+union all select 'KeyValueServer', 'key-value 6379', 'key-value 6379', null, 'Key-value server 6379', null, 6379, null, host from p where kind = 4 and c % 2 = 1
+union all select 'DatabaseServer', 'db' || port || ':' || port, 'db' || port, '11.2.' || c, 'Database server db' || port, null, port, null, host from p where kind = 5
+union all select 'LogIndexer', port || '', 'LogIndexer', null, null, null, port, '/opt/ix' || c, host from p where kind = 6
+union all select 'JavaServer', 'Application', 'Application', '1.' || c, 'Service Application', null, null, null, host from p where kind = 7),
+r as (select *, row_number() over (partition by type, key, parent_key order by name, version nulls first, description) as n from s)
+select type, key, name, version, description, cfg_host, cast(cfg_port as varchar) as cfg_port, parent_key from r where n = 1
+""")
+def server_inventory(t: Tables) -> DataFrame:
+    """Servers of all seven kinds from one scan of the processes; key-value servers with their files."""
+    found = V.server_resources(I.server_processes(t), conf_files=I.server_files(t))
+    setting = F.col("config")
+    return found.select(
+        "type", "key", "name", "version", "description", F.try_element_at(setting, F.lit("host")).alias("cfg_host"),
+        F.try_element_at(setting, F.lit("port")).alias("cfg_port"), "parent_key",
+    )
 
 
 @query("F10 S14", """
@@ -198,15 +219,25 @@ def resource_tree(t: Tables) -> DataFrame:
 @query("D12", """
 select 'r' || r_regionkey as item, cast(0 as integer) as level from region
 union all select 'n' || n_nationkey, 1 from nation union all select 'c' || c_custkey, 2 from customer
+union all select 'o' || o_orderkey, 3 from orders
 """)
 def dependency_order(t: Tables) -> DataFrame:
+    """Nations need their region, customers their nation, orders their customer and a region that was there long before."""
     def ids(df, prefix: str, column: str, out: str):
         return F.concat(F.lit(prefix), F.col(column).cast("string")).alias(out)
 
-    edges = t.nation.select(ids(t.nation, "n", "n_nationkey", "item"), ids(t.nation, "r", "n_regionkey", "needs")).unionByName(
-        t.customer.select(ids(t.customer, "c", "c_custkey", "item"), ids(t.customer, "n", "c_nationkey", "needs"))
+    edges = (
+        t.nation.select(ids(t.nation, "n", "n_nationkey", "item"), ids(t.nation, "r", "n_regionkey", "needs"))
+        .unionByName(t.customer.select(ids(t.customer, "c", "c_custkey", "item"), ids(t.customer, "n", "c_nationkey", "needs")))
+        .unionByName(t.orders.select(ids(t.orders, "o", "o_orderkey", "item"), ids(t.orders, "c", "o_custkey", "needs")))
+        .unionByName(t.orders.select(ids(t.orders, "o", "o_orderkey", "item"), F.lit("r0").alias("needs")))
+    )
+    items = (
+        t.region.select(ids(t.region, "r", "r_regionkey", "item"))
+        .unionByName(t.nation.select(ids(t.nation, "n", "n_nationkey", "item")))
+        .unionByName(t.customer.select(ids(t.customer, "c", "c_custkey", "item")))
+        .unionByName(t.orders.select(ids(t.orders, "o", "o_orderkey", "item")))
     )
-    items = edges.select("item").union(edges.select("needs")).union(t.region.select(ids(t.region, "r", "r_regionkey", "item")))
     return V.dependency_order(edges, items)
 
 
@@ -229,6 +260,29 @@ def configured_resources(t: Tables) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("type", "key", "name", "version")
 
 
+@query("D13 E24 E19", """
+with c as (select 'node-' || c_nationkey as host, c_custkey as n, c_name, c_custkey % 12 as k from customer),
+s as (
+select 'Device' as type, 'udp:10.0.0.' || n as key, c_name || '@udp:10.0.0.' || n as name, '9.' || n as version, 'Box NS9.' || n || ': x' as description, host as parent_key from c where k = 0
+union all select 'Resolver', '10.9.' || n, 'DNS server 10.9.' || n, null, 'DNS server 10.9.' || n, host from c where k = 1
+union all select 'Directory', '/data/' || n, 'Directory /data/' || n, null, 'Directory /data/' || n, host from c where k = 2 and n % 2 = 0
+union all select 'Path', 'hdfs://nn/' || n, 'PathInfo hdfs://nn/' || n, null, 'PathInfo hdfs://nn/' || n, host from c where k = 3
+union all select 'CheckedPath', '/user/' || n, 'NameNode FSCK /user/' || n, null, 'NameNode FSCK /user/' || n, host from c where k = 4 and n % 2 = 0
+union all select 'CheckedPath', '/', 'NameNode FSCK /', null, 'NameNode FSCK /', host from c where k = 4 and n % 2 = 1
+union all select 'MetadataServer', 'Hive Server jdbc:mysql://h' || n || '/m', 'Hive Server jdbc:mysql://h' || n || '/m', null, 'Hive Server connecting to jdbc:mysql://h' || n || '/m', host from c where k = 5
+union all select 'TrapReceiver', n || '', 'SNMP recv ' || n, null, 'SNMP trap and notification receiver on port ' || n, host from c where k = 6
+union all select 'LogIndexer', n || '', 'LogIndexer', '4.3', null, host from c where k = 7 and n % 2 = 0
+union all select 'StatusPage', 'HbaseMasterInfo http://h/' || n, 'HbaseMasterInfo http://h/' || n, null, 'Hbase master Info from HTML page at URL http://h/' || n, host from c where k = 8
+union all select 'QueuePage', 'Job Tracker Info http://j/' || n, 'Job Tracker Info http://j/' || n, null, 'Job Tracker Info from HTML page at URL http://j/' || n, host from c where k = 9
+union all select 'ConfigurationClient', 'vd', 'vd', '1.' || min(n || ''), null, host from c where k = 10 and n % 2 = 0 group by host
+union all select 'Broker', n || '', 'Broker ' || n, null, 'Broker ' || n, host from c where k = 11)
+select distinct type, key, name, version, description, parent_key from s
+""")
+def stated_inventory(t: Tables) -> DataFrame:
+    """Resources of all twelve kinds that a configuration states, from one scan."""
+    return V.stated_resources(I.stated_configs(t)).select(*_SHOWN)
+
+
 @query("W9 K3", """
 with s as (select o_custkey, year(o_orderdate) as year, max(o_orderstatus) as s, count(*) as n from orders group by 1, 2),
 a as (select o_custkey, year + 1 as year, s, n from s where year < (select max(year) from s)),

@@ -390,6 +390,52 @@ def test_database_server(spark):
     assert (out.key, out.version) == ("ttstg1:53390", "11.2.2.6.4")
 
 
+def test_all_kinds_of_servers_in_one_scan(spark):
+    data = [
+        ("h", 1, "redis-server", ["redis-server", "--port", "7", "r.conf"], "/srv", {}, None),
+        ("h", 2, "redis-server", ["redis-server", "r.conf", "--port", "7"], "/srv", {}, None),
+        ("h", 3, "redis-server", ["redis-server", "gone.conf"], "/srv", {}, None),
+        ("h", 4, "redis-server", ["redis-server"], None, None, None),
+        ("h", 5, "memcached", ["memcached"], "/", {}, None),
+        ("h", 5, "memcached", ["memcached"], "/", {}, None),
+        ("h", 6, "splunkd", ["splunkd", "start"], "/", {}, None),
+        ("h", 7, None, None, None, None, None),
+        (None, 8, "mongod", ["mongod"], "/", None, None),
+    ]
+    df = spark.createDataFrame(data, schema.PROCESSES)
+    files = spark.createDataFrame([("h", "/srv/r.conf", "port 666"), ("h", "/srv/r.conf", "port 667"), ("i", "/srv/gone.conf", "port 1")], "host STRING, path STRING, body STRING")
+    found = sorted((r.type, r.key, r.parent_key or "") for r in V.server_resources(df, conf_files=files).collect())
+    assert found == [
+        ("CacheServer", "0.0.0.0:11211", "h"), ("DocumentServer", "localhost:27017", ""),
+        ("KeyValueServer", "key-value 6379", "h"), ("KeyValueServer", "key-value 666", "h"), ("KeyValueServer", "key-value 7", "h"),
+    ]
+    assert sorted(r.key for r in V.server_resources(df).collect() if r.type == "KeyValueServer") == ["key-value 6379", "key-value 7"]
+    assert V.server_resources(df.limit(0), conf_files=files).count() == 0
+    with pytest.raises(ValueError, match="abacus"):
+        V.server_resources(df, "abacus")
+
+
+def test_one_scan_and_one_exchange_for_all_kinds(spark, tmp_path):
+    spark.createDataFrame([("h", 1, "memcached", ["memcached"], "/", {}, None)], schema.PROCESSES).write.parquet(str(tmp_path / "p"))
+    plan = V.server_resources(spark.read.parquet(str(tmp_path / "p")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and plan.count("Aggregate") == 1
+
+
+def test_stated_resources_without_their_setting(spark):
+    data = [
+        ("h", "directory", {"directory": "/d"}), ("h", "directory", {"directory": "d"}), ("h", "directory", {}), ("h", "directory", None),
+        ("h", "checked path", {}), ("h", "trap port", {}), ("h", "configuration client", {"banner": None}),
+        ("h", "configuration client", {"banner": "vd 2.1 of today"}), ("h", None, {"port": "1"}), ("h", "unheard of", {"port": "1"}),
+        (None, "broker", {"port": "5445"}),
+    ]
+    df = spark.createDataFrame(data, "host STRING, kind STRING, settings MAP<STRING, STRING>")
+    found = sorted((r.type, r.key, r.version or "", r.parent_key or "") for r in V.stated_resources(df).collect())
+    assert found == [
+        ("Broker", "5445", "", ""), ("CheckedPath", "/", "", "h"), ("ConfigurationClient", "vd", "2.1", "h"), ("Directory", "/d", "", "h"),
+    ]
+    assert {r.type for r in V.stated_resources(df, ["broker"]).collect()} == {"Broker"}
+
+
 def test_resource_paths_leave_out_circles(spark):
     data = [("a", None, "A"), ("b", "a", "B"), ("c", "b", "C"), ("d", "c", "D"), ("x", "y", "X"), ("y", "x", "Y"), ("o", "gone", "O"), ("p", "o", "P")]
     df = spark.createDataFrame(data, "key STRING, parent_key STRING, name STRING")
@@ -409,6 +455,18 @@ def test_dependency_order(spark):
     assert rows(V.dependency_order(edges, items), "item", "level") == [("a", 0), ("b", 1), ("c", 2), ("z", 0)]
 
 
+def test_dependency_order_of_many_needs(spark):
+    """Needs met in different rounds, stated twice, of itself, of no item; what a circle blocks stays out."""
+    edges = [("t", f"n{i}") for i in range(6)] + [(f"n{i}", f"n{i - 1}") for i in range(1, 6)] + [("t", "n0"), ("u", "t"), ("u", "outside")]
+    edges += [("s", "s"), ("v", "s"), ("w", None), (None, "w"), ("ghost", "n0")]
+    items = [(f"n{i}",) for i in range(6)] + [("t",), ("u",), ("s",), ("v",), ("w",)]
+    found = V.dependency_order(spark.createDataFrame(edges, "item STRING, needs STRING"), spark.createDataFrame(items, "item STRING"))
+    expected = [(f"n{i}", i) for i in range(6)] + [("t", 6), ("u", 7), ("w", 0)]
+    assert rows(found, "item", "level") == sorted(expected)
+    none = spark.createDataFrame([], "item STRING, needs STRING")
+    assert V.dependency_order(none, none.select("item")).count() == 0
+
+
 def test_inventory_diff_and_upsert(spark):
     before = spark.createDataFrame([("k1", "a"), ("k2", "b"), ("k3", None)], "key STRING, v STRING")
     after = spark.createDataFrame([("k2", "c"), ("k3", None), ("k4", "d")], "key STRING, v STRING")
