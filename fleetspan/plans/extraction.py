@@ -127,17 +127,14 @@ select event_id, cast(event_id as varchar) as id, event_type as kind, cast(value
 from events
 """)
 def json_path_extract(t: Tables) -> DataFrame:
-    body = F.col("body")
-    return _nested(t).select(
-        "event_id",
-        X.json_path(body, "/id").alias("id"),
-        X.json_path(body, ".meta.kind").alias("kind"),
-        X.json_path(body, "/meta/parts/0/amount").alias("amount"),
-        X.json_path(body, "|meta|parts|1|owner").alias("owner"),
-        X.json_path(body, "/bare/1").alias("bare"),
-        X.json_path(body, "/id/0").alias("too_deep"),
-        X.json_path(body, "/bare/7").alias("missing"),
-    )
+    """Every third document holds keys twice: the last of them counts."""
+    early = F.lit('{"id":"early","meta":{"kind":"early","parts":[]},')
+    twice = F.when(F.col("event_id") % 3 == 0, F.concat(early, F.substring("body", 2, 1 << 30))).otherwise(F.col("body"))
+    paths = {
+        "id": "/id", "kind": ".meta.kind", "amount": "/meta/parts/0/amount", "owner": "|meta|parts|1|owner", "bare": "/bare/1",
+        "too_deep": "/id/0", "missing": "/bare/7",
+    }
+    return X.with_paths(_nested(t).withColumn("body", twice), "body", paths).drop("body")
 
 
 @query("E11 S15 A8", """
@@ -151,14 +148,10 @@ def server_status_paths(t: Tables) -> DataFrame:
         F.struct((F.col("o_orderkey") % 97).cast("double").alias("totalTime"), (F.col("o_orderkey") % 13).cast("double").alias("lockTime")).alias("globalLock"),
     )
     docs = t.orders.select("o_orderkey", F.to_json(status).alias("body"))
-    body = F.col("body")
-    held = C.ratio(
-        X.map_path(body, "globalLock.lockTime").try_cast("double"), X.map_path(body, "globalLock.totalTime").try_cast("double")
-    )
-    return docs.select(
-        "o_orderkey", X.map_path(body, "mem.resident").alias("resident"), X.map_path(body, "mem.list.0").alias("through_list"),
-        F.round(held, 9).alias("lock_ratio"),
-    )
+    paths = {"total": "globalLock.totalTime", "locked": "globalLock.lockTime", "resident": "mem.resident", "through_list": "mem.list.0"}
+    read = X.with_paths(docs, "body", paths, "map")
+    held = C.ratio(F.col("locked").try_cast("double"), F.col("total").try_cast("double"))
+    return read.select("o_orderkey", "resident", "through_list", F.round(held, 9).alias("lock_ratio"))
 
 
 @query("E12 X2", """
@@ -177,15 +170,14 @@ def grouped_values(t: Tables) -> DataFrame:
         group("jobs", entry(F.lit("start"), F.col("p_partkey"))).alias("counters"),
     )
     docs = t.part.select("p_partkey", "p_type", F.to_json(document).alias("body"))
-    low_bits = X.wrapped("grouped", lambda metric, value: X.window_id(value).cast("string"))
     # The names are those of the six part types; another type would simply not be asked for.
     types = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-    body = F.col("body")
-    pairs = F.array(
-        *[F.struct(F.lit(f"samplers.jdbc.{k}.active").alias("metric"), X.grouped_value(body, f"samplers.jdbc.{k}.active").alias("value")) for k in types],
-        F.struct(F.lit("counters.jobs.start").alias("metric"), low_bits(body, "counters.jobs.start").alias("value")),
-    )
-    return docs.select("p_partkey", F.inline(pairs)).filter(F.col("value").isNotNull())
+
+    def low_bits(metric: str, value):
+        return X.window_id(value).cast("string") if metric.startswith("counters.") else value
+
+    metrics = [*(f"samplers.jdbc.{k}.active" for k in types), "counters.jobs.start"]
+    return X.extract_metrics(docs, metrics, X.wrapped("grouped", low_bits), ["p_partkey"])
 
 
 @query("E5 S10 X1", """

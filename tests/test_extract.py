@@ -1,6 +1,7 @@
 """Golden values of the extraction and coercion functions."""
 
 import datetime
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,6 +86,91 @@ def test_json_path_with_odd_keys(spark, path, value):
     assert one(spark, X.json_path(F.col("b"), path), b=body) == value
 
 
+PATHS = {
+    "a": "/a", "ab": "/a/b", "upper": "/A", "first": "/l/0", "inner": "/l/1/x", "deep": "/l/1/y/0", "key": "/l/7", "cut": "|l|2|0|z",
+    "none": "", "all": "/", "star": "/*", "broken": "/_corrupt_record", "zero": "/0", "dots": "#a.b#0",
+}
+DOCUMENTS = [
+    '{"a":{"b":1},"A":2,"l":[3,{"x":4,"y":[5]},[{"z":6}]],"*":7,"_corrupt_record":8,"0":9,"a.b":[10]}',
+    '{"l":{"0":1,"1":{"x":2,"y":{"0":3}},"2":[{"z":4}],"7":5},"a":null,"a.b":{"0":"six"}}',
+    '{"a":1,"a":{"b":2},"l":[1],"l":[2,3]}', '{"a":{"b":1},"a":null}', '{"a":"x","l":"y"}', '[{"a":1},2]', '[[1]]', "null", "3", "", " ", None, "{", '{"a":1',
+    '{"a":{"b":[1, 2.50]},"l":[null,null]}', ' \n {"a" : {"b" : "t\\u00e9\\n"}}', '{"l":[[],{"x":{}},[[1]]]}', '{"l":[1,"t",[{"z":null}]]}',
+]
+
+
+def by_python(text, path):
+    """Value at a path, as text, by the json module."""
+    if not path or text is None:
+        return None
+    steps = path[1:].split(path[0])
+    while steps and steps[-1] == "":
+        steps.pop()
+    try:
+        value = json.loads(text)
+    except ValueError:
+        return None if steps or not text.lstrip().startswith("{") else text
+    if not steps:
+        return text if isinstance(value, dict) else None
+    for step in steps:
+        if isinstance(value, dict):
+            value = value.get(step)
+        elif isinstance(value, list) and step.isdigit():
+            value = value[int(step)] if int(step) < len(value) else None
+        else:
+            return None
+    if value is None:
+        return None
+    return value if isinstance(value, str) else json.dumps(value)
+
+
+def plain(text):
+    """Texts of containers and numbers apart from how they are written."""
+    try:
+        return json.dumps(json.loads(text))
+    except (TypeError, ValueError):
+        return text
+
+
+def test_paths_by_one_parse_and_one_by_one(spark):
+    df = spark.createDataFrame(list(enumerate(DOCUMENTS)), "id INT, body STRING")
+    together = {r.id: r for r in X.with_paths(df, "body", PATHS).collect()}
+    alone = {r.id: r for r in df.select("id", *[X.json_path(F.col("body"), p).alias(n) for n, p in PATHS.items()]).collect()}
+    for i, text in enumerate(DOCUMENTS):
+        for name, path in PATHS.items():
+            assert plain(together[i][name]) == plain(alone[i][name]) == plain(by_python(text, path)), (text, path)
+
+
+def test_dotted_paths_by_one_parse(spark):
+    df = spark.createDataFrame([('{"m":{"r":1,"l":[2]},"m":{"r":3,"l":[4]},"n":{"0":5}}',), ("[1]",), (None,)], "body STRING")
+    paths = {"r": "m.r", "l": "m.l.0", "z": "n.0"}
+    assert [tuple(r)[1:] for r in X.with_paths(df, "body", paths, "map").collect()] == [("3", None, "5"), (None,) * 3, (None,) * 3]
+    assert [tuple(r) for r in df.select(*[X.map_path(F.col("body"), p) for p in paths.values()]).collect()][0] == ("3", None, "5")
+
+
+def test_a_body_is_parsed_once(spark, tmp_path):
+    spark.createDataFrame([("{}",)], "body STRING").write.parquet(str(tmp_path / "b"))
+    df = spark.read.parquet(str(tmp_path / "b"))
+    names = {"a": "/m/a", "b": "/m/b/c", "c": "/n", "d": "/m/b/d"}
+    for out in (
+        X.with_paths(df, "body", names), X.with_paths(df, "body", {n: p[1:].replace("/", ".") for n, p in names.items()}, "map"),
+        X.with_paths(df, "body", {"a": "s.g.x", "b": "s.g.y", "c": "t.g.x"}, "grouped"),
+        X.extract_metrics(df, list(names.values()), X.wrapped("jsonTree", X.low_bits_of_window_ids), []),
+    ):
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_metrics_by_path(spark):
+    body = '{"m":{"currentWindowId":"4295032835","n":1},"x.y":2}'
+    df = spark.createDataFrame([(1, body, 7), (2, None, 8)], "id INT, body STRING, elapsed_ms BIGINT").withColumn("headers", F.create_map(F.lit("Date"), F.array(F.lit("d"))))
+    read = X.wrapped("jsonTree", X.low_bits_of_window_ids)
+    out = X.extract_metrics(df, ["/m/currentWindowId", "/m/n", "/gone", "responseTime", "#date"], read, ["id"])
+    assert sorted(map(tuple, out.collect())) == [
+        (1, "#date", "d"), (1, "/m/currentWindowId", "3"), (1, "/m/n", "1"), (1, "responseTime", "7"), (2, "#date", "d"), (2, "responseTime", "8"),
+    ]
+    with pytest.raises(ValueError, match="abacus"):
+        X.with_paths(df, "body", {}, "abacus")
+
+
 def test_json_path_needs_an_object_for_the_whole_document(spark):
     assert one(spark, X.json_path(F.col("b"), "/"), b="[1]") is None
 
@@ -160,6 +246,14 @@ INSTRUMENTS = '{"samplers":[{"group":"jdbc","data":[{"name":"x","value":1},{"nam
 )
 def test_grouped_value(spark, metric, value):
     assert one(spark, X.grouped_value(F.col("b"), metric), b=INSTRUMENTS) == value
+    df = spark.createDataFrame([(INSTRUMENTS,)], "body STRING")
+    assert X.with_paths(df, "body", {"v": metric, "w": "samplers.jdbc.x"}, "grouped").first()[1:] == (value, "1")
+
+
+def test_a_group_without_data_hides_no_other(spark):
+    body = '{"s":[{"group":"g"},{"group":"g","data":[null,{"name":"n","value":null}]},{"group":"g","data":[{"name":"m","value":2}]}]}'
+    df = spark.createDataFrame([(body,), ('{"s":{"group":"g"}}',), ("[]",)], "body STRING")
+    assert [r[1] for r in X.with_paths(df, "body", {"m": "s.g.m"}, "grouped").collect()] == ["2", None, None]
 
 
 def test_status_document(spark):
