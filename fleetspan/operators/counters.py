@@ -30,8 +30,8 @@ def delta_ratio(
     Of samples with the same key and time only the largest counts, as in a stream. No value where nothing was counted, or where a counter went back.
     """
     zero = F.lit(0).cast("bigint")
-    df = one_per_time(df, keys, ts, [hits, misses], [hits, misses])
-    rows = with_previous(df, keys, [ts], {"_hits": (hits, zero), "_misses": (misses, zero)}, policy)
+    samples = one_per_time(df, keys, ts, [hits, misses], [hits, misses])
+    rows = with_previous(samples, keys, [ts], {"_hits": (hits, zero), "_misses": (misses, zero)}, policy, counted=df)
     return _ratio(rows, hits, misses, out)
 
 
@@ -55,8 +55,8 @@ def counter_rate(
     """
     if on_reset not in ("value", "null"):
         raise ValueError(f"unknown reset rule {on_reset}")
-    df = one_per_time(df, keys, ts, [value], [value])
-    rows = with_previous(df, keys, [ts], {"_value": (value, None), "_ts": (ts, None)}, policy)
+    samples = one_per_time(df, keys, ts, [value], [value])
+    rows = with_previous(samples, keys, [ts], {"_value": (value, None), "_ts": (ts, None)}, policy, counted=df)
     step = F.col(value) - F.col("_value")
     reset = F.col(value) if on_reset == "value" else F.lit(None)
     seconds = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("_ts").cast("timestamp"))) / 1e6

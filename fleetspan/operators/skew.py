@@ -9,7 +9,7 @@ the state over the cuts. The result is the same as that of the plain window.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from math import ceil
 
@@ -54,29 +54,145 @@ def hot_keys(df: DataFrame, keys: Sequence[str], policy: HotKeyPolicy = DEFAULT_
     return found if found.limit(1).count() else None
 
 
-def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
+@dataclass(frozen=True)
+class Cut:
+    """A frame whose hot keys are cut into ordered segments: counted, cut and written once.
+
+    ``previous``, ``running_sum`` and ``last_known`` add columns and give a frame
+    that is cut alike, so several of them share one cut. ``rows`` puts the frame
+    together again.
+    """
+
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+    cold: DataFrame
+    hot: DataFrame | None
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.cold if self.hot is None else self.cold.unionByName(self.hot.drop("_seg"))
+
+    def _with(self, cold: DataFrame, hot: DataFrame | None) -> Cut:
+        return replace(self, cold=cold, hot=hot)
+
+    def previous(self, columns: dict[str, tuple[str, Column | None]]) -> Cut:
+        """Add the previous row's values per key, as ``with_previous`` does."""
+        sources = F.struct(*[F.col(src).alias(out) for out, (src, _) in columns.items()])
+
+        def finish(rows: DataFrame) -> DataFrame:
+            exprs = {
+                out: (
+                    F.col("_prev")[out]
+                    if default is None
+                    else F.when(F.col("_prev").isNull(), default).otherwise(F.col("_prev")[out])
+                )
+                for out, (_, default) in columns.items()
+            }
+            return rows.withColumns(exprs).drop("_prev")
+
+        plain = Window.partitionBy(*self.keys).orderBy(*self.order)
+        cold = finish(self.cold.withColumn("_prev", F.lag(sources).over(plain)))
+        if self.hot is None:
+            return self._with(cold, None)
+        local = Window.partitionBy(*self.keys, "_seg").orderBy(*self.order)
+        tails = self.hot.groupBy(*self.keys, "_seg").agg(F.max_by(sources, F.struct(*self.order)).alias("_tail"))
+        carry = tails.select(
+            *self.keys, "_seg", F.lag("_tail").over(Window.partitionBy(*self.keys).orderBy("_seg")).alias("_carry")
+        )
+        rows = self.hot.withColumns({"_local": F.lag(sources).over(local), "_first": F.row_number().over(local) == 1})
+        joined = _carry_join(rows, carry, self.keys)
+        spread = joined.withColumn("_prev", F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_local")))
+        return self._with(cold, finish(spread.drop("_local", "_first", "_carry")))
+
+    def running_sum(self, columns: dict[str, Column]) -> Cut:
+        """Add running sums per key, as ``with_running_sum`` does."""
+        addends = {f"_add_{out}": value for out, value in columns.items()}
+
+        def running(rows: DataFrame, parts: Sequence[str]) -> DataFrame:
+            window = (
+                Window.partitionBy(*parts).orderBy(*self.order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            )
+            return rows.withColumns({out: F.sum(f"_add_{out}").over(window) for out in columns})
+
+        cold = running(self.cold.withColumns(addends), self.keys).drop(*addends)
+        if self.hot is None:
+            return self._with(cold, None)
+        hot = self.hot.withColumns(addends)
+        totals = hot.groupBy(*self.keys, "_seg").agg(*[F.sum(a).alias(a) for a in addends])
+        before = Window.partitionBy(*self.keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+        carry = totals.select(
+            *self.keys, "_seg", F.struct(*[F.sum(a).over(before).alias(a) for a in addends]).alias("_carry")
+        )
+        joined = _carry_join(running(hot, [*self.keys, "_seg"]), carry, self.keys)
+        spread = joined.withColumns(
+            {
+                out: F.coalesce(
+                    F.col(out) + F.col("_carry")[f"_add_{out}"], F.col(out), F.col("_carry")[f"_add_{out}"]
+                )
+                for out in columns
+            }
+        )
+        return self._with(cold, spread.drop("_carry", *addends))
+
+    def last_known(self, columns: dict[str, tuple[str, Column]]) -> Cut:
+        """Add the value of the last row for which a condition holds, as ``with_last_known`` does."""
+        marked = {f"_mark_{out}": F.when(cond, F.struct(F.col(src).alias("v"))) for out, (src, cond) in columns.items()}
+
+        def last(rows: DataFrame, parts: Sequence[str]) -> DataFrame:
+            window = Window.partitionBy(*parts).orderBy(*self.order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            return rows.withColumns({out: F.last(f"_mark_{out}", ignorenulls=True).over(window) for out in columns})
 
+        def plain(rows: DataFrame) -> DataFrame:
+            return rows.withColumns({out: F.col(out)["v"] for out in columns}).drop(*marked)
 
-def _split(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], policy: HotKeyPolicy
-) -> tuple[DataFrame, DataFrame | None, int]:
-    """(rows of normal keys, segmented rows of hot keys or None, number of segments)."""
-    hot = hot_keys(df, keys, policy)
+        cold = plain(last(self.cold.withColumns(marked), self.keys))
+        if self.hot is None:
+            return self._with(cold, None)
+        hot = self.hot.withColumns(marked)
+        tails = hot.groupBy(*self.keys, "_seg").agg(
+            *[F.max_by(m, F.when(F.col(m).isNotNull(), F.struct(*self.order))).alias(m) for m in marked]
+        )
+        before = Window.partitionBy(*self.keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+        carry = tails.select(
+            *self.keys, "_seg", F.struct(*[F.last(m, ignorenulls=True).over(before).alias(m) for m in marked]).alias("_carry")
+        )
+        joined = _carry_join(last(hot, [*self.keys, "_seg"]), carry, self.keys)
+        spread = joined.withColumns({out: F.coalesce(F.col(out), F.col("_carry")[f"_mark_{out}"]) for out in columns})
+        return self._with(cold, plain(spread.drop("_carry")))
+
+
+def cut(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    policy: HotKeyPolicy = DEFAULT_POLICY,
+    counted: DataFrame | None = None,
+) -> Cut:
+    """The frame with its hot keys cut into segments.
+
+    ``order`` must name a unique order within a key. ``counted`` is a frame with
+    the keys and at least as many rows a key that is cheaper to count, such as
+    the one that ``df`` aggregates. Without a hot key nothing but the counts is
+    read. Else the frame is computed once more, to be written: its normal keys as
+    they lie, its hot ones by segment, and all that follows reads what was written.
+    """
+    hot = hot_keys(df if counted is None else counted, keys, policy)
     if hot is None:
-        return df, None, 0
+        return Cut(tuple(keys), tuple(order), df, None)
     rows = hot.agg(F.sum("_rows")).first()[0]
-    segments = ceil(rows / policy.min_rows) + 1
     # Spark broadcasts the keys where they are few.
-    marks = hot.drop("_rows")
-    cold = df.join(marks, _same(df, marks, keys), "left_anti")
+    marks = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(marks[f"_hot_{k}"]) for k in keys])
+    marked = materialize(df.join(marks, same, "left").drop(*[f"_hot_{k}" for k in keys]), "marked")
+    cold = marked.filter(F.col("_hot").isNull()).drop("_hot")
+    segments = ceil(rows / policy.min_rows) + 1
     ranged = (
-        df.join(marks, _same(df, marks, keys), "left_semi")
+        marked.filter(F.col("_hot")).drop("_hot")
         .repartitionByRange(segments, *keys, *order)
         .withColumn("_seg", F.spark_partition_id())
     )
     # Written once, so that the cuts are the same for every later reader and retry.
-    return cold, materialize(ranged, "segments"), segments
+    return Cut(tuple(keys), tuple(order), cold, materialize(ranged, "segments"))
 
 
 def _carry_join(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -93,40 +209,14 @@ def with_previous(
     order: Sequence[str],
     columns: dict[str, tuple[str, Column | None]],
     policy: HotKeyPolicy = DEFAULT_POLICY,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add the previous row's values per key.
 
     ``columns`` maps an output name to (source column, default for the first
     row or None). ``order`` must name a unique order within a key.
     """
-    sources = F.struct(*[F.col(src).alias(out) for out, (src, _) in columns.items()])
-
-    def finish(rows: DataFrame) -> DataFrame:
-        exprs = {
-            out: (
-                F.col("_prev")[out]
-                if default is None
-                else F.when(F.col("_prev").isNull(), default).otherwise(F.col("_prev")[out])
-            )
-            for out, (_, default) in columns.items()
-        }
-        return rows.withColumns(exprs).drop("_prev")
-
-    cold, hot, _ = _split(df, keys, order, policy)
-    plain = Window.partitionBy(*keys).orderBy(*order)
-    result = finish(cold.withColumn("_prev", F.lag(sources).over(plain)))
-    if hot is None:
-        return result
-
-    local = Window.partitionBy(*keys, "_seg").orderBy(*order)
-    tails = hot.groupBy(*keys, "_seg").agg(F.max_by(sources, F.struct(*order)).alias("_tail"))
-    carry = tails.select(
-        *keys, "_seg", F.lag("_tail").over(Window.partitionBy(*keys).orderBy("_seg")).alias("_carry")
-    )
-    rows = hot.withColumns({"_local": F.lag(sources).over(local), "_first": F.row_number().over(local) == 1})
-    joined = _carry_join(rows, carry, keys)
-    spread = joined.withColumn("_prev", F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_local")))
-    return result.unionByName(finish(spread.drop("_local", "_first", "_carry", "_seg")))
+    return cut(df, keys, order, policy, counted).previous(columns).rows
 
 
 def with_running_sum(
@@ -137,35 +227,7 @@ def with_running_sum(
     policy: HotKeyPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Add running sums per key, including the current row; ``columns`` maps output name to addend."""
-    addends = {f"_add_{out}": value for out, value in columns.items()}
-    df = df.withColumns(addends)
-    cold, hot, _ = _split(df, keys, order, policy)
-
-    def running(rows: DataFrame, parts: Sequence[str]) -> DataFrame:
-        window = (
-            Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        return rows.withColumns({out: F.sum(f"_add_{out}").over(window) for out in columns})
-
-    result = running(cold, keys).drop(*addends)
-    if hot is None:
-        return result
-
-    totals = hot.groupBy(*keys, "_seg").agg(*[F.sum(a).alias(a) for a in addends])
-    before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(
-        *keys, "_seg", F.struct(*[F.sum(a).over(before).alias(a) for a in addends]).alias("_carry")
-    )
-    joined = _carry_join(running(hot, [*keys, "_seg"]), carry, keys)
-    spread = joined.withColumns(
-        {
-            out: F.coalesce(
-                F.col(out) + F.col("_carry")[f"_add_{out}"], F.col(out), F.col("_carry")[f"_add_{out}"]
-            )
-            for out in columns
-        }
-    )
-    return result.unionByName(spread.drop("_carry", "_seg", *addends))
+    return cut(df, keys, order, policy).running_sum(columns).rows
 
 
 def with_last_known(
@@ -180,30 +242,7 @@ def with_last_known(
     ``columns`` maps an output name to (source column, condition). The value may
     be null. ``order`` must name a unique order among the rows that matter.
     """
-    marked = {f"_mark_{out}": F.when(cond, F.struct(F.col(src).alias("v"))) for out, (src, cond) in columns.items()}
-    df = df.withColumns(marked)
-    cold, hot, _ = _split(df, keys, order, policy)
-
-    def last(rows: DataFrame, parts: Sequence[str]) -> DataFrame:
-        window = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return rows.withColumns({out: F.last(f"_mark_{out}", ignorenulls=True).over(window) for out in columns})
-
-    def plain(rows: DataFrame) -> DataFrame:
-        return rows.withColumns({out: F.col(out)["v"] for out in columns}).drop(*marked)
-
-    result = plain(last(cold, keys))
-    if hot is None:
-        return result
-    tails = hot.groupBy(*keys, "_seg").agg(
-        *[F.max_by(m, F.when(F.col(m).isNotNull(), F.struct(*order))).alias(m) for m in marked]
-    )
-    before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    carry = tails.select(
-        *keys, "_seg", F.struct(*[F.last(m, ignorenulls=True).over(before).alias(m) for m in marked]).alias("_carry")
-    )
-    joined = _carry_join(last(hot, [*keys, "_seg"]), carry, keys)
-    spread = joined.withColumns({out: F.coalesce(F.col(out), F.col("_carry")[f"_mark_{out}"]) for out in columns})
-    return result.unionByName(plain(spread.drop("_carry", "_seg")))
+    return cut(df, keys, order, policy).last_known(columns).rows
 
 
 def with_row_number(

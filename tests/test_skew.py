@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetspan.operators import counters, events, groups
-from fleetspan.operators.skew import HotKeyPolicy, hot_keys, with_previous, with_row_number, with_running_sum
+from fleetspan.operators.skew import HotKeyPolicy, cut, hot_keys, with_last_known, with_previous, with_row_number, with_running_sum
 
 CUT = HotKeyPolicy(min_rows=20, skip_below_bytes=0)
 
@@ -102,3 +102,22 @@ def test_counter_ratio_does_not_depend_on_the_cut(df):
     assert sorted(map(repr, cut.collect())) == sorted(map(repr, whole.collect()))
     rates = counters.counter_rate(samples, ["k"], "ts", "hits", policy=CUT)
     assert sorted(map(repr, rates.collect())) == sorted(map(repr, counters.counter_rate(samples, ["k"], "ts", "hits").collect()))
+
+
+def test_a_cut_reads_its_input_twice(spark, df, tmp_path):
+    """Once for the counts, without the aggregation, once to be written; later readers read what was written."""
+    path = str(tmp_path / "samples")
+    df.select("k", F.timestamp_seconds("id").alias("ts"), F.col("id").alias("hits"), F.col("id").alias("misses")).write.parquet(path)
+    out = counters.delta_ratio(spark.read.parquet(path), ["k"], "ts", "hits", "misses", policy=CUT)
+    assert out.inputFiles() and not [f for f in out.inputFiles() if path in f]
+    assert out.count()
+
+
+def test_operators_share_a_cut(df):
+    shared = cut(df, ["k"], ["ts", "id"], CUT)
+    assert shared.hot is not None
+    both = shared.previous({"before": ("v", F.lit(-1))}).running_sum({"total": F.col("before")}).last_known({"last": ("total", F.col("v").isNotNull())}).rows
+    steps = with_previous(df, ["k"], ["ts", "id"], {"before": ("v", F.lit(-1))})
+    steps = with_running_sum(steps, ["k"], ["ts", "id"], {"total": F.col("before")})
+    steps = with_last_known(steps, ["k"], ["ts", "id"], {"last": ("total", F.col("v").isNotNull())})
+    assert sorted(map(repr, both.select(*steps.columns).collect())) == sorted(map(repr, steps.collect()))
