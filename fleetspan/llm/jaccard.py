@@ -5,9 +5,11 @@
 2. Classes are shuffled on band hashes. In a bucket, pairs whose signatures
    agree well enough are joined to candidate components; a bucket of many
    classes becomes one component as a whole, so work stays linear in its size.
-3. Components are verified on the full sets, all pairs inside, in blocks of
-   bounded size: a block counts intersections with a matrix product and gives
-   back only each class's number of links and a spanning forest of them.
+3. Components are verified on the full sets, in blocks of bounded size: a block
+   counts intersections with a matrix product and gives back only each class's
+   number of links and a spanning forest of them. All pairs inside a component
+   meet, but for those whose sizes alone keep them below the threshold: a large
+   component is dealt into classes of size, and only neighbouring ones meet.
 4. Links are added up and joined to groups.
 
 Bands and rows are chosen for a target recall at the threshold: with 47 bands
@@ -23,6 +25,7 @@ columns are ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from itertools import groupby
@@ -30,7 +33,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetspan.llm.common import query, session, table, whole_rows, with_ids
@@ -44,13 +47,15 @@ ROWS = 8
 SIGNATURE, SIGNATURE_SHARE = 128, 0.62
 #: Classes of a bucket up to which its pairs are compared by signature.
 SMALL_BUCKET = 64
-#: Classes in a block of a component.
-BLOCK = 512
+#: Classes in a block of a component, and shingles in it that it aims at.
+BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
 #: Columns of the matrix that counts intersections, at a time.
 TILE = 8192
 #: Bits of the bitmap that keeps texts without candidates out of the second pass.
 BITMAP_BITS = 1 << 23
 REMEMBERED = 200_000
+#: Keys that more than one in so many rows hold are looked up by broadcast: so there are fewer of them than this.
+HOT_KEYS = 256
 #: Rounds of joining components; they grow with the logarithm of the longest chain.
 MAX_ROUNDS = 200
 
@@ -186,35 +191,81 @@ def _agree(least: int):
     return run
 
 
+def _hot(rows: DataFrame, key: str) -> list:
+    """Keys that more than one in HOT_KEYS rows hold."""
+    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
+    least = rows.count() / HOT_KEYS
+    return [r[0] for r in counts.where((F.col("n") > least) & (F.col("n") > 1)).collect()]
+
+
+def _looked_up(rows: DataFrame, key: str, found: DataFrame, hot: list) -> DataFrame:
+    """Rows with the columns that ``found`` holds once for each key; rows of hot keys stay where they are."""
+    if not hot:
+        return rows.join(found, key)
+    is_hot = F.col(key).isin([F.lit(k) for k in hot])
+    few = F.broadcast(found.where(is_hot))
+    return rows.where(~is_hot).join(found.where(~is_hot), key).unionByName(rows.where(is_hot).join(few, key))
+
+
 def components(edges: DataFrame, label: str) -> DataFrame:
     """node, root: connected components of edges (a, b), root being the smallest node of its component.
 
-    A node and its root both take the smallest root of the node's neighbours, then
-    roots are followed one step: chains of any length settle in rounds that grow
-    with their logarithm. Each round is written to the shared folder; edges are
-    linear in the nodes, so it is a small shuffle.
+    In a round roots are followed one step; then a node and its root both take
+    the smallest root of the node's neighbours: chains of any length settle in
+    rounds that grow with their logarithm. Each half is written to the shared
+    folder; edges are linear in the nodes, so it is a small shuffle. A node with
+    many edges and a root of many nodes are looked up without a shuffle.
     """
     both = materialize(
         edges.where(F.col("a") != F.col("b")).select("a", "b").union(edges.select("b", "a")).where(F.col("a") != F.col("b")).distinct(),
         f"{label}-edges",
     )
+    busy = _hot(both, "b")
     state = materialize(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("root")).withColumnRenamed("a", "node"), f"{label}-0")
     for i in range(1, MAX_ROUNDS):
-        near = both.join(state.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        hooks = state.join(near, "node").select(F.explode(F.array("node", "root")).alias("node"), F.col("near").alias("root"))
-        hooked = hooks.union(state).groupBy("node").agg(F.min("root").alias("root"))
-        jump = hooked.select(F.col("node").alias("root"), F.col("root").alias("above"))
-        after = hooked.join(jump, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
-        old = state.withColumnRenamed("root", "old")
-        after = after.join(old, "node").select("node", "root", (F.col("root") != F.col("old")).alias("moved"))
-        after = materialize(after, f"{label}-{i}")
-        moved = after.where("moved").limit(1).count()
-        state = after.select("node", "root")
-        if not moved:
+        above = state.select(F.col("node").alias("root"), F.col("root").alias("above"))
+        jumped = _looked_up(state, "root", above, _hot(state, "root")).select("node", F.col("above").alias("root"), F.col("root").alias("old"))
+        jumped = materialize(jumped, f"{label}-{i}-up")
+        ends = jumped.select(F.col("node").alias("b"), "root")
+        near = _looked_up(both, "b", ends, busy).groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
+        hooks = jumped.select("node", "root").join(near, "node").select(F.explode(F.array("node", "root")).alias("node"), F.col("near").alias("root"))
+        hooked = jumped.union(hooks.withColumn("old", F.when(F.lit(False), F.col("root"))))
+        hooked = hooked.groupBy("node").agg(F.min("root").alias("root"), F.max("old").alias("old"))
+        hooked = materialize(hooked.select("node", "root", (F.col("root") != F.col("old")).alias("moved")), f"{label}-{i}")
+        state = hooked.select("node", "root")
+        if not hooked.where("moved").limit(1).count():
             return state
     raise RuntimeError("components did not settle")
 
 
+def dealt(wanted: DataFrame, threshold: float, hot: list) -> DataFrame:
+    """Rows (node, root, copies, block, i, j): each class in every pair of blocks that it takes part in.
+
+    ``wanted`` has node, root, copies and n, the size of the set. A component of
+    more than a block is dealt by size: sets that reach the threshold are of the
+    same class of size or of neighbouring ones.
+    """
+    # A little wider than the threshold, so that rounding puts no pair two classes apart.
+    width = max(-math.log(threshold), 1e-6) * (1 + 1e-6)
+    sized = wanted.withColumn("size", F.floor(F.log(F.col("n").cast("double")) / width).cast("int"))
+    blocks = lambda rows, shingles: F.greatest(F.ceil(rows / BLOCK), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+    per_size = sized.groupBy("root", "size").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
+    # At most a hundred sizes: they are logarithms.
+    by_size = F.map_from_entries(F.collect_list(F.struct("size", blocks(F.col("rows"), F.col("shingles")))))
+    one = blocks(F.sum("rows"), F.sum("shingles")) <= 1
+    per_root = per_size.groupBy("root").agg(F.when(one, F.create_map(F.lit(0), F.lit(1))).otherwise(by_size).alias("blocks"), one.alias("one"))
+    members = _looked_up(sized, "root", per_root, hot).withColumn("size", F.when(F.col("one"), 0).otherwise(F.col("size")))
+
+    def number(size: Column, block: Column) -> Column:
+        return F.shiftleft(size.cast("long"), 32) + block
+
+    members = members.withColumn("block", number(F.col("size"), F.pmod(F.xxhash64("node"), F.col("blocks")[F.col("size")])))
+    near = F.filter(F.array(*[F.col("size") + d for d in (-1, 0, 1)]), lambda k: F.map_contains_key("blocks", k))
+    others = F.flatten(F.transform(near, lambda k: F.transform(F.sequence(F.lit(0), F.col("blocks")[k] - 1), lambda b: number(k, b))))
+    parts = members.withColumn("other", F.explode(others))
+    return parts.select("node", "root", "copies", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+
 def _link(threshold: float):
     """Of rows sorted by (root, i, j): links of each class inside the block, and a spanning forest of them."""
 
@@ -313,9 +364,10 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_R
     )
     some = rows.where(F.col("key").isNotNull())
     classes = some.groupBy("key").agg(
-        F.min("doc_id").alias("copy_id"), F.count("*").alias("copies"), F.min("code").alias("code"), F.min(F.struct("bands", "sign")).alias("s")
+        F.min("doc_id").alias("copy_id"), F.count("*").alias("copies"), F.min("n").alias("n"), F.min("code").alias("code"),
+        F.min(F.struct("bands", "sign")).alias("s"),
     )
-    classes = materialize(classes.select("key", "copy_id", "copies", "code", "s.bands", "s.sign"), "jaccard-classes")
+    classes = materialize(classes.select("key", "copy_id", "copies", "n", "code", "s.bands", "s.sign"), "jaccard-classes")
 
     # Buckets with more than one class.
     banded = classes.select("key", F.explode("bands").alias("band"))
@@ -329,15 +381,12 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_R
     nodes = components(edges, "jaccard-candidates")
 
     # Sets of the candidates' texts, one text a class.
-    wanted = materialize(nodes.join(classes.select(F.col("key").alias("node"), "copies", "code"), "node"), "jaccard-wanted")
+    wanted = materialize(nodes.join(classes.select(F.col("key").alias("node"), "copies", "n", "code"), "node"), "jaccard-wanted")
     sets = texts.where(F.col("text").isNotNull()).select("text")
     sets = sets.mapInArrow(_sets(bitmap_of(wanted.select("code"))), "code long, shingles binary")
     sets = sets.join(wanted, "code").groupBy("node").agg(F.min("shingles").alias("shingles"))
-    blocks = wanted.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
-    members = wanted.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("n")).cast("int"))
-    parts = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    parts = parts.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    parts = parts.select("node", "root", "copies", "block", "i", "j").join(sets, "node").withColumnRenamed("node", "key")
+    parts = dealt(wanted, threshold, _hot(wanted, "root"))
+    parts = parts.join(sets, "node").withColumnRenamed("node", "key")
     parts = parts.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
     found = materialize(parts.mapInArrow(_link(threshold), "key binary, root binary, classes long, docs long"), "jaccard-links")
     links = found.groupBy("key").agg(F.sum("classes").alias("n_texts"), F.sum("docs").alias("docs"))
@@ -345,9 +394,9 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_R
 
     # A row for each class, then for each document.
     linked = links.join(groups.withColumnRenamed("node", "key"), "key")
-    named = classes.select("key", "copy_id", "copies").join(linked, "key", "left")
     first = linked.join(classes.select("key", "copy_id"), "key").groupBy("root").agg(F.min("copy_id").alias("class_id"))
-    named = named.join(first, "root", "left").select(
+    linked = _looked_up(linked, "root", first, _hot(groups, "root")).drop("root")
+    named = classes.select("key", "copy_id", "copies").join(linked, "key", "left").select(
         "key",
         "copy_id",
         F.coalesce("class_id", "copy_id").alias("class_id"),

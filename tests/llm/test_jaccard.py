@@ -75,7 +75,9 @@ def test_null_ids_and_empty(spark):
     assert out == [("5", "5", 2), ("None", "5", 2), ("None", "5", 2), ("None", "None", 0)]
     assert jaccard.join(frame.limit(0)).count() == 0
     kept = jaccard.one_of_each(spark, frame, "")
-    assert kept.columns == frame.columns and kept.count() == 4
+    # One of each group stays, those without an id included; one with an id goes before.
+    assert kept.columns == frame.columns
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("5", rows[2][1]), ("None", "alone here")]
 
 
 def test_bands_reach_the_target():
@@ -100,3 +102,37 @@ def test_components_of_long_chains_settle_fast(spark, monkeypatch):
     edges = [(a, b) for chain in (order[:1000], order[1000:]) for a, b in zip(chain, chain[1:])] + [(order[0], order[1])]
     found = {r.node: r.root for r in jaccard.components(spark.createDataFrame(edges, "a long, b long"), "chain").collect()}
     assert found == {n: min(chain) for chain in (order[:1000], order[1000:]) for n in chain}
+
+
+def test_components_with_a_busy_node_and_a_hot_root(spark):
+    """A star of which most nodes are part, chains that end in it, and many pairs."""
+    edges = [(i, 3) for i in range(4, 2000)] + [(3, 3), (3, 2), (2, 1)]
+    edges += [(5000 + i, 5001 + i) for i in range(50)] + [(5000, 1999)] + [(10_000 + 2 * i, 10_001 + 2 * i) for i in range(300)]
+    frame = spark.createDataFrame(edges, "a long, b long")
+    assert jaccard._hot(frame, "b") == [3]
+    found = {r.node: r.root for r in jaccard.components(frame, "star").collect()}
+    want = dict.fromkeys([*range(1, 2000), *range(5000, 5051)], 1) | {10_000 + i: 10_000 + i // 2 * 2 for i in range(600)}
+    assert found == want
+
+
+def test_pairs_of_like_size_meet_once(spark, monkeypatch):
+    """Every pair that its sizes allow meets in one pair of blocks; sets are sent less often than to all blocks of the component."""
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 8000)
+    draw = np.random.default_rng(5)
+    sizes = np.exp(draw.uniform(np.log(4), np.log(4000), 600)).astype(int).tolist() + [4, 5, 16, 20, 64, 80, 256, 320, 9000, 10_000_000]
+    rows = [(str(i).encode(), b"r" if i % 10 else b"s", 1, n) for i, n in enumerate(sizes)] + [(b"x", b"t", 1, 3), (b"y", b"t", 1, 900)]
+    wanted = spark.createDataFrame(rows, "node binary, root binary, copies long, n long")
+    met, sent, held = {}, 0, {}
+    for r in jaccard.dealt(wanted, 0.8, [b"r"]).collect():
+        held.setdefault((bytes(r.root), r.i, r.j), []).append((bytes(r.node), r.block))
+        sent += 1
+    for (root, i, j), members in held.items():
+        for a, x in members:
+            for b, y in members:
+                if a < b and (i == j or x != y):
+                    met[a, b] = met.get((a, b), 0) + 1
+    of = {r[0]: r for r in rows}
+    need = {(a, b) for a in of for b in of if a < b and of[a][1] == of[b][1] and min(of[a][3], of[b][3]) >= 0.8 * max(of[a][3], of[b][3])}
+    assert need <= met.keys() and set(met.values()) == {1} and (b"x", b"y") in met
+    assert sent < 0.5 * 600 * 600 / 16
