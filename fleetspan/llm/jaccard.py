@@ -403,13 +403,13 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_R
         (F.col("copies") - 1 + F.coalesce("docs", F.lit(0))).alias("n_links"),
         F.coalesce("n_texts", F.lit(0)).alias("n_texts"),
     )
-    return rows.select("doc_id", "key").join(named, "key", "left").select(
-        "doc_id",
-        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("copy_id")).alias("copy_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("n_texts", F.lit(0)).cast("long").alias("n_texts"),
-    )
+    # The copies are counted already; rows without a set have nothing to look up.
+    many = (F.col("copies") > some.count() / HOT_KEYS) & (F.col("copies") > 1)
+    copied = [r["key"] for r in classes.where(many).select("key").collect()]
+    found = _looked_up(some.select("doc_id", "key"), "key", named, copied).select("doc_id", "class_id", "copy_id", "n_links", "n_texts")
+    own = F.col("doc_id")
+    none = rows.where(F.col("key").isNull()).select("doc_id", own.alias("class_id"), own.alias("copy_id"), F.lit(0).alias("n_links"), F.lit(0).alias("n_texts"))
+    return found.union(none).withColumns({c: F.col(c).cast("long") for c in ("n_links", "n_texts")})
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
