@@ -7,7 +7,10 @@ make a tree-shaped model; messages passed up and then down give the exact
 marginal of every element. Text is taken from elements whose marginal is over
 one half. Evidence and potentials are learned from labelled pages: pages whose
 authors mark the article (``article``, ``main``), from a bounded sample, and
-a few labelled layouts below for pages that mark less.
+labelled layouts, combined from the parts below, for pages that mark less. The
+tag that marks an article is no evidence on the page that it labels, and what
+stands below a part named as comments, notice or side column has potentials of
+its own, so an ``article`` among comments is not taken for the article.
 
 Defined results: a null or empty page gives an empty text. Character
 references are decoded, white space inside a block becomes one space, blocks
@@ -46,51 +49,108 @@ CLOSES_P = BLOCKS - frozenset("body html".split())
 CLOSES_SAME = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
 BOUNDARY = frozenset("ul ol dl table nav section article aside div main body form footer header".split())
 
-# Parts of class and id names that say what an element is for.
+# What class, id and role names say that an element is for; the first kind that is found counts.
 HINTS = {
-    "boilerplate": """ad ads advert advertisement banner breadcrumb byline comment comments consent cookie disqus footer
-    form header login masthead menu modal nav navbar navigation newsletter notice pager pagination popup promo related
-    reply share sidebar signup social sponsor sponsored subscribe toolbar topbar widget""".split(),
-    "content": "article body content entry main post story text".split(),
+    "comments": r"comment(?!ar)|disqus|\bdiscussion|\brespond|\brepl(?:y|ies)\b|reader-?(?:letter|opinion)",
+    "notice": r"\bnotice|cookie|consent|gdpr|\balert|popup|modal|overlay|toast|paywall|subscri|newsletter|\bsign-?(?:up|in)\b|login|\bdialog",
+    "ad": r"\bads?\b|advert|sponsor|\bpromo|banner",
+    "side": r"side-?(?:bar|col|nav|rail|panel)|right-?(?:col|rail|side|bar|panel)|widget|\brelated|recommend|trending|popular|teaser"
+    r"|\bshar(?:e|ing)\b|\bsocial|complementary",
+    "navigation": r"\bnav|menu|breadcrumb|\bpager|pagination|toolbar|topbar|\bskip-?link|\btoc\b",
+    "frame": r"\bheader|masthead|footer|copyright|imprint|\blegal|colophon|contentinfo|byline|\bform\b|\bsearch",
+    "content": r"article|content|entry|\bmain|\bpost\b|story|\btext|\bbody",
 }
-HINT_OF = {word: kind for kind, words in HINTS.items() for word in words}
-
-#: Labelled layouts: elements with ``data-main`` are the main text, with ``data-not`` are not.
-LAYOUTS = [
-    """<body><header><a href=/>Home</a><h2>Site name</h2></header><nav><ul><li><a href=/a>News</a><li><a href=/b>Sport</a>
-    </ul></nav><div class=content data-main><h1>Title of the story</h1><p>A long first paragraph of the story, with many
-    words and some commas, so that it reads like text.<p>A second paragraph goes on with the story, and it has <a href=/x>
-    one link</a> among many words of text.<h2>Part</h2><ul><li>A point that the story makes<li>Another point</ul>
-    <blockquote>Someone said this long sentence about the story.</blockquote></div><aside class=sidebar><h3>Related</h3>
-    <ul><li><a href=/c>Other story</a><li><a href=/d>More</a></ul></aside><div id=comments><h3>Comments</h3><p>I read this
-    and I like the story very much, thanks.<p>Me too, great words.</div><footer>Copyright of the site</footer></body>""",
-    """<body><div id=header><a href=/>Home</a></div><div class="cookie-notice"><p>We use cookies to make this site better,
-    read the policy for all of the details.</p><button>Fine</button></div><div class=menu><a href=/a>One</a><a href=/b>Two
-    </a></div><div id=main data-main><h1>Heading</h1><div><p>Words of the main text that go on for a while, with commas,
-    stops and all.</p><p>More words of the main text that go on for a while.</p></div><table><tr><th>Name<td>Value</table>
-    <pre>some code</pre></div><div class="ad banner"><p>Buy this thing now, it is cheap and good.</p></div><form><p>Sign up
-    for the letter</p><input name=q></form><div class=footer><p>All rights of this site are reserved.</p></div></body>""",
-    """<body><nav><a href=/>Start</a></nav><main data-main><article><h1>Heading</h1><p>Body of the article in a long
-    paragraph with many words in it.</p><section><h2>Part</h2><p>More of the article in another long paragraph.</p>
-    <div class="ad" data-not><p>An advert inside of the article that is to go.</p></div><figure><figcaption>What the
-    picture shows</figcaption></figure></section><aside data-not><p>See also the other article about it.</p></aside>
-    </article></main><section class=comments><article><p>A reader says something long about this article.</p></article>
-    </section><footer><p>Imprint and contact</p></footer></body>""",
-    """<body><div><div><h1 data-main>Only a heading</h1><p data-main>Plain paragraphs with a lot of words but without any
-    marks around them, as old pages have it.</p><p data-main>Plain paragraphs with a lot of words, again and again.</p>
-    </div><div><ul><li><a href=/1>First link</a><li><a href=/2>Second link</a></ul></div></div><p class=copyright>Copyright
-    of someone</p></body>""",
+HINT_PATTERN = re.compile("|".join(f"(?P<{kind}>{words})" for kind, words in HINTS.items()))
+#: Elements that never are the main text themselves, by the kind that they stand for.
+OTHER_TAGS = {"nav": "navigation", "menu": "navigation", "aside": "side", "footer": "frame", "form": "frame", "dialog": "notice"}
+
+# Parts of the labelled layouts. Elements with ``data-main`` are the main text, with ``data-not`` are not; {n words} stands for a text.
+WRAPS = [
+    "<article data-main><h1>{5}</h1>{story}</article>",
+    "<main data-main><article><h1>{6}</h1>{story}</article></main>",
+    "<div class=content data-main><h1>{4}</h1>{story}</div>",
+    "<div id=main><div data-main><h1>{3}</h1><div>{story}</div></div></div>",
+    "<div><div data-main><h1>{7}</h1>{story}</div></div>",
+    '<div class="col-md-8"><section data-main><h1>{5}</h1>{story}</section></div>',
+    '<div data-main class="post hentry"><header class=entry-header><h1>{6}</h1></header><div class=entry-content>{story}</div></div>',
+    "<table><tr><td data-main><h1>{4}</h1>{story}</td></tr></table>",
+    "<main><div data-main><h2>{5}</h2>{story}</div></main>",
+    "<section data-main><h1>{8}</h1><div>{story}</div></section>",
+    "<div class=leftcol data-main><h1>{4}</h1>{story}</div>",
 ]
+STORIES = [
+    "<p>{40}</p><p>{25} <a href=/x>{2}</a> {9}</p>{inside}<p>{30}</p>",
+    "<p>{18}<p>{22} <em>{3}</em> {4}{inside}<h2>{3}</h2><p>{60}<ul><li>{6}<li>{9}</ul>",
+    "<div><p>{12}</p><p>{15}</p></div>{inside}<blockquote><p>{14}</p></blockquote><p>{33}</p>",
+    "<section><h2>{2}</h2><p>{28}</p>{inside}</section><section><h2>{3}</h2><p>{35}</p><pre>{6}</pre></section>",
+    "<p>{9}</p>{inside}<figure><img src=/i><figcaption>{7}</figcaption></figure><p>{21}</p><table><tr><th>{1}<td>{2}</table>",
+    "{20}<br><br>{31}{inside}<p>{26}</p><ol><li>{5}<li>{8}<li>{4}</ol><p>{80}</p>",
+    "<p>{7}</p>{inside}<p>{150}</p><p>{90}</p><h3>{2}</h3><p>{110}</p><p>{6}</p>",
+]
+INSIDE = [
+    "",
+    "<div class=notice><p>{12}</p></div>",
+    "<div class=ad data-not><p>{8}</p></div>",
+    "<aside><p>{9}</p></aside>",
+    "<form><p>{6}</p><input name=q></form>",
+    "<div class=share><a href=/s>{1}</a> <a href=/t>{1}</a></div>",
+    "<div class=newsletter-signup><h3>{4}</h3><p>{14}</p></div>",
+    "<div class=related-posts><ul><li><a href=/r>{5}</a><li><a href=/q>{6}</a></ul></div>",
+    "<div class=advertisement>{5}</div>",
+    "<p class=notice>{15}</p>",
+    "<nav class=toc><ul><li><a href=#a>{2}</a><li><a href=#b>{3}</a></ul></nav>",
+    "<div class=sponsored><p>{22}</p><p>{16}</p></div>",
+    "<div class=alert>{17}</div>",
+]
+BEFORE = [
+    "<header><a href=/>{1}</a><h2>{2}</h2></header><nav><ul><li><a href=/a>{1}</a><li><a href=/b>{1}</a></ul></nav>",
+    "<div id=header><a href=/>{2}</a><p>{5}</p></div><div class=menu><a href=/a>{1}</a><a href=/b>{1}</a></div>",
+    "<ul><li><a href=/1>{2}</a><li><a href=/2>{1}</a><li><a href=/3>{1}</a></ul>",
+    '<div class="cookie-notice"><p>{19}</p><button>{1}</button></div><nav><a href=/a>{1}</a> <a href=/b>{1}</a></nav>',
+    "<div class=banner><p>{9}</p></div><div role=navigation><ul><li><a href=/a>{1}</a></ul></div>",
+]
+AFTER = [
+    "<section class=comments><h3>{2}</h3><article><p>{23}</p></article><article><p>{11}</p></article></section>",
+    "<div id=comments><h3>{1}</h3><p>{9}<p>{31}</div>",
+    "<section class=comments-area><ol><li><article class=comment><div class=comment-content><p>{26}</p></div></article></ol></section>",
+    "<section id=comments><article class=comment><header>{2}</header><p>{44}</p></article><article class=comment><p>{8}</p></article></section>",
+    "<div id=rightcol><h3>{2}</h3><p>{17}</p></div>",
+    "<aside class=sidebar><h3>{1}</h3><ul><li><a href=/c>{4}</a><li><a href=/d>{3}</a></ul><p>{12}</p></aside>",
+    "<div class=right-column><div><p>{25}</p></div></div>",
+    "<div class=widget-area><section><h3>{2}</h3><p>{20}</p></section></div>",
+    "<div class=related><article><h3><a href=/e>{5}</a></h3><p>{13}</p></article></div>",
+    "<form><p>{6}</p><input name=m></form>",
+    "<div id=discussion><div><p>{35}</p><p>{28}</p></div></div>",
+]
+ENDS = [
+    "<footer><p>{5} <a href=/i>{1}</a></p></footer>",
+    "<div class=footer><p>{9}</p></div>",
+    "<p class=copyright>{4}</p>",
+    "<div id=footer><ul><li><a href=/i>{1}</a><li><a href=/k>{1}</a></ul>{6}</div>",
+]
+#: Number of layouts: each combines the parts anew, as the lists' lengths share no divisor but for one pair.
+N_LAYOUTS = 143
+
+
+def layout(i: int) -> str:
+    """The ``i``-th labelled layout."""
+    pick = lambda parts, step=1: parts[i * step % len(parts)]
+    story = pick(STORIES).replace("{inside}", pick(INSIDE))
+    after = AFTER[(i + i // 11) % len(AFTER)] + (AFTER[(i * 3 + 4) % len(AFTER)] if i % 2 else "")
+    page = f"<body>{pick(BEFORE)}{pick(WRAPS).replace('{story}', story)}{after}{pick(ENDS)}</body>"
+    # Texts of half to one and a half times the stated number of words.
+    return re.sub(r"\{(\d+)\}", lambda m: " ".join(["word"] * max(1, int(m[1]) * (5 + (i * 7 + m.start()) % 11) // 10)), page)
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent", "own", "linked", "paragraphs", "marked")
+    __slots__ = ("tag", "attrs", "children", "parent", "own", "linked", "paragraphs", "titled", "hint", "under")
 
     def __init__(self, tag: str, attrs: dict, parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node | str] = []
         self.own = self.linked = self.paragraphs = 0
-        self.marked = None
+        self.titled = False
+        self.hint = self.under = "none"
 
 
 class Tree(HTMLParser):
@@ -153,48 +213,74 @@ def elements(root: Node) -> list[Node]:
         node.own = text + sum(c.own for c in inner)
         node.linked = node.own if node.tag == "a" else sum(c.linked for c in inner)
         node.paragraphs = (node.tag == "p") + sum(c.paragraphs for c in inner)
+        node.titled = node.tag in ("h1", "main") or any(c.titled for c in inner)
+    for node in order:  # parents first
+        node.hint = hint_of(node)
+        above = node.parent
+        if above:
+            # What the nearest part of another purpose above is for.
+            node.under = above.hint if above.hint not in ("none", "content") else above.under
     return order
 
 
+def hint_of(node: Node) -> str:
+    """The kind that tag and names state; names of what holds the page's title say nothing of a part."""
+    if node.tag in OTHER_TAGS and not (node.tag == "form" and node.titled):
+        return OTHER_TAGS[node.tag]
+    named = " ".join(node.attrs[a] for a in ("class", "id", "role") if a in node.attrs)
+    if not named or node.tag in ("body", "html"):
+        return "none"
+    found = HINT_PATTERN.findall(re.sub(r"(?<=[a-z])(?=[A-Z])|_", "-", named).lower())
+    if not found:
+        return "none"
+    kind = [*HINTS][min(next(k for k, hit in enumerate(hits) if hit) for hits in found)]
+    return "none" if kind != "content" and node.titled else kind
+
+
 def evidence(node: Node) -> tuple[str, ...]:
     """What is seen of an element."""
-    share = node.linked / node.own if node.own else 0
-    names = re.findall(r"[a-z]+", f"{node.attrs.get('class', '')} {node.attrs.get('id', '')} {node.attrs.get('role', '')}".lower())
-    hints = sorted({HINT_OF[n] for n in names if n in HINT_OF})
+    links = node.linked / node.own if node.own else 0
+    share = node.own / node.parent.own if node.parent and node.parent.own else 0
     return (
-        f"tag:{node.tag}",
         f"words:{min(7, int(log1p(node.own)))}",
-        f"links:{min(4, int(share * 5))}",
+        f"links:{min(4, int(links * 5))}",
         f"paragraphs:{min(3, node.paragraphs)}",
-        f"hint:{'+'.join(hints) or 'none'}",
+        f"share:{min(3, int(share * 4))}",
+        f"titled:{node.titled}",
+        f"hint:{node.hint}",
+        f"under:{node.under}",
+        f"tag:{node.tag}",
     )
 
 
 def relation(node: Node) -> str:
-    """Potentials differ by the kind of the child: inline, plain block, or block of a named kind."""
+    """Potentials differ by the kind of the child: below a part of another purpose, such a part, inline, named as content, or plain."""
+    if node.under != "none":
+        return "below"
+    if node.hint not in ("none", "content"):
+        return "other"
     if node.tag not in BLOCKS:
         return "inline"
-    named = node.tag in ("nav", "aside", "footer", "header", "form", "main", "article", "menu", "address", "dialog")
-    hinted = any(e.startswith("hint:") and e != "hint:none" for e in evidence(node)[-1:])
-    return "named" if named or hinted else "block"
+    return "content" if node.hint == "content" or node.tag in ("main", "article") else "block"
 
 
 def labels(order: list[Node]) -> list[int] | None:
     """Label of each element of a labelled page, None if its author marked nothing.
 
     The main text is what ``data-main``, else ``article``, else ``main`` holds, less what
-    ``data-not`` or an element of another purpose inside holds.
+    ``data-not`` or an element of another purpose inside holds. An article among comments marks nothing.
     """
-    marked = [n for n in order if "data-main" in n.attrs] or [n for n in order if n.tag == "article"]
-    marked = marked or [n for n in order if n.tag == "main"]
+    marked = [n for n in order if "data-main" in n.attrs]
+    for tag in ("article", "main"):
+        marked = marked or [n for n in order if n.tag == tag and n.hint in ("none", "content") and n.under == "none"]
     if not marked:
         return None
     inside, out = {id(n) for n in marked}, []
     label: dict[int, int] = {}
     for node in order:
         above = label.get(id(node.parent), 0) if node.parent else 0
-        other = "data-not" in node.attrs or node.tag in ("nav", "aside", "footer", "form", "menu", "dialog")
-        label[id(node)] = 0 if other else 1 if id(node) in inside else above
+        other = "data-not" in node.attrs or node.hint not in ("none", "content")
+        label[id(node)] = 1 if id(node) in inside else 0 if other else above
         out.append(label[id(node)])
     return out
 
@@ -207,8 +293,11 @@ def count(page: str) -> Counter:
     if truth is None:
         return seen
     label = {id(n): y for n, y in zip(order, truth, strict=True)}
+    stated = any("data-main" in n.attrs for n in order)
     for node, y in zip(order, truth, strict=True):
-        for e in evidence(node):
+        # The tag that gave the label is hidden.
+        known = evidence(node) if stated or node.tag not in ("article", "main") else evidence(node)[:-1]
+        for e in known:
             seen[f"e|{e}|{y}"] += 1
         seen[f"n|{y}"] += 1
         if node.parent:
@@ -216,6 +305,14 @@ def count(page: str) -> Counter:
     return seen
 
 
+def layout_counts() -> Counter:
+    """Counts of all labelled layouts."""
+    seen: Counter = Counter()
+    for i in range(N_LAYOUTS):
+        seen.update(count(layout(i)))
+    return seen
+
+
 class Model:
     """Log potentials from counts."""
 
@@ -226,7 +323,7 @@ class Model:
             a, b = ((seen.get(f"e|{key}|{y}", 0) + 0.5) / (total[y] + 1) for y in (0, 1))
             self.own[key] = (log(a), log(b))
         self.step = {}
-        for kind in ("inline", "block", "named"):
+        for kind in ("inline", "block", "content", "other", "below"):
             n = [[seen.get(f"t|{kind}|{x}|{y}", 0) + 0.05 for y in (0, 1)] for x in (0, 1)]
             # Divided by the child's share, as its own evidence holds that already.
             self.step[kind] = [[log(n[x][y] / sum(n[x]) / (total[y] / sum(total))) for y in (0, 1)] for x in (0, 1)]
@@ -309,9 +406,9 @@ def fit(pages: DataFrame, key: str = "page_id", html: str = "html", limit: int =
     found = sample.mapInArrow(_counts, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
     seen: Counter = Counter({r["key"]: r["n"] for r in found.collect()})  # a few hundred kinds of evidence
     # Layouts weigh as much as the sample, so that rare kinds are heard.
-    weight = max(1, seen["n|1"] // 60)
-    for layout in LAYOUTS:
-        seen.update({k: n * weight for k, n in count(layout).items()})
+    stated = layout_counts()
+    weight = max(1, seen["n|1"] // stated["n|1"])
+    seen.update({k: n * weight for k, n in stated.items()})
     return dict(seen)
 
 
