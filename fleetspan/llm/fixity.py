@@ -7,7 +7,9 @@ audit compares roots. Below roots that differ it goes down: on each level only
 the children of differing ranges are compared, until single records are left.
 
 Payloads are hashed where they are read and never shuffled. A node has at most
-WIDTH offsets or FANOUT children, so no group grows with the data.
+WIDTH offsets or FANOUT children (a root two ranges at most, and one for a null
+offset): the number of levels comes from the largest offset of both replicas,
+so no group grows with the data.
 
 Defined results: a null payload is a record of its own kind, different from an
 empty one. Records with the same file and offset are one leaf, hashed from
@@ -30,8 +32,6 @@ from fleetspan.session import materialize
 
 #: Offsets of the lowest ranges, and ranges that make one of the next level.
 WIDTH, FANOUT = 16, 16
-#: Levels of ranges below the root of a file.
-LEVELS = 3
 #: Records of a file of the registered query.
 PER_FILE = 4096
 #: Stands for a null file or offset.
@@ -52,15 +52,28 @@ def leaves(records: DataFrame, side: int) -> DataFrame:
     return found.select(F.lit(side).alias("side"), "file", "node", "n", whole.alias("hash"))
 
 
-def tree(low: DataFrame, levels: int = LEVELS) -> list[DataFrame]:
+def levels_of(low: DataFrame) -> int:
+    """Levels of ranges, so that the highest has one range from offset 0 on, and one below 0."""
+    known = F.when(F.col("node") != NONE, F.col("node"))
+    low_end, high_end = low.agg(F.min(known), F.max(known)).first()
+    # Ranges at either side of 0 that the farthest offsets lie in.
+    ranges, levels = max(high_end or 0, -1 - (low_end or 0), 0) // WIDTH, 1
+    while ranges:
+        ranges, levels = ranges // FANOUT, levels + 1
+    return levels
+
+
+def tree(low: DataFrame, levels: int | None = None) -> list[DataFrame]:
     """Levels from the records up to the roots: side, file, node, parent, hash; written to the shared folder."""
-    up = lambda step: F.floor(F.col("node") / step).cast("long")
+    # The null offset stays a node of its own on every level.
+    up = lambda step: F.when(F.col("node") == NONE, F.col("node")).otherwise(F.expr(f"(node - pmod(node, {step}L)) div {step}L"))
     out = [materialize(low.withColumn("parent", up(WIDTH)), "fixity-0")]
+    levels = levels or levels_of(out[0])
     for level in range(1, levels + 2):
         ordered = F.array_sort(F.collect_list(F.struct("node", "hash")))
         joined = F.array_join(F.transform(ordered, lambda c: F.concat_ws(":", c["node"], c["hash"])), "|")
         nodes = out[-1].groupBy("side", "file", F.col("parent").alias("node")).agg(F.sha2(joined, 256).alias("hash"))
-        # All top ranges of a file have the root above them.
+        # The top ranges of a file have the root above them.
         parent = up(FANOUT) if level < levels else F.lit(0).cast("long")
         out.append(materialize(nodes.withColumn("parent", parent), f"fixity-{level}"))
     return out
@@ -74,11 +87,12 @@ def differing(level: DataFrame, *more: str) -> DataFrame:
     return found.where(~F.col("h0").eqNullSafe(F.col("h1"))).drop("h0", "h1")
 
 
-def audit(replica: DataFrame, other: DataFrame, levels: int = LEVELS) -> DataFrame:
+def audit(replica: DataFrame, other: DataFrame, levels: int | None = None) -> DataFrame:
     """Records of ``replica`` that ``other`` does not hold alike.
 
     Both: file, offset, payload. Result: file, offset, kind (``missing``,
     ``extra`` or ``changed``, as seen in ``other``), n_records and n_other.
+    ``levels`` of ranges below the roots are as many as the offsets need, unless given.
     """
     low = reduce(DataFrame.union, (leaves(r, side) for side, r in enumerate((replica, other))))
     whole = tree(low, levels)

@@ -41,3 +41,17 @@ def test_only_differing_branches_are_read(spark):
     rows = made(spark, [(1, i, f"r{i}") for i in range(2000)])
     levels = fixity.tree(fixity.leaves(rows, 0))
     assert [x.count() for x in levels] == [2000, 125, 8, 1, 1]
+
+
+def test_nodes_have_few_children_at_any_offset(spark):
+    draw = np.random.default_rng(7)
+    offsets = sorted({int(o) for o in draw.integers(0, 10**9, 3000)} | {0, 2**36, 2**36 + 1, -1, -(2**34)})
+    rows = [(1, o, f"r{o}") for o in offsets] + [(1, None, "n")]
+    levels = fixity.tree(fixity.leaves(made(spark, rows), 0))
+    for level in levels[:-1]:
+        most = level.groupBy("parent").count().agg({"count": "max"}).first()[0]
+        assert most <= fixity.FANOUT
+    assert levels[-1].count() == 1 and levels[-2].count() == 3
+    other = [r for r in rows if r[1] != 2**36] + [(1, -5, "new")]
+    found = fixity.audit(made(spark, rows), made(spark, other)).collect()
+    assert {(r.offset, r.kind) for r in found} == {(2**36, "missing"), (-5, "extra")}
