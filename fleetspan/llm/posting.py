@@ -4,8 +4,10 @@ Centroids are fitted on a bounded sample with a handicap for large clusters and
 held with a neighbour graph in memory; the graph finds the centroids near a
 vector. Each vector goes to the posting list of its nearest centroid, a vector
 near a boundary to several. A query reads all lists whose centroids are within
-a ratio of its nearest centroid's distance. Lists are cut into shards of
-bounded size, so a dense region is searched by many tasks.
+a ratio of its nearest centroid's distance: the graph search keeps more and more
+centroids until the farthest one is outside. Lists are cut into shards and their
+queries into batches, both of bounded size, so a dense region is searched by
+many tasks.
 
 The ratio is measured in the job: for a sample of the queries all vectors are
 compared, and the ratio is raised until the lists within it hold RECALL of the
@@ -41,16 +43,16 @@ from fleetspan.session import materialize
 MAX_SAMPLE = 20_000
 #: Distinct vectors per list that the number of centroids aims at, and most centroids.
 LIST_SIZE, MAX_LISTS = 250, 2048
-#: Rows of a shard of a list.
-SHARD = 4096
+#: Rows of a shard of a list, and queries of a batch that reads it.
+SHARD, ASKED = 4096, 4096
 #: A vector also goes to lists whose centroids are at most so much farther than its nearest one, and to so many lists in all.
 BOUNDARY_RATIO, COPIES = 1.05, 3
 #: A query reads the lists whose centroids are so much farther than its nearest one, or more if RECALL needs it.
 SEARCH_RATIO = 1.1
 #: Share of the true neighbours of the sampled queries that the read lists must hold, and number of sampled queries.
 RECALL, PROBES = 0.95, 128
-#: Centroids that the graph search keeps when a vector is indexed, neighbours of each, entries, and steps at most.
-BEAM, DEGREE, ENTRIES, STEPS = 8, 24, 32, 12
+#: Centroids that the graph search keeps when a vector is indexed, and at first when it is a query; neighbours of each, entries, steps at most.
+BEAM, FIRST_BEAM, DEGREE, ENTRIES, STEPS = 8, 64, 24, 32, 12
 
 
 class Centroids:
@@ -104,6 +106,20 @@ class Centroids:
         places, distances = self.nearest(vectors)
         return [p[d <= d[0] * BOUNDARY_RATIO**2][:COPIES].tolist() for p, d in zip(places, distances, strict=True)]
 
+    def within(self, vectors: np.ndarray, ratio: float) -> list[list[int]]:
+        """Lists that each query reads: all centroids found at most ``ratio`` times as far as its nearest."""
+        out: list[list[int]] = [[] for _ in vectors]
+        open_, beam = np.arange(len(vectors)), FIRST_BEAM
+        while len(open_):
+            places, distances = self.nearest(vectors[open_], beam)
+            near = distances <= distances[:, :1] * ratio**2
+            # Done once the farthest kept centroid is outside, or all are kept.
+            done = ~near[:, -1] | (beam >= len(self.points))
+            for at in np.flatnonzero(done):
+                out[open_[at]] = places[at, near[at]].tolist()
+            open_, beam = open_[~done], beam * 4
+        return out
+
 
 def ratios(points: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """How much farther each centroid is from each vector than the nearest one; all centroids are compared."""
@@ -161,14 +177,10 @@ def _matrix(column: pa.ListArray | pa.ChunkedArray) -> np.ndarray:
 
 def _assign(points: np.ndarray, ratio: float | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centroids = Centroids(points) if ratio is None else None
+        centroids = Centroids(points)
         for batch in batches:
             vectors = _matrix(batch["vector"])
-            if centroids is None:
-                parts = (vectors[i : i + 512] for i in range(0, len(vectors), 512))
-                lists = [np.flatnonzero(r <= ratio) for part in parts for r in ratios(points, part)]
-            else:
-                lists = centroids.lists(vectors)
+            lists = centroids.lists(vectors) if ratio is None else centroids.within(vectors, ratio)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, pa.list_(pa.int32()))], [*batch.schema.names, "lists"])
 
     return run
@@ -270,14 +282,18 @@ def search(df: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", ve
     ratio = search_ratio(postings, asked, points, k)
     # One row per list: MAX_LISTS at most.
     shards = F.broadcast(postings.groupBy("list").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("n")))
-    postings = postings.join(shards, "list").withColumn("shard", F.pmod(F.xxhash64("vector"), F.col("n")).cast("int"))
-
-    reads = _assigned(asked, points, ratio).join(shards, "list")
-    reads = reads.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    reads = materialize(_assigned(asked, points, ratio), "posting-reads")
+    batches = F.broadcast(reads.groupBy("list").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("m")))
+    part = lambda n: F.pmod(F.xxhash64("vector"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    # Lists that nobody reads go no further.
+    postings = postings.join(shards, "list").join(batches, "list").withColumn("shard", part("n")).withColumn("batch", each("m"))
+    reads = reads.join(shards, "list").join(batches, "list").withColumn("batch", part("m")).withColumn("shard", each("n"))
+    by = ("list", "shard", "batch")
     found = (
-        postings.select("list", "shard", "vector", "ids")
-        .groupBy("list", "shard")
-        .cogroup(reads.select("list", "shard", "vector", "qid").groupBy("list", "shard"))
+        postings.select(*by, "vector", "ids")
+        .groupBy(*by)
+        .cogroup(reads.select(*by, "vector", "qid").groupBy(*by))
         .applyInPandas(_nearest(k + 1), "qid long, vec_id long, score double")
     )
     # A vector read from several lists counts once.

@@ -23,6 +23,24 @@ def brute(rows, k):
     return out
 
 
+def test_small_shards_and_batches(spark, monkeypatch):
+    monkeypatch.setattr(posting, "SHARD", 32)
+    monkeypatch.setattr(posting, "ASKED", 2)
+    test_copies_ties_and_vectors_that_take_no_part(spark)
+
+
+def test_the_graph_finds_what_lies_within_the_ratio():
+    draw = np.random.default_rng(10)
+    sample = draw.normal(size=(6000, 24))
+    points = posting.fit_centroids(sample, 500)
+    queries = draw.normal(size=(200, 24))
+    for ratio in (1.0, 1.1, 1.3, 9.0):
+        got = posting.Centroids(points).within(queries, ratio)
+        want = [set(np.flatnonzero(r <= ratio * (1 + 1e-12)).tolist()) for r in posting.ratios(points, queries)]
+        assert all(set(g) <= w for g, w in zip(got, want, strict=True))
+        assert np.mean([len(set(g) & w) / len(w) for g, w in zip(got, want, strict=True)]) > 0.99
+
+
 def test_copies_ties_and_vectors_that_take_no_part(spark):
     draw = np.random.default_rng(8)
     vectors = draw.normal(size=(30, 8)).astype(np.float32)
