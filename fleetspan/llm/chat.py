@@ -10,9 +10,10 @@ DataFrame functions are used.
 The rolling hash is a sum of 128-bit hashes of (place, role, text), so it is
 found by running sums: inside runs of bounded length of a conversation first,
 then over the runs. Runs are cut by turn numbers; one that has more rows than
-that (turns without a number, or with the same one) is sorted into segments and
-cut by rows. No task needs a whole conversation, and a long one is rendered in
-parts.
+that (turns without a number, or with the same one) or more text than a row
+should hold is sorted into segments and cut by rows and by length. No task needs
+a whole conversation, and a long one is rendered in parts. The different rows
+are found and written once, for all that read them.
 
 Defined results: turns are ordered by turn (a null before 0), role and text;
 repeated rows count once. A null role is rendered as ``unknown``, a null text as
@@ -35,8 +36,10 @@ from fleetspan.session import materialize
 
 #: Turn numbers and most rows of a run: what is rendered in one row.
 RUN = 1024
-#: Rows that one task sorts, of a run with more than RUN rows.
-SEGMENT = 100_000
+#: Characters of a run, but for its last text.
+LENGTH = 1 << 25
+#: Rows, and characters, that one task sorts, of a run with more rows or text than that.
+SEGMENT, SEGMENT_LENGTH = 100_000, 1 << 28
 # The marks of the format.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 #: Parts that the two 64-bit hashes are summed in: 32 bits each, so 2^31 turns can't overflow.
@@ -49,26 +52,30 @@ def ordered() -> list[Column]:
 
 
 def turns_of(conversations: DataFrame) -> DataFrame:
-    """conv_id, run, turn, role, text of each different row; a run has RUN rows at most."""
+    """conv_id, run, turn, role, text of each different row; a run has RUN rows at most, and LENGTH characters beside its last text."""
     rows = conversations.select(
         F.col("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text")
     )
     by_turn = F.floor(F.coalesce("turn", F.lit(0)) / RUN).cast("long")
-    rows = rows.distinct().withColumn("by_turn", by_turn)
-    # Runs with more rows than turn numbers, each with its number of rows.
-    large = rows.groupBy("conv_id", "by_turn").agg(F.count("*").alias("n")).where(F.col("n") > RUN)
-    large = materialize(large.select(F.col("conv_id").alias("_conv"), F.col("by_turn").alias("_run"), "n"), "chat-large")
+    rows = materialize(rows.distinct().withColumn("by_turn", by_turn), "chat-rows")
+    size = F.coalesce(F.length("role"), F.lit(0)).cast("long") + F.coalesce(F.length("text"), F.lit(0))
+    # Runs with more rows than turn numbers, or much text, each with its number of rows and characters.
+    large = rows.groupBy("conv_id", "by_turn").agg(F.count("*").alias("n"), F.sum(size).alias("size"))
+    large = large.where((F.col("n") > RUN) | (F.col("size") > LENGTH))
+    large = materialize(large.select(F.col("conv_id").alias("_conv"), F.col("by_turn").alias("_run"), "n", "size"), "chat-large")
     whole = lambda df, segment, at: df.withColumn("run", F.struct("by_turn", segment.alias("segment"), at.alias("at"))).select("conv_id", "run", "turn", "role", "text")
-    n = large.agg(F.sum("n")).first()[0]
+    n, length = large.agg(F.sum("n"), F.sum("size")).first()
     if not n:
         return whole(rows, F.lit(0), F.lit(0).cast("long"))
     same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("by_turn") == F.col("_run"))
     small = whole(rows.join(large, same, "left_anti"), F.lit(0), F.lit(0).cast("long"))
-    cut = rows.join(large, same, "left_semi").repartitionByRange(ceil(n / SEGMENT) + 1, F.col("conv_id"), F.col("by_turn"), *ordered())
+    cut = rows.join(large, same, "left_semi").repartitionByRange(ceil(n / SEGMENT + length / SEGMENT_LENGTH) + 1, F.col("conv_id"), F.col("by_turn"), *ordered())
     # Written once, so that the cuts are the same for every later reader and retry.
     cut = materialize(cut.withColumn("_segment", F.spark_partition_id()), "chat-segments")
-    place = F.row_number().over(Window.partitionBy("conv_id", "by_turn", "_segment").orderBy(*ordered()))
-    cut = cut.withColumn("_at", F.floor((place - 1) / RUN).cast("long"))
+    inside = Window.partitionBy("conv_id", "by_turn", "_segment").orderBy(*ordered())
+    before = F.coalesce(F.sum(size).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # Both grow with the order, so their sum changes wherever one of them does.
+    cut = cut.withColumn("_at", (F.floor((F.row_number().over(inside) - 1) / RUN) + F.floor(before / LENGTH)).cast("long"))
     return small.unionByName(whole(cut, F.col("_segment"), F.col("_at")))
 
 

@@ -72,6 +72,26 @@ def test_runs_with_more_rows_than_turn_numbers(spark, monkeypatch):
         assert "".join(r.rendered for r in parts) == "".join(line(x) for x in said)
 
 
+def test_runs_with_long_texts_are_cut_by_length(spark, monkeypatch):
+    monkeypatch.setattr(chat, "LENGTH", 1000)
+    monkeypatch.setattr(chat, "SEGMENT_LENGTH", 4000)
+    said = [f"{t:02} " + "x" * (37 * t % 700) for t in range(40)]
+    rows = [(c, t, "user", x) for c, n in ((1, 40), (2, 25)) for t, x in enumerate(said[:n])]
+    rows += [(3, t, "user", "short") for t in range(5)] + [(4, 0, "user", "y" * 5000)]
+    out = chat.collapse(made(spark, rows)).orderBy("conv_id", "part").collect()
+    assert {r.conv_id for r in out} == {1, 3, 4} == brute(rows)
+    parts = [r for r in out if r.conv_id == 1]
+    assert [r.part for r in parts] == [*range(len(parts))] and len(parts) > 10
+    assert "".join(r.rendered for r in parts) == "".join(f"{chat.OPEN}user\n{x}{chat.CLOSE}\n" for x in said)
+    assert max(sum(map(len, r.rendered.split("\n")[1::2])) for r in parts) < 1000 + 700 + 12 * 40
+
+
+def test_rows_are_made_different_once(spark):
+    frame = made(spark, [(1, 0, "user", "x"), (1, 0, "user", "x")])
+    plan = chat.turns_of(frame)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan
+
+
 def test_empty(spark):
     assert chat.collapse(made(spark, []).limit(0)).count() == 0
 
