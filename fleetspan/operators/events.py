@@ -13,7 +13,7 @@ from fleetspan.functions.extract import output_text
 from fleetspan.functions.oid import drop_instance, starts_with_oid, ticks_text
 from fleetspan.functions.text import scrub
 from fleetspan.operators.skew import DEFAULT_POLICY, HotKeyPolicy, with_previous
-from fleetspan.operators.snmp import codes_table, decode_codes, oid_names
+from fleetspan.operators.snmp import Constants, codes_table, constants, decode_codes, oid_names
 
 DEFAULT_SEVERITY = "INFO"
 
@@ -129,11 +129,12 @@ def decode_traps(
 ) -> DataFrame:
     """Events (trap_id, type, source, ts, severity, detail) of captured traps.
 
-    Variables are taken apart, named and decoded by joins with the dictionary,
-    and put together again per trap: a trap's variables are bounded by its
-    packet, so that last grouping has no large group. A trap is known by its id
-    and its content: one delivered several times gives one event, and traps
-    without an id stay apart.
+    With a small dictionary (``snmp.constants``) variables are named and decoded
+    inside the trap's row. With a larger one they are taken apart, named and
+    decoded by joins, and put together again per trap: a trap's variables are
+    bounded by its packet, so that last grouping has no large group. A trap is
+    known by its id and its content: one delivered several times gives one
+    event, and traps without an id stay apart.
     """
     content = F.xxhash64(*[F.col(c) for c in traps.columns])
     head = classify(traps.withColumn("_trap", content), rules, default, compat).withColumn("source", trap_source(source_oid))
@@ -145,6 +146,8 @@ def decode_traps(
             F.lit("\nEnterprise: "),
         ),
     )
+    if small := constants(mib):
+        return _decode_in_row(head, v1_header, small, omitted, pattern)
     # The first part of every trap carries what belongs to the trap as a whole, with the enterprise to be named.
     no_text = F.lit(None).cast("string")
     whole = F.struct("source", "ts", "severity", v1_header.alias("header"))
@@ -190,6 +193,32 @@ def decode_traps(
     )
 
 
+def _decode_in_row(head: DataFrame, v1_header: Column, known: Constants, omitted: Sequence[str], pattern: str) -> DataFrame:
+    """Events of traps whose identifiers are all looked up in constants; the only shuffle finds repeated traps."""
+    plain = [o.removesuffix(".0") for o in omitted]
+    # Positions are those in the trap, so that what is left out does not move the rest.
+    variables = F.transform(
+        "varbinds", lambda v, i: F.struct(i.alias("pos"), drop_instance(v["oid"]).alias("oid"), v["type"].alias("type"), v["value"].alias("value"))
+    )
+    if plain:
+        variables = F.filter(variables, lambda v: ~v["oid"].isin(*plain))
+    variables = F.transform(variables, lambda v: F.struct(v["pos"].alias("pos"), known.name(v["oid"]).alias("name"), v["type"].alias("type"), v["value"].alias("value")))
+
+    def line(v: Column) -> Column:
+        code = F.when(v["type"].isin(*INTEGER_TYPES), v["value"].try_cast("int"))
+        label = known.label(F.regexp_extract(v["name"], r"^([^.]*)", 1), code)
+        text = F.coalesce(label, F.when(v["type"] == "OID", known.name(v["value"])), v["value"])
+        return F.struct(v["pos"].alias("pos"), v["name"].alias("name"), text.alias("value"))
+
+    header = F.coalesce(F.concat(v1_header, F.coalesce(known.name(F.col("enterprise")), F.lit("")), F.lit("\n")), F.lit(""))
+    body = F.coalesce(ordered_text(F.transform(variables, line)), F.lit(""))
+    return (
+        head.select("trap_id", "_trap", F.lit("Trap").alias("type"), "source", "ts", "severity", scrub(F.concat(header, body), pattern).alias("detail"))
+        .distinct()
+        .drop("_trap")
+    )
+
+
 # Severity of an exit code; other codes raise no event.
 EXIT_SEVERITY = {0: "INFO", 1: "WARN", 2: "ERROR"}
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -115,6 +116,55 @@ def oid_names(readings: DataFrame, mib: DataFrame, oid: str = "oid", out: str =
     return named.withColumn(out, F.coalesce(F.concat("_name", suffix), F.col(oid))).drop("prefix", "_name")
 
 
+#: Entries, and codes, of a dictionary that is held as constants of the plan.
+MAX_CONSTANTS = 256
+
+
+@dataclass(frozen=True)
+class Constants:
+    """A small dictionary as maps in the plan: identifiers are named inside their row, inside arrays too, without a join."""
+
+    names: dict[int, dict[str, str]]
+    codes: dict[str, str]
+
+    def name(self, oid: Column) -> Column:
+        """The same name as that of ``oid_names``."""
+        found = []
+        for n in sorted(self.names, reverse=True):
+            prefix = F.substring_index(oid, ".", n)
+            name = F.try_element_at(constant_map(self.names[n]), prefix)
+            found.append(F.concat(name, F.substring(oid, F.length(prefix) + 1, F.length(oid))))
+        return F.coalesce(*found, oid)
+
+    def label(self, name: Column, code: Column) -> Column:
+        """The label of an integer code of a name, null if there is none."""
+        if not self.codes:
+            return F.lit(None).cast("string")
+        return F.try_element_at(constant_map(self.codes), F.concat(name, F.lit(" "), code.cast("string")))
+
+
+def constant_map(pairs: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+
+
+def constants(mib: DataFrame) -> Constants | None:
+    """The dictionary as constants, if it is known to be small, and its entries have names and no two labels for a code."""
+    known = mib.select("oid", "name", "codes").filter(F.col("oid").isNotNull())
+    if estimated_bytes(known) > _bytes(mib.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")):
+        return None
+    entries = known.limit(MAX_CONSTANTS + 1).collect()
+    pairs = [(f"{e.name} {code}", label) for e in entries for code, label in (e.codes or {}).items()]
+    if max(len(entries), len(pairs)) > MAX_CONSTANTS or any(e.name is None for e in entries):
+        return None
+    codes = dict(pairs)
+    if len(codes) < len(pairs) or None in codes.values():
+        return None
+    names: dict[int, dict[str, str]] = {}
+    for e in sorted(entries, key=lambda e: e.name):  # of equal identifiers the largest name counts
+        names.setdefault(_steps(e.oid, "."), {})[e.oid] = e.name
+    return Constants(names, codes)
+
+
 def name_oids(names: DataFrame, mib: DataFrame, column: str = "oid_name", out: str = "oid") -> DataFrame:
     """Add the identifier of ``name[.suffix]``; text that starts with a digit is one already."""
     pattern = r"^([^.]+)((?:\.\d+)*)$"

@@ -16,6 +16,7 @@ from fleetspan.operators import jobs as J
 from fleetspan.operators import paths as P
 from fleetspan.operators import report as R
 from fleetspan.operators import snmp as S
+from fleetspan.session import local_table
 
 DAY = datetime.datetime(2013, 6, 3)
 
@@ -147,6 +148,34 @@ def test_v1_trap_header_codes_and_omitted(spark):
     assert out.detail == "Traptype (generic, specific): 6, 1\nTimestamp: 0:01:01.23\nEnterprise: acme.4\nadminState: down\nadminState: 7\n1.1.1: alertName.0\n"
 
 
+def sized(df):
+    """The rows as a table whose size Spark knows."""
+    return local_table(df.sparkSession, [tuple(r) for r in df.collect()], df.schema)
+
+
+def test_traps_decode_alike_with_constants_and_joins(spark, monkeypatch):
+    bound = [("1.9.3.0", "Integer32", "2"), ("1.9.3.4", "Integer32", "x"), ("1.9.3", "Integer32", None), ("1.1.1", "OID", "1.9.1.0"), (None, "OID", None)]
+    bound += [("1.7.7.0", "TimeTicks", "5"), ("1.9.30.1", "OctetString", "no entry"), ("1.8", "OID", "9.9"), ("", None, "")]
+    traps = trap(spark, generic=6, specific=1, enterprise="1.8.4", uptime_ticks=6123, varbinds=bound)
+    traps = traps.union(traps).union(trap(spark, version=2, varbinds=bound[:3])).union(trap(spark, version=2)).union(trap(spark, version=1))
+    twice = sized(mib(spark).union(mib(spark).where("name = 'acme'").withColumn("name", F.lit("zeta"))))
+    for omitted in ([], ["1.7.7"]):
+        found = []
+        for limit in (256, 0):
+            monkeypatch.setattr(S, "MAX_CONSTANTS", limit)
+            assert (S.constants(twice) is None) == (limit == 0)
+            found.append(sorted(map(str, EV.decode_traps(traps, twice, omitted=omitted, pattern="[0-9]{4}").collect())))
+        assert found[0] == found[1] and len(found[0]) == 4
+
+
+def test_dictionaries_that_are_no_constants(spark):
+    rows = mib(spark)
+    assert S.constants(sized(rows)).names == {3: {"1.9.1": "alertName", "1.9.2": "alertSeverity", "1.9.3": "adminState"}, 2: {"1.8": "acme"}}
+    assert S.constants(sized(rows.withColumn("name", F.when(F.col("name") != "acme", F.col("name"))))) is None
+    other = rows.withColumn("codes", F.when(F.col("name") == "adminState", F.create_map(F.lit(1), F.lit("on"))))
+    assert S.constants(sized(rows.union(other))) is None
+
+
 def test_trap_without_variables(spark):
     assert EV.decode_traps(trap(spark, version=2), mib(spark)).first()["detail"] == ""
 
