@@ -98,8 +98,7 @@ def telling_words(sample: DataFrame, domains: list[str], per_domain: int = WORDS
 def with_features(docs: DataFrame, vocabulary: list[str], text: str = "text") -> DataFrame:
     """``docs`` with ``_tokens``, a bin of each feature and ``_hits``, the telling words."""
     value = F.coalesce(F.col(text), F.lit(""))
-    size = F.greatest(F.length(value), F.lit(1))
-    share = lambda marks: (size - F.length(F.translate(value, marks, ""))) / size
+    share = lambda marks: (F.length(value) - F.length(F.translate(value, marks, ""))) / F.greatest(F.length(value), F.lit(1))
     tenth = lambda x: F.least(F.ceil(F.cbrt(x) * 10), F.lit(10)).cast("int")
     parts = docs.withColumn("_parts", tokens_of(text))
     variety = F.size(F.array_distinct("_parts")) / F.greatest(F.col("_tokens"), F.lit(1))

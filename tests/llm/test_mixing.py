@@ -53,6 +53,12 @@ def test_empty_tables(spark):
     assert len(rows) == docs.count() and all(abs(r["_rate"] - 1) < 0.5 for r in rows)
 
 
+def test_features_of_texts_without_letters(spark):
+    docs = spark.createDataFrame([(0, None), (1, ""), (2, " "), (3, "$$"), (4, "AB")], "doc_id long, text string")
+    rows = mixing.with_features(docs, ["ab"]).orderBy("doc_id").collect()
+    assert [(r["_tokens"], r["_symbols"], r["_capitals"]) for r in rows] == [(0, 0, 0), (0, 0, 0), (0, 0, 0), (1, 10, 0), (1, 0, 10)]
+
+
 def test_too_many_domains(spark):
     docs, labels = made(spark)
     with pytest.raises(ValueError):
