@@ -20,6 +20,7 @@ rated one by one; further columns pass through; no row is dropped.
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +45,8 @@ BINS = {"length": 24, "variety": 11, "symbols": 11, "capitals": 11}
 SYMBOLS = "!#$%&*|<>{}[]=_~^\\@"
 MARKS = ".,;:!?\"'()[]{}|#$%&*"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Runs of what is neither a symbol nor a capital letter.
+UNCOUNTED = r"[^A-Z!#$%&*|<>{}\[\]=_~^\\@]+"
 
 #: Targets of the registered query by domain of the labels.
 TARGETS = {"good": 0.85, "low": 0.1, "toxic": 0.05}
@@ -61,8 +64,8 @@ def tokens_of(text: str) -> Column:
 
 
 def words_of(tokens: str) -> Column:
-    """Distinct lower-case tokens without the marks around them."""
-    return F.array_distinct(F.transform(F.array_distinct(tokens), lambda w: F.lower(F.btrim(w, F.lit(MARKS)))))
+    """Lower-case tokens without the marks around them."""
+    return F.transform(tokens, lambda w: F.lower(F.btrim(w, F.lit(MARKS))))
 
 
 def telling_words(sample: DataFrame, domains: list[str], per_domain: int = WORDS_PER_DOMAIN) -> list[str]:
@@ -78,7 +81,8 @@ def telling_words(sample: DataFrame, domains: list[str], per_domain: int = WORDS
         .groupBy("domain", "minimum")
         .agg(F.any_value("tokens").alias("tokens"))
     )
-    texts = materialize(texts.select("domain", words_of("tokens").alias("words")), "mixing-sample")
+    texts = texts.select("domain", F.array_distinct(words_of(F.array_distinct("tokens"))).alias("words"))
+    texts = materialize(texts, "mixing-sample")
     sizes = {r["domain"]: r["n"] for r in texts.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     every = sum(sizes.values())
     counts = texts.select("domain", F.explode("words").alias("word")).where(F.length("word") > 1)
@@ -98,20 +102,33 @@ def telling_words(sample: DataFrame, domains: list[str], per_domain: int = WORDS
 def with_features(docs: DataFrame, vocabulary: list[str], text: str = "text") -> DataFrame:
     """``docs`` with ``_tokens``, a bin of each feature and ``_hits``, the telling words."""
     value = F.coalesce(F.col(text), F.lit(""))
-    share = lambda marks: (F.length(value) - F.length(F.translate(value, marks, ""))) / F.greatest(F.length(value), F.lit(1))
     tenth = lambda x: F.least(F.ceil(F.cbrt(x) * 10), F.lit(10)).cast("int")
-    parts = docs.withColumn("_parts", tokens_of(text))
-    variety = F.size(F.array_distinct("_parts")) / F.greatest(F.col("_tokens"), F.lit(1))
-    hits = F.array_intersect(words_of("_parts"), F.array(*map(F.lit, vocabulary))) if vocabulary else F.array().cast("array<string>")
-    return (
-        parts.withColumn("_tokens", F.size("_parts").cast("long"))
-        .withColumn("_hits", hits)
-        .withColumn("_length", F.least(F.floor(F.log2(F.col("_tokens") + 1)), F.lit(23)).cast("int"))
-        .withColumn("_variety", F.ceil(variety * 10).cast("int"))
-        .withColumn("_symbols", tenth(share(SYMBOLS)))
-        .withColumn("_capitals", tenth(share(CAPITALS)))
-        .drop("_parts")
+    # What is used twice is a column of its own; characters are counted in the few that are left.
+    parts = docs.withColumns(
+        {
+            "_parts": tokens_of(text),
+            "_size": F.greatest(F.length(value), F.lit(1)),
+            "_counted": F.regexp_replace(value, UNCOUNTED, ""),
+        }
+    ).withColumns(
+        {
+            "_tokens": F.size("_parts").cast("long"),
+            "_distinct": F.array_distinct("_parts"),
+            "_raised": F.length(F.translate("_counted", SYMBOLS, "")),
+        }
     )
+    variety = F.size("_distinct") / F.greatest(F.col("_tokens"), F.lit(1))
+    # Words that several tokens give are found once.
+    hits = F.array_intersect(words_of("_distinct"), F.array(*map(F.lit, vocabulary))) if vocabulary else F.array().cast("array<string>")
+    return parts.withColumns(
+        {
+            "_hits": hits,
+            "_length": F.least(F.floor(F.log2(F.col("_tokens") + 1)), F.lit(23)).cast("int"),
+            "_variety": F.ceil(variety * 10).cast("int"),
+            "_symbols": tenth((F.length("_counted") - F.col("_raised")) / F.col("_size")),
+            "_capitals": tenth(F.col("_raised") / F.col("_size")),
+        }
+    ).drop("_parts", "_size", "_counted", "_distinct", "_raised")
 
 
 class Classifier:
@@ -130,25 +147,33 @@ class Classifier:
             [math.log((seen.get(("word", d, w), 0) + 0.1) / (sizes.get(d, 0) + 0.2)) for w in vocabulary] for d in domains
         ]
 
+    def gains(self) -> Column:
+        """The evidence of each word of ``_hits`` for each domain, against its mean over domains."""
+        dealt: list[list[Column]] = [[] for _ in self.vocabulary]
+        for w, logs in zip(self.vocabulary, zip(*self.present, strict=True), strict=True):
+            mean = sum(logs) / len(logs)
+            dealt[zlib.crc32(w.encode()) % len(dealt)] += [F.lit(w), F.array(*(F.lit(x - mean) for x in logs))]
+        # A map is searched from its beginning, so the words are dealt over as many maps.
+        maps = F.array(*(F.create_map(*pairs).cast("map<string,array<double>>") for pairs in dealt))
+        place = lambda w: (F.crc32(w.cast("binary")) % len(dealt)).cast("int") + 1
+        return F.transform("_hits", lambda w: F.element_at(F.element_at(maps, place(w)), w))
+
     def logits(self) -> list[Column]:
-        """Log of the joint probability of each domain; absent words say nothing."""
+        """Log of the joint probability of each domain, from the bins and ``_gains``; absent words say nothing."""
         out = []
         for k in range(len(self.domains)):
             logit = F.lit(self.prior[k])
             for f, logs in self.bins.items():
                 logit = logit + F.element_at(F.array(*map(F.lit, logs[k])), F.col(f"_{f}") + 1)
             if self.vocabulary:
-                # The evidence of a word against its mean over domains.
-                gains = [self.present[k][i] - sum(p[i] for p in self.present) / len(self.domains) for i in range(len(self.vocabulary))]
-                logit = logit + _total(dict(zip(self.vocabulary, gains, strict=True)))
+                logit = logit + _total("_gains", k)
             out.append(logit)
         return out
 
 
-def _total(gains: dict[str, float]) -> Column:
-    """Sum of the gains of the words found."""
-    gain = F.create_map(*(F.lit(x) for pair in gains.items() for x in pair))
-    return F.aggregate("_hits", F.lit(0.0), lambda s, w: s + F.element_at(gain, w))
+def _total(gains: str, k: int) -> Column:
+    """Sum of the gains for the k-th domain."""
+    return F.aggregate(gains, F.lit(0.0), lambda s, g: s + F.element_at(g, k + 1))
 
 
 def train(docs: DataFrame, labelled: DataFrame, domains: list[str], text: str = "text") -> Classifier:
@@ -171,11 +196,14 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str], text: str =
 
 def with_posteriors(docs: DataFrame, classifier: Classifier, text: str = "text") -> DataFrame:
     """``docs`` with ``_tokens`` and ``_posteriors`` (in the order of the domains)."""
-    found = with_features(docs, classifier.vocabulary, text).withColumn("_logits", F.array(*classifier.logits()))
+    found = with_features(docs, classifier.vocabulary, text)
+    if classifier.vocabulary:
+        found = found.withColumn("_gains", classifier.gains())
+    found = found.withColumn("_logits", F.array(*classifier.logits()))
     found = found.withColumn("_odds", F.transform("_logits", lambda x: F.exp(x - F.array_max("_logits"))))
     total = F.aggregate("_odds", F.lit(0.0), lambda a, x: a + x)
     found = found.withColumn("_posteriors", F.transform("_odds", lambda x: x / total))
-    return found.drop("_logits", "_odds", "_hits", *(f"_{f}" for f in BINS))
+    return found.drop("_logits", "_odds", "_hits", "_gains", *(f"_{f}" for f in BINS))
 
 
 def fit_rates(docs: DataFrame, targets: list[float], budget: float | None = None) -> DataFrame:

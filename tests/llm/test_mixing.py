@@ -59,6 +59,43 @@ def test_features_of_texts_without_letters(spark):
     assert [(r["_tokens"], r["_symbols"], r["_capitals"]) for r in rows] == [(0, 0, 0), (0, 0, 0), (0, 0, 0), (1, 10, 0), (1, 0, 10)]
 
 
+def by_hand(words):
+    classifier = mixing.Classifier.__new__(mixing.Classifier)
+    classifier.domains, classifier.vocabulary = ["a", "b", "c"], words
+    classifier.prior, classifier.bins = [-1.0, -2.0, -3.0], {f: [[0.5 * k + 0.1 * b for b in range(n)] for k in range(3)] for f, n in mixing.BINS.items()}
+    classifier.present = [[-((i * (k + 2)) % 7) / 3 for i in range(len(words))] for k in range(3)]
+    return classifier
+
+
+def test_features_and_gains_against_plain_python(spark):
+    words = [f"w{chr(97 + i % 26)}{i}" for i in range(60)] + ["straße", "ñu"]
+    classifier = by_hand(words)
+    draw = np.random.default_rng(3)
+    odd = ["STRASSE Straße (straße) \"Ñu\", ñu!\tNo\n\n[x]^\\ @a_b~ <i>{=} 😀Ab", "... !!! ...", "", None]
+    texts = [" ".join(draw.choice([*words, "other", "Wa0,", "(WB1)", "##"], 40)) for _ in range(20)] + odd
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in mixing.with_posteriors(docs, classifier).collect():
+        text = row["text"] or ""
+        tokens = text.split()
+        found = {w.strip(mixing.MARKS).lower() for w in tokens} & set(words)
+        share = lambda marks: min(10, int(np.ceil(np.cbrt(sum(c in marks for c in text) / max(1, len(text))) * 10)))  # noqa: B023, E731
+        bins = {"length": int(np.log2(len(tokens) + 1)), "variety": int(np.ceil(len(set(tokens)) / max(1, len(tokens)) * 10))}
+        bins |= {"symbols": share(mixing.SYMBOLS), "capitals": share(mixing.CAPITALS)}
+        logits = np.array([classifier.prior[k] + sum(classifier.bins[f][k][b] for f, b in bins.items()) for k in range(3)])
+        for w in found:
+            logs = np.array([p[words.index(w)] for p in classifier.present])
+            logits += logs - logs.mean()
+        odds = np.exp(logits - logits.max())
+        assert row["_tokens"] == len(tokens) and np.allclose(row["_posteriors"], odds / odds.sum())
+
+
+def test_work_on_whole_texts_is_done_once(spark):
+    docs, _ = made(spark)
+    plan = mixing.with_posteriors(docs, by_hand(["plain", "words"])).drop("text")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_distinct(") == plan.count("split(") == plan.count("regexp_replace(") == 1
+    assert "translate(text" not in plan and "translate(coalesce(" not in plan
+
+
 def test_too_many_domains(spark):
     docs, labels = made(spark)
     with pytest.raises(ValueError):
